@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talus.llm.substring import dedup_substrings
+from talus.llm import mixing, simhash, substring, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -13,10 +13,23 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = dedup_substrings(_table(spark, sf_dir, "documents"))
+    out = substring.dedup_substrings(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
-QUERIES = {"op1_substring_dedup": op1_substring_dedup}
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
-ORACLES: dict[str, str] = {}
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op2_simhash": op2_simhash, "op3_mixing": op3_mixing, "op4_exact_topk": op4_exact_topk}
+
+ORACLES: dict[str, str] = {"op3_mixing": mixing.ORACLE, "op4_exact_topk": topk.ORACLE}
