@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talus.llm import mixing, simhash, substring, topk
+from talus.llm import language, mixing, quality, simhash, substring, topk
+from talus.llm.common import doc_crc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +31,18 @@ def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
-QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op2_simhash": op2_simhash, "op3_mixing": op3_mixing, "op4_exact_topk": op4_exact_topk}
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = (doc_crc(F.col("doc_id")) % language.FOLDS == language.HELD_OUT).alias("held_out")
+    return language.predict(docs, language.fit(docs)).select("doc_id", held_out, "lang_pred", "score")
+
+
+_ALL = (op1_substring_dedup, op2_simhash, op3_mixing, op4_exact_topk, op6_quality, op10_language_id)
+QUERIES = {f.__name__: f for f in _ALL}
 
 ORACLES: dict[str, str] = {"op3_mixing": mixing.ORACLE, "op4_exact_topk": topk.ORACLE}
