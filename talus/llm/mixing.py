@@ -56,31 +56,41 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     goal = goal.withColumn("_share", F.when(F.col("source_size") > 0, F.col("_rest") / F.col("source_size")).otherwise(0.0))
     goal = staged(goal.withColumn("_odds", F.col("_share") / (1 - F.least("_share", F.lit(0.999999)))), "targets")
 
-    inclusion = F.least(F.lit(0.999999), F.when(F.col("_mass") > 0, F.col("_share") * F.col("_w") * F.col("source_size") / F.col("_mass")).otherwise(0.0))
-    ranked = each.join(goal, "_key").withColumn("_q", F.when(inclusion > 0, F.col("_u") / (1 - F.col("_u")) / (inclusion / (1 - inclusion))))
-    even = F.col("_q") * F.col("_odds")  # spread evenly from 0 to 1 by x / (1 + x) when all weights are 1
-    ranked = ranked.withColumn("_bin", F.when(F.col("_q").isNull(), BINS).otherwise(F.least(F.lit(BINS - 1), F.floor(even / (1 + even) * BINS))).cast("int"))
-    ranked = staged(ranked.withColumn("_live", F.col("_q").isNotNull() & (F.col("size") > 0)), "ranked")
-
-    live = ranked.filter("_live")
-    upto = Window.partitionBy("_key").orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
-    bins = live.groupBy("_key", "_bin").agg(F.sum("size").alias("_sum"), F.first("_rest").alias("_rest"))
-    bins = bins.withColumn("_before", F.sum("_sum").over(upto) - F.col("_sum"))
-    cut = staged(bins.filter("_before <= _rest and _before + _sum > _rest").select("_key", F.col("_bin").alias("_cut"), "_before"), "cuts")
-    inside = live.join(cut, "_key").filter("_bin = _cut").withColumn("_upto", F.col("_before") + F.sum("size").over(Window.partitionBy("_key", "_bin").orderBy("_q", "_row").rowsBetween(Window.unboundedPreceding, 0)))
-    first = inside.filter("_upto <= _rest").select("_row", F.lit(True).alias("_in"))
-    reached = inside.filter("_upto <= _rest").groupBy("_key").agg(F.max("_upto").alias("_upto"))
-    gaps = cut.join(reached, "_key", "left").select("_key", "_cut", F.coalesce("_upto", "_before").alias("_done"))
-
-    chosen = ranked.join(first, "_row", "left").join(gaps, "_key", "left")
-    chosen = staged(chosen.withColumn("_in", F.col("_live") & F.coalesce(F.col("_in"), F.col("_bin") < F.coalesce("_cut", F.lit(BINS)))), "chosen")
+    narrow = _ranked(each.select("_key", "size", "_w", "_u", "_row").join(goal, "_key"))
+    live = narrow.filter("_live")
+    bins = live.groupBy("_key", "_bin").agg(F.sum("size").alias("_sum"), F.first("_rest").alias("_rest"), F.max("_place").alias("_top"))
+    by_bin = Window.partitionBy("_key").orderBy("_bin")
+    before = by_bin.rowsBetween(Window.unboundedPreceding, -1)
+    bins = bins.select("_key", "_bin", "_sum", "_rest", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"), F.max("_top").over(before).alias("_top"))
+    cut = staged(bins.filter("_before <= _rest and _before + _sum > _rest").select("_key", F.col("_bin").alias("_cut"), "_before", "_top"), "cuts")
+    inside = live.join(cut.select("_key", "_cut", "_before"), "_key").filter("_bin = _cut")
+    inside = inside.withColumn("_upto", F.col("_before") + F.sum("size").over(Window.partitionBy("_key", "_bin").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)))
+    reached = inside.filter("_upto <= _rest").groupBy("_key").agg(F.max("_upto").alias("_upto"), F.max("_place").alias("_found"))
+    gaps = cut.join(reached, "_key", "left").select("_key", F.lit(True).alias("_cut"), F.coalesce("_upto", "_before").alias("_done"), F.coalesce("_found", "_top").alias("_top"))
+    plan = staged(goal.join(gaps, "_key", "left"), "plan")
+
     gap = F.col("_rest") - F.col("_done")
-    last = chosen.filter("_live and not _in").filter(F.abs(gap - F.col("size")) < gap).groupBy("_key").agg(F.min(F.struct(F.abs(gap - F.col("size")).alias("d"), "_q", "_row"))["_row"].alias("_row"))
-    out = chosen.join(last.select("_row", F.lit(True).alias("_last")), "_row", "left")
-    copies = F.col("_sure") + (F.col("_in") | F.coalesce("_last", F.lit(False))).cast("long")
+    spare = _ranked(each.select("_key", "size", "_w", "_u", "_row").join(plan, "_key")).filter(F.col("_live") & ~_taken() & (F.abs(gap - F.col("size")) < gap))
+    last = spare.groupBy("_key").agg(F.min(F.struct(F.abs(gap - F.col("size")), "_q", "_row"))["_row"].alias("_last"))
+    out = _ranked(each.join(staged(plan.join(last, "_key", "left"), "plan"), "_key"))
+    copies = F.col("_sure") + (F.col("_live") & (_taken() | F.coalesce(F.col("_row") == F.col("_last"), F.lit(False)))).cast("long")
     return out.select("doc_id", *[F.col(f"_keep_{c}").alias(c) for c in keep], "size", "source_size", "target", (copies * F.col("size")).cast("long").alias("taken"), copies.cast("long").alias("copies"))
 
 
+def _ranked(rows: DataFrame) -> DataFrame:
+    """_q, random odds over inclusion odds; _place, q with a tie-break; _bin of the rank; _live: whether the row can be sampled."""
+    inclusion = F.least(F.lit(0.999999), F.when(F.col("_mass") > 0, F.col("_share") * F.col("_w") * F.col("source_size") / F.col("_mass")).otherwise(0.0))
+    rows = rows.withColumn("_q", F.when(inclusion > 0, F.col("_u") / (1 - F.col("_u")) / (inclusion / (1 - inclusion))))
+    even = F.col("_q") * F.col("_odds")  # spread evenly from 0 to 1 by x / (1 + x) when all weights are 1
+    rows = rows.withColumn("_bin", F.when(F.col("_q").isNull(), BINS).otherwise(F.least(F.lit(BINS - 1), F.floor(even / (1 + even) * BINS))).cast("int"))
+    return rows.withColumn("_place", F.struct("_q", "_row")).withColumn("_live", F.col("_q").isNotNull() & (F.col("size") > 0))
+
+
+def _taken() -> Column:
+    """Whether the order reaches the row: all rows of a source whose target no row crosses, else those up to the last that fits."""
+    return F.coalesce(~F.coalesce("_cut", F.lit(False)) | (F.col("_place") <= F.col("_top")), F.lit(False))
+
+
 ORACLE = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,

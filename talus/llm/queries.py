@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talus.llm import language, mixing, quality, simhash, substring, topk
+from talus.llm import language, media, mixing, pieces, quality, simhash, substring, tokens, topk
 from talus.llm.common import doc_crc
 
+PIECES, WORDS = "piece_bpe_32k.model", "word_bpe_49k.json"
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -36,13 +38,37 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file; import and files are wanted only where a query runs."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
+    return pieces.token_counts(_table(spark, sf_dir, "documents"), model or vocabulary(PIECES))
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
+    out = pieces.encoded(_table(spark, sf_dir, "documents"), model or vocabulary(PIECES))
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), "exact")
+
+
+def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.media_column(_table(spark, sf_dir, "documents"))
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    return tokens.token_files(_table(spark, sf_dir, "documents"), tokenizer or vocabulary(WORDS))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = (doc_crc(F.col("doc_id")) % language.FOLDS == language.HELD_OUT).alias("held_out")
     return language.predict(docs, language.fit(docs)).select("doc_id", held_out, "lang_pred", "score")
 
 
-_ALL = (op1_substring_dedup, op2_simhash, op3_mixing, op4_exact_topk, op6_quality, op10_language_id)
+_ALL = (op1_substring_dedup, op2_simhash, op3_mixing, op4_exact_topk, op5_token_counts, op6_quality, op7_sentencepiece, op8_media, op9_token_files, op10_language_id)
 QUERIES = {f.__name__: f for f in _ALL}
 
 ORACLES: dict[str, str] = {"op3_mixing": mixing.ORACLE, "op4_exact_topk": topk.ORACLE}

@@ -11,7 +11,9 @@ little-endian: left and right of each rule, its expansion length, the symbols (u
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import zlib
 
@@ -24,8 +26,6 @@ from pyspark.sql import types as T
 from talus.llm.common import Memo, new_path, prepare
 
 MAGIC, HEAD = b"TRP1", struct.Struct("<IIQQ")
-#: A word that stands between others when several are encoded at once; words that hold it are encoded alone.
-BETWEEN = b"\x01"
 END, ROUNDS, PAIRS, LEAST = 2, 4, 4096, 6
 #: Ids of a shard, and characters of text in a partition of several shards.
 SHARD, PART_CHARS = 1 << 20, 8 << 20
@@ -128,37 +128,52 @@ class Shard:
 
 
 _encoders: dict[str, tuple] = {}
+#: A pre-tokenizer whose pieces hold no white space, so words can be encoded one by one; and within a word, letters part from other signs.
+WORDWISE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+LETTERS_SIGNS = re.compile(rb"([A-Za-z]+)([!-&(-/:;=-@\[-`{-~]*)")
+
+
+def is_wordwise(config: dict) -> bool:
+    """Whether the tokenizer's file says that it lower-cases, splits by WORDWISE and encodes bytes, and no added token holds a space."""
+    normal, split = config.get("normalizer") or {}, config.get("pre_tokenizer") or {}
+    kinds, parts = [x.get("type") for x in normal.get("normalizers", [])], split.get("pretokenizers", [{}, {}])
+    first, second = (*parts, {}, {})[:2]
+    return (
+        kinds == ["NFC", "Replace", "Lowercase"] and len(parts) == 2 and first.get("type") == "Split" and first.get("pattern") == {"Regex": WORDWISE} and first.get("invert") is True and first.get("behavior") == "Removed"
+        and second.get("type") == "ByteLevel" and not second.get("add_prefix_space") and not second.get("use_regex")
+        and all(t["content"].startswith("<") and not re.search(r"\s", t["content"]) and not t["lstrip"] and not t["rstrip"] for t in config.get("added_tokens", []))
+    )
 
 
 def encoder(path: str):
-    """(text -> bytes of its ids, vocabulary size). Words between ASCII spaces are encoded by the library once and remembered: its split never joins them."""
+    """(texts -> bytes of their ids, vocabulary size). A wordwise tokenizer's words are encoded by the library once and remembered; texts of other tokenizers are encoded whole."""
     if path not in _encoders:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        one = lambda w: np.array(tokenizer.encode(w.decode("utf-8"), add_special_tokens=False).ids, "<u4")
-        memo, mark = Memo(lambda w: one(w).tobytes()), one(BETWEEN)
-        alone = len(mark) == 1 and (one(b"a " + BETWEEN + b" a") == np.concatenate([one(b"a"), mark, one(b"a")])).all()
-
-        def learn(words: list[bytes]) -> None:
-            """Ids of new words in few calls: the mark between them has an id that no word without it gets."""
-            plain = [w for w in words if BETWEEN not in w] if alone else []
-            for at in range(0, len(plain), 2000):
-                part = plain[at : at + 2000]
-                ids = one((b" " + BETWEEN + b" ").join(part))
-                cut = np.flatnonzero(ids == mark[0])
-                if len(cut) == len(part) - 1:
-                    raw, begin = ids.tobytes(), 0
-                    for w, to in zip(part, [*(4 * cut).tolist(), len(ids) * 4], strict=True):
-                        memo[w], begin = raw[begin:to], to + 4
-
-        def encode(texts: list[str | None]) -> list[bytes]:
-            split = [t.encode("utf-8").split() if t else [] for t in texts]
-            learn(list({w for words in split for w in words if w not in memo}))
-            out = [b"".join(map(memo.__getitem__, words)) for words in split]
-            memo.trim()
-            return out
+        raw = lambda ids: np.array(ids, "<u4").tobytes()
+        if is_wordwise(json.loads(tokenizer.to_str())):
+            model = tokenizer.model
+
+            def of(word: bytes) -> bytes:
+                if m := LETTERS_SIGNS.fullmatch(word):
+                    letters, signs = m.groups()
+                    if signs:
+                        return memo[letters] + memo[signs]
+                    return raw([t.id for t in model.tokenize(letters.decode().lower())])
+                return raw(tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids)
+
+            memo = Memo(of)
+
+            def encode(texts: list[str | None]) -> list[bytes]:
+                out = [b"".join(map(memo.__getitem__, t.encode("utf-8").split())) if t else b"" for t in texts]
+                memo.trim()
+                return out
+        else:
+
+            def encode(texts: list[str | None]) -> list[bytes]:
+                return [raw(e.ids) for e in tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
 
         _encoders[path] = encode, tokenizer.get_vocab_size()
     return _encoders[path]
