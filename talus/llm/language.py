@@ -8,16 +8,16 @@ the ``languages`` most common languages, on average, chosen by a hash of the id.
 
 from __future__ import annotations
 
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from talus.llm.common import MEMO, Memo, doc_crc, prepare
+from talus.llm.common import MEMO, doc_crc, mix, prepare
 
 DIM, GRAMS = 4096, 4
 PER_LANGUAGE, LANGUAGES, FOLDS, HELD_OUT, SEED = 800, 64, 4, 2, "lang-1"
@@ -39,31 +39,41 @@ def family(code: str) -> str:
     return _FAMILY.get(code.lower().split("-")[0].split("_")[0], code)
 
 
-def grams(word: str) -> np.ndarray | None:
-    """Places of a word's features; none if it has no letter."""
-    letters = "".join(c for c in word.lower() if c.isalpha())
-    if not letters:
-        return None
-    marked = f"<{letters}>"
-    runs = [marked[i : i + k] for k in range(1, GRAMS + 1) for i in range(len(marked) - k + 1)] + [f"={letters}"]
-    return np.array([xxhash.xxh32_intdigest(g.encode("utf-8", "surrogatepass")) % DIM for g in runs], np.int64)
+def letters_of(word: str) -> str:
+    return (word if word.isalpha() else "".join(filter(str.isalpha, word))).lower()
 
 
-def has_letter(text: str | None) -> bool:
-    return bool(text) and any(map(str.isalpha, text))
+def places(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of words (none empty): places of all their features, the word of each, and each word's number of features."""
+    code = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    size = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    end = np.cumsum(size)
+    owner = np.repeat(np.arange(len(words)), size)
+    left = end[owner] - np.arange(len(code))  # characters to the word's end
+    run, power = np.zeros(len(code), np.uint64), np.uint64(0x100000001B3)
+    at, of = [], []
+    for k in range(1, GRAMS + 1):
+        run = run[: len(code) - k + 1] * power + code[k - 1 :]
+        whole = np.flatnonzero(left[: len(run)] >= k)
+        at.append(mix(run[whole] + np.uint64(k << 56))), of.append(owner[whole])
+    factor = np.cumprod(np.full(int(size.max()), power, np.uint64))
+    at.append(mix(np.add.reduceat(code * factor[left - 1], end - size))), of.append(np.arange(len(words)))
+    of = np.concatenate(of)
+    return (np.concatenate(at) % np.uint64(DIM)).astype(np.int64), of, np.bincount(of, minlength=len(words))
 
 
-_grams = Memo(grams)
+def has_letter(text: str | None) -> bool:
+    return bool(text) and any(map(str.isalpha, text))
 
 
 def features(text: str) -> np.ndarray:
     """The mean of the words' features."""
-    found = [at for at in map(_grams.__getitem__, text.split()) if at is not None]
-    _grams.trim()
-    if not found:
+    count = Counter(w for w in map(letters_of, text.split()) if w)
+    if not count:
         return np.zeros(DIM)
-    sizes = np.array([len(at) for at in found])
-    return np.bincount(np.concatenate(found), np.repeat(1 / sizes, sizes), DIM) / len(found)
+    at, of, size = places(list(count))
+    times = np.fromiter(count.values(), np.float64, len(count))
+    return np.bincount(at, (times / size)[of], DIM) / times.sum()
 
 
 def svm(x: np.ndarray, y: np.ndarray, decay: float = 1e-3, turns: int = 150) -> np.ndarray:
@@ -100,23 +110,11 @@ class Hierarchy:
         every = np.stack(cols, axis=1).astype(np.float64) if cols else np.zeros((DIM + 1, 0))
         self.weights, self.bias = (every[:-1].T * self.scale / np.sqrt(DIM)).T, every[-1]
 
-    def words(self) -> Memo:
-        """word -> place in the memo's ``rows``, 0 for words without letters."""
-        memo = Memo(lambda w: 0)
-        memo.rows, memo.used = np.zeros((1 << 12, len(self.bias))), 1
-
-        def of(word):
-            at = grams(word)
-            if at is None:
-                return 0
-            if memo.used == len(memo.rows):
-                memo.rows = np.concatenate([memo.rows, np.zeros_like(memo.rows)])
-            memo.rows[memo.used] = self.weights[at].mean(axis=0)
-            memo.used += 1
-            return memo.used - 1
-
-        memo.of = of
-        return memo
+    def values(self, words: list[str]) -> np.ndarray:
+        """Of words (letters only): what each adds to every column, bias aside."""
+        at, of, size = places(words)
+        order = np.argsort(of, kind="stable")
+        return np.add.reduceat(self.weights[at[order]], np.cumsum(size) - size, axis=0) / size[:, None]
 
     def predict(self, values: np.ndarray) -> tuple[str, float]:
         """values: of the document for each column. The family of the largest value, then the language with most pairs won (then the larger sum, then the code's order)."""
@@ -138,6 +136,31 @@ class Hierarchy:
         return lang, float(sure / (1 + np.exp(-np.clip(2 * least[lang], -30, 30))))
 
 
+class WordValues:
+    """A worker's memory of words' values; words with the same letters share theirs, words without letters have none."""
+
+    def __init__(self, model: Hierarchy):
+        self.model = model
+        self.forget()
+
+    def forget(self) -> None:
+        self.place, self.rows = {"": 0}, np.zeros((1, len(self.model.bias)))
+
+    def learn(self, words: set[str]) -> None:
+        if len(self.place) > MEMO:
+            self.forget()
+        place = self.place
+        new = {w: letters_of(w) for w in words if w not in place}
+        if fresh := list({x for x in new.values() if x not in place}):
+            place.update(zip(fresh, range(len(self.rows), len(self.rows) + len(fresh)), strict=True))
+            self.rows = np.concatenate([self.rows, self.model.values(fresh)])
+        place.update((w, place[x]) for w, x in new.items())
+
+    def mean(self, words: list[str]) -> np.ndarray:
+        at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        return self.rows[at].sum(axis=0) / max(1, np.count_nonzero(at))
+
+
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", per_language: int = PER_LANGUAGE, languages: int = LANGUAGES, folds: int = FOLDS, held_out: int = HELD_OUT) -> Hierarchy:
     """A model from documents with a language, a letter and an id outside the held-out fold."""
     prepare(docs.sparkSession)
@@ -171,20 +194,14 @@ def predict(docs: DataFrame, model: Hierarchy, text: str = "text", keep: tuple[s
     prepare(docs.sparkSession)
 
     def of(batches):
-        memo = model.words()
+        known = WordValues(model)
         for b in batches:
             langs, scores = [], []
-            for t in b["_text"].to_pylist():
-                if not has_letter(t):
-                    langs.append(UNKNOWN), scores.append(0.0)
-                    continue
-                words = t.split()
-                at = np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
-                total = memo.rows[at].sum(axis=0) / max(1, np.count_nonzero(at))
-                one, sure = model.predict(total + model.bias)
+            texts = [t.split() if has_letter(t) else None for t in b["_text"].to_pylist()]
+            known.learn({w for t in texts if t for w in t})
+            for words in texts:
+                one, sure = model.predict(known.mean(words) + model.bias) if words else (UNKNOWN, 0.0)
                 langs.append(one), scores.append(sure)
-            if len(memo) > MEMO:
-                memo = model.words()
             yield pa.RecordBatch.from_arrays([*[b[f"_keep{i}"] for i in range(len(keep))], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*keep, "lang_pred", "score"])
 
     schema = T.StructType([*[T.StructField(c, docs.schema[c].dataType) for c in keep], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
