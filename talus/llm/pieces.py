@@ -15,7 +15,9 @@ from __future__ import annotations
 
 import re
 import struct
+from array import array
 from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +28,8 @@ from talus.llm.common import Memo, prepare
 
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
+#: Parts that a worker remembers.
+PARTS = 1_000_000
 SPACE, PENALTY, LOWEST = "▁", 10.0, float("-inf")
 
 
@@ -124,19 +128,15 @@ class Model:
         """Ids of a character that no piece has."""
         return [self.byte[b] for b in char.encode("utf-8", "surrogatepass")] if self.byte_fallback else [self.unknown]
 
+    @cached_property
+    def raw(self) -> list[bytes]:
+        """UTF-8 of each id, with spaces for their marks; a byte piece is its byte, a control piece nothing."""
+        show = {CONTROL: lambda p: b"", BYTE: lambda p: bytes([int(p[3:5], 16)]), UNKNOWN: lambda p: " ⁇ ".encode()}
+        return [show[t](p) if t in show else (p.replace(SPACE, " ") if self.escape else p).encode("utf-8") for p, t in zip(self.pieces, self.types, strict=True)]
+
     def decode(self, ids) -> str:
         """The text of ids; byte pieces that are no UTF-8 become U+FFFD."""
-        out, held = [], bytearray()
-        for i in [*ids, None]:
-            if i is not None and self.types[i] == BYTE:
-                held.append(int(self.pieces[i][3:5], 16))
-                continue
-            if held:
-                out.append(held.decode("utf-8", "replace"))
-                held = bytearray()
-            if i is not None and self.types[i] != CONTROL:
-                out.append(self.pieces[i] if self.types[i] != UNKNOWN else " ⁇ ")
-        text = "".join(out).replace(SPACE, " ") if self.escape else "".join(out)
+        text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if self.dummy_prefix and text.startswith(" ") else text
 
 
@@ -150,7 +150,7 @@ class Counter:
         for piece, score in model.score.items():
             self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
-        self.memo = Memo(self.part)
+        self.memo = Memo(self.part, PARTS)
 
     def part(self, text: str) -> int:
         if len(parts := self.model.finer(text)) > 1:
@@ -187,7 +187,7 @@ class Transducer:
         for piece, score in model.score.items():
             self.automaton.add_word(piece, (len(piece), piece, -score if model.kind == UNIGRAM else 0.0))
         self.automaton.make_automaton()
-        self.apart, self.whole, self.memo = Memo(lambda ab: self.merged(ab[0] + ab[1]) == list(ab)), Memo(lambda a: self.merged(a) == [a]), Memo(self.part)
+        self.apart, self.whole, self.memo = Memo(lambda ab: self.merged(ab[0] + ab[1]) == list(ab)), Memo(lambda a: self.merged(a) == [a]), Memo(self.part, PARTS)
 
     def merged(self, text: str) -> list[str]:
         """What merging makes of a short text: the best-scored neighbouring pair first, from the left."""
@@ -214,12 +214,13 @@ class Transducer:
                 arcs.append((end, None, self.unknown_weight))
         return ends
 
-    def part(self, text: str) -> tuple[int, ...]:
+    def part(self, text: str) -> bytes:
+        """Ids of a part, 32 bits each."""
         if len(parts := self.model.finer(text)) > 1:
-            return sum(map(self.memo.__getitem__, parts), ())
+            return b"".join(map(self.memo.__getitem__, parts))
         return self.merging_path(text) if self.model.kind == BPE else self.least_path(text)
 
-    def least_path(self, text: str) -> tuple[int, ...]:
+    def least_path(self, text: str) -> bytes:
         """States are places; the first of equal weights stays."""
         total, back = [0.0] * (len(text) + 1), [(0, None)] * (len(text) + 1)
         for end, arcs in enumerate(self.lattice(text), 1):
@@ -230,7 +231,7 @@ class Transducer:
             total[end] = best
         return self._ids(text, back)
 
-    def merging_path(self, text: str) -> tuple[int, ...]:
+    def merging_path(self, text: str) -> bytes:
         """States are places with the last piece. Merging leaves one accepted piece for each prefix, so the first found is all."""
         last: list[str | None] = ["", *[None] * len(text)]
         back = [(0, None)] * (len(text) + 1)
@@ -242,20 +243,19 @@ class Transducer:
                     break
         return self._ids(text, back)
 
-    def _ids(self, text: str, back: list) -> tuple[int, ...]:
+    def _ids(self, text: str, back: list) -> bytes:
         out, end = [], len(text)
         while end:
             start, piece = back[end]
             out.append([self.model.id[piece]] if piece is not None else self.model.rest(text[start:end]))
             end = start
-        return tuple(i for ids in reversed(out) for i in ids)
+        return array("i", chain.from_iterable(reversed(out))).tobytes()
+
+    def packed(self, text: str | None) -> bytes:
+        return b"".join(map(self.memo.__getitem__, self.model.cuts.findall(self.model.normal(text)))) if text else b""
 
     def encode(self, text: str | None) -> list[int]:
-        out: list[int] = []
-        if text:
-            for part in map(self.memo.__getitem__, self.model.cuts.findall(self.model.normal(text))):
-                out += part
-        return out
+        return np.frombuffer(self.packed(text), np.int32).tolist()
 
     def trim(self) -> None:
         for memo in (self.memo, self.apart, self.whole):
@@ -303,11 +303,11 @@ def encoded(docs: DataFrame, model: str, text: str = "text", keep: tuple[str, ..
         transducer = _worker(Transducer, model, kind)
         for b in batches:
             texts = b["_text"].to_pylist()
-            ids = [transducer.encode(t) for t in texts]
-            decoded = [transducer.model.decode(i) for i in ids]
+            ids = [transducer.packed(t) for t in texts]
+            decoded = [transducer.model.decode(np.frombuffer(i, np.int32).tolist()) for i in ids]
             transducer.trim()
-            flat = np.fromiter((i for one in ids for i in one), np.int32)
-            bounds = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+            flat = np.frombuffer(b"".join(ids), np.int32)
+            bounds = np.cumsum([0, *(len(i) // 4 for i in ids)]).astype(np.int32)
             cols = [*[b[f"_keep{i}"] for i in range(len(keep))], pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)), pa.array([d == (t or "") for d, t in zip(decoded, texts, strict=True)], pa.bool_()), *[pa.array(decoded, pa.string())] * with_text]
             yield pa.RecordBatch.from_arrays(cols, names=[*keep, "ids", "exact", *["decoded"] * with_text])
 

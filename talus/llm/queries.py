@@ -51,7 +51,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str, model: str | None = None)
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
     out = pieces.encoded(_table(spark, sf_dir, "documents"), model or vocabulary(PIECES))
-    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), "exact")
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.xxhash64("ids").alias("ids_xxhash64"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), "exact")
 
 
 def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
