@@ -2,8 +2,8 @@
 
 Each source gets its share of all words by weight, at most ``repeats`` times its size; what a full source leaves goes to the
 others by weight. A source of size S and target T takes floor(T / S) whole copies of every document for certain. The rest
-is a sample: documents are ranked by random odds divided by inclusion odds and taken in that order until the rest of the
-target is full; then the one document that fits the remaining gap best comes in if it brings the source nearer its target.
+is a sample: documents that fit it are ranked by random odds divided by inclusion odds and taken in that order until the rest
+of the target is full; then the one document that fits the remaining gap best comes in if it brings the source nearer its target.
 
 Ranks need no sort of a source: words are summed in bins of the rank, and only the bin in which the target falls is sorted.
 """
@@ -66,29 +66,31 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     inside = live.join(cut.select("_key", "_cut", "_before"), "_key").filter("_bin = _cut")
     inside = inside.withColumn("_upto", F.col("_before") + F.sum("size").over(Window.partitionBy("_key", "_bin").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)))
     reached = inside.filter("_upto <= _rest").groupBy("_key").agg(F.max("_upto").alias("_upto"), F.max("_place").alias("_found"))
-    gaps = cut.join(reached, "_key", "left").select("_key", F.lit(True).alias("_cut"), F.coalesce("_upto", "_before").alias("_done"), F.coalesce("_found", "_top").alias("_top"))
+    every = bins.groupBy("_key").agg(F.sum("_sum").alias("_all"))
+    gaps = every.join(cut.select("_key", F.lit(True).alias("_cut"), "_before", "_top"), "_key", "left").join(reached, "_key", "left")
+    gaps = gaps.select("_key", "_cut", F.coalesce("_upto", "_before", "_all").alias("_done"), F.coalesce("_found", "_top").alias("_top"))
     plan = staged(goal.join(gaps, "_key", "left"), "plan")
 
-    gap = F.col("_rest") - F.col("_done")
-    spare = _ranked(each.select("_key", "size", "_w", "_u", "_row").join(plan, "_key")).filter(F.col("_live") & ~_taken() & (F.abs(gap - F.col("size")) < gap))
+    gap = F.col("_rest") - F.coalesce("_done", F.lit(0))
+    spare = _ranked(each.select("_key", "size", "_w", "_u", "_row").join(plan, "_key")).filter(F.col("_q").isNotNull() & (F.col("size") > 0) & ~_taken() & (F.abs(gap - F.col("size")) < gap))
     last = spare.groupBy("_key").agg(F.min(F.struct(F.abs(gap - F.col("size")), "_q", "_row"))["_row"].alias("_last"))
     out = _ranked(each.join(staged(plan.join(last, "_key", "left"), "plan"), "_key"))
-    copies = F.col("_sure") + (F.col("_live") & (_taken() | F.coalesce(F.col("_row") == F.col("_last"), F.lit(False)))).cast("long")
+    copies = F.col("_sure") + (_taken() | F.coalesce(F.col("_row") == F.col("_last"), F.lit(False))).cast("long")
     return out.select("doc_id", *[F.col(f"_keep_{c}").alias(c) for c in keep], "size", "source_size", "target", (copies * F.col("size")).cast("long").alias("taken"), copies.cast("long").alias("copies"))
 
 
 def _ranked(rows: DataFrame) -> DataFrame:
-    """_q, random odds over inclusion odds; _place, q with a tie-break; _bin of the rank; _live: whether the row can be sampled."""
+    """_q, random odds over inclusion odds; _place, q with a tie-break; _bin of the rank; _live: whether the row can be sampled and fits its target at all."""
     inclusion = F.least(F.lit(0.999999), F.when(F.col("_mass") > 0, F.col("_share") * F.col("_w") * F.col("source_size") / F.col("_mass")).otherwise(0.0))
     rows = rows.withColumn("_q", F.when(inclusion > 0, F.col("_u") / (1 - F.col("_u")) / (inclusion / (1 - inclusion))))
     even = F.col("_q") * F.col("_odds")  # spread evenly from 0 to 1 by x / (1 + x) when all weights are 1
     rows = rows.withColumn("_bin", F.when(F.col("_q").isNull(), BINS).otherwise(F.least(F.lit(BINS - 1), F.floor(even / (1 + even) * BINS))).cast("int"))
-    return rows.withColumn("_place", F.struct("_q", "_row")).withColumn("_live", F.col("_q").isNotNull() & (F.col("size") > 0))
+    return rows.withColumn("_place", F.struct("_q", "_row")).withColumn("_live", F.col("_q").isNotNull() & (F.col("size") > 0) & (F.col("size") <= F.col("_rest")))
 
 
 def _taken() -> Column:
-    """Whether the order reaches the row: all rows of a source whose target no row crosses, else those up to the last that fits."""
-    return F.coalesce(~F.coalesce("_cut", F.lit(False)) | (F.col("_place") <= F.col("_top")), F.lit(False))
+    """Whether the order reaches the row: all live rows of a source whose target no row crosses, else those up to the last that fits."""
+    return F.coalesce(F.col("_live") & (~F.coalesce("_cut", F.lit(False)) | (F.col("_place") <= F.col("_top"))), F.lit(False))
 
 
 ORACLE = r"""
@@ -108,10 +110,9 @@ r AS (SELECT *, greatest(0.0::DOUBLE, target - sure * source_size) AS rest FROM
 p AS (SELECT *, least(0.999999::DOUBLE, CASE WHEN source_size > 0 THEN rest / source_size ELSE 0 END) AS incl FROM r),
 q AS (SELECT d.*, p.source_size, p.target, p.sure, p.rest, CASE WHEN incl > 0 THEN u / (1 - u) / (incl / (1 - incl)) END AS q
   FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source),
-c AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY q, doc_id ROWS UNBOUNDED PRECEDING) AS upto FROM q WHERE q IS NOT NULL AND size > 0),
-k AS (SELECT *, coalesce(max(CASE WHEN upto <= rest THEN upto END) OVER (PARTITION BY source), 0) AS done, max(upto) OVER (PARTITION BY source) AS most FROM c),
-f AS (SELECT *, upto <= rest AS taken_in,
-    row_number() OVER (PARTITION BY source, upto <= rest OR abs(rest - done - size) >= rest - done OR most <= rest ORDER BY abs(rest - done - size), q) AS n FROM k)
+c AS (SELECT *, sum(size) FILTER (size <= rest) OVER (PARTITION BY source ORDER BY q, doc_id ROWS UNBOUNDED PRECEDING) AS upto, size <= rest AS live FROM q WHERE q IS NOT NULL AND size > 0),
+k AS (SELECT *, live AND upto <= rest AS taken_in, coalesce(max(CASE WHEN live AND upto <= rest THEN upto END) OVER (PARTITION BY source), 0) AS done FROM c),
+f AS (SELECT *, row_number() OVER (PARTITION BY source, taken_in OR abs(rest - done - size) >= rest - done ORDER BY abs(rest - done - size), q) AS n FROM k)
 SELECT q.doc_id, q.size, q.source_size, q.target,
   (q.size * (q.sure + CASE WHEN f.taken_in OR (f.n = 1 AND NOT f.taken_in AND abs(f.rest - f.done - f.size) < f.rest - f.done) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM q LEFT JOIN f ON q.doc_id = f.doc_id
