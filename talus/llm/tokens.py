@@ -16,6 +16,7 @@ import os
 import re
 import struct
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,25 @@ from talus.llm.common import Memo, new_path, prepare
 
 MAGIC, HEAD = b"TRP1", struct.Struct("<IIQQ")
 END, ROUNDS, PAIRS, LEAST = 2, 4, 4096, 6
-#: Ids of a shard, and characters of text in a partition of several shards.
-SHARD, PART_CHARS = 1 << 20, 8 << 20
+WORDS_KEPT, BITS = 1_600_000, 20
+#: Ids of a shard; a task holds one shard at a time.
+SHARD = 1 << 20
+
+
+def slot(key: np.ndarray) -> np.ndarray:
+    return (key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - BITS)).view(np.int64)
+
+
+def expanded(left: np.ndarray, right: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all rules, one rule after the other, and each rule's number of them."""
+    symbols, owner = np.stack([left, right], axis=1).ravel().astype(np.int64), np.repeat(np.arange(len(left)), 2)
+    while (rule := symbols >= base).any():
+        size = 1 + rule
+        first = (np.cumsum(size) - size)[rule]
+        inner = symbols[rule] - base
+        symbols, owner = np.repeat(symbols, size), np.repeat(owner, size)
+        symbols[first], symbols[first + 1] = left[inner], right[inner]
+    return symbols, np.bincount(owner, minlength=len(left))
 
 
 def repair(ids: np.ndarray, ends: np.ndarray, base: int, rounds: int = ROUNDS, pairs: int = PAIRS, least: int = LEAST):
@@ -41,7 +59,10 @@ def repair(ids: np.ndarray, ends: np.ndarray, base: int, rounds: int = ROUNDS, p
         if len(seq) < 2:
             break
         key = seq[:-1] << 32 | seq[1:]
-        order = np.sort(key[~last[:-1]])
+        free = ~last[:-1]
+        slots = slot(key)
+        common = np.bincount(slots[free], minlength=1 << BITS) >= least  # a pair is no more frequent than its slot
+        order = np.sort(key[common[slots] & free])
         if not len(order):
             break
         new = np.flatnonzero(np.concatenate([[True], order[1:] != order[:-1]]))
@@ -49,14 +70,14 @@ def repair(ids: np.ndarray, ends: np.ndarray, base: int, rounds: int = ROUNDS, p
         few = np.flatnonzero(often >= least)
         if not len(few):
             break
-        if len(few) > pairs:
-            few = few[np.argsort(-often[few], kind="stable")[:pairs]]
-        chosen = np.sort(order[new[few]])
-        slot = lambda k: ((k * np.int64(0x9E3779B97F4A7C1 | 1)) >> np.int64(40)) & 0xFFFF
-        table = np.zeros(1 << 16, bool)
-        table[slot(chosen)] = True
-        at = np.flatnonzero(table[slot(key)] & ~last[:-1])
-        which = np.minimum(np.searchsorted(chosen, key[at]), len(chosen) - 1)
+        few = few[np.argsort(-often[few], kind="stable")[:pairs]]
+        chosen = order[new[few]]
+        chosen = chosen[np.sort(np.unique(slot(chosen), return_index=True)[1])]  # one pair for each slot; others have their turn in a later round
+        table = np.full(1 << BITS, -1, np.int32)
+        table[slot(chosen)] = np.arange(len(chosen))
+        which = table[slots]
+        at = np.flatnonzero((which >= 0) & free)
+        which = which[at]
         hit = chosen[which] == key[at]
         at, which = at[hit], which[hit]
         # of places that overlap the next, every other one counts, from the left
@@ -80,10 +101,8 @@ def pack(docs: list[bytes], base: int, **how) -> tuple[bytes, int]:
     ids = np.frombuffer(b"".join(docs), "<u4")
     bounds = np.cumsum([0, *(len(d) // 4 for d in docs)])
     seq, rules, starts = repair(ids, bounds[1:] - 1, base, **how)
-    length = np.ones(base + len(rules), np.int64)
-    for k in range(len(rules)):
-        length[base + k] = length[rules[k, 0]] + length[rules[k, 1]]
-    body = HEAD.pack(base, len(rules), len(seq), len(docs)) + b"".join((rules[:, 0].astype("<u4").tobytes(), rules[:, 1].astype("<u4").tobytes(), length[base:].astype("<u4").tobytes(), seq.astype("<u4").tobytes(), starts.astype("<u8").tobytes(), bounds[:-1].astype("<u8").tobytes()))
+    _, length = expanded(rules[:, 0], rules[:, 1], base)
+    body = HEAD.pack(base, len(rules), len(seq), len(docs)) + b"".join((rules[:, 0].astype("<u4").tobytes(), rules[:, 1].astype("<u4").tobytes(), length.astype("<u4").tobytes(), seq.astype("<u4").tobytes(), starts.astype("<u8").tobytes(), bounds[:-1].astype("<u8").tobytes()))
     return MAGIC + struct.pack("<I", zlib.crc32(body)) + body, len(ids)
 
 
@@ -104,14 +123,12 @@ class Shard:
 
         self.left, self.right, self.length = (take(n_rules, "<u4") for _ in range(3))
         self.symbols, self.first_symbol, self.first_id = take(n_symbols, "<u4"), take(self.n_docs, "<u8"), take(self.n_docs, "<u8")
-        size = np.concatenate([np.ones(self.base, np.int64), self.length.astype(np.int64)])
+        inner, found = expanded(self.left, self.right, self.base)
+        if (found != self.length).any():
+            raise ValueError("rules don't fit their lengths")
+        size = np.concatenate([np.ones(self.base, np.int64), found])
         offset = np.concatenate([[0], np.cumsum(size)])
-        flat = np.zeros(offset[-1], np.uint32)
-        flat[: self.base] = np.arange(self.base)
-        for k in range(n_rules):
-            a, b, to = self.left[k], self.right[k], offset[self.base + k]
-            flat[to : to + size[a]] = flat[offset[a] : offset[a] + size[a]]
-            flat[to + size[a] : to + size[a] + size[b]] = flat[offset[b] : offset[b] + size[b]]
+        flat = np.concatenate([np.arange(self.base, dtype=np.uint32), inner.astype(np.uint32)])
         self._size, self._offset, self._flat = size, offset, flat
 
     def _expand(self, symbols: np.ndarray) -> np.ndarray:
@@ -130,7 +147,9 @@ class Shard:
 _encoders: dict[str, tuple] = {}
 #: A pre-tokenizer whose pieces hold no white space, so words can be encoded one by one; and within a word, letters part from other signs.
 WORDWISE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-LETTERS_SIGNS = re.compile(rb"([A-Za-z]+)([!-&(-/:;=-@\[-`{-~]*)")
+#: Letters that normalising leaves alone and that have one lower-case form, and signs that no rule of a wordwise tokenizer reads.
+LETTERS = frozenset(c for c in map(chr, range(0x41, 0x180)) if c.isalpha() and c not in "ªµºİŉ" and len(c.lower()) == 1)
+SIGNS = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) not in "'<")
 
 
 def is_wordwise(config: dict) -> bool:
@@ -145,8 +164,44 @@ def is_wordwise(config: dict) -> bool:
     )
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte: printable ones for themselves, the others in order from U+0100."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(sorted({*range(256)} - {*plain}))}
+
+
+class Wordwise:
+    """Texts to bytes of ids. A new word's letters and signs go to the library's model apart, as its own split does, other words to the whole tokenizer."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.model, self.letter = tokenizer, tokenizer.model, byte_letters()
+        self.words, self.parts = Memo(self._word), Memo(self._part)
+
+    def _part(self, text: str) -> bytes:
+        if not text.isascii():
+            text = "".join(map(self.letter.__getitem__, text.encode()))
+        return array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
+
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode("utf-8")
+        letters = text.rstrip(SIGNS)
+        if letters.isalpha() if letters.isascii() else LETTERS.issuperset(letters):
+            ids = self.parts[letters.lower()]
+            return ids if len(letters) == len(text) else ids + self.parts[text[len(letters) :]]
+        if not letters:
+            return self.parts[text]
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def __call__(self, texts: list[bytes | None]) -> list[bytes]:
+        words = self.words
+        out = [b"".join(map(words.__getitem__, t.split())) if t else b"" for t in texts]
+        if len(words) + len(self.parts) > WORDS_KEPT:
+            words.clear(), self.parts.clear()
+        return out
+
+
 def encoder(path: str):
-    """(texts -> bytes of their ids, vocabulary size). A wordwise tokenizer's words are encoded by the library once and remembered; texts of other tokenizers are encoded whole."""
+    """(texts in UTF-8 -> bytes of their ids, vocabulary size). A wordwise tokenizer's words are encoded once and remembered; texts of other tokenizers are encoded whole."""
     if path not in _encoders:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -154,39 +209,23 @@ def encoder(path: str):
         tokenizer = Tokenizer.from_file(path)
         raw = lambda ids: np.array(ids, "<u4").tobytes()
         if is_wordwise(json.loads(tokenizer.to_str())):
-            model = tokenizer.model
-
-            def of(word: bytes) -> bytes:
-                if m := LETTERS_SIGNS.fullmatch(word):
-                    letters, signs = m.groups()
-                    if signs:
-                        return memo[letters] + memo[signs]
-                    return raw([t.id for t in model.tokenize(letters.decode().lower())])
-                return raw(tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids)
-
-            memo = Memo(of)
-
-            def encode(texts: list[str | None]) -> list[bytes]:
-                out = [b"".join(map(memo.__getitem__, t.encode("utf-8").split())) if t else b"" for t in texts]
-                memo.trim()
-                return out
+            encode = Wordwise(tokenizer)
         else:
 
-            def encode(texts: list[str | None]) -> list[bytes]:
-                return [raw(e.ids) for e in tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
+            def encode(texts: list[bytes | None]) -> list[bytes]:
+                return [raw(e.ids) for e in tokenizer.encode_batch_fast([(t or b"").decode("utf-8") for t in texts], add_special_tokens=False)]
 
         _encoders[path] = encode, tokenizer.get_vocab_size()
     return _encoders[path]
 
 
-def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None, text: str = "text", doc_id: str = "doc_id", end: int = END, shard: int = SHARD, part_chars: int = PART_CHARS) -> str:
+def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None, text: str = "text", doc_id: str = "doc_id", end: int = END, shard: int = SHARD) -> str:
     """Write the ids of all documents, each with the end id, in ascending order of doc_id (nulls first, then by a hash of the text); returns the path."""
     spark = docs.sparkSession
     prepare(spark)
     path = path or new_path(spark, "tokens")
-    chars = docs.agg(F.coalesce(F.sum(F.length(text)), F.lit(0))).first()[0]
     rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("_text"), F.xxhash64(docs[text]).alias("_tie"))
-    ordered = rows.repartitionByRange(max(8, -(-chars // part_chars)), "doc_id", "_tie").sortWithinPartitions("doc_id", "_tie").select("doc_id", "_text", F.spark_partition_id().alias("_part"))
+    ordered = rows.repartitionByRange("doc_id", "_tie").sortWithinPartitions("doc_id", "_tie").select("doc_id", "_text", F.spark_partition_id().alias("_part"))
     kind = docs.schema[doc_id].dataType
 
     def of(batches):
@@ -203,7 +242,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None, text:
         for b in batches:
             arrow = b["doc_id"].type
             part = b["_part"][0].as_py() if b.num_rows else part
-            for i, e in zip(b["doc_id"].to_pylist(), encode(b["_text"].to_pylist()), strict=True):
+            for i, e in zip(b["doc_id"].to_pylist(), encode(b["_text"].cast(pa.binary()).to_pylist()), strict=True):
                 held.append(e + mark), ids.append(i)
                 room += len(e) // 4 + 1
                 if room >= shard:
