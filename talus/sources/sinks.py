@@ -31,19 +31,23 @@ def append_personas(personas: DataFrame, path: str) -> str:
     return write_json_lines(personas, path, append=True)
 
 
-def write_document(row: DataFrame, path: str) -> str:
-    """One row as an indented JSON document, through Spark's file systems."""
-    spark = row.sparkSession
-    text = json.dumps(json.loads(row.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("j")).first()["j"]), ensure_ascii=False, indent=2)
+def write_json(spark: SparkSession, document: dict, path: str) -> str:
+    """An indented JSON document, through Spark's file systems."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     out = where.getFileSystem(spark._jsc.hadoopConfiguration()).create(where, True)
     try:
-        out.write(bytearray((text + "\n").encode("utf-8")))
+        out.write(bytearray((json.dumps(document, ensure_ascii=False, indent=2) + "\n").encode("utf-8")))
     finally:
         out.close()
     return path
 
 
+def write_document(row: DataFrame, path: str) -> str:
+    """One row as an indented JSON document."""
+    text = row.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("j")).first()["j"]
+    return write_json(row.sparkSession, json.loads(text), path)
+
+
 def write_prompt_log(prompts: DataFrame, path: str) -> str:
     """Prompts as text files under their user and chunk; a new log takes the old one's place."""
     logged = prompts.select(F.col("prompt").alias("value"), F.col("user_id").cast("string").alias("user"), F.col("chunk").cast("string").alias("part"))
