@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 #: Bytes that separate words; ``bytes.split()`` splits at exactly these.
 SPACES = r"\x20\x09-\x0D"
 WORD = f"[^{SPACES}]+"
-ARROW_ROWS, ARROW_BYTES = 1000, 16 << 20
+ARROW_ROWS, ARROW_BYTES = 1000, 4 << 20
 #: Entries that a per-worker memo holds before it starts afresh.
 MEMO = 400_000
 _own: dict[str, str] = {}
@@ -72,16 +72,16 @@ def doc_crc(doc_id: Column) -> Column:
 class Memo(dict):
     """word -> value of a function, forgotten when it gets large."""
 
-    def __init__(self, of):
+    def __init__(self, of, most: int = MEMO):
         super().__init__()
-        self.of = of
+        self.of, self.most = of, most
 
     def __missing__(self, word):
         value = self[word] = self.of(word)
         return value
 
     def trim(self) -> None:
-        if len(self) > MEMO:
+        if len(self) > self.most:
             self.clear()
 
 

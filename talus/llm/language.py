@@ -76,21 +76,24 @@ def features(text: str) -> np.ndarray:
     return np.bincount(at, (times / size)[of], DIM) / times.sum()
 
 
-def svm(x: np.ndarray, y: np.ndarray, decay: float = 1e-3, turns: int = 150) -> np.ndarray:
-    """Weights and, last, bias of a linear SVM with squared hinge, by accelerated gradient descent; y is -1 or 1, classes weigh the same."""
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
-    c = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(x.dtype)
-    v = np.ones(x.shape[1], x.dtype)
+def svm(x: np.ndarray, y: np.ndarray, decay: float = 1e-3, turns: int = 150) -> tuple[np.ndarray, float]:
+    """Weights and bias of a linear SVM with squared hinge, by accelerated gradient descent. y is -1 or 1, or 0 for rows that don't count; both classes weigh the same."""
+    c = (np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())) * (y != 0)).astype(x.dtype)
+    v, at = np.ones(x.shape[1], x.dtype), 1.0
     for _ in range(12):  # the largest curvature, by power iteration
-        v = x.T @ (c * (x @ v))
-        v /= max(1e-12, np.linalg.norm(v))
-    step = 1 / (2 * float((c * (x @ v) ** 2).sum()) * 1.1 + decay)
+        out = c * (x @ v + at)
+        v, at = x.T @ out, float(out.sum())
+        length = max(1e-12, float(np.sqrt((v**2).sum() + at**2)))
+        v, at = v / length, at / length
+    step = 1 / (2 * float((c * (x @ v + at) ** 2).sum()) * 1.1 + decay)
     w = ahead = np.zeros(x.shape[1], x.dtype)
+    bias = bias_ahead = 0.0
     for k in range(turns):
-        gap = np.maximum(0, 1 - y * (x @ ahead))
-        new = ahead - step * (decay * ahead - 2 * x.T @ (c * y * gap))
-        w, ahead = new, new + k / (k + 3) * (new - w)
-    return w
+        push = 2 * c * y * np.maximum(0, 1 - y * (x @ ahead + bias_ahead))
+        new, new_bias = ahead - step * (decay * ahead - x.T @ push), bias_ahead - step * (decay * bias_ahead - float(push.sum()))
+        far = k / (k + 3)
+        w, ahead, bias, bias_ahead = new, new + far * (new - w), new_bias, new_bias + far * (new_bias - bias)
+    return w, bias
 
 
 class Hierarchy:
@@ -100,15 +103,15 @@ class Hierarchy:
         self.langs = sorted(set(langs))
         self.families = sorted({family(c) for c in self.langs})
         own, fam = np.array(langs), np.array([family(c) for c in langs])
-        self.scale = 1 / (np.sqrt((x**2).mean(axis=0)) + 1e-4) if len(x) else np.ones(DIM)
-        x = (x * self.scale / np.sqrt(DIM)).astype(np.float32)
+        x = np.asarray(x, np.float32)
+        scale = 1 / (np.sqrt(np.einsum("ij,ij->j", x, x) / max(1, len(x))) + 1e-4) / np.sqrt(DIM)
+        x *= scale.astype(np.float32)  # the sample's only copy
         self.pairs = [(a, b) for f in self.families for a, b in combinations([c for c in self.langs if family(c) == f], 2)]
-        cols = [svm(x, np.where(fam == f, 1, -1).astype(np.float32)) if len(self.families) > 1 else np.zeros(DIM + 1) for f in self.families]
-        for a, b in self.pairs:
-            rows = (own == a) | (own == b)
-            cols.append(svm(x[rows], np.where(own[rows] == a, 1, -1).astype(np.float32)))
-        every = np.stack(cols, axis=1).astype(np.float64) if cols else np.zeros((DIM + 1, 0))
-        self.weights, self.bias = (every[:-1].T * self.scale / np.sqrt(DIM)).T, every[-1]
+        sides = [np.where(fam == f, 1, -1) if len(self.families) > 1 else np.zeros(len(x)) for f in self.families]
+        sides += [(own == a) * 1 - (own == b) * 1 for a, b in self.pairs]
+        fitted = [svm(x, y.astype(np.float32)) for y in sides]
+        self.weights = np.stack([w for w, _ in fitted], axis=1).astype(np.float64) * scale[:, None] if fitted else np.zeros((DIM, 0))
+        self.bias = np.array([b for _, b in fitted])
 
     def values(self, words: list[str]) -> np.ndarray:
         """Of words (letters only): what each adds to every column, bias aside."""
@@ -179,7 +182,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
 
     sample = rows.filter(drawn < F.coalesce(share[F.col("_lang")], F.lit(0.0))).mapInArrow(of, "_id string, _lang string, at binary, value binary")
     sample = sorted(sample.limit(4 * per_language * len(count)).collect(), key=lambda r: (r["_id"] or "", r["_lang"], bytes(r["at"]), bytes(r["value"])))
-    x = np.zeros((len(sample), DIM))
+    x = np.zeros((len(sample), DIM), np.float32)
     for row, r in zip(x, sample, strict=True):
         row[np.frombuffer(r["at"], np.uint16)] = np.frombuffer(r["value"], np.float32)
     return Hierarchy(x, [r["_lang"] for r in sample])
