@@ -31,11 +31,11 @@ def tell_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # ids are narrow: which ids stay is settled without texts, and each text is read once more, where its id stays
     found = simhash.near_duplicates(docs)
-    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = docs.join(stay.withColumnRenamed("doc_id", "_stay"), F.col("doc_id").eqNullSafe(F.col("_stay")), "left_semi")
-    again = kept.select(*COLUMNS).withColumn("_tie", F.xxhash64("text"))
-    one = Window.partitionBy("doc_id").orderBy("_tie", "text")
-    return again.withColumn("_n", F.row_number().over(one)).filter("_n = 1").select(*COLUMNS)
+    key = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit("")).alias("_k")
+    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key).distinct()
+    kept = docs.select(*COLUMNS, key).join(stay, "_k", "left_semi")
+    one = Window.partitionBy("_k").orderBy(F.xxhash64("text"), "text")  # the join's partitioning serves the window too
+    return kept.withColumn("_n", F.row_number().over(one)).filter("_n = 1").select(*COLUMNS)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
