@@ -6,16 +6,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # White space as text splitting sees it (29 code points), the mark of cut text and the null-like words.
-WHITE = r"[\t-\r\x1c-\x20\x85\xa0  -     　]+"
+_OTHER = r"\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+WHITE = rf"[ {_OTHER}]+"
 CUT_MARK = " ... [truncated]"
 CUT_ROOM = 15
 NULLISH = ("", "null", "none", "n/a", "na", "unknown", "unsupported", "not applicable")
 SECONDS_BELOW = 10_000_000_000
 
 
+#: Runs that aren't one plain space already: most spaces are, and stay untouched.
+_RUNS = rf"[{_OTHER}][ {_OTHER}]*| [ {_OTHER}]+"
+
+
 def collapse(x: Column) -> Column:
     """White space runs become one space, none at the ends; null becomes ''."""
-    return F.trim(F.regexp_replace(F.coalesce(x.cast("string"), F.lit("")), WHITE, " "))
+    return F.trim(F.regexp_replace(F.coalesce(x.cast("string"), F.lit("")), _RUNS, " "))
 
 
 def truncate(x: Column, most: int) -> Column:

@@ -25,11 +25,20 @@ def template_match(title: Column, text: Column, patterns: tuple[str, ...]) -> Co
     return F.when((both != "") & (F.length(both) <= TEMPLATE_CHARS), found)
 
 
+_CLEAN = ("title", "text", "product_title", "product_main", "product_url")
+
+
+def with_clean(items: DataFrame) -> DataFrame:
+    """items with cleaned texts as ``_c_`` columns: made once, in a step of their own, however often they are used."""
+    has = set(items.columns)
+    return items.withColumns({f"_c_{n}": _text(n, has) for n in _CLEAN})
+
+
 def content_key(items: DataFrame, spec: SourceSpec) -> list[Column]:
-    """What makes two rows of a user the same."""
+    """What makes two rows of a user the same; items with cleaned texts."""
     has = set(items.columns)
     plain = lambda n: F.coalesce(F.col(n).cast("string"), F.lit("")) if n in has else F.lit("")
-    low = lambda n: F.lower(_text(n, has))
+    low = lambda n: F.lower(F.col(f"_c_{n}"))
     return {
         "review": lambda: [plain("category"), plain("parent_id"), plain("product_id"), plain("ts_ms"), low("title"), low("text"), low("product_title")],
         "shop": lambda: [plain("category"), plain("rating"), plain("ts_ms"), low("text"), low("product_title"), low("product_url")],
@@ -44,23 +53,22 @@ def removal_reasons(items: DataFrame, spec: SourceSpec) -> DataFrame:
     Rows alike in content agree on every reason but ``duplicate``, so that one is settled last, by the first of the rows that
     no other reason removes: the result is that of trying reasons row by row.
     """
-    has = set(items.columns)
-    title, text = _text("title", has), _text("text", has)
+    has, items = set(items.columns), with_clean(items)
+    title, text, product, main = (F.col(f"_c_{n}") for n in ("title", "text", "product_title", "product_main"))
     reason = F.lit(None).cast("string")
     if spec.cascade in ("review", "shop"):
-        path = F.size(F.coalesce("product_path", F.array().cast("array<string>"))) == 0 if "product_path" in has else F.lit(True)
-        bare = (_text("product_title", has) == "") & (F.length(text) < spec.min_text)
+        bare = (product == "") & (F.length(text) < spec.min_text)
         if spec.cascade == "review":
-            bare = bare & (_text("product_main", has) == "") & path & (title == "")
+            path = F.size(F.coalesce("product_path", F.array().cast("array<string>"))) == 0 if "product_path" in has else F.lit(True)
+            bare = bare & (main == "") & path & (title == "")
         reason = F.when(F.col("ts_ms").isNull(), NO_TIME).when(~valid_rating(F.col("rating")), NO_RATING).when(bare, NO_EVIDENCE)
         if spec.filter_templates:
-            match = template_match(title, text, spec.templates)
-            reason = reason.when(match.isNotNull(), F.concat(F.lit(TEMPLATE), match))
+            reason = F.coalesce(reason, F.concat(F.lit(TEMPLATE), template_match(title, text, spec.templates)))
     elif spec.cascade == "qa":
         reason = F.when((title == "") & (text == ""), EMPTY_POST)
     elif spec.cascade == "forum":
         reason = F.when(F.col("ts_ms").isNull(), NO_TIME).when(F.length(text) < spec.min_text, NO_EVIDENCE)
-    keyed = items.withColumn("_reason", reason).withColumn("_same", F.sha2(F.concat_ws("\u0001", *content_key(items, spec)), 256))
+    keyed = items.select(*sorted(has, key=items.columns.index), reason.alias("_reason"), F.sha2(F.concat_ws("\u0001", *content_key(items, spec)), 256).alias("_same"))
     w = Window.partitionBy("user_id", "_same", F.col("_reason").isNull()).orderBy("source_index")
     repeated = F.when(F.col("_reason").isNull() & (F.row_number().over(w) > 1), DUPLICATE_POST if spec.cascade == "qa" else DUPLICATE)
     return keyed.withColumn("reason", F.coalesce("_reason", repeated)).drop("_reason", "_same")
@@ -128,7 +136,8 @@ def temporal_split(kept: DataFrame, spec: SourceSpec) -> DataFrame:
 
 def split_summary(split: DataFrame) -> DataFrame:
     """Per user: rows, rows with text and rated rows of either part, and the times at the cut."""
-    has_text, rated = collapse(F.col("text")) != "", valid_rating(F.col("rating")) if "rating" in split.columns else F.lit(False)
+    split = split.withColumn("_has", collapse(F.col("text")) != "")
+    has_text, rated = F.col("_has"), valid_rating(F.col("rating")) if "rating" in split.columns else F.lit(False)
     out = []
     for part in ("construction", "validation"):
         here = F.col("part") == part
@@ -140,8 +149,8 @@ def split_summary(split: DataFrame) -> DataFrame:
 
 def category_stats(kept: DataFrame) -> DataFrame:
     """Per user and category: rows, rows with text, bare ratings, characters, rated rows and the mean rating."""
-    title = collapse(F.col("title")) if "title" in kept.columns else F.lit("")
-    text, rated = collapse(F.col("text")), valid_rating(F.col("rating"))
+    kept = with_clean(kept)
+    title, text, rated = F.col("_c_title"), F.col("_c_text"), valid_rating(F.col("rating"))
     score = F.when(rated, F.col("rating").cast("double"))
     each = kept.groupBy("user_id", F.coalesce(F.nullif("category", F.lit("")), F.lit("Unknown")).alias("category"))
     return each.agg(F.count("*").alias("items"), F.count_if(text != "").alias("text_items"), F.count_if((text == "") & (title == "")).alias("rating_only"), F.sum(F.length(text)).alias("text_chars"), F.count(score).alias("rated"), F.round(F.avg(score), 3).alias("mean_rating"))

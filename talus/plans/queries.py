@@ -208,9 +208,9 @@ def metadata_left(spark, sf_dir):
     return history.with_metadata(table(spark, sf_dir, "lineitem"), meta, ["l_partkey"]).select("l_orderkey", "l_linenumber", "l_partkey", "p_name", "p_brand")
 
 
-@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_totalprice >= 400000)")
 def resume_anti(spark, sf_dir):
-    done = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("user_id"))
+    done = table(spark, sf_dir, "orders").filter("o_totalprice >= 400000").select(F.col("o_custkey").alias("user_id"))
     return history.not_done(table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "user_id"), done).select(F.col("user_id").alias("c_custkey"), "c_name")
 
 
