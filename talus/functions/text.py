@@ -6,21 +6,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # White space as text splitting sees it (29 code points), the mark of cut text and the null-like words.
-_OTHER = r"\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-WHITE = rf"[ {_OTHER}]+"
+_ASCII = r"\t\n\x0B\f\r\x1c\x1d\x1e\x1f "
+_OTHER = r"\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+WHITE = f"[{_ASCII}{_OTHER}]+"
 CUT_MARK = " ... [truncated]"
 CUT_ROOM = 15
 NULLISH = ("", "null", "none", "n/a", "na", "unknown", "unsupported", "not applicable")
 SECONDS_BELOW = 10_000_000_000
 
 
-#: Runs that aren't one plain space already: most spaces are, and stay untouched.
-_RUNS = rf"[{_OTHER}][ {_OTHER}]*| [ {_OTHER}]+"
-
-
 def collapse(x: Column) -> Column:
-    """White space runs become one space, none at the ends; null becomes ''."""
-    return F.trim(F.regexp_replace(F.coalesce(x.cast("string"), F.lit("")), _RUNS, " "))
+    """White space runs become one space, none at the ends; null becomes ''. Texts without the rarer kinds take the plainer pattern, which is several times faster."""
+    text = F.coalesce(x.cast("string"), F.lit(""))
+    plain = (F.octet_length(text) == F.length(text)) | ~text.rlike(r"[\x85\xa0\u1680-\u3000]")
+    return F.trim(F.when(plain, F.regexp_replace(text, f"[{_ASCII}]+", " ")).otherwise(F.regexp_replace(text, WHITE, " ")))
 
 
 def truncate(x: Column, most: int) -> Column:

@@ -44,6 +44,7 @@ def hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     events, docs = table(spark, sf_dir, "events"), table(spark, sf_dir, "documents")
     n = docs.agg(F.count("*").alias("n"))  # one row
     keyed = events.crossJoin(F.broadcast(n)).withColumn("k", F.col("event_id") % F.col("n")).withColumn("us", micros(events, "ts"))
+    keyed = keyed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "k")  # events are narrow; a join on k needs this anyway, and few input files shouldn't mean few tasks
     return keyed.join(docs, F.col("k") == F.col("doc_id")).select(
         F.col("event_id").alias("item_id"), "user_id", F.col("event_type").alias("category"), F.floor(F.col("us") / 1000).cast("long").alias("ts_ms"),
         F.when(F.col("event_id") % 13 == 0, F.lit(None)).otherwise(F.col("event_id") % 7).cast("double").alias("rating"), F.col("event_id").alias("source_index"), "text", F.col("source").alias("thread"),
