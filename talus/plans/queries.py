@@ -258,7 +258,7 @@ def top_counters(spark, sf_dir):
 
 @query(f"SELECT doc_id, md5({clean('text')}) AS clean_md5, length({clean('text')}) AS n FROM documents")
 def compact_text(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", fn.collapse(F.col("text")).alias("c")).select("doc_id", F.md5(F.col("c").cast("binary")).alias("clean_md5"), F.length("c").alias("n"))
+    return table(spark, sf_dir, "documents").select("doc_id", fn.collapse(F.col("text")).alias("c")).select("doc_id", F.md5(F.col("c").cast("binary")).alias("clean_md5"), F.length("c").cast("long").alias("n"))
 
 
 @query(f"SELECT doc_id, CASE WHEN length(c) > 220 THEN rtrim(left(c, 205)) || ' ... [truncated]' ELSE c END AS cut FROM (SELECT doc_id, {clean('text')} AS c FROM documents)")
@@ -330,7 +330,7 @@ f AS (SELECT *, sum(length(rendered) + 2) OVER (PARTITION BY user_id ORDER BY ba
 SELECT user_id, turn, length(rendered) AS n FROM f WHERE upto <= 600""")
 def suffix_fit(spark, sf_dir):
     shown = profile.newest(turns(spark, sf_dir), 0, [F.col("turn")]).withColumn("rendered", F.concat_ws(": ", "role", "text"))
-    return profile.suffix_fit(shown, 600).select("user_id", "turn", F.length("rendered").alias("n"))
+    return profile.suffix_fit(shown, 600).select("user_id", "turn", F.length("rendered").cast("long").alias("n"))
 
 
 @query(f"""WITH {HIST}, r AS (SELECT user_id, source_index, '[post ' || row_number() OVER (PARTITION BY user_id ORDER BY ts_ms, source_index) || ']' || chr(10) || 'timestamp: unknown' || chr(10) || 'thread_id: ' || thread || chr(10) || 'text: ' ||
