@@ -3,8 +3,9 @@
 Every window of ``window`` words has a fingerprint: the smallest hash among the ``gram``-word runs inside it. Equal
 windows have equal fingerprints, and neighbouring windows mostly share one, so a document adds about two entries per
 ``window - gram`` words to the index instead of one per word. The index is a list of immutable runs, each a Parquet table
-sorted by fingerprint that holds the number of places of each. A batch is merge-joined with the runs; windows whose
-fingerprint has a second place are verified by a 128-bit digest of their whole word sequence; compaction merges runs.
+sorted by fingerprint that holds the number of places of each. A batch is merge-joined with the runs written before it;
+windows whose fingerprint has a second place are verified by a 128-bit digest of their whole word sequence; compaction merges
+runs. An index that outlives a call keeps its texts too, so windows of later calls are verified against those of earlier ones.
 
 Rows whose text is null or has fewer words than a window keep all their words. A null text has no words. Repeated rows are
 documents of their own, so each is a copy of the other. Columns other than the text and those in ``keep`` are not read.
@@ -12,6 +13,8 @@ documents of their own, so each is a copy of the other. Columns other than the t
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -43,12 +46,16 @@ def digests(h: np.ndarray, window: int, at: np.ndarray) -> np.ndarray:
 
 
 class FingerprintIndex:
-    """Runs under ``path`` in the shared folder. ``append`` adds a batch as a run, ``compact`` merges all runs."""
+    """Runs under ``path`` in the shared folder. ``append`` adds a batch as a run, ``compact`` merges all runs.
+
+    ``remember`` keeps texts and their fingerprints' blocks; without them a run tells which fingerprints occur, but no window of it can be verified.
+    """
 
     def __init__(self, spark: SparkSession, path: str | None = None, window: int = WINDOW, gram: int = GRAM):
         if not 0 < gram <= window:
             raise ValueError("gram must be from 1 to window")
         self.spark, self.window, self.gram, self.path, self.runs, self.written = spark, window, gram, path or new_path(spark, "fingerprints"), [], 0
+        self.texts, self.spots, self.blocks = [], [], 0
 
     def _write(self, entries: DataFrame) -> str:
         path = f"{self.path}/run-{self.written:06d}"
@@ -61,9 +68,26 @@ class FingerprintIndex:
         none = self.spark.createDataFrame([], "m long, n long")
         return self.spark.read.schema("m long, n long").parquet(*self.runs) if self.runs else none
 
-    def append(self, batch: DataFrame) -> None:
-        """batch: m, n of new documents, as ``places`` gives them."""
+    def append(self, batch: DataFrame) -> DataFrame:
+        """batch: m, n of new documents, as ``places`` gives them. Returns its fingerprints (m) with a second place in it or one in the runs before it."""
+        before, schema = self.entries().select("m") if self.runs else None, "m long, n long"
         self.runs.append(self._write(batch.select("m", "n")))
+        run = self.spark.read.schema(schema).parquet(self.runs[-1])
+        inside = run.filter("n > 1").select("m")
+        return inside if before is None else inside.union(run.filter("n = 1").select("m").join(before.hint("merge"), "m", "left_semi"))
+
+    def remember(self, blocks: DataFrame, places: DataFrame, n: int) -> None:
+        """blocks: ``_block`` (0 to n - 1) and ``_text`` of documents that were appended. places: their m and block."""
+        at = len(self.texts)
+        moved = lambda c: (F.col(c) + self.blocks).cast("int").alias(c)
+        for kept, rows, kind in ((self.texts, blocks.select(moved("_block"), "_text"), "texts"), (self.spots, places.select("m", moved("block")), "spots")):
+            kept.append(f"{self.path}/{kind}-{at:06d}")
+            rows.write.option("compression", "zstd").parquet(kept[-1])
+        self.blocks += n
+
+    def remembered(self) -> tuple[DataFrame, DataFrame]:
+        """Blocks and places of all that was remembered so far."""
+        return self.spark.read.schema("_block int, _text string").parquet(*self.texts), self.spark.read.schema("m long, block int").parquet(*self.spots)
 
     def compact(self) -> None:
         """One run in place of all; the old runs' files stay for readers that have begun."""
@@ -138,12 +162,12 @@ def _buckets(rows: np.ndarray, n: int) -> np.ndarray:
 def dedup_substrings(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), window: int = WINDOW, gram: int = GRAM, batches: int = 2, index: FingerprintIndex | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The columns in keep, then n_words, n_removed and kept_text: the words that no window covers which starts anywhere else, joined by one space.
 
-    index: history to which docs are added as runs; without one, docs alone count. batches: runs that docs are appended as.
+    index: history to which docs are added: windows that start anywhere in it count as copies, and docs' runs and texts join it; without one, docs alone count. batches: runs that docs are appended as.
     An empty table gives an empty result. Memory: a block of about block_chars characters, or one longer text, for each task.
     """
     spark = docs.sparkSession
     prepare(spark)
-    index = index or FingerprintIndex(spark, window=window, gram=gram)
+    lasting, index = index is not None, index or FingerprintIndex(spark, window=window, gram=gram)
     window, gram = index.window, index.gram
     chars = docs.agg(F.coalesce(F.sum(F.length(text)), F.lit(0))).first()[0]
     n = max(8, -(-chars // block_chars))
@@ -153,10 +177,14 @@ def dedup_substrings(docs: DataFrame, text: str = "text", keep: tuple[str, ...]
     blocks = docs.select(*kept, docs[text].alias("_text"), F.pmod(key, F.lit(n)).cast("int").alias("_block"))
 
     places = staged(index.places(blocks), "places")
-    for i in range(batches):
-        index.append(places.filter(F.pmod("block", F.lit(batches)) == i))
+    history = index.remembered() if index.texts else None
+    repeated = reduce(DataFrame.union, [index.append(places.filter(F.pmod("block", F.lit(batches)) == i)) for i in range(batches)])
     index.compact()
-    shared = places.select("m", "block").join(index.repeated(), "m", "left_semi").groupBy("block").agg(F.collect_set("m").alias("ms"))
+    if lasting:
+        index.remember(blocks, places, n)
+        repeated = staged(repeated.distinct(), "repeated")
+    shares = lambda at: at.select("m", "block").join(repeated, "m", "left_semi").groupBy("block").agg(F.collect_set("m").alias("ms"))
+    shared = shares(places)
 
     def candidates(key, left, right):
         rows, count, _ = _ordered([f for _, _, f in _candidates(left["_text"].to_pylist(), _longs(right, "ms"), window, gram)])
@@ -199,11 +227,13 @@ def dedup_substrings(docs: DataFrame, text: str = "text", keep: tuple[str, ...]
             n_words.append(len(words)), n_removed.append(len(words) - len(kept_words)), texts.append(b" ".join(kept_words).decode("utf-8", "surrogatepass"))
         return pa.table([*[left[f"_keep{i}"] for i in range(len(keep))], pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(texts, pa.string())], names=[*keep, "n_words", "n_removed", "kept_text"])
 
-    marks = (
-        blocks.groupBy("_block").cogroup(shared.withColumnRenamed("block", "_block").groupBy("_block"))
-        .applyInArrow(candidates, "bucket int, block int, rows binary, count binary")
-        .groupBy("bucket").applyInArrow(verified, "block int, bucket int, bits binary")
-    )
+    def counted(blocks, shared):
+        return blocks.groupBy("_block").cogroup(shared.withColumnRenamed("block", "_block").groupBy("_block")).applyInArrow(candidates, "bucket int, block int, rows binary, count binary")
+
+    found = counted(blocks, shared)
+    if history:
+        found = found.union(counted(history[0], shares(history[1])).withColumn("block", F.lit(-1)))
+    marks = found.groupBy("bucket").applyInArrow(verified, "block int, bucket int, bits binary").filter("block >= 0")
     told = shared.select("block", F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("bits"), "ms").unionByName(marks.select("block", "bucket", "bits", F.lit(None).cast("array<long>").alias("ms")))
     out = T.StructType([*fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())])
     return blocks.groupBy("_block").cogroup(told.withColumnRenamed("block", "_block").groupBy("_block")).applyInArrow(removed, out)

@@ -60,6 +60,27 @@ def test_index_keeps_history_over_batches(spark):
         substring.FingerprintIndex(spark, window=3, gram=4)
 
 
+def test_later_call_meets_history(spark):
+    rng = random.Random(5)
+    passage, other, alone = (" ".join(f"{p}{rng.randrange(50)}" for _ in range(40)) for p in "pqa")
+    frame = lambda *texts: spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    calls = [(f"one {passage} x", "two", None), (f"three {other}", alone), (f"new {passage} end {other} {alone[:30]}", "two"), ("none", f"{alone} y")]
+    index, before = substring.FingerprintIndex(spark), []
+    for texts in calls:
+        found = substring.dedup_substrings(frame(*texts), index=index, block_chars=60)
+        told = kept([*before, *texts])[len(before) :]
+        assert sorted(map(tuple, found.collect())) == sorted((i, *k) for i, k in enumerate(told))
+        before += texts
+    assert told[1][1] == 40 and kept(calls[2])[0][1] == 0
+
+
+def test_batches_meet_runs_before_them(spark):
+    frame = lambda *rows: spark.createDataFrame(rows, "m long, block int, n long")
+    index = substring.FingerprintIndex(spark)
+    met = [sorted(r["m"] for r in index.append(b).collect()) for b in (frame((1, 0, 1), (2, 0, 2), (3, 0, 1)), frame((1, 1, 1), (4, 1, 1)), frame((4, 2, 1), (4, 3, 1), (3, 2, 1), (5, 2, 1)))]
+    assert met == [[2], [1], [3, 4]]
+
+
 def test_substring_empty_table(none):
     out = substring.dedup_substrings(none)
     assert out.columns == ["doc_id", "n_words", "n_removed", "kept_text"] and out.count() == 0
