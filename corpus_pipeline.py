@@ -4,8 +4,8 @@ Each stage takes what its predecessor kept and returns documents (doc_id, text,
 ids. Stages talk through Parquet only. Rules for odd rows:
 
 * language: rows whose language can't be told (null text, or no letter in it) go; all others stay as they are.
-* near: one row of each component stays, the one with the least doc_id, then the least text; rows with a null id are one
-  another's equals there.
+* near: one row of each component stays, the one with the least doc_id (null is last), then the least hash of its text. Rows
+  are told apart by id and text: ids may be null or shared.
 * repeats: words of repeated windows go; a document that keeps all its words keeps its text as it was, one that keeps none goes.
 * mix: a document is there as often as the mix takes it, up to three times; those it doesn't take go.
 * encode: ids of every row, and whether decoding gives the text again.
@@ -29,12 +29,13 @@ def tell_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # ids are narrow: which ids stay is settled without texts, and each text is read once more, where its id stays
-    found = simhash.near_duplicates(docs)
-    key = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit("")).alias("_k")
-    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key).distinct()
-    kept = docs.select(*COLUMNS, key).join(stay, "_k", "left_semi")
-    one = Window.partitionBy("_k").orderBy(F.xxhash64("text"), "text")  # the join's partitioning serves the window too
+    # keys are narrow: which rows stay is settled without texts, and each text is read once more, where its key stays
+    row = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"))
+    found = simhash.near_duplicates(docs.select("text", row.alias("_row")), doc_id="_row")
+    key = lambda doc_id, text: F.concat_ws(":", text, doc_id.cast("string")).alias("_k")
+    stay = found.filter("doc_id = component_id").select(key(F.col("doc_id.id"), F.col("doc_id.text"))).distinct()
+    kept = docs.select(*COLUMNS, key(F.col("doc_id"), F.xxhash64("text"))).join(stay, "_k", "left_semi")
+    one = Window.partitionBy("_k").orderBy("text")  # the join's partitioning serves the window too
     return kept.withColumn("_n", F.row_number().over(one)).filter("_n = 1").select(*COLUMNS)
 
 

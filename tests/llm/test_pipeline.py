@@ -1,5 +1,7 @@
 """The pipeline's stages against brute force, one after the other."""
 
+import random
+
 import public_tokenizers
 import sentencepiece
 
@@ -52,6 +54,17 @@ def test_stages_on_odd_rows(spark):
     assert sorted(map(repr, (r["ids"] for r in out))) == sorted(map(repr, (library.encode(r[1] or "") for r in rows(mixed))))
 
 
+def test_near_keeps_a_row_of_each_component(spark):
+    rng = random.Random(3)
+    text = lambda: " ".join(f"v{rng.randrange(10**6)}" for _ in range(40))
+    a, b, c, d, e, f = (text() for _ in range(6))
+    row = lambda i, t: (i, t, "en", "s", len(t))
+    docs = [row(None, a), row(None, b), row(None, b), row(7, c), row(7, d), row(None, e), row(9, e), row(8, e), row(5, f), row(5, f)]
+    near = dict(pipeline.STAGES)["near"](spark, spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long"), "")
+    told = [row(None, a), row(None, b), row(7, c), row(7, d), row(8, e), row(5, f)]
+    assert sorted(rows(near), key=repr) == sorted(told, key=repr)
+
+
 def test_stages_on_an_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     for name, stage in pipeline.STAGES:
