@@ -4,7 +4,7 @@ Each stage takes what its predecessor kept and returns documents (doc_id, text,
 ids. Stages talk through Parquet only. Rules for odd rows:
 
 * language: rows whose language can't be told (null text, or no letter in it) go; all others stay as they are.
-* near: one row of each component stays, the one with the least doc_id (null is last), then the least hash of its text. Rows
+* near: texts link where the Jaccard similarity of their five-word shingles is 0.8 or more. One row of each component stays, the one with the least doc_id (null is last), then the least hash of its text. Rows
   are told apart by id and text: ids may be null or shared.
 * repeats: words of repeated windows go; a document that keeps all its words keeps its text as it was, one that keeps none goes.
 * mix: a document is there as often as the mix takes it, up to three times; those it doesn't take go.
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from talus.llm import language, mixing, pieces, simhash, substring
+from talus.llm import jaccard, language, mixing, pieces, substring
 from talus.llm.common import staged
 from talus.llm.queries import PIECES, vocabulary
 
@@ -31,7 +31,7 @@ def tell_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # keys are narrow: which rows stay is settled without texts, and each text is read once more, where its key stays
     row = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"))
-    found = simhash.near_duplicates(docs.select("text", row.alias("_row")), doc_id="_row")
+    found = jaccard.near_copies(docs.select("text", row.alias("_row")), doc_id="_row")
     key = lambda doc_id, text: F.concat_ws(":", text, doc_id.cast("string")).alias("_k")
     stay = found.filter("doc_id = component_id").select(key(F.col("doc_id.id"), F.col("doc_id.text"))).distinct()
     kept = docs.select(*COLUMNS, key(F.col("doc_id"), F.xxhash64("text"))).join(stay, "_k", "left_semi")
@@ -63,7 +63,7 @@ STAGES = [
     ("mix", mix_sources),
     ("encode", encode),
 ]
-#: SimHash, windows and piece encoding have no SQL form; tests hold the stages against brute force.
+#: Near copies, windows and piece encoding have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

@@ -3,10 +3,11 @@
 import random
 
 import public_tokenizers
+import pytest
 import sentencepiece
 
 import corpus_pipeline as pipeline
-from talus.llm import queries
+from talus.llm import jaccard, queries
 from tests.llm.conftest import SCHEMA, rows_of
 from tests.llm.test_copies import classes, fingerprint, kept
 
@@ -65,6 +66,47 @@ def test_near_keeps_a_row_of_each_component(spark):
     assert sorted(rows(near), key=repr) == sorted(told, key=repr)
 
 
+def five(text):
+    w = text.lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+
+@pytest.mark.parametrize("small, tile", [(64, 1024), (4, 5)])
+def test_near_equals_brute_force_jaccard(spark, monkeypatch, small, tile):
+    monkeypatch.setattr(jaccard, "SMALL", small), monkeypatch.setattr(jaccard, "TILE", tile)
+    rng = random.Random(4)
+    words = lambda k: [f"v{rng.randrange(500)}" for _ in range(k)]
+    texts = [words(rng.choice([1, 3, 5, 40, 200])) for _ in range(20)] + [[]]
+    for _ in range(25):  # near copies of one text, chains of edits, and edits at all places of others
+        texts.append([rng.choice(["x", "y"]) if rng.random() < 0.01 else w for w in texts[3 if rng.random() < 0.5 else -1]])
+    for _ in range(80):
+        t = list(rng.choice(texts))
+        for _ in range(rng.randint(0, max(1, len(t) // 30))):
+            if t:
+                t[rng.randrange(len(t))] = words(1)[0]
+        texts.append(t)
+    texts = [" ".join(t) for t in texts]
+    sets, root = list(map(five, texts)), list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) and root[i] != root[j]:
+                a, b = sorted((root[i], root[j]))
+                root = [a if r == b else r for r in root]
+    found = jaccard.near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert 10 < len(set(root)) < len(root) - 40
+    assert sorted(map(tuple, found.collect())) == list(enumerate(root))
+
+
+def test_near_links_what_simhash_missed(spark):
+    rng = random.Random(6)
+    docs = []
+    for i in range(0, 60, 2):
+        t = [f"v{rng.randrange(10**6)}" for _ in range(100)]
+        docs += [(i, " ".join(t), "en", "s", 1), (i + 1, " ".join(t[:50] + ["other"] + t[50:]) + " two more", "en", "s", 1)]
+    near = dict(pipeline.STAGES)["near"](spark, spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long"), "")
+    assert sorted(r[0] for r in rows(near)) == list(range(0, 60, 2))
+
+
 def test_stages_on_an_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     for name, stage in pipeline.STAGES:
