@@ -2,8 +2,9 @@
 
 A word is the mean of hashed runs of one to four of its letters, lower-cased, with marks for its ends; a document is the mean of
 its words, so a linear model's value for a document is the mean of its values for the words, which workers remember. Family and
-pair models are linear SVMs (squared hinge) fitted in numpy on a bounded sample: at most ``per_language`` documents of each of
-the ``languages`` most common languages, on average, chosen by a hash of the id. Scoring reads whole texts.
+pair models are linear SVMs (squared hinge) fitted in numpy on a sample: at most ``per_language`` documents of each language, on
+average, chosen by a hash of the id. Every language is learned; beyond ``languages`` of them each gets fewer documents, so that
+the sample grows no further, but no fewer than ``FEWEST``. Scoring reads whole texts.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from talus.llm.common import MEMO, doc_crc, mix, prepare
 
 DIM, GRAMS = 4096, 4
 PER_LANGUAGE, LANGUAGES, FOLDS, HELD_OUT, SEED = 800, 64, 4, 2, "lang-1"
+#: Documents of a language that many languages leave it; by chance, none are drawn for one in e**20.
+FEWEST = 20
 UNKNOWN = "und"
 #: Families of language codes; a code that is not here is a family of its own.
 FAMILIES = {
@@ -168,9 +171,10 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
     """A model from documents with a language, a letter and an id outside the held-out fold."""
     prepare(docs.sparkSession)
     rows = docs.select(docs[doc_id].cast("string").alias("_id"), docs[lang].alias("_lang"), docs[text].alias("_text")).filter("_lang is not null and _text is not null").filter(doc_crc(F.col("_id")) % folds != held_out)
-    count = {r["_lang"]: r["n"] for r in rows.groupBy("_lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "_lang").limit(languages).collect()}
+    count = {r["_lang"]: r["n"] for r in rows.groupBy("_lang").agg(F.count("*").alias("n")).collect()}
     if not count:
         return Hierarchy(np.zeros((0, DIM)), [])
+    per_language = min(per_language, max(FEWEST, per_language * languages // len(count)))
     share = F.create_map(*[F.lit(x) for c, n in count.items() for x in (c, min(1.0, per_language / n))])
     drawn = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(SEED), "_id").cast("binary")), 1, 13), 16, 10).cast("double") / float(1 << 52)
 

@@ -68,6 +68,15 @@ def test_language_odd_rows(odd, none):
     assert {r["lang_pred"] for r in language.predict(odd, language.fit(none)).collect()} == {"und"}
 
 
+def test_more_languages_than_the_bound(spark):
+    codes = [f"q{c}" for c in "abcdef"]
+    rows = [(100 * i + k, f"{c}{c} {c}{k % 5}{c}r {c}l{c}", c) for i, c in enumerate(codes) for k in range(30 - 4 * i)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(df, languages=3)
+    assert model.langs == codes
+    assert all(r["lang_pred"] == r["lang"] for r in language.predict(df, model, keep=("lang",)).collect())
+
+
 def test_one_language_and_families(spark):
     df = spark.createDataFrame([(i, "some words here", "en") for i in range(20)], "doc_id long, text string, lang string")
     assert {r["lang_pred"] for r in language.predict(df, language.fit(df)).collect()} == {"en"}
