@@ -17,6 +17,7 @@ import re
 import struct
 import zlib
 from array import array
+from itertools import count as count_up
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,8 @@ from pyspark.sql import types as T
 from talus.llm.common import Memo, new_path, prepare
 
 MAGIC, HEAD = b"TRP1", struct.Struct("<IIQQ")
-END, ROUNDS, PAIRS, LEAST = 2, 4, 4096, 6
+#: Rounds of pair replacement: None goes on until no pair is left that occurs LEAST times.
+END, ROUNDS, PAIRS, LEAST = 2, None, 4096, 6
 WORDS_KEPT, BITS = 1_600_000, 20
 #: Ids of a shard; a task holds one shard at a time.
 SHARD = 1 << 20
@@ -49,13 +51,13 @@ def expanded(left: np.ndarray, right: np.ndarray, base: int) -> tuple[np.ndarray
     return symbols, np.bincount(owner, minlength=len(left))
 
 
-def repair(ids: np.ndarray, ends: np.ndarray, base: int, rounds: int = ROUNDS, pairs: int = PAIRS, least: int = LEAST):
+def repair(ids: np.ndarray, ends: np.ndarray, base: int, rounds: int | None = ROUNDS, pairs: int = PAIRS, least: int = LEAST):
     """Symbols, rules (a row of two symbols each) and the places of documents' first symbols. ids: below base. ends: last place of each document."""
     seq, rules = ids.astype(np.int64), [np.zeros((0, 2), np.int64)]
     last = np.zeros(len(seq), bool)
     last[ends] = True
     count = 0
-    for _ in range(rounds):
+    for _ in count_up() if rounds is None else range(rounds):
         if len(seq) < 2:
             break
         key = seq[:-1] << 32 | seq[1:]

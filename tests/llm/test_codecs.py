@@ -59,6 +59,15 @@ def test_grammar_compresses_and_detects_damage():
             tokens.Shard(bad)
 
 
+def test_rounds_go_on_until_no_pair_is_frequent():
+    passage = np.random.default_rng(2).integers(3, 9000, 2000)
+    ids, ends = np.tile(np.append(passage, 2), 40), np.arange(1, 41) * 2001 - 1
+    seq, rules, starts = tokens.repair(ids, ends, 10_000)
+    assert len(seq) == 40 and len(starts) == 40
+    data, n = tokens.pack([np.append(passage, 2).astype("<u4").tobytes()] * 40, 10_000)
+    assert n == len(ids) and (tokens.Shard(data).ids() == ids).all()
+
+
 def test_op9_equals_library(spark):
     library, start = Tokenizer.from_file(WORDS), 0
     found = {r["doc_id"]: r for r in queries.op9_token_files(spark, SMALL).collect()}
