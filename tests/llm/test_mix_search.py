@@ -41,7 +41,7 @@ def test_targets_and_closeness(odd):
         sizes[s] = sizes.get(s, 0) + r["size"]
         taken[s] = taken.get(s, 0) + r["taken"]
         most[s] = r["target"], r["source_size"]
-        if r["size"] and r["copies"] <= r["target"] // r["source_size"]:
+        if r["size"] and r["copies"] < 3:
             spare.setdefault(s, []).append(r["size"])
         assert 0 <= r["taken"] <= 3 * r["size"] and r["taken"] == r["copies"] * r["size"]
     told = targets(sizes)
@@ -61,14 +61,41 @@ def test_full_sources_get_whole_copies(spark):
     assert out[1]["taken"] == 6 and out[1]["target"] == 6.0 and out[3]["target"] == 0.0 and out[3]["taken"] == 0
 
 
-def test_weights_shift_inclusion(spark):
-    df = spark.createDataFrame([(i, "a " * 10, "s" if i % 2 else "t", 5.0 if i % 4 < 2 else 1.0) for i in range(2000)], "doc_id long, text string, source string, w double")
+def expected(rows, target, repeats=3):
+    """Mean copies by weight, by bisection. rows: size and weight."""
+    low, high = 0.0, 1e6
+    for _ in range(200):
+        level = (low + high) / 2
+        low, high = (level, high) if sum(n * min(repeats, level * w) for n, w in rows) < target else (low, level)
+    return {w: min(repeats, high * w) for _, w in rows}
+
+
+def test_inclusion_rates_are_the_fractions(spark):
+    rng = random.Random(2)
+    size = lambda: rng.choice([3, 9, 20, 40, 70, 150])
+    df = spark.createDataFrame([(i, "a " * size(), "s" if i % 3 else "t") for i in range(12_000)], "doc_id long, text string, source string")
+    out = mixing.mix(df, keep=("source",)).collect()
+    for s in "st":
+        own = [r for r in out if r["source"] == s]
+        told = expected([(r["size"], r["size"].bit_length()) for r in own], own[0]["target"])
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 3
+        for w, times in told.items():
+            copies = np.array([r["copies"] for r in own if r["size"].bit_length() == w])
+            assert set(copies.tolist()) <= {int(times + 1e-9), int(times + 1e-9) + 1}
+            assert abs(copies.mean() - times) < 5 * 0.5 / len(copies) ** 0.5
+        assert len({round(x, 6) for x in told.values()}) > 3
+
+
+def test_weight_column(spark):
+    df = spark.createDataFrame([(i, "a " * 10, "s" if i % 2 else "t", 4.0 if i % 4 < 2 else 1.0) for i in range(4000)], "doc_id long, text string, source string, w double")
     out = mixing.mix(df, weight="w", keep=("w",)).collect()
-    mean = lambda w, s: np.mean([r["copies"] for r in out if r["w"] == w and r["doc_id"] % 2 == s])
-    assert all(mean(5.0, s) > 1.3 * mean(1.0, s) or mean(1.0, s) >= 1 for s in (0, 1))
     for s in (0, 1):
         own = [r for r in out if r["doc_id"] % 2 == s]
+        told = expected([(10, r["w"]) for r in own], own[0]["target"])
         assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 10
+        assert all(abs(np.mean([r["copies"] for r in own if r["w"] == w]) - times) < 0.06 for w, times in told.items())
+    with pytest.raises(ValueError):
+        mixing.mix(df.withColumn("size", F.lit(1)), keep=("size",))
 
 
 def test_mixing_empty_table(none):
