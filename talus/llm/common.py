@@ -6,6 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import weakref
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -17,17 +20,21 @@ from pyspark.sql import functions as F
 SPACES = r"\x20\x09-\x0D"
 WORD = f"[^{SPACES}]+"
 ARROW_ROWS, ARROW_BYTES = 1000, 4 << 20
-#: Entries that a per-worker memo holds before it starts afresh.
-MEMO = 400_000
+#: Bytes of a memo's young generation, and what an entry weighs beside its key and value, as estimated.
+MEMO_BYTES, ENTRY_BYTES = 24 << 20, 200
 _own: dict[str, str] = {}
 _shipped: set[str] = set()
+_tidied: set[str] = set()
+_scratch: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or in its absence one folder of this application."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only where driver and executors are one process may it be unset."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = tempfile.mkdtemp(prefix="talus-")
@@ -35,17 +42,49 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{_own[app]}"
 
 
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/talus/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+def _hadoop(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
-def staged(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
-    """df, written to the shared folder and read again: lineage ends there, and no lost executor takes it along."""
-    path = new_path(df.sparkSession, name)
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path below the shared folder that the application's end removes, and the end of ``scratch`` if it is made inside."""
+    app = spark.sparkContext.applicationId
+    top = f"{shared_dir(spark)}/talus/{app}"
+    if top not in _tidied:
+        fs, where = _hadoop(spark, top)
+        fs.deleteOnExit(where)
+        _tidied.add(top)
+    path = f"{top}/{name}-{uuid.uuid4().hex[:12]}"
+    for made in _scratch[-1:]:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are removed at the end, so what is made of them has to be written elsewhere before."""
+    _scratch.append(made := [])
+    try:
+        yield
+    finally:
+        _scratch.remove(made)
+        for path in made:
+            fs, where = _hadoop(spark, path)
+            fs.delete(where, True)
+
+
+def written(df: DataFrame, path: str, codec: str = "zstd") -> DataFrame:
+    """df, written and read again: lineage ends there, and no lost executor takes it along."""
     df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def staged(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+    """df, written to the shared folder and read again."""
+    return written(df, new_path(df.sparkSession, name), codec)
+
+
 def prepare(spark: SparkSession) -> None:
     """Batches for Python hold few enough rows that very long texts fit a worker; workers get this package by Spark's file server."""
     app = spark.sparkContext.applicationId
@@ -70,31 +109,66 @@ def doc_crc(doc_id: Column) -> Column:
 
 
 class Memo(dict):
-    """word -> value of a function, forgotten when it gets large."""
+    """key -> value of a function, in two generations.
 
-    def __init__(self, of, most: int = MEMO):
-        super().__init__()
-        self.of, self.most = of, most
+    A young one that weighs ``most`` bytes becomes the old one, and what was old is forgotten; keys that are asked for again come
+    back from it. ``learn`` gets many keys at once, where a function of many is faster. Values are never None.
+    """
+
+    _every: list[weakref.ref] = []
 
-    def __missing__(self, word):
-        value = self[word] = self.of(word)
+    def __init__(self, of: Callable, most: int = MEMO_BYTES, of_many: Callable[[list], Iterable] | None = None):
+        super().__init__()
+        self.of, self.of_many, self.most, self.bytes, self.old = of, of_many or (lambda keys: map(of, keys)), most, 0, {}
+        Memo._every.append(weakref.ref(self))
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.of(key)
+        self._put(key, value)
         return value
 
-    def trim(self) -> None:
-        if len(self) > self.most:
+    def _put(self, key, value) -> None:
+        if self.bytes > self.most:
+            self.old = self.copy()
             self.clear()
-
-
-def hash_memo(seed: int = 0) -> Memo:
-    return Memo(lambda w: xxhash.xxh64_intdigest(w, seed))
+            self.bytes = 0
+        self[key] = value
+        self.bytes += ENTRY_BYTES + (len(key) if isinstance(key, (str, bytes)) else 0) + (len(value) if isinstance(value, bytes) else 0)
+
+    def learn(self, keys: Iterable) -> None:
+        """Afterwards most keys are known, all where they weigh less than a generation."""
+        new = []
+        for key in keys:
+            if key not in self:
+                if (value := self.old.get(key)) is None:
+                    new.append(key)
+                else:
+                    self._put(key, value)
+        for key, value in zip(new, self.of_many(new) if new else (), strict=True):
+            self._put(key, value)
+
+    def forget(self) -> None:
+        self.clear()
+        self.old, self.bytes = {}, 0
+
+    @classmethod
+    def only(cls, *own: Memo) -> None:
+        """Forgets all memos of this worker but the given ones: what an earlier stage left isn't carried along."""
+        cls._every = [r for r in cls._every if r() is not None]
+        for memo in (r() for r in cls._every):
+            if memo is not None and not any(memo is x for x in own):
+                memo.forget()
 
 
 def split_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
-def hashed(words: list[bytes], memo: Memo) -> np.ndarray:
-    return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+def hashed(words: list[bytes]) -> np.ndarray:
+    """A hash of each word; remembering them would take more memory than it saves time."""
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -115,7 +189,8 @@ class Rolling:
             return np.zeros(0, np.uint64)
         if len(self.up) < n + 1:
             room = max(n + 1, 1 << 15)
-            self.up, self.down = (np.concatenate([[np.uint64(1)], np.cumprod(np.full(room, b, np.uint64))]) for b in (np.uint64(self.base), np.uint64(pow(self.base, -1, 1 << 64))))
+            powers = lambda b: np.concatenate([[np.uint64(1)], np.cumprod(np.full(room, b, np.uint64))])
+            self.up, self.down = powers(np.uint64(self.base)), powers(np.uint64(pow(self.base, -1, 1 << 64)))
         total = np.zeros(n + 1, np.uint64)
         np.cumsum(h * self.up[:n], out=total[1:])
         return mix((total[k:] - total[:-k]) * self.down[: n - k + 1])

@@ -18,10 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from talus.llm.common import MEMO, doc_crc, mix, prepare
+from talus.llm.common import ENTRY_BYTES, Memo, doc_crc, mix, prepare
 
 DIM, GRAMS = 4096, 4
-PER_LANGUAGE, LANGUAGES, FOLDS, HELD_OUT, SEED = 800, 64, 4, 2, "lang-1"
+PER_LANGUAGE, LANGUAGES, FOLDS, HELD_OUT, SEED = 800, 16, 4, 2, "lang-1"
+#: Letters-only words whose values a worker holds in a generation, in bytes.
+VALUE_BYTES = 16 << 20
 #: Documents of a language that many languages leave it; by chance, none are drawn for one in e**20.
 FEWEST = 20
 UNKNOWN = "und"
@@ -143,23 +145,24 @@ class Hierarchy:
 
 
 class WordValues:
-    """A worker's memory of words' values; words with the same letters share theirs, words without letters have none."""
+    """A worker's memory of words' values, in two generations; words with the same letters share theirs, words without letters have none."""
 
     def __init__(self, model: Hierarchy):
         self.model = model
-        self.forget()
-
-    def forget(self) -> None:
-        self.place, self.rows = {"": 0}, np.zeros((1, len(self.model.bias)))
+        self.place, self.rows, self.old = {"": 0}, np.zeros((1, len(model.bias))), ({}, None)
 
     def learn(self, words: set[str]) -> None:
-        if len(self.place) > MEMO:
-            self.forget()
-        place = self.place
+        """Afterwards these words are known."""
+        if ENTRY_BYTES * len(self.place) + self.rows.nbytes > VALUE_BYTES:
+            self.old, self.place, self.rows = (self.place, self.rows), {"": 0}, np.zeros((1, len(self.model.bias)))
+        place, (before, values) = self.place, self.old
         new = {w: letters_of(w) for w in words if w not in place}
-        if fresh := list({x for x in new.values() if x not in place}):
-            place.update(zip(fresh, range(len(self.rows), len(self.rows) + len(fresh)), strict=True))
-            self.rows = np.concatenate([self.rows, self.model.values(fresh)])
+        fresh = {x for x in new.values() if x not in place}
+        kept = [x for x in fresh if x in before]
+        fresh = [x for x in fresh if x not in before]
+        place.update(zip([*kept, *fresh], range(len(self.rows), len(self.rows) + len(kept) + len(fresh)), strict=True))
+        more = ([values[[before[x] for x in kept]]] if kept else []) + ([self.model.values(fresh)] if fresh else [])
+        self.rows = np.concatenate([self.rows, *more])
         place.update((w, place[x]) for w, x in new.items())
 
     def mean(self, words: list[str]) -> np.ndarray:
@@ -167,25 +170,40 @@ class WordValues:
         return self.rows[at].sum(axis=0) / max(1, np.count_nonzero(at))
 
 
-def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", per_language: int = PER_LANGUAGE, languages: int = LANGUAGES, folds: int = FOLDS, held_out: int = HELD_OUT) -> Hierarchy:
-    """A model from documents with a language, a letter and an id outside the held-out fold."""
+def fit(
+    docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
+    per_language: int = PER_LANGUAGE, languages: int = LANGUAGES, folds: int = FOLDS, held_out: int = HELD_OUT,
+) -> Hierarchy:
+    """A model from documents with a language, a letter and an id outside the held-out fold.
+
+    The sample's rows are drawn by hashes of id and text; the driver holds them as one matrix of DIM single-precision numbers a
+    row, 200 MB for up to ``languages`` languages, and beyond them 0.3 MB for each language that FEWEST documents stand for.
+    """
     prepare(docs.sparkSession)
-    rows = docs.select(docs[doc_id].cast("string").alias("_id"), docs[lang].alias("_lang"), docs[text].alias("_text")).filter("_lang is not null and _text is not null").filter(doc_crc(F.col("_id")) % folds != held_out)
+    rows = docs.select(docs[doc_id].cast("string").alias("_id"), docs[lang].alias("_lang"), docs[text].alias("_text"))
+    rows = rows.filter("_lang is not null and _text is not null").filter(doc_crc(F.col("_id")) % folds != held_out)
     count = {r["_lang"]: r["n"] for r in rows.groupBy("_lang").agg(F.count("*").alias("n")).collect()}
     if not count:
         return Hierarchy(np.zeros((0, DIM)), [])
     per_language = min(per_language, max(FEWEST, per_language * languages // len(count)))
     share = F.create_map(*[F.lit(x) for c, n in count.items() for x in (c, min(1.0, per_language / n))])
-    drawn = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(SEED), "_id").cast("binary")), 1, 13), 16, 10).cast("double") / float(1 << 52)
+    drawn = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(SEED), "_id", F.xxhash64("_text")).cast("binary")), 1, 13), 16, 10).cast("double") / float(1 << 52)
 
     def of(batches):
         for b in batches:
-            found = [(i, c, features(t)) for i, c, t in zip(b["_id"].to_pylist(), b["_lang"].to_pylist(), b["_text"].to_pylist(), strict=True) if has_letter(t)]
-            at = [np.flatnonzero(x) for *_, x in found]
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.string()), pa.array([a.astype(np.uint16).tobytes() for a in at], pa.binary()), pa.array([x[a].astype(np.float32).tobytes() for a, (*_, x) in zip(at, found, strict=True)], pa.binary())], names=["_id", "_lang", "at", "value"])
-
-    sample = rows.filter(drawn < F.coalesce(share[F.col("_lang")], F.lit(0.0))).mapInArrow(of, "_id string, _lang string, at binary, value binary")
-    sample = sorted(sample.limit(4 * per_language * len(count)).collect(), key=lambda r: (r["_id"] or "", r["_lang"], bytes(r["at"]), bytes(r["value"])))
+            texts = b["_text"].to_pylist()
+            known = [i for i, t in enumerate(texts) if has_letter(t)]
+            values = [features(texts[i]) for i in known]
+            at = [np.flatnonzero(x) for x in values]
+            own = b.take(pa.array(known, pa.int64()))
+            cols = [pa.array([a.astype(np.uint16).tobytes() for a in at], pa.binary()), pa.array([x[a].astype(np.float32).tobytes() for a, x in zip(at, values, strict=True)], pa.binary())]
+            yield pa.RecordBatch.from_arrays([own["_draw"], own["_id"], own["_lang"], *cols], names=["_draw", "_id", "_lang", "at", "value"])
+
+    drawn_rows = rows.withColumn("_draw", drawn).filter(F.col("_draw") < F.coalesce(share[F.col("_lang")], F.lit(0.0)))
+    sample = drawn_rows.mapInArrow(of, "_draw double, _id string, _lang string, at binary, value binary")
+    # the limit matters only where rows repeat in id and text; it takes the same rows in every run
+    sample = sample.orderBy("_draw", "_id", "_lang").limit(2 * per_language * len(count)).collect()
+    sample = sorted(sample, key=lambda r: (r["_id"] or "", r["_lang"], bytes(r["at"]), bytes(r["value"])))
     x = np.zeros((len(sample), DIM), np.float32)
     for row, r in zip(x, sample, strict=True):
         row[np.frombuffer(r["at"], np.uint16)] = np.frombuffer(r["value"], np.float32)
@@ -199,8 +217,11 @@ def predict(docs: DataFrame, model: Hierarchy, text: str = "text", keep: tuple[s
     empty table gives an empty result.
     """
     prepare(docs.sparkSession)
+    if clash := {"lang_pred", "score"} & set(keep):
+        raise ValueError(f"keep names columns of the result: {sorted(clash)}")
 
     def of(batches):
+        Memo.only()
         known = WordValues(model)
         for b in batches:
             langs, scores = [], []
@@ -209,7 +230,9 @@ def predict(docs: DataFrame, model: Hierarchy, text: str = "text", keep: tuple[s
             for words in texts:
                 one, sure = model.predict(known.mean(words) + model.bias) if words else (UNKNOWN, 0.0)
                 langs.append(one), scores.append(sure)
-            yield pa.RecordBatch.from_arrays([*[b[f"_keep{i}"] for i in range(len(keep))], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*keep, "lang_pred", "score"])
+            cols = [*[b[f"_keep{i}"] for i in range(len(keep))], pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
+            yield pa.RecordBatch.from_arrays(cols, names=[*keep, "lang_pred", "score"])
 
-    schema = T.StructType([*[T.StructField(c, docs.schema[c].dataType) for c in keep], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    fields = [T.StructField(c, docs.schema[c].dataType) for c in keep]
+    schema = T.StructType([*fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     return docs.select(*[docs[c].alias(f"_keep{i}") for i, c in enumerate(keep)], docs[text].alias("_text")).mapInArrow(of, schema)

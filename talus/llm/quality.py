@@ -31,7 +31,7 @@ def shape(word: bytes) -> int:
     return (xxhash.xxh64_intdigest(word) & 0xFFFFFFFFFFFF) << 8 | xxhash.xxh32_intdigest(runs[:24].encode()) % SHAPES
 
 
-_shapes = Memo(shape)
+_shapes = Memo(shape, 48 << 20)
 
 
 def passages(text: str | None) -> np.ndarray:
@@ -138,14 +138,14 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
     def of(batches):
         for b in batches:
             bags = [passages(t) for t in b["_text"].to_pylist()]
-            _shapes.trim()
             yield pa.RecordBatch.from_arrays([b["_id"], b["_y"], pa.array([x.tobytes() for x in bags], pa.binary())], names=["_id", "_y", "bag"])
 
     ids = T.StructField("_id", docs.schema[doc_id].dataType)
     # the sample has at most ``sample`` rows of an id and a number, so it is small enough to broadcast
     joined = docs.select(docs[doc_id].alias("_id"), docs[text].alias("_text")).join(F.broadcast(few), "_id").select("_id", "_y", "_text")
     rows = joined.mapInArrow(of, T.StructType([ids, T.StructField("_y", T.DoubleType()), T.StructField("bag", T.BinaryType())]))
-    rows = sorted(rows.limit(2 * sample).collect(), key=lambda r: (str(r["_id"]), r["_y"], bytes(r["bag"])))
+    # documents that share an id could be more than the sample; of those the least by bag are taken, whatever the order of tasks
+    rows = sorted(rows.orderBy("_id", "_y", F.xxhash64("bag"), "bag").limit(2 * sample).collect(), key=lambda r: (str(r["_id"]), r["_y"], bytes(r["bag"])))
     y = np.array([r["_y"] >= 0.5 for r in rows], np.float32)
     if len(set(y.tolist())) < 2:
         return Constant(float((y.sum() + 1) / (len(y) + 2)))
@@ -164,9 +164,9 @@ def score(docs: DataFrame, model, text: str = "text", doc_id: str = "doc_id", fo
     prepare(docs.sparkSession)
 
     def of(batches):
+        Memo.only(_shapes)
         for b in batches:
             found = model.score(b["_text"].to_pylist())
-            _shapes.trim()
             yield pa.RecordBatch.from_arrays([b["doc_id"], b["held_out"], pa.array(found, pa.float64())], names=["doc_id", "held_out", "score"])
 
     schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), T.StructField("held_out", T.BooleanType()), T.StructField("score", T.DoubleType())])

@@ -21,12 +21,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from talus.llm.common import Rolling, hash_memo, hashed, mix, new_path, prepare, sliding, split_words, staged
+from talus.llm.common import Memo, Rolling, hashed, mix, new_path, prepare, sliding, split_words, staged
 
 WINDOW, GRAM = 35, 8
 #: Characters of text in a block, the unit that one Python call holds.
 BLOCK_CHARS = 4 << 20
-_roll, _roll2, _words = Rolling(0x9E3779B97F4A7C15), Rolling(0xD6E8FEB86659FD93), hash_memo(7)
+_roll, _roll2 = Rolling(0x9E3779B97F4A7C15), Rolling(0xD6E8FEB86659FD93)
 
 
 def fingerprints(h: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
@@ -106,16 +106,17 @@ class FingerprintIndex:
         window, gram = self.window, self.gram
 
         def of(batches):
+            Memo.only()
             for b in batches:
                 ms, ns, at = [], [], []
                 for block, text in zip(b["_block"].to_numpy(), b["_text"].to_pylist(), strict=True):
-                    _, chosen = fingerprints(hashed(split_words(text), _words), window, gram)
+                    _, chosen = fingerprints(hashed(split_words(text)), window, gram)
                     if len(chosen):
                         m, n = np.unique(chosen, return_counts=True)
                         ms.append(m.view(np.int64)), ns.append(n), at.append(np.full(len(m), block))
-                _words.trim()
                 if ms:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ms)), pa.array(np.concatenate(at).astype(np.int32)), pa.array(np.concatenate(ns).astype(np.int64))], names=["m", "block", "n"])
+                    cols = [pa.array(np.concatenate(ms)), pa.array(np.concatenate(at).astype(np.int32)), pa.array(np.concatenate(ns).astype(np.int64))]
+                    yield pa.RecordBatch.from_arrays(cols, names=["m", "block", "n"])
 
         return blocks.select("_block", "_text").mapInArrow(of, "m long, block int, n long")
 
@@ -127,13 +128,12 @@ def _candidates(texts: list, repeated: np.ndarray, window: int, gram: int):
         words = split_words(text)
         starts, found = np.zeros(0, np.int64), np.zeros((0, 2), np.uint64)
         if len(words) >= window and len(repeated):
-            low, _ = fingerprints(h := hashed(words, _words), window, gram)
+            low, _ = fingerprints(h := hashed(words), window, gram)
             at = np.minimum(np.searchsorted(repeated, low), len(repeated) - 1)
             starts = np.flatnonzero(repeated[at] == low)
             if len(starts):
                 found = digests(h, window, starts)
         yield words, starts, found
-    _words.trim()
 
 
 def _ordered(found: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -159,7 +159,10 @@ def _buckets(rows: np.ndarray, n: int) -> np.ndarray:
     return ((rows[:, 0] >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
 
 
-def dedup_substrings(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), window: int = WINDOW, gram: int = GRAM, batches: int = 2, index: FingerprintIndex | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def dedup_substrings(
+    docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), window: int = WINDOW, gram: int = GRAM, batches: int = 2,
+    index: FingerprintIndex | None = None, block_chars: int = BLOCK_CHARS,
+) -> DataFrame:
     """The columns in keep, then n_words, n_removed and kept_text: the words that no window covers which starts anywhere else, joined by one space.
 
     index: history to which docs are added: windows that start anywhere in it count as copies, and docs' runs and texts join it; without one, docs alone count. batches: runs that docs are appended as.

@@ -4,9 +4,10 @@ Documents are dealt by ranges of doc_id, tokenized, and stored shard by shard in
 frequent pairs of neighbouring ids by nonterminals, round after round; it stores the rules, their expansion lengths and where
 each document's symbols begin, so one document is decoded without the others. No rule reaches over a document's end.
 
-A shard's bytes: magic, crc32 of what follows, then counts (first nonterminal, rules, symbols, documents) and the arrays, all
-little-endian: left and right of each rule, its expansion length, the symbols (uint32 each), first symbol of each document
-(uint64), first id of each document (uint64).
+A shard's bytes: magic, crc32 of what follows, then counts (first nonterminal, rules, symbols, documents), the widths in bits of
+symbols, lengths and places, and the arrays: left and right of each rule, its expansion length, the symbols, first symbol of each
+document, first id of each document. An array holds its numbers' low bits as whole 16-bit and 8-bit words, little-endian, and each
+of the bits that are left as a row of bits.
 """
 
 from __future__ import annotations
@@ -27,10 +28,11 @@ from pyspark.sql import types as T
 
 from talus.llm.common import Memo, new_path, prepare
 
-MAGIC, HEAD = b"TRP1", struct.Struct("<IIQQ")
+MAGIC, HEAD = b"TRP2", struct.Struct("<IIQQBBB")
 #: Rounds of pair replacement: None goes on until no pair is left that occurs LEAST times.
-END, ROUNDS, PAIRS, LEAST = 2, None, 4096, 6
-WORDS_KEPT, BITS = 1_600_000, 20
+END, ROUNDS, PAIRS, LEAST = 2, None, 65_536, 6
+#: Bytes of a generation of remembered words, and of parts of words.
+WORD_BYTES, PART_BYTES, BITS = 96 << 20, 48 << 20, 20
 #: Ids of a shard; a task holds one shard at a time.
 SHARD = 1 << 20
 
@@ -98,13 +100,40 @@ def repair(ids: np.ndarray, ends: np.ndarray, base: int, rounds: int | None = RO
     return seq, np.concatenate(rules), starts
 
 
+def packed(x: np.ndarray, width: int) -> bytes:
+    """Numbers of so many bits."""
+    x, out, at = x.astype(np.uint64), [], 0
+    for kind, bits in (("<u2", 16), ("<u1", 8)):
+        while width - at >= bits:
+            out.append((x >> np.uint64(at)).astype(kind).tobytes())  # the cast cuts off what is above
+            at += bits
+    out += [np.packbits((x >> np.uint64(bit) & np.uint64(1)).astype(np.uint8)).tobytes() for bit in range(at, width)]
+    return b"".join(out)
+
+
+def unpacked(data: bytes, n: int, width: int, place: int) -> tuple[np.ndarray, int]:
+    """n numbers of so many bits from a place on, and the place behind them."""
+    x, at = np.zeros(n, np.int64), 0
+    for kind, bits in (("<u2", 16), ("<u1", 8)):
+        while width - at >= bits:
+            x |= np.frombuffer(data, kind, n, place).astype(np.int64) << at
+            at, place = at + bits, place + n * bits // 8
+    for bit in range(at, width):
+        row = np.frombuffer(data, np.uint8, -(-n // 8), place)
+        x |= np.unpackbits(row, count=n).astype(np.int64) << bit
+        place += len(row)
+    return x, place
+
+
 def pack(docs: list[bytes], base: int, **how) -> tuple[bytes, int]:
     """A shard's bytes from documents' ids (uint32, each ending in an end id), and how many ids it holds."""
     ids = np.frombuffer(b"".join(docs), "<u4")
     bounds = np.cumsum([0, *(len(d) // 4 for d in docs)])
     seq, rules, starts = repair(ids, bounds[1:] - 1, base, **how)
     _, length = expanded(rules[:, 0], rules[:, 1], base)
-    body = HEAD.pack(base, len(rules), len(seq), len(docs)) + b"".join((rules[:, 0].astype("<u4").tobytes(), rules[:, 1].astype("<u4").tobytes(), length.astype("<u4").tobytes(), seq.astype("<u4").tobytes(), starts.astype("<u8").tobytes(), bounds[:-1].astype("<u8").tobytes()))
+    width = [int(x).bit_length() for x in (base + len(rules), length.max(initial=0), len(ids))]
+    arrays = [(rules[:, 0], 0), (rules[:, 1], 0), (length, 1), (seq, 0), (starts, 2), (bounds[:-1], 2)]
+    body = HEAD.pack(base, len(rules), len(seq), len(docs), *width) + b"".join(packed(x, width[w]) for x, w in arrays)
     return MAGIC + struct.pack("<I", zlib.crc32(body)) + body, len(ids)
 
 
@@ -114,17 +143,12 @@ class Shard:
     def __init__(self, data: bytes):
         if data[:4] != MAGIC or struct.unpack_from("<I", data, 4)[0] != zlib.crc32(memoryview(data)[8:]):
             raise ValueError("not a whole shard")
-        self.base, n_rules, n_symbols, self.n_docs = HEAD.unpack_from(data, 8)
-        at = 8 + HEAD.size
-
-        def take(n, kind):
-            nonlocal at
-            out = np.frombuffer(data, kind, n, at)
-            at += out.nbytes
-            return out
-
-        self.left, self.right, self.length = (take(n_rules, "<u4") for _ in range(3))
-        self.symbols, self.first_symbol, self.first_id = take(n_symbols, "<u4"), take(self.n_docs, "<u8"), take(self.n_docs, "<u8")
+        self.base, n_rules, n_symbols, self.n_docs, *width = HEAD.unpack_from(data, 8)
+        at, arrays = 8 + HEAD.size, []
+        for n, w in ((n_rules, 0), (n_rules, 0), (n_rules, 1), (n_symbols, 0), (self.n_docs, 2), (self.n_docs, 2)):
+            x, at = unpacked(data, n, width[w], at)
+            arrays.append(x)
+        self.left, self.right, self.length, self.symbols, self.first_symbol, self.first_id = arrays
         inner, found = expanded(self.left, self.right, self.base)
         if (found != self.length).any():
             raise ValueError("rules don't fit their lengths")
@@ -177,7 +201,7 @@ class Wordwise:
 
     def __init__(self, tokenizer):
         self.tokenizer, self.model, self.letter = tokenizer, tokenizer.model, byte_letters()
-        self.words, self.parts = Memo(self._word), Memo(self._part)
+        self.words, self.parts = Memo(self._word, WORD_BYTES), Memo(self._part, PART_BYTES)
 
     def _part(self, text: str) -> bytes:
         if not text.isascii():
@@ -196,10 +220,7 @@ class Wordwise:
 
     def __call__(self, texts: list[bytes | None]) -> list[bytes]:
         words = self.words
-        out = [b"".join(map(words.__getitem__, t.split())) if t else b"" for t in texts]
-        if len(words) + len(self.parts) > WORDS_KEPT:
-            words.clear(), self.parts.clear()
-        return out
+        return [b"".join(map(words.__getitem__, t.split())) if t else b"" for t in texts]
 
 
 def encoder(path: str):
@@ -221,7 +242,14 @@ def encoder(path: str):
     return _encoders[path]
 
 
-def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None, text: str = "text", doc_id: str = "doc_id", end: int = END, shard: int = SHARD) -> str:
+def _stored(doc_type: T.DataType) -> T.StructType:
+    fields = {"part": T.IntegerType(), "seq": T.IntegerType(), "n_ids": T.LongType(), "doc_ids": T.ArrayType(doc_type), "data": T.BinaryType()}
+    return T.StructType([T.StructField(*f) for f in fields.items()])
+
+
+def write_tokens(
+    docs: DataFrame, tokenizer: str, path: str | None = None, text: str = "text", doc_id: str = "doc_id", end: int = END, shard: int = SHARD,
+) -> str:
     """Write the ids of all documents, each with the end id, in ascending order of doc_id (nulls first, then by a hash of the text); returns the path."""
     spark = docs.sparkSession
     prepare(spark)
@@ -232,12 +260,14 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None, text:
 
     def of(batches):
         encode, base = encoder(tokenizer)
+        Memo.only(*([encode.words, encode.parts] if isinstance(encode, Wordwise) else []))
         mark, held, ids, room, seq, part, arrow = np.array([end], "<u4").tobytes(), [], [], 0, 0, None, None
 
         def flush():
             nonlocal held, ids, room, seq
             data, n = pack(held, max(base, end + 1))
-            out = pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([n], pa.int64()), pa.array([ids], pa.list_(arrow)), pa.array([data], pa.binary())], names=["part", "seq", "n_ids", "doc_ids", "data"])
+            cols = [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([n], pa.int64()), pa.array([ids], pa.list_(arrow)), pa.array([data], pa.binary())]
+            out = pa.RecordBatch.from_arrays(cols, names=["part", "seq", "n_ids", "doc_ids", "data"])
             held, ids, room, seq = [], [], 0, seq + 1
             return out
 
@@ -252,8 +282,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None, text:
         if held:
             yield flush()
 
-    schema = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("seq", T.IntegerType()), T.StructField("n_ids", T.LongType()), T.StructField("doc_ids", T.ArrayType(kind)), T.StructField("data", T.BinaryType())])
-    ordered.mapInArrow(of, schema).write.option("compression", "zstd").parquet(path)
+    ordered.mapInArrow(of, _stored(kind)).write.option("compression", "zstd").parquet(path)
     return path
 
 
@@ -261,8 +290,7 @@ def read_tokens(spark: SparkSession, path: str, doc_type: T.DataType | None = No
     """doc_id, start (ids of all documents before), n_tokens and ids_crc32 of every stored document, and its ids if asked for."""
     prepare(spark)
     kind = doc_type or T.LongType()
-    schema = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("seq", T.IntegerType()), T.StructField("n_ids", T.LongType()), T.StructField("doc_ids", T.ArrayType(kind)), T.StructField("data", T.BinaryType())])
-    files = spark.read.schema(schema).parquet(path)
+    files = spark.read.schema(_stored(kind)).parquet(path)
     # offsets: of shards within their partition, and of partitions, whose number is bounded by the write
     upto = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
     inside = files.select("part", "seq", F.coalesce(F.sum("n_ids").over(upto(Window.partitionBy("part").orderBy("seq"))), F.lit(0)).alias("_inside"))
@@ -273,7 +301,7 @@ def read_tokens(spark: SparkSession, path: str, doc_type: T.DataType | None = No
         for b in batches:
             for part, seq, ids, data in zip(b["part"].to_pylist(), b["seq"].to_pylist(), b["doc_ids"], b["data"].to_pylist(), strict=True):
                 shard = Shard(data)
-                every, first = shard.ids().astype("<u4"), shard.first_id.astype(np.int64)
+                every, first = shard.ids().astype("<u4"), shard.first_id
                 size = np.diff(np.append(first, len(every)))
                 whole = memoryview(every).cast("B")
                 crc = [zlib.crc32(whole[4 * s : 4 * (s + n)]) for s, n in zip(first.tolist(), size.tolist(), strict=True)]
