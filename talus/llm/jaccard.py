@@ -1,26 +1,17 @@
-"""Near copies by the Jaccard similarity of word shingles: min-hash bands find candidates, exact sets decide.
+"""Texts as sets of word shingles: min-hash bands, which find candidates, and exact Jaccard similarities, which decide.
 
-A text is the set of hashes of its ``shingle``-word runs, lower-cased. Texts of equal sets are one node. Nodes that agree in all
-``ROWS`` min-hashes of one of ``BANDS`` bands are candidates; a pair of similarity s is missed by all bands with probability
-(1 - s**4)**24, 3e-6 at 0.8 and less above. Candidates are gathered in coarse components, and within each all pairs are compared
-by their whole sets, tile by tile, so links are exact. A tile hands on a spanning forest of its links.
+A text is the set of hashes of its ``shingle``-word runs, lower-cased. Sets that agree in all ``ROWS`` min-hashes of one of
+``BANDS`` bands are candidates; a pair of similarity s is missed by all bands with probability (1 - s**4)**24, 3e-6 at 0.8 and
+less above.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from talus.llm.common import Rolling, mix, prepare, split_words, staged
-from talus.llm.simhash import components, forest
+from talus.llm.common import Rolling, hashed, mix, split_words
 
 SHINGLE, LEAST, BANDS, ROWS = 5, 0.8, 24, 4
-#: Nodes of a tile: components up to the first number are one tile, larger ones up to eight, then tiles hold the second number.
-SMALL, TILE = 64, 1024
 _STEP, _VOCABULARY = 1 << 10, 1 << 12
 _roll = Rolling(0xA0761D6478BD642F)
 _keys = mix(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -29,8 +20,7 @@ _XOR, _TIMES = _keys[: BANDS * ROWS, None], _keys[BANDS * ROWS :, None] | np.uin
 
 def shingles(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
     """Distinct hashes in order; fewer words than a shingle are one shingle, no words are the shingle 0."""
-    words = split_words(text and text.lower())
-    h = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))  # no memo: it would take more memory than it saves time
+    h = hashed(split_words(text and text.lower()))
     return np.unique(_roll(h, min(shingle, len(h)))) if len(h) else np.zeros(1, np.uint64)
 
 
@@ -69,67 +59,3 @@ def similar(sets: list[np.ndarray], least: float = LEAST, across: int = 0) -> tu
     i, j = np.nonzero(both.astype(np.float64) * (1 + least) >= least * (size[:a, None] + size[None, across:]) - 1e-6)
     j = j + across
     return i[i < j], j[i < j]
-
-
-def near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE, least: float = LEAST) -> DataFrame:
-    """doc_id and component_id, the least id among documents that links of similarity least or more reach; one row for each input row.
-
-    least: from 0.8 for the stated share of misses. A null text counts as empty; texts without words are copies of one another.
-    Repeated rows are members each. An empty table gives an empty result.
-    """
-    prepare(docs.sparkSession)
-    key = F.xxhash64(docs[doc_id], docs[text]).alias("_key")
-
-    def of(batches):
-        for b in batches:
-            found = [shingles(t, shingle) for t in b["_text"].to_pylist()]
-            marks = np.concatenate([bands(x) for x in found] or [np.zeros(0, np.uint64)]).view(np.int64)
-            nodes = np.array([node_of(x) for x in found], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b["doc_id"], b["_key"], pa.array(nodes), pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1, dtype=np.int32) * BANDS), pa.array(marks))], names=["doc_id", "_key", "node", "bands"])
-
-    schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), T.StructField("_key", T.LongType()), T.StructField("node", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))])
-    each = staged(docs.select(docs[doc_id].alias("doc_id"), key, docs[text].alias("_text")).mapInArrow(of, schema), "shingles")
-    # nodes of a band are linked to the least of them: enough to bring all of them into one coarse component
-    band = each.select("node", "bands").dropDuplicates(["node"]).select("node", F.explode("bands").alias("band"))
-    heads = band.groupBy("band").agg(F.min("node").alias("head"), F.count("*").alias("n")).filter("n > 1").select("band", "head")
-    coarse = components(band.join(heads, "band").filter("node <> head").select(F.col("head").alias("u"), F.col("node").alias("v")))
-    sizes = coarse.groupBy("label").agg(F.count("*").alias("n"))
-    parts = F.expr(f"cast(case when n <= {SMALL} then 1 else greatest(least(ceil(n / {SMALL}), 8), ceil(n / {TILE})) end as int)")
-    members = staged(coarse.join(sizes.select("label", parts.alias("parts")), "label").select("node", "label", "parts"), "members")
-    packs = max(8, members.count() // 512)
-    one = each.join(members, "node").groupBy("node", "label", "parts").agg(F.min("_key").alias("_key"))
-    texts = docs.select(key, docs[text].alias("_text")).join(one, "_key").select("node", "label", "parts", "_text")
-
-    def sets(batches):
-        for b in batches:
-            found = pa.array([shingles(t, shingle).tobytes() for t in b["_text"].to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([b["node"], b["label"], b["parts"], found], names=["node", "label", "parts", "shingles"])
-
-    part = F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part")
-    tiles = texts.mapInArrow(sets, "node long, label long, parts int, shingles binary").select("*", part, F.explode(F.expr("sequence(0, parts - 1)")).alias("other"))
-    low, high = F.least("part", "other"), F.greatest("part", "other")
-    tiles = tiles.select("node", "label", "part", low.alias("low"), high.alias("high"), "shingles", F.when(F.col("parts") == 1, F.pmod(F.xxhash64("label"), F.lit(packs))).otherwise(F.xxhash64("label", low, high)).alias("tile"))
-
-    def linked(table):
-        label, first, last, part, node = (table[c].to_numpy() for c in ("label", "low", "high", "part", "node"))
-        order = np.lexsort((node, part, last, first, label))
-        rows = np.stack([label, first, last, node])[:, order]
-        new = np.ones(len(order), bool)
-        new[1:] = (rows[:, 1:] != rows[:, :-1]).any(axis=0)  # repeated rows bring a node twice
-        order = order[new]
-        cut = np.flatnonzero((np.diff(rows[:3, new], axis=1) != 0).any(axis=0)) + 1
-        u, v = [], []
-        for at in np.split(order, cut):
-            found = [np.frombuffer(x, np.uint64) for x in table["shingles"].take(pa.array(at)).to_pylist()]
-            across = int((part[at] == first[at[0]]).sum()) if first[at[0]] != last[at[0]] else 0
-            if across == len(at):
-                continue
-            i, j = forest(*similar(found, least, across), len(at))
-            u.append(node[at[i]]), v.append(node[at[j]])
-        return pa.table([pa.array(np.concatenate([np.zeros(0, np.int64), *x])) for x in (u, v)], names=["u", "v"])
-
-    label = components(tiles.groupBy("tile").applyInArrow(linked, "u long, v long"))
-    nodes = each.groupBy("node").agg(F.min("doc_id").alias("first"))
-    nodes = staged(nodes.join(label, "node", "left").select("node", "first", F.coalesce("label", "node").alias("label")), "nodes")
-    named = nodes.groupBy("label").agg(F.min("first").alias("component_id"))
-    return each.select("doc_id", "node").join(nodes.select("node", "label"), "node").join(named, "label").select("doc_id", "component_id")

@@ -5,6 +5,10 @@ differ in sum by no more than their Hamming distance, so only tiles of classes w
 other pairs of tiles are skipped without being read. A pair of tiles is compared by numpy exclusive-or and bit counts, and
 hands on a spanning forest of its links, never all of them. Components come from rounds of contraction in which each node
 joins the neighbour of least priority; every round is written to the shared folder.
+
+With ``similarity``, links are pairs of texts whose sets of shingles have that Jaccard similarity or more. Links of fingerprints
+are candidates then, beside those of min-hash bands, which catch the similar pairs that differ in more bits. Candidates are
+gathered in coarse components; within each, all pairs are compared by their whole sets, tile by tile.
 """
 
 from __future__ import annotations
@@ -18,23 +22,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from talus.llm import jaccard
 from talus.llm.common import prepare, split_words, staged
 
 SEED, SHINGLE, RADIUS, TILE = 42, 3, 3, 4096
+#: Nodes of a tile of sets: components up to the first number are one tile, larger ones up to eight, then tiles hold the second number.
+SMALL, LARGE = 64, 1024
 _STEP = 1 << 15
 
 
+def majority(h: np.ndarray) -> int:
+    """64 bits: each 1 if set in over half the hashes."""
+    count = np.zeros(64, np.int64)
+    for at in range(0, len(h), _STEP):
+        bits = np.unpackbits(h[at : at + _STEP].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        count += bits.sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * count > len(h), bitorder="little").view("<u8")[0])
+
+
 def simhash(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
     """64 bits: each 1 if set in over half the shingles' hashes; 0 for a text without words."""
     words = [w.lower() for w in split_words(text)]
     if not words:
         return 0
     grams = list(map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))) if len(words) >= shingle else [b" ".join(words)]
-    count = np.zeros(64, np.int64)
-    for at in range(0, len(grams), _STEP):
-        h = np.array([xxhash.xxh64_intdigest(g, seed) for g in grams[at : at + _STEP]], "<u8")
-        count += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * count > len(grams), bitorder="little").view("<u8")[0])
+    return majority(np.fromiter((xxhash.xxh64_intdigest(g, seed) for g in grams), np.uint64, len(grams)))
 
 
 def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
@@ -91,13 +103,15 @@ def linked(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataF
         .groupBy(*code, F.pmod(F.xxhash64("fp"), "parts").alias("part"))
         .agg(F.sort_array(F.collect_list("fp")).alias("fps"))
     )
-    tiles = staged(tiles, "tiles")
+    tiles = staged(tiles.withColumn("tile", F.xxhash64(*code, "part")), "tiles")
     steps = [s for s in product(range(-radius, radius + 1), repeat=4) if sum(map(abs, s)) <= radius and s >= (0, 0, 0, 0)]
     step = F.explode(F.array(*[F.array(*map(F.lit, s)) for s in steps])).alias("step")
-    near = tiles.select(*code, F.col("part").alias("part_a"), F.col("fps").alias("a"), step)
-    near = near.select("part_a", "a", (F.expr("step = array(0, 0, 0, 0)")).alias("same"), *[(F.col(c) + F.col("step")[i]).alias(c) for i, c in enumerate(code)])
+    # which tiles meet is settled by their classes; fingerprints come in where two do
+    near = tiles.select(*code, F.col("part").alias("part_a"), F.col("tile").alias("tile_a"), step)
+    near = near.select("part_a", "tile_a", (F.expr("step = array(0, 0, 0, 0)")).alias("same"), *[(F.col(c) + F.col("step")[i]).alias(c) for i, c in enumerate(code)])
     near = near.filter(" and ".join(f"{c} between 0 and 16" for c in code))
-    pairs = near.join(tiles.withColumnRenamed("fps", "b"), code).filter("not same or part_a <= part").select("a", "b")
+    met = near.join(tiles.select(*code, "part", "tile"), code).filter("not same or part_a <= part").select("tile_a", "tile")
+    pairs = met.join(tiles.select(F.col("tile").alias("tile_a"), F.col("fps").alias("a")), "tile_a").join(tiles.select("tile", F.col("fps").alias("b")), "tile").select("a", "b")
 
     def of(batches):
         for batch in batches:
@@ -132,16 +146,91 @@ def components(edges: DataFrame) -> DataFrame:
     return label
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE, seed: int = SEED, radius: int = RADIUS) -> DataFrame:
-    """doc_id, fp (a long) and component_id, the least id among documents that links of radius bits or fewer reach; one row for each input row.
+def near_duplicates(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE, seed: int = SEED, radius: int = RADIUS, similarity: float | None = None,
+) -> DataFrame:
+    """doc_id, fp (a long) and component_id, the least id among documents that links reach; one row for each input row.
 
-    A null text counts as empty; texts without words have fingerprint 0 and link like others. Fewer words than a shingle: one
-    shingle of all. Rows with a null id are members but never name a component, unless all ids of it are null: then it is
-    null. Repeated rows are members each. An empty table gives an empty result.
+    Links: fingerprints of radius bits or fewer, or with similarity (0.8 or more for the bands' share of misses) sets of shingles
+    that are so similar. A null text counts as empty; texts without words have fingerprint 0 and link like others. Fewer words
+    than a shingle: one shingle of all. Rows with a null id are members but never name a component, unless all ids of it are
+    null: then it is null. Repeated rows are members each. An empty table gives an empty result.
     """
-    each = staged(fingerprints(docs, text, doc_id, shingle, seed), "simhash")
-    nodes = each.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    label = components(linked(nodes.select("fp"), radius))
-    nodes = staged(nodes.join(label, nodes["fp"] == label["node"], "left").select("fp", "first", F.coalesce("label", "fp").alias("label")), "nodes")
-    named = nodes.groupBy("label").agg(F.min("first").alias("component_id"))
-    return each.join(nodes.select("fp", "label"), "fp").join(named, "label").select("doc_id", "fp", "component_id")
+    if similarity is None:
+        each = staged(fingerprints(docs, text, doc_id, shingle, seed), "simhash").withColumn("node", F.col("fp"))
+        label = components(linked(each.select("fp").distinct(), radius))
+    else:
+        each, label = _similar(docs, text, doc_id, shingle, radius, similarity)
+    nodes = each.groupBy("node").agg(F.min("doc_id").alias("first"))
+    nodes = staged(nodes.join(label, "node", "left").select("node", "first", F.coalesce("label", "node").alias("label")), "nodes")
+    named = staged(nodes.groupBy("label").agg(F.min("first").alias("component_id")), "named")  # so that Spark can split the join of a label that many nodes have
+    return each.join(nodes.join(named, "label").select("node", "component_id"), "node").select("doc_id", "fp", "component_id")
+
+
+def _similar(docs: DataFrame, text: str, doc_id: str, shingle: int, radius: int, least: float) -> tuple[DataFrame, DataFrame]:
+    """doc_id, node (of equal sets) and fp of each row, and labels of nodes that links of similarity least or more connect."""
+    prepare(docs.sparkSession)
+    key = F.xxhash64(docs[doc_id], docs[text]).alias("_key")
+
+    def of(batches):
+        for b in batches:
+            found = [jaccard.shingles(t, shingle) for t in b["_text"].to_pylist()]
+            marks = np.concatenate([jaccard.bands(x) for x in found] or [np.zeros(0, np.uint64)]).view(np.int64)
+            nodes = np.array([jaccard.node_of(x) for x in found], np.uint64).view(np.int64)
+            fps = np.array([majority(x) for x in found], np.uint64).view(np.int64)
+            bounds = pa.array(np.arange(len(found) + 1, dtype=np.int32) * jaccard.BANDS)
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["_key"], pa.array(nodes), pa.array(fps), pa.ListArray.from_arrays(bounds, pa.array(marks))], names=["doc_id", "_key", "node", "fp", "bands"])
+
+    kinds = {"_key": T.LongType(), "node": T.LongType(), "fp": T.LongType(), "bands": T.ArrayType(T.LongType())}
+    schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), *[T.StructField(c, k) for c, k in kinds.items()]])
+    each = staged(docs.select(docs[doc_id].alias("doc_id"), key, docs[text].alias("_text")).mapInArrow(of, schema), "shingles")
+    once = staged(each.groupBy("node").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands")), "sets")
+    # nodes of a band or a fingerprint are linked to the least of them: enough to bring all of them into one coarse component
+    band = once.select("node", F.explode("bands").alias("band"))
+    heads = band.groupBy("band").agg(F.min("node").alias("head"), F.count("*").alias("n")).filter("n > 1").select("band", "head")
+    same = staged(once.groupBy("fp").agg(F.min("node").alias("head")), "heads")
+    pairs = linked(same.select("fp"), radius)
+    edges = [
+        band.join(heads, "band").select(F.col("head").alias("u"), F.col("node").alias("v")),
+        once.select("fp", "node").join(same, "fp").select(F.col("head").alias("u"), F.col("node").alias("v")),
+        pairs.join(same.select(F.col("fp").alias("u"), F.col("head").alias("hu")), "u").join(same.select(F.col("fp").alias("v"), F.col("head").alias("hv")), "v").select(F.col("hu").alias("u"), F.col("hv").alias("v")),
+    ]
+    coarse = components(edges[0].union(edges[1]).union(edges[2]).filter("u <> v"))
+    sizes = coarse.groupBy("label").agg(F.count("*").alias("n"))
+    parts = F.expr(f"cast(case when n <= {SMALL} then 1 else greatest(least(ceil(n / {SMALL}), 8), ceil(n / {LARGE})) end as int)")
+    sizes = staged(sizes.select("label", parts.alias("parts")), "sizes")
+    members = staged(coarse.join(sizes, "label").select("node", "label", "parts"), "members")
+    packs = max(8, members.count() // 512)
+    one = each.join(members, "node").groupBy("node", "label", "parts").agg(F.min("_key").alias("_key"))
+    texts = docs.select(key, docs[text].alias("_text")).join(one, "_key").select("node", "label", "parts", "_text")
+
+    def sets(batches):
+        for b in batches:
+            found = pa.array([jaccard.shingles(t, shingle).tobytes() for t in b["_text"].to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([b["node"], b["label"], b["parts"], found], names=["node", "label", "parts", "shingles"])
+
+    part = F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part")
+    tiles = texts.mapInArrow(sets, "node long, label long, parts int, shingles binary").select("*", part, F.explode(F.expr("sequence(0, parts - 1)")).alias("other"))
+    low, high = F.least("part", "other"), F.greatest("part", "other")
+    pack = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("label"), F.lit(packs))).otherwise(F.xxhash64("label", low, high))
+    tiles = tiles.select("node", "label", "part", low.alias("low"), high.alias("high"), "shingles", pack.alias("tile"))
+
+    def compared(table):
+        label, first, last, part, node = (table[c].to_numpy() for c in ("label", "low", "high", "part", "node"))
+        order = np.lexsort((node, part, last, first, label))
+        rows = np.stack([label, first, last, node])[:, order]
+        new = np.ones(len(order), bool)
+        new[1:] = (rows[:, 1:] != rows[:, :-1]).any(axis=0)  # repeated rows bring a node twice
+        order = order[new]
+        cut = np.flatnonzero((np.diff(rows[:3, new], axis=1) != 0).any(axis=0)) + 1
+        u, v = [], []
+        for at in np.split(order, cut):
+            found = [np.frombuffer(x, np.uint64) for x in table["shingles"].take(pa.array(at)).to_pylist()]
+            across = int((part[at] == first[at[0]]).sum()) if first[at[0]] != last[at[0]] else 0
+            if across == len(at):
+                continue
+            i, j = forest(*jaccard.similar(found, least, across), len(at))
+            u.append(node[at[i]]), v.append(node[at[j]])
+        return pa.table([pa.array(np.concatenate([np.zeros(0, np.int64), *x])) for x in (u, v)], names=["u", "v"])
+
+    return each, components(tiles.groupBy("tile").applyInArrow(compared, "u long, v long"))

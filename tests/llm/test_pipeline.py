@@ -7,7 +7,7 @@ import pytest
 import sentencepiece
 
 import corpus_pipeline as pipeline
-from talus.llm import jaccard, queries
+from talus.llm import queries, simhash
 from tests.llm.conftest import SCHEMA, rows_of
 from tests.llm.test_copies import classes, fingerprint, kept
 
@@ -73,7 +73,7 @@ def five(text):
 
 @pytest.mark.parametrize("small, tile", [(64, 1024), (4, 5)])
 def test_near_equals_brute_force_jaccard(spark, monkeypatch, small, tile):
-    monkeypatch.setattr(jaccard, "SMALL", small), monkeypatch.setattr(jaccard, "TILE", tile)
+    monkeypatch.setattr(simhash, "SMALL", small), monkeypatch.setattr(simhash, "LARGE", tile)
     rng = random.Random(4)
     words = lambda k: [f"v{rng.randrange(500)}" for _ in range(k)]
     texts = [words(rng.choice([1, 3, 5, 40, 200])) for _ in range(20)] + [[]]
@@ -92,7 +92,7 @@ def test_near_equals_brute_force_jaccard(spark, monkeypatch, small, tile):
             if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) and root[i] != root[j]:
                 a, b = sorted((root[i], root[j]))
                 root = [a if r == b else r for r in root]
-    found = jaccard.near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    found = simhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), shingle=5, similarity=0.8).select("doc_id", "component_id")
     assert 10 < len(set(root)) < len(root) - 40
     assert sorted(map(tuple, found.collect())) == list(enumerate(root))
 
