@@ -16,8 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from talus.llm import jaccard, language, mixing, pieces, substring
-from talus.llm.common import staged
+from talus.llm import language, mixing, pieces, simhash, substring
+from talus.llm.common import new_path, scratch, staged, written
 from talus.llm.queries import PIECES, vocabulary
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -31,7 +31,7 @@ def tell_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # keys are narrow: which rows stay is settled without texts, and each text is read once more, where its key stays
     row = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"))
-    found = jaccard.near_copies(docs.select("text", row.alias("_row")), doc_id="_row")
+    found = simhash.near_duplicates(docs.select("text", row.alias("_row")), doc_id="_row", shingle=5, similarity=0.8)
     key = lambda doc_id, text: F.concat_ws(":", text, doc_id.cast("string")).alias("_k")
     stay = found.filter("doc_id = component_id").select(key(F.col("doc_id.id"), F.col("doc_id.text"))).distinct()
     kept = docs.select(*COLUMNS, key(F.col("doc_id"), F.xxhash64("text"))).join(stay, "_k", "left_semi")
@@ -71,5 +71,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = new_path(spark, f"stage-{name}")
+        with scratch(spark):
+            docs = written(stage(spark, docs, sf_dir), path)
     return docs
