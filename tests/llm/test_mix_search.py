@@ -123,6 +123,34 @@ def test_search_equals_brute_force(spark, seed, shard):
     assert found == brute({i: (i, v) for i, v in vectors}.values(), 5)
 
 
+def test_shards_of_other_lengths_are_left_out(spark):
+    rng = np.random.default_rng(3)
+    vectors = [(i, (rng.standard_normal(6) * (8 if i < 40 else 0.1)).tolist()) for i in range(400)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    found = sorted(map(tuple, topk.top_k(df, F.col("vec_id") % 100 == 0, k=3, shard_rows=8, block_rows=2).collect()))
+    ints = {i: np.floor(1024 * np.array(v)).astype(int) for i, v in vectors}
+    told = []
+    for q in range(0, 400, 100):
+        best = sorted((-int(ints[q] @ v), i) for i, v in ints.items() if i != q)[:3]
+        told += [(q, n, i, -s) for n, (s, i) in enumerate(best, 1)]
+    assert found == told
+    big, small = (np.array([ints[i] for i in r], float) for r in (range(40), range(40, 400)))
+    ball = lambda x: (x.mean(axis=0)[None], np.array([np.sqrt(((x - x.mean(axis=0)) ** 2).sum(axis=1)).max()]))
+    q = ints[0][None].astype(float)
+    assert topk.bounds(q, *ball(small))[0, 0] < -sorted(-q[0] @ big[1:].T)[2] <= topk.bounds(q, *ball(big))[0, 0]
+
+
+def test_later_shards_start_from_scores_of_earlier_ones():
+    search = topk._searching(2, False)
+    table = lambda **c: topk.pa.table({k: topk.pa.array(v) for k, v in c.items()})
+    q = table(block=[0], q_ids=[[7]], q_rows=[[1, 1]], scores=[[5, 4]], at=[[0]])
+    one = search((topk.pa.scalar(2), 0, 0), q, table(c_ids=[[1, 2, 3]], c_rows=[[9, 9, 8, 8, 0, 1]]))
+    assert sorted(one["scores"][0].as_py()) == [16, 18]
+    two = search((topk.pa.scalar(2), 1, 0), q, table(c_ids=[[4, 5]], c_rows=[[3, 3, 8, 9]]))
+    assert two["scores"][0].as_py() == [17]
+    assert search((topk.pa.scalar(2), 2, 0), q, table(c_ids=[[6]], c_rows=[[8, 8]])).num_rows == 0
+
+
 def test_search_of_few_and_none(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (1, [3.0, 4.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in topk.top_k(df, F.col("vec_id") % 100 == 0).collect()] == [(0, 1, 1, 1024 * 1024 * 11)]
