@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from talus.functions.text import WHITE
+from talus.functions.text import collapse
 
 # Columns of the survey, age bands, and targets of the crosswalk; None leaves an answer unsupported on purpose.
 SURVEY_COLUMNS = ("age", "sex", "race", "hispanic", "region", "born", "marital", "childs", "degree", "educ", "wrkstat", "class", "polviews", "relig", "reliten", "health", "trust", "fefam")
@@ -15,7 +15,8 @@ VALUE_MAPS: dict[str, tuple[str, dict[str, str | None]]] = {
     "demo_citizenship_status": ("born", {"yes": "Citizen by birth", "no": None}),
     "demo_children_count": ("childs", {
         "0": "None", "0.0": "None", "1": "1 child", "1.0": "1 child", "2": "2 children", "2.0": "2 children",
-        **{f"{n}{tail}": "3+ children" for n in range(3, 8) for tail in ("", ".0")}, "8 or more": "3+ children",
+        "3": "3+ children", "3.0": "3+ children", "4": "3+ children", "4.0": "3+ children", "5": "3+ children", "5.0": "3+ children",
+        "6": "3+ children", "6.0": "3+ children", "7": "3+ children", "7.0": "3+ children", "8 or more": "3+ children",
     }),
     "demo_marital_status": ("marital", {"married": "Married", "never married": "Single", "divorced": "Divorced", "widowed": "Widowed", "separated": "Separated"}),
     "socioeconomic_band": ("class", {"lower class": "Low income", "working class": "Lower-middle", "middle class": "Middle", "upper class": "Upper-middle", "no class": None}),
@@ -40,9 +41,11 @@ VALUE_MAPS: dict[str, tuple[str, dict[str, str | None]]] = {
 
 
 def answer_key(x: Column) -> Column:
-    """Form in which answers are looked up: whole numbers as '1.0', straight apostrophes, lower case, single spaces. x: text as decoded, numbers as such."""
-    text = F.regexp_replace(F.translate(F.lower(F.trim(x.cast("string"))), "’‘", "''"), WHITE, " ")
-    return text
+    """Form in which answers are looked up: whole numbers as '1.0', straight apostrophes, lower case, single spaces; null stays null."""
+    text = F.translate(F.lower(collapse(x)), "’‘", "''")
+    number = x.cast("string").try_cast("double")
+    whole = F.typeof(x).isin("tinyint", "smallint", "int", "bigint", "float", "double") & (F.abs(number) < 1e15) & (number == F.floor(number))
+    return F.when(x.isNotNull(), F.when(whole, F.format_string("%.1f", number)).otherwise(text))
 
 
 def age_bracket(age: Column) -> Column:

@@ -61,14 +61,34 @@ def epoch_ms(x: Column, negatives: bool = False) -> Column:
     return ms if negatives else F.when(n >= 0, ms)
 
 
-ISO = r"^\s*\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?\s*(Z|[+-]\d{2}:?\d{2})?)?\s*$"
+DATE = r"^(\d{4})(?:-(\d{2})-(\d{2})|(\d{2})(\d{2})|-?W(\d{2})(?:-?(\d))?)(?:$|.)"
+TIME = r"(\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d+))?)?)?"
+ZONE = r"(Z|([+-])(\d{2})(?::?(\d{2})(?::?(\d{2})(?:\.\d+)?)?)?)?$"
+PLAIN = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:\d{2})?$"
 
 
 def iso_ms(x: Column) -> Column:
-    """Milliseconds of an ISO 8601 text; without an offset it is UTC."""
-    text = F.trim(x)
-    zoned = F.when(text.rlike(r"(Z|[+-]\d{2}:?\d{2})$") & text.rlike(r"\d{2}:\d{2}"), text).otherwise(F.concat(F.regexp_replace(text, r"^(\d{4}-\d{2}-\d{2})$", "$1T00:00:00"), F.lit("Z")))
-    return F.when(text.rlike(ISO), F.unix_millis(zoned.try_cast("timestamp")))
+    """Milliseconds of an ISO 8601 text; without an offset it is UTC. Dates may lack hyphens or be of weeks, times may end at the hour."""
+    text = collapse(x)
+    zoned = F.when(text.rlike(r"(Z|[+-]\d{2}:\d{2})$"), text).otherwise(F.concat(text, F.lit("Z")))
+    return F.when(text.rlike(PLAIN), F.unix_millis(zoned.try_cast("timestamp"))).otherwise(_other_iso_ms(text))
+
+
+def _other_iso_ms(text: Column) -> Column:
+    pattern = DATE.replace("(?:$|.)", f"(?:[^0-9]{TIME}{ZONE}|$)")
+    part = lambda i: F.nullif(F.regexp_extract(text, pattern, i), F.lit(""))
+    number = lambda i, default=0: F.coalesce(part(i).try_cast("int"), F.lit(default))
+    date = F.concat_ws("-", part(1), F.coalesce(part(2), part(4)), F.coalesce(part(3), part(5))).try_cast("date")
+    first = F.date_trunc("week", F.concat(part(1), F.lit("-01-04")).try_cast("date")).cast("date")  # the Monday of week 1
+    of_week = F.date_add(first, (number(6) - 1) * 7 + number(7, 1) - 1)
+    fits = number(7, 1).between(1, 7) & number(6).between(1, 53) & (F.weekofyear(of_week) == number(6))
+    day = F.when(part(6).isNotNull(), F.when(fits, of_week)).otherwise(date)
+    hour, minute, second = number(8), number(9), number(10)
+    offset = (number(14) * 3600 + number(15) * 60 + number(16)) * F.when(part(13) == "-", -1).otherwise(1)
+    milli = F.rpad(F.coalesce(part(11), F.lit("0")), 3, "0").substr(1, 3).cast("int")
+    seconds = F.unix_date(day).cast("long") * 86_400 + hour * 3600 + minute * 60 + second - offset
+    good = text.rlike(pattern) & (hour < 24) & (minute < 60) & (second < 60) & (number(14) < 24) & (number(15) < 60)
+    return F.when(good, seconds * 1000 + milli)
 
 
 def iso_plus7(ms: Column) -> Column:

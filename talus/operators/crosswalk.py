@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from talus.functions.survey import VALUE_MAPS, answer_key, computed
 
-EVIDENCE = "Direct survey response"
+EVIDENCE = "Direct GSS survey response"  # fixed value
 Maps = dict[str, tuple[str, dict[str, str | None]]]
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def first_of(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
@@ -20,11 +21,14 @@ def step(x: Column) -> Column:
 def percentiles(df: DataFrame, key: str, values: list[str], first_seen: str | None = None) -> DataFrame:
     """key, metric and share: each value's percentile among all rows, for all metrics at once.
 
-    Ties share the mean of their first and last place; with first_seen, a number that is unique, they stand in its order. Values are
+    Ties share the mean of their first and last place; with first_seen, a number or position that is unique, they stand in its order. Values are
     counted first, so places come from running sums over steps of distinct values and no task sorts all rows.
     """
-    long = df.select(key, *([F.col(first_seen).alias("_seen")] if first_seen else []), F.explode(F.array(*[F.struct(F.lit(v).alias("metric"), F.col(v).cast("double").alias("_v")) for v in values])).alias("m"))
-    long = long.select("*", "m.metric", F.col("m._v").alias("_v"), *([F.floor(F.col("_seen") / 65_536).alias("_part")] if first_seen else [])).drop("m")
+    if first_seen:  # ranges of the order: of numbers, or the blocks of files of a reader's position
+        seen = F.col(first_seen)
+        part = F.floor(seen / 65_536) if not isinstance(df.schema[first_seen].dataType, T.StructType) else F.struct(seen["pos"]["file"], seen["pos"]["block"])
+    long = df.select(key, *([F.col(first_seen).alias("_seen"), part.alias("_part")] if first_seen else []), F.explode(F.array(*[F.struct(F.lit(v).alias("metric"), F.col(v).cast("double").alias("_v")) for v in values])).alias("m"))
+    long = long.select("*", "m.metric", F.col("m._v").alias("_v")).drop("m")
     cell = ["metric", "_v", "_part"] if first_seen else ["metric", "_v"]
     order = cell[1:]
     cells = long.groupBy(*cell).agg(F.count("*").alias("_n")).withColumn("_step", step(F.col("_v")))

@@ -64,10 +64,19 @@ def suffix_fit(rendered: DataFrame, most: int, joint: int = 2) -> DataFrame:
     return rendered.withColumn("_upto", F.sum(F.length("rendered") + joint).over(w) - joint).filter(F.col("_upto") <= most).drop("_upto")
 
 
+def prefix_fit(rendered: DataFrame, most: int, joint: int = 2) -> DataFrame:
+    """The oldest rendered items of each user that begin within ``most`` characters of the joined text, and _items, how many there are in all."""
+    user = Window.partitionBy("user_id").orderBy("place")
+    before = F.coalesce(F.sum(F.length("rendered") + joint).over(user.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counted = rendered.withColumn("_before", before).withColumn("_items", F.count("*").over(Window.partitionBy("user_id")))
+    return counted.filter(F.col("_before") < most).drop("_before")
+
+
 def joined(rendered: DataFrame) -> DataFrame:
-    """Per user the items' text in order, parted by blank lines."""
+    """Per user the items' text in order, parted by blank lines. What comes in is cut to a number of characters by ``prefix_fit`` or ``suffix_fit``, so the list is bounded."""
     ordered = F.array_sort(F.collect_list(F.struct("place", "rendered")))
-    return rendered.groupBy("user_id").agg(F.array_join(F.transform(ordered, lambda x: x["rendered"]), "\n\n").alias("body"), F.count("*").alias("profile_items"))
+    count = F.max("_items") if "_items" in rendered.columns else F.count("*")
+    return rendered.groupBy("user_id").agg(F.array_join(F.transform(ordered, lambda x: x["rendered"]), "\n\n").alias("body"), count.alias("profile_items"))
 
 
 def two_decimals(x: Column) -> Column:
@@ -115,7 +124,7 @@ def profiles(items: DataFrame, spec: SourceSpec, summaries: DataFrame | None = N
         body = joined(suffix_fit(rendered.select("user_id", "place", "rendered"), spec.profile_chars))
         users = items.select("user_id").distinct().join(body, "user_id", "left")
         return users.select("user_id", F.coalesce("profile_items", F.lit(0)).alias("profile_items"), F.coalesce("body", F.lit("")).alias("profile_text"))
-    body = joined(rendered.select("user_id", "place", "rendered"))
+    body = joined(prefix_fit(rendered.select("user_id", "place", "rendered"), spec.profile_chars))
     head = F.lit(f"{spec.title}.")
     if spec.cascade == "review":
         groups = items.groupBy("user_id").agg(F.count_distinct(F.coalesce("category", F.lit("Unknown"))).alias("_groups"))

@@ -14,6 +14,8 @@ from talus.operators.order import first_of, percentiles
 from talus.plans.specs import SourceSpec
 
 DAY_MS = 86_400_000
+#: Steps of the score in which users are counted.
+STEPS = 1 << 14
 
 
 def ingest_filter(items: DataFrame, spec: SourceSpec) -> DataFrame:
@@ -70,10 +72,19 @@ def score_users(users: DataFrame, spec: SourceSpec) -> DataFrame:
 
 
 def rank_users(scored: DataFrame, spec: SourceSpec) -> DataFrame:
-    """The top_k users by score, then the tie-breaks downwards, then the id; rank from 1. Scores are compared to 12 digits, so that the order of sums can't decide."""
+    """The top_k users by score, then the tie-breaks downwards, then the id; rank from 1. Scores are compared to 12 digits, so that the order of sums can't decide.
+
+    Scores lie between 0 and 1. Users are counted in STEPS steps of it; those steps that the top_k reaches are ranked, each by
+    itself, so no task gets the candidates of all.
+    """
     order = [F.round("score", 12).desc(), *[F.col(t).desc() for t in spec.ties], F.col("user_id").cast("string").asc()]
-    top = scored.orderBy(*order).limit(spec.top_k)
-    return top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))  # top_k rows at most
+    stepped = scored.withColumn("_step", F.floor(F.round("score", 12) * STEPS).cast("int"))
+    steps = stepped.groupBy("_step").agg(F.count("*").alias("_n"))
+    above = F.sum("_n").over(Window.orderBy(F.col("_step").desc()).rowsBetween(Window.unboundedPreceding, -1))
+    reached = steps.select("_step", F.coalesce(above, F.lit(0)).alias("_above")).filter(F.col("_above") < spec.top_k)
+    placed = stepped.withColumn("_place", F.row_number().over(Window.partitionBy("_step").orderBy(*order))).filter(F.col("_place") <= spec.top_k)
+    ranked = placed.join(F.broadcast(reached), "_step").withColumn("rank", (F.col("_above") + F.col("_place")).cast("int"))  # STEPS + 1 rows at most
+    return ranked.filter(F.col("rank") <= spec.top_k).drop("_step", "_above", "_place")
 
 
 def select_users(items: DataFrame, spec: SourceSpec) -> DataFrame:

@@ -2,60 +2,84 @@
 
 from __future__ import annotations
 
+from xml.sax.saxutils import escape
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from talus.operators.order import first_of
 
 UNKNOWN_CATEGORY = "Unknown field category"
+#: Where a chart's scale ends.
+TOP_PCT = 105
 
 
 def distinct_personas(personas: DataFrame, strip: bool = True) -> DataFrame:
-    """The first persona of each non-empty user id, by ord if there is one."""
+    """The first persona of each non-empty user id, by the column ord where there is one, else by its fields' text."""
     user = F.trim(F.col("user_id").cast("string")) if strip else F.col("user_id").cast("string")
     named = personas.withColumn("user_id", F.coalesce(user, F.lit(""))).filter("user_id <> ''")
     return first_of(named, ["user_id"], F.col("ord") if "ord" in personas.columns else F.to_json(F.struct("fields")))
 
 
-def supported_by_category(personas: DataFrame, dims: DataFrame) -> DataFrame:
+def supported(personas: DataFrame) -> DataFrame:
+    """user_id and id of each field with a value. Best answers hold the same rows before they are put into personas."""
+    return personas.select("user_id", F.explode("fields").alias("f")).filter("f.value is not null").select("user_id", F.col("f.field_id").alias("id"))
+
+
+def supported_by_category(fields: DataFrame, dims: DataFrame) -> DataFrame:
     """category and supported_dimension_count, the largest first, ties by name."""
-    fields = personas.select(F.explode("fields").alias("f")).filter("f.value is not null").select(F.col("f.field_id").alias("id"))
-    named = fields.join(F.broadcast(dims.select("id", "category")), "id", "left")
-    return named.groupBy(F.coalesce("category", F.lit(UNKNOWN_CATEGORY)).alias("category")).agg(F.count("*").alias("supported_dimension_count")).orderBy(F.col("supported_dimension_count").desc(), "category")
+    counted = fields.groupBy("id").agg(F.count("*").alias("n")).join(F.broadcast(dims.select("id", "category")), "id", "left")  # a schema has few rows
+    out = counted.groupBy(F.coalesce("category", F.lit(UNKNOWN_CATEGORY)).alias("category")).agg(F.sum("n").alias("supported_dimension_count"))
+    return out.orderBy(F.col("supported_dimension_count").desc(), "category")
 
 
-def persona_stats(personas: DataFrame, dims: DataFrame) -> DataFrame:
+def persona_stats(users: DataFrame, fields: DataFrame, dims: DataFrame) -> DataFrame:
     """One row: personas, dimensions, supported ones, and their average for each persona."""
-    counts = personas.agg(F.count("*").alias("persona_count"), F.coalesce(F.sum(F.size(F.filter("fields", lambda f: f["value"].isNotNull()))), F.lit(0)).alias("supported_dimension_count"))
+    counts = users.agg(F.count("*").alias("persona_count")).crossJoin(F.broadcast(fields.agg(F.count("*").alias("supported_dimension_count"))))  # one row each
     schema = dims.agg(F.count("*").alias("schema_dimension_count"))
     average = F.when(F.col("persona_count") > 0, F.round(F.col("supported_dimension_count") / F.col("persona_count"), 4)).otherwise(0.0)
     return counts.crossJoin(F.broadcast(schema)).withColumn("average_supported_dimensions_per_persona", average)
 
 
-def coverage(personas: DataFrame, dims: DataFrame) -> DataFrame:
+def coverage(users: DataFrame, fields: DataFrame, dims: DataFrame) -> DataFrame:
     """category and coverage_pct of all schema categories: supported of possible, the largest first."""
     possible = dims.groupBy("category").agg(F.count("*").alias("dimensions"))
-    found = supported_by_category(personas, dims)
-    n = personas.agg(F.count("*").alias("persona_count"))
-    each = possible.join(found, "category", "left").crossJoin(F.broadcast(n))  # one row
+    each = possible.join(supported_by_category(fields, dims), "category", "left").crossJoin(F.broadcast(users.agg(F.count("*").alias("persona_count"))))  # one row
     total = F.col("persona_count") * F.col("dimensions")
     pct = F.when(total > 0, 100.0 * F.coalesce("supported_dimension_count", F.lit(0)) / total).otherwise(0.0)
     return each.select("category", pct.alias("coverage_pct")).orderBy(F.col("coverage_pct").desc(), "category")
 
 
 def coverage_chart(rows: DataFrame, path: str, title: str = "Coverage by category") -> str:
-    """A bar chart of coverage rows as PNG; needs matplotlib. As many bars as categories."""
-    import matplotlib
-
+    """A bar chart of coverage rows; as many bars as categories. A path that ends in .svg, and any where matplotlib is missing, gets a drawing of plain shapes; returns where it is."""
+    data = [(r["category"], r["coverage_pct"]) for r in rows.collect()]  # a row for each category of a schema
+    try:
+        if path.endswith(".svg"):
+            raise ImportError
+        import matplotlib
+    except ImportError:
+        path = path if path.endswith(".svg") else f"{path}.svg"
+        with open(path, "w", encoding="utf-8") as f:
+            f.write(_drawing(data, title))
+        return path
     matplotlib.use("Agg")
     import matplotlib.pyplot as plt
 
-    data = rows.collect()
     figure, axes = plt.subplots(figsize=(max(8, 0.48 * len(data)), 6))
-    axes.bar([r["category"] for r in data], [r["coverage_pct"] for r in data])
-    axes.set(ylim=(0, 105), ylabel="%", title=title)
+    axes.bar([c for c, _ in data], [p for _, p in data])
+    axes.set(ylim=(0, TOP_PCT), ylabel="%", title=title)
     axes.tick_params(axis="x", rotation=90)
     figure.tight_layout()
     figure.savefig(path)
     plt.close(figure)
     return path
+
+
+def _drawing(data: list[tuple[str, float]], title: str) -> str:
+    width, height, below = max(800, 48 * len(data)), 400, 200
+    out = [f'<svg xmlns="http://www.w3.org/2000/svg" width="{width}" height="{height + below}"><title>{escape(title)}</title>']
+    for i, (category, pct) in enumerate(data):
+        x, tall = 48 * i + 8, height * pct / TOP_PCT
+        out.append(f'<rect x="{x}" y="{height - tall:.2f}" width="32" height="{tall:.2f}"><title>{pct:.2f} %</title></rect>')
+        out.append(f'<text transform="translate({x + 20} {height + 8}) rotate(90)">{escape(category)}</text>')
+    return "\n".join([*out, "</svg>", ""])

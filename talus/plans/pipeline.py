@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from talus.functions.survey import SURVEY_COLUMNS
@@ -16,6 +16,7 @@ from talus.functions.text import category_path, collapse
 from talus.operators import crosswalk, extract, history, profile, prompts, sanitize, select, stats
 from talus.plans.specs import SourceSpec
 from talus.sources import readers, sinks
+from talus.sources.shared import new_path, written
 
 STAGES = ("ingest", "prepare", "compact", "extract", "stats")
 GLOBS = {"review": ("*.jsonl", "*.jsonl.gz"), "shop": ("*.json",), "qa": ("*.jsonl", "*.jsonl.gz"), "forum": ("*.csv",)}
@@ -23,7 +24,10 @@ GLOBS = {"review": ("*.jsonl", "*.jsonl.gz"), "shop": ("*.json",), "qa": ("*.jso
 
 @dataclass(frozen=True)
 class Run:
-    """One source's inputs and outputs. metadata: folder of product metadata; mapping: evidence mapping that narrows the schema; rows_per_file: 0 for all."""
+    """One source's inputs and outputs. metadata: folder of product metadata; mapping: evidence mapping that narrows the schema; rows_per_file: 0 for all.
+
+    users_at_once: users whose answers are written before the next users' calls begin.
+    """
 
     spec: SourceSpec
     source: str
@@ -36,6 +40,7 @@ class Run:
     tasks: int | None = None
     log_prompts: bool = False
     chart: str | None = None
+    users_at_once: int = 10_000
 
     def at(self, name: str) -> str:
         return f"{self.work.rstrip('/')}/{name}"
@@ -110,35 +115,63 @@ def dimensions(spark: SparkSession, run: Run) -> DataFrame:
 PERSONA = "user_id string, source string, fields array<struct<field_id string, value string, confidence double, evidence string, description string, assignment_type string>>"
 
 
+def _there(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+ANSWERS = "user_id string, chunk int, response string, error string"
+
+
 def extract_personas(spark: SparkSession, run: Run) -> str:
-    """Adds the personas of users that have none yet, the first max_users of them by rank (0: all)."""
+    """Adds the personas of users that have none yet, the first max_users of them by rank (0: all), some users after the other.
+
+    Calls are dear: answers are written before anything is made of them, and an answer that a run left behind is used by the next.
+    """
     todo = spark.read.parquet(readers.require(spark, run.at("profiles"), "run the compact stage first"))
-    where = spark._jvm.org.apache.hadoop.fs.Path(run.at("personas"))
-    if where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+    if _there(spark, run.at("personas")):
         todo = history.not_done(todo, spark.read.schema(PERSONA).json(run.at("personas")))
-    if run.spec.max_users:
-        todo = todo.orderBy("rank").limit(run.spec.max_users)
+    order = Window.orderBy("rank", "user_id")  # ranks and ids of top_k users at most
+    places = todo.select("user_id", "rank").withColumn("turn", F.row_number().over(order) - 1)
+    places = places.filter(F.col("turn") < run.spec.max_users) if run.spec.max_users else places
+    todo = written(todo.join(places.select("user_id", F.floor(F.col("turn") / run.users_at_once).cast("int").alias("turn")), "user_id"), new_path(spark, "todo"))
     dims = dimensions(spark, run)
-    grid = prompts.prompts(todo, dims)
-    if run.log_prompts:
-        sinks.write_prompt_log(grid, run.at("prompt_log"))
-    answers = extract.call_model(grid, run.make_client, run.spec.concurrency, run.tasks)
-    answers.write.mode("overwrite").parquet(run.at("answers"))  # calls are dear: what follows reads them from here
-    answers = spark.read.schema(answers.schema).parquet(run.at("answers"))
-    best = sanitize.best_answers(sanitize.judged(sanitize.parse_answers(answers), dims, todo, run.spec.coerce))
-    out = sanitize.personas(best, todo, dims)
     n = dims.count()
-    whole = F.when(F.size("fields") == n, F.col("fields")).otherwise(F.raise_error(F.lit("a persona lacks dimensions")).cast(out.schema["fields"].dataType))
-    return sinks.append_personas(out.select("user_id", F.lit(run.spec.name).alias("source"), whole.alias("fields")), run.at("personas"))
+    if run.log_prompts:
+        sinks.write_prompt_log(prompts.prompts(todo, dims), run.at("prompt_log"))
+    for turn in range((todo.agg(F.max("turn")).first()[0] or 0) + 1):
+        users = todo.filter(F.col("turn") == turn)
+        grid = prompts.prompts(users, dims)
+        if _there(spark, run.at("answers")):
+            known = spark.read.schema(ANSWERS).parquet(run.at("answers")).filter("response is not null")
+            grid = grid.join(known.select("user_id", "chunk"), ["user_id", "chunk"], "left_anti")
+        found = extract.call_model(grid, run.make_client, run.spec.concurrency, run.tasks)
+        found.select("user_id", F.col("chunk").cast("int").alias("chunk"), "response", "error").write.mode("append").parquet(run.at("answers"))
+        answers = spark.read.schema(ANSWERS).parquet(run.at("answers")).join(users.select("user_id"), "user_id", "left_semi")
+        best = sanitize.best_answers(sanitize.judged(sanitize.parse_answers(answers), dims, users, run.spec.coerce))
+        out = sanitize.personas(best, users, dims)
+        whole = F.when(F.size("fields") == n, F.col("fields")).otherwise(F.raise_error(F.lit("a persona lacks dimensions")).cast(out.schema["fields"].dataType))
+        sinks.append_personas(out.select("user_id", F.lit(run.spec.name).alias("source"), whole.alias("fields")), run.at("personas"))
+    return run.at("personas")
+
+
+def read_personas(spark: SparkSession, path: str) -> DataFrame:
+    """Personas with ord, the order in which they were written: files by their time, then rows in them."""
+    rows = spark.read.schema(PERSONA).json(path)
+    place = [F.col(f"_metadata.{c}") for c in ("file_modification_time", "file_name", "file_block_start")]
+    return rows.select("*", F.struct(*place, F.monotonically_increasing_id().alias("row")).alias("ord"))
 
 
 def write_stats(spark: SparkSession, run: Run) -> str:
-    people = stats.distinct_personas(spark.read.schema(PERSONA).json(readers.require(spark, run.at("personas"), "run the extract stage first")), strip=run.spec.cascade != "qa")
-    dims = dimensions(spark, run)
-    by = stats.supported_by_category(people, dims).agg(F.array_sort(F.collect_list(F.struct((-F.col("supported_dimension_count")).alias("_o"), "category", "supported_dimension_count"))).alias("c"))
-    row = stats.persona_stats(people, dims).crossJoin(by).select("persona_count", "schema_dimension_count", "supported_dimension_count", "average_supported_dimensions_per_persona", F.transform("c", lambda x: F.struct(x["category"].alias("category"), x["supported_dimension_count"].alias("supported_dimension_count"))).alias("categories"))
+    people = stats.distinct_personas(read_personas(spark, readers.require(spark, run.at("personas"), "run the extract stage first")), strip=run.spec.cascade != "qa")
+    dims, fields = dimensions(spark, run), stats.supported(people)
+    listed = F.struct((-F.col("supported_dimension_count")).alias("_o"), "category", "supported_dimension_count")
+    by = stats.supported_by_category(fields, dims).agg(F.array_sort(F.collect_list(listed)).alias("c"))  # a row for each category
+    categories = F.transform("c", lambda x: F.struct(x["category"].alias("category"), x["supported_dimension_count"].alias("supported_dimension_count")))
+    counts = ("persona_count", "schema_dimension_count", "supported_dimension_count", "average_supported_dimensions_per_persona")
+    row = stats.persona_stats(people, fields, dims).crossJoin(by).select(*counts, categories.alias("categories"))
     if run.chart:
-        stats.coverage_chart(stats.coverage(people, dims), run.chart)
+        stats.coverage_chart(stats.coverage(people, fields, dims), run.chart)
     return sinks.write_document(row, run.at("stats.json"))
 
 
@@ -154,8 +187,7 @@ def survey(spark: SparkSession, source: str, schema: str, out: str, limit: int =
     """Profiles of a Stata file as gzipped JSON lines, checked, with a manifest beside them; returns the manifest."""
     dims = prompts.load_dimensions(spark, schema)
     crosswalk.check_targets(dims)
-    rows = readers.stata(spark, source, SURVEY_COLUMNS)
-    rows = rows.filter(F.col("source_row") < limit) if limit else rows
+    rows = readers.stata(spark, source, SURVEY_COLUMNS, limit)
     seen = crosswalk.surrogate_users(crosswalk.crosswalk(rows), "source_row")
     full = crosswalk.full_fields(seen, dims).select("user_id", F.lit(source_name).alias("source"), F.col("source_row").cast("string").alias("source_row_index"), "fields", "observed")
     sinks.write_json_lines(full, out, gzip=True)
@@ -163,6 +195,11 @@ def survey(spark: SparkSession, source: str, schema: str, out: str, limit: int =
     crosswalk.validated(spark.read.schema(PERSONA).json(out), dims, n)
     digest = lambda path: sinks.file_sha256(spark, path).orderBy("path").first()["sha256"]
     histogram = {str(r["grounded"]): r["respondents"] for r in crosswalk.grounded_histogram(seen).orderBy("grounded").collect()}  # at most one row for each dimension
-    manifest = {"source": source, "source_sha256": digest(source), "schema": schema, "schema_sha256": digest(schema), "output": out, "output_sha256": [r["sha256"] for r in sinks.file_sha256(spark, f"{out}/*.gz").orderBy("path").collect()], "rows": n, "fields_per_row": dims.count(), "grounded_dimension_histogram": histogram, "top_unmapped_values": [[r["value"], r["n"]] for r in crosswalk.top_unmapped(seen, "source_row").collect()]}
+    digests = [r["sha256"] for r in sinks.file_sha256(spark, f"{out}/*.gz").orderBy("path").collect()]  # a row for each file written
+    manifest = {
+        "source": source, "source_sha256": digest(source), "schema": schema, "schema_sha256": digest(schema), "output": out, "output_sha256": digests,
+        "rows": n, "fields_per_row": dims.count(), "grounded_dimension_histogram": histogram,
+        "top_unmapped_values": [[r["value"], r["n"]] for r in crosswalk.top_unmapped(seen, "source_row").collect()],
+    }
     sinks.write_json(spark, manifest, f"{out}.manifest.json")
     return manifest

@@ -130,7 +130,8 @@ def shard_assign(spark, sf_dir):
 
 @query("SELECT doc_id, source, lang, md5(text) AS text_md5 FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS n FROM documents) WHERE n = 1")
 def dedupe_first_wins(spark, sf_dir):
-    return first_of(table(spark, sf_dir, "documents"), ["text"], F.col("doc_id")).select("doc_id", "source", "lang", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.sha2("text", 256).alias("same"), F.md5(F.col("text").cast("binary")).alias("text_md5"))
+    return first_of(docs, ["same"], F.col("doc_id")).drop("same")  # digests stand for texts in the shuffle
 
 
 @query("SELECT l_partkey, l_suppkey, l_orderkey, l_linenumber, l_quantity FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey, l_suppkey ORDER BY l_orderkey DESC, l_linenumber DESC, l_quantity DESC, l_extendedprice DESC) AS n FROM lineitem) WHERE n = 1")
@@ -455,6 +456,11 @@ def best(spark, sf_dir) -> DataFrame:
     return sanitize.best_answers(sanitize.judged(sanitize.parse_answers(answers(spark, sf_dir)), dims(spark), profiles_of(spark, sf_dir)))
 
 
+def supported(spark, sf_dir) -> DataFrame:
+    """Fields with a value, counted before they are put into personas."""
+    return best(spark, sf_dir).filter("value is not null").select("user_id", F.col("field_id").alias("id"))
+
+
 def personas(spark, sf_dir) -> DataFrame:
     return sanitize.personas(best(spark, sf_dir), profiles_of(spark, sf_dir), prompts.chunked(dims(spark), 2))
 
@@ -468,18 +474,18 @@ def persona_fields(spark, sf_dir):
 @query(f"""WITH {BEST_SQL}, n AS (SELECT count(*) AS persona_count FROM documents), s AS (SELECT count(*) AS supported FROM best WHERE n = 1 AND value IS NOT NULL)
 SELECT persona_count, supported AS supported_dimension_count, 8::BIGINT AS schema_dimension_count, round(supported / persona_count::DOUBLE, 4) AS average_supported_dimensions_per_persona FROM n, s""")
 def persona_stats(spark, sf_dir):
-    return stats.persona_stats(stats.distinct_personas(personas(spark, sf_dir)), dims(spark))
+    return stats.persona_stats(profiles_of(spark, sf_dir), supported(spark, sf_dir), dims(spark))
 
 
 @query(f"WITH {BEST_SQL} SELECT category, count(*) AS supported_dimension_count FROM best JOIN dims ON field_id = id WHERE n = 1 AND value IS NOT NULL GROUP BY category")
 def supported_by_category(spark, sf_dir):
-    return stats.supported_by_category(personas(spark, sf_dir), dims(spark))
+    return stats.supported_by_category(supported(spark, sf_dir), dims(spark))
 
 
 @query(f"""WITH {BEST_SQL}, s AS (SELECT category, count(*) AS k FROM best JOIN dims ON field_id = id WHERE n = 1 AND value IS NOT NULL GROUP BY category)
 SELECT d.category, round(100.0::DOUBLE * coalesce(any_value(k), 0) / ((SELECT count(*) FROM documents) * count(*)), 9) AS coverage_pct FROM dims d LEFT JOIN s ON d.category = s.category GROUP BY d.category""")
 def coverage_pct(spark, sf_dir):
-    return stats.coverage(personas(spark, sf_dir), dims(spark)).withColumn("coverage_pct", F.round("coverage_pct", 9))
+    return stats.coverage(profiles_of(spark, sf_dir), supported(spark, sf_dir), dims(spark)).withColumn("coverage_pct", F.round("coverage_pct", 9))
 
 
 # Market segments and priorities of orders stand for coded answers.
@@ -551,7 +557,7 @@ def template_match(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", (F.array_position(F.array(*map(F.lit, TEMPLATES_EN)), found) - 1).cast("int").alias("pattern"))
 
 
-@query(None)
+@query("SELECT doc_id AS user_id, 8::INT AS fields FROM documents")
 def llm_extract_stub(spark, sf_dir):
     grid = prompts.prompts(profiles_of(spark, sf_dir), prompts.chunked(dims(spark), 50))
     found = extract.call_model(grid)

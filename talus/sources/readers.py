@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from collections import defaultdict
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from talus.functions.text import category_of_file, clean_tags, collapse, epoch_ms, iso_ms, iso_plus7, parse_tags, post_type, strip_html, surrogate_id, utc_date
+from talus.functions.text import WHITE, category_of_file, clean_tags, collapse, epoch_ms, iso_ms, iso_plus7, parse_tags, post_type, strip_html, surrogate_id, utc_date
 
 # Names under which question-and-answer dumps hold a field; the first that is there and not null counts.
 ALIASES = {
@@ -14,6 +19,8 @@ ALIASES = {
     "score": ("score", "Score"), "accepted": ("accepted", "is_accepted", "accepted_answer"),
 }
 MOST_CSV = 100_000_000
+#: Category of posts that name none.
+FORUM = "forum"
 
 
 def files(spark: SparkSession, root: str, *globs: str) -> list[str]:
@@ -41,13 +48,25 @@ def require(spark: SparkSession, path: str, hint: str) -> str:
     return path
 
 
+#: Order of rows: their file by name, the place in it where their block begins, and their number within the block.
+POSITION = "struct<file: string, block: bigint, row: bigint>"
+
+
+def _file() -> Column:
+    """The file's path as it was given; Spark hands it on with signs escaped."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
+def _placed(rows: DataFrame, *columns: Column | str) -> DataFrame:
+    """columns, file and pos of a scan. Rows of a block are in one partition, in order."""
+    pos = F.struct(_file().alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    return rows.select(*columns, _file().alias("file"), pos.alias("pos"))
+
+
 def lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Non-blank lines with file, and pos: their order over the sorted files. Files are read whole by one task each (gzip can't be split), so pos is the place within its partition above the file's number."""
-    out = None
-    for n, path in enumerate(paths):
-        one = spark.read.option("wholetext", False).text(path).coalesce(1).select("value", F.lit(path).alias("file"), (F.monotonically_increasing_id() + F.lit(n << 40)).alias("pos"))
-        out = one if out is None else out.unionByName(one)
-    return out.filter(F.trim("value") != "")
+    """Lines that aren't white space alone, with file and pos, whose order is theirs over the sorted files. One scan; large plain files are split, gzip can't be."""
+    rows = _placed(spark.read.text(paths), "value")
+    return rows.filter(F.regexp_replace("value", WHITE, "") != "")
 
 
 def limit_per_file(rows: DataFrame, most: int) -> DataFrame:
@@ -65,35 +84,130 @@ def json_lines(spark: SparkSession, paths: list[str], only_objects: bool = False
     return out.filter(F.schema_of_variant("v").startswith("OBJECT")) if only_objects else out
 
 
+def _objects(chunks: Iterator[tuple[str, str]]) -> Iterator[tuple[str, int, str | None]]:
+    """Of (path, text between closing braces) in order: path, number and text of each object of each file's array. A file that isn't one whole array ends in a None.
+
+    Other elements are passed over. Only the element at hand is held.
+    """
+    signs = re.compile(r'["\\\[\]{}]|[^\s,"\\\[\]{}]')
+    path, n, depth, inside, escaped, held, begun, ended, odd = None, 0, 0, False, False, [], False, False, False
+    for at, chunk in chunks:
+        if at != path:
+            if path is not None and (not ended or odd):
+                yield path, n, None
+            path, n, depth, inside, escaped, held, begun, ended, odd = at, 0, 0, False, False, [], False, False, False
+            chunk = chunk.removeprefix("\ufeff")
+        start, skip = 0, 0
+        for found in signs.finditer(chunk):
+            sign, i = found[0], found.start()
+            if inside:
+                if escaped and i == skip:
+                    escaped = False
+                elif sign == "\\":
+                    escaped, skip = True, i + 1
+                elif sign == '"':
+                    inside = False
+                continue
+            if not begun:
+                begun, depth, odd = True, 1, sign != "["
+                continue
+            if ended:
+                odd = True
+            elif sign == '"':
+                inside = True
+            elif sign in "[{":
+                depth += 1
+                if depth == 2 and sign == "{":
+                    held, start = ["{"], i + 1
+            elif sign in "]}":
+                depth -= 1
+                if depth == 0:
+                    ended = True
+                elif depth == 1 and held:
+                    held.append(chunk[start : i + 1])
+                    yield path, n, "".join(held)
+                    held, n = [], n + 1
+        if held:
+            held.append(chunk[start:])
+        if escaped and skip < len(chunk):
+            escaped = False
+    if path is not None and (not ended or odd):
+        yield path, n, None
+
+
 def json_array(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """file, pos and v of the objects of files that hold one JSON array each; a byte order mark is skipped, cut-off files fail."""
-    out = None
-    for n, path in enumerate(paths):
-        whole = spark.read.option("wholetext", True).text(path).select(F.regexp_replace("value", "^﻿", "").alias("value"))
-        array = F.try_variant_get(F.try_parse_json("value"), "$", "array<variant>")
-        array = F.coalesce(array, F.raise_error(F.lit(f"{path} is no whole JSON array")).cast("array<variant>"))
-        one = whole.select(F.posexplode(array).alias("i", "v")).select(F.lit(path).alias("file"), (F.col("i") + F.lit(n << 40)).alias("pos"), "v")
-        out = one if out is None else out.unionByName(one)
-    return out.filter(F.schema_of_variant("v").startswith("OBJECT"))
+    """file, pos and v of the objects of files that hold one JSON array each; a byte order mark is skipped, cut-off files fail.
+
+    Spark cuts files at closing braces, so no row is larger than an element's innermost part. A task goes through its files'
+    parts in order (sorted, on disk if need be) and holds one element at a time.
+    """
+    cut = _placed(spark.read.option("lineSep", "}").text(paths), "value")
+    dealt = cut.repartition(F.col("file")).sortWithinPartitions("pos").select("file", "value")
+
+    def of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def chunks():
+            last = None
+            for frame in frames:
+                for path, value in zip(frame["file"], frame["value"], strict=True):
+                    if last is not None:
+                        yield last[0], last[1] + "}" * (last[0] == path)  # the brace that stood between two parts
+                    last = path, value
+            if last is not None:
+                yield last
+
+        rows = []
+        for row in _objects(chunks()):
+            rows.append(row)
+            if len(rows) == 1000:
+                yield pd.DataFrame(rows, columns=["file", "n", "value"])
+                rows = []
+        yield pd.DataFrame(rows, columns=["file", "n", "value"])
+
+    found = dealt.mapInPandas(of, "file string, n long, value string")
+    whole = F.when(F.col("value").isNull(), F.raise_error(F.concat("file", F.lit(" is no whole JSON array"))).cast("variant")).otherwise(F.try_parse_json("value"))
+    pos = F.struct(F.col("file"), F.lit(0).cast("long").alias("block"), F.col("n").alias("row"))
+    out = found.select("file", pos.alias("pos"), whole.alias("v"), "value")
+    bad = F.raise_error(F.concat(F.lit("bad JSON in "), "file", F.lit(": "), F.substring("value", 1, 80))).cast("variant")
+    return out.select("file", "pos", F.when(F.col("v").isNull(), bad).otherwise(F.col("v")).alias("v"))
+
+
+def _first_line(spark: SparkSession, path: str) -> str | None:
+    jvm, where = spark._jvm, spark._jvm.org.apache.hadoop.fs.Path(path)
+    data = where.getFileSystem(spark._jsc.hadoopConfiguration()).open(where)
+    try:
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(data, "UTF-8")).readLine()
+    finally:
+        data.close()
 
 
 def csv_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """All columns as text, with file and pos; quotes, line breaks in fields and a byte order mark are read as they should be."""
+    """All columns as text, with file and pos; quotes, line breaks in fields and a byte order mark are read as they should be.
+
+    One scan for each kind of header line. A file that has line breaks in fields can't be split, so each is read by one task.
+    """
+    kinds = defaultdict(list)
+    for path in paths:
+        kinds[_first_line(spark, path)].append(path)
     out = None
-    for n, path in enumerate(paths):
-        one = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', maxCharsPerColumn=MOST_CSV).coalesce(1)
-        one = one.select("*", F.lit(path).alias("file"), (F.monotonically_increasing_id() + F.lit(n << 40)).alias("pos"))
-        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
-    return out
+    for head, own in kinds.items():
+        if head is not None:
+            one = spark.read.csv(own, header=True, multiLine=True, quote='"', escape='"', maxCharsPerColumn=MOST_CSV)
+            one = _placed(one, *[F.col(f"`{c}`") for c in one.columns])
+            out = one if out is None else out.unionByName(one, allowMissingColumns=True)
+    return out if out is not None else spark.createDataFrame([], f"file string, pos {POSITION}")
 
 
-def stata(spark: SparkSession, path: str, columns: tuple[str, ...]) -> DataFrame:
-    """Some columns of a Stata file as decoded text, with source_row from 0; missing is null. Spark has no reader for it: pandas reads the chosen columns here, slice by slice."""
-    import pandas as pd
+def stata(spark: SparkSession, path: str, columns: tuple[str, ...], most: int = 0) -> DataFrame:
+    """Some columns of a Stata file as decoded text, with source_row from 0; missing is null. most: only the first rows are read, 0: all.
 
+    Spark has no reader for it: pandas reads the chosen columns here, slice by slice.
+    """
     frames, at = [], 0
-    with pd.read_stata(path, columns=list(columns), convert_categoricals=True, chunksize=200_000) as slices:
+    with pd.read_stata(path, columns=list(columns), convert_categoricals=True, chunksize=min(most or 200_000, 200_000)) as slices:
         for part in slices:
+            if most and at >= most:
+                break
+            part = part.head(most - at) if most else part
             part = part.astype(object).where(part.notna(), None)
             part = part.map(lambda x: None if x is None else (f"{x:.1f}" if isinstance(x, (int, float)) and not isinstance(x, bool) and float(x).is_integer() else str(x)))
             part.insert(0, "source_row", range(at, at + len(part)))
@@ -117,46 +231,73 @@ def _first(name: str, kind: str = "string", of: str = "v") -> Column:
     return F.coalesce(*[_get(a, kind, of) for a in ALIASES[name]])
 
 
+def _strip(x: Column) -> Column:
+    """Without white space at the ends."""
+    return F.regexp_replace(F.coalesce(x, F.lit("")), f"^{WHITE}|{WHITE}$", "")
+
+
+def _falsy(x: Column) -> Column:
+    """'' in place of null and of numbers that are 0."""
+    return F.when(x.try_cast("double") == 0, "").otherwise(F.coalesce(x.cast("string"), F.lit("")))
+
+
 def product_reviews(raw: DataFrame) -> DataFrame:
     """Items of JSON-line reviews. A key that is there with null hides its alternative; category falls back on the file's name."""
     time = F.when(_has("timestamp"), _get("timestamp")).otherwise(_get("sort_timestamp"))
     helpful = F.when(_has("helpful_vote"), _get("helpful_vote")).otherwise(_get("helpful_votes"))
     name = F.element_at(F.split("file", "/"), -1)
+    text = lambda n: F.coalesce(_get(n), F.lit(""))
+    either = lambda a, b: F.coalesce(F.nullif(_get(a), F.lit("")), _get(b), F.lit(""))
+    category = F.coalesce(F.nullif(_get("category"), F.lit("")), F.nullif(category_of_file(name), F.lit("")), F.lit("Unknown"))
+    own_id = surrogate_id(F.col("category"), F.col("_user"), F.col("parent_id"), F.col("product_id"), _falsy(F.col("_time")), _falsy(F.col("_rating")), F.col("_text"))
     rows = raw.select(
-        F.coalesce(_get("user_id"), F.lit("")).alias("user_id"), F.coalesce(_get("category"), category_of_file(name)).alias("category"), F.coalesce(_get("parent_asin"), F.lit("")).alias("parent_id"),
-        F.coalesce(_get("asin"), F.lit("")).alias("product_id"), epoch_ms(time).alias("ts_ms"), _get("rating").try_cast("double").alias("rating"), F.coalesce(_get("title"), F.lit("")).alias("title"), F.coalesce(_get("text"), F.lit("")).alias("text"),
-        F.coalesce(_get("verified_purchase", "boolean"), F.lit(False)).alias("verified"), F.coalesce(helpful.try_cast("bigint"), F.lit(0)).alias("helpful"), _get("review_id").alias("_id"), F.col("pos").alias("source_index"),
+        _strip(_get("user_id")).alias("user_id"), category.alias("category"), text("parent_asin").alias("parent_id"), text("asin").alias("product_id"), epoch_ms(time).alias("ts_ms"),
+        _get("rating").try_cast("double").alias("rating"), either("title", "review_title").alias("title"), either("text", "review_text").alias("text"),
+        F.coalesce(_get("verified_purchase", "boolean"), F.lit(False)).alias("verified"), F.coalesce(helpful.try_cast("bigint"), F.lit(0)).alias("helpful"), F.col("pos").alias("source_index"),
+        _get("review_id").alias("_id"), text("user_id").alias("_user"), _get("timestamp").alias("_time"), _get("rating").alias("_rating"), text("text").alias("_text"),
     )
-    return rows.withColumn("item_id", F.coalesce(F.nullif("_id", F.lit("")), surrogate_id(*map(F.col, ("user_id", "category", "parent_id", "product_id", "ts_ms", "title", "text"))))).drop("_id")
+    return rows.withColumn("item_id", F.coalesce(F.nullif("_id", F.lit("")), own_id)).drop("_id", "_user", "_time", "_rating", "_text")
 
 
 def shop_reviews(raw: DataFrame) -> DataFrame:
     """Items of JSON-array reviews with ISO dates."""
     stem = F.regexp_replace(F.element_at(F.split("file", "/"), -1), r"\.json$", "")
+    text = lambda n: F.coalesce(_get(n), F.lit(""))
+    category = collapse(F.coalesce(F.nullif(_get("SubCategory"), F.lit("")), F.nullif(stem, F.lit("")), F.lit("Unknown")))
     rows = raw.select(
-        F.coalesce(_get("UserId"), F.lit("")).alias("user_id"), F.coalesce(F.nullif(_get("SubCategory"), F.lit("")), stem).alias("category"), _get("Rating").try_cast("double").alias("rating"), F.coalesce(_get("Comment"), F.lit("")).alias("text"),
-        F.coalesce(_get("ProductName"), F.lit("")).alias("product_title"), F.coalesce(_get("ProductUrl"), F.lit("")).alias("product_url"), iso_ms(_get("CommentDate")).alias("ts_ms"), F.col("pos").alias("source_index"),
+        _strip(_get("UserId")).alias("user_id"), category.alias("category"), _get("Rating").try_cast("double").alias("rating"), text("Comment").alias("text"),
+        text("ProductName").alias("product_title"), text("ProductUrl").alias("product_url"), iso_ms(_get("CommentDate")).alias("ts_ms"), F.col("pos").alias("source_index"), _get("Rating").alias("_rating"),
     )
-    return rows.withColumn("timestamp", iso_plus7(F.col("ts_ms"))).withColumn("item_id", surrogate_id(*map(F.col, ("user_id", "category", "rating", "text", "product_title", "product_url", "ts_ms"))))
+    own_id = surrogate_id(*[_falsy(F.col(c)) if c in ("_rating", "ts_ms") else F.col(c) for c in ("category", "user_id", "ts_ms", "_rating", "text", "product_title", "product_url", "category")])
+    return rows.withColumn("timestamp", iso_plus7(F.col("ts_ms"))).withColumn("item_id", own_id).drop("_rating")
 
 
 def qa_posts(raw: DataFrame) -> DataFrame:
-    """Items of posts, flat or nested under ``posts`` of a user's row; names vary."""
+    """Items of posts, flat or nested under ``posts`` of a user's row; names vary. Their order is that of rows, then of posts in a row."""
     nested = F.try_variant_get("v", "$.posts", "array<variant>")
-    each = raw.withColumn("outer_user", _first("user_id")).select("pos", "outer_user", F.posexplode(F.coalesce(nested, F.array("v"))).alias("i", "p"))
+    each = raw.withColumn("outer_user", F.nullif(_strip(_get("user_id")), F.lit(""))).select("pos", "outer_user", F.posexplode(F.coalesce(nested, F.array("v"))).alias("i", "p"))
+    each = each.filter(F.schema_of_variant("p").startswith("OBJECT"))
     get = lambda name, kind="string": _first(name, kind, "p")
     time = F.coalesce(epoch_ms(get("timestamp")), F.when(get("timestamp").try_cast("bigint").isNull(), iso_ms(get("timestamp"))))
     tags = F.coalesce(F.when(get("tags", "array<string>").isNotNull(), clean_tags(get("tags", "array<string>"))), parse_tags(get("tags")))
     rows = each.select(
-        F.coalesce("outer_user", get("user_id"), F.lit("")).alias("user_id"), F.coalesce(get("post_id"), F.lit("")).alias("_id"), post_type(get("post_type")).alias("post_type"), time.alias("ts_ms"), tags.alias("tags"),
-        collapse(get("title")).alias("title"), strip_html(get("text")).alias("text"), get("score").alias("score"), get("accepted", "boolean").alias("accepted"), (F.col("pos") * 1_000_000 + F.col("i")).alias("source_index"),
+        F.coalesce("outer_user", _strip(get("user_id"))).alias("user_id"), F.coalesce(get("post_id"), F.lit("")).alias("_id"), post_type(get("post_type")).alias("post_type"), time.alias("ts_ms"), tags.alias("tags"),
+        collapse(get("title")).alias("title"), strip_html(get("text")).alias("text"), get("score").alias("score"), get("accepted", "boolean").alias("accepted"),
+        F.struct(F.col("pos"), F.col("i").alias("item")).alias("source_index"),
     )
-    return rows.withColumn("date", utc_date(F.col("ts_ms"))).withColumn("item_id", F.coalesce(F.nullif("_id", F.lit("")), surrogate_id(*map(F.col, ("user_id", "post_type", "ts_ms", "title", "text"))))).drop("_id")
+    own_id = surrogate_id(*[_falsy(F.col(c)) if c == "ts_ms" else F.col(c) for c in ("user_id", "post_type", "ts_ms", "title", "text")])
+    return rows.withColumn("date", utc_date(F.col("ts_ms"))).withColumn("item_id", F.coalesce(F.nullif("_id", F.lit("")), own_id)).drop("_id")
 
 
 def forum_posts(raw: DataFrame) -> DataFrame:
-    """Items of CSV rows."""
+    """Items of CSV rows. Without a label the source names the category; without both it is the plain name of the forum."""
     has = set(raw.columns)
     c = lambda n: F.coalesce(F.col(n), F.lit("")) if n in has else F.lit("")
-    rows = raw.select(c("author").alias("user_id"), c("label").alias("category"), c("source").alias("source"), c("thread_id").alias("thread"), c("text_hash").alias("text_hash"), c("text").alias("text"), iso_ms(c("created_at")).alias("ts_ms"), c("post_id").alias("_id"), F.col("pos").alias("source_index"))
-    return rows.withColumn("timestamp", iso_plus7(F.col("ts_ms"))).withColumn("item_id", F.coalesce(F.nullif("_id", F.lit("")), surrogate_id(*map(F.col, ("user_id", "thread", "ts_ms", "text_hash", "text"))))).drop("_id")
+    category = collapse(F.coalesce(F.nullif(c("label"), F.lit("")), F.nullif(c("source"), F.lit("")), F.lit(FORUM)))
+    rows = raw.select(
+        collapse(c("author")).alias("user_id"), category.alias("category"), collapse(F.coalesce(F.nullif(c("source"), F.lit("")), F.lit(FORUM))).alias("source"), collapse(c("thread_id")).alias("thread"),
+        collapse(c("text_hash")).alias("text_hash"), c("text").alias("text"), iso_ms(c("created_at")).alias("ts_ms"), collapse(c("post_id")).alias("_id"), F.col("pos").alias("source_index"),
+        c("thread_id").alias("_thread"), c("text_hash").alias("_hash"),
+    )
+    own_id = surrogate_id(*[_falsy(F.col(n)) if n == "ts_ms" else F.col(n) for n in ("category", "user_id", "ts_ms", "_thread", "_hash", "text")])
+    return rows.withColumn("timestamp", iso_plus7(F.col("ts_ms"))).withColumn("item_id", F.coalesce(F.nullif("_id", F.lit("")), own_id)).drop("_id", "_thread", "_hash")

@@ -48,13 +48,21 @@ def write_document(row: DataFrame, path: str) -> str:
     return write_json(row.sparkSession, json.loads(text), path)
 
 
-def write_prompt_log(prompts: DataFrame, path: str) -> str:
-    """Prompts as text files under their user and chunk; a new log takes the old one's place."""
-    logged = prompts.select(F.col("prompt").alias("value"), F.col("user_id").cast("string").alias("user"), F.col("chunk").cast("string").alias("part"))
-    logged.write.mode("overwrite").partitionBy("user", "part").text(path)
+def write_prompt_log(prompts: DataFrame, path: str, shards: int = 64) -> str:
+    """user_id, chunk and prompt in Parquet, in a folder for each shard of the user; a new log takes the old one's place. A text file for each prompt would be millions of them."""
+    logged = prompts.select("user_id", "chunk", "prompt", shard(F.col("user_id"), shards).alias("shard"))
+    logged.repartition("shard").write.mode("overwrite").partitionBy("shard").parquet(path)
     return path
 
 
 def file_sha256(spark: SparkSession, path: str) -> DataFrame:
-    """path and sha256 of each file."""
-    return spark.read.format("binaryFile").load(path).select("path", F.sha2("content", 256).alias("sha256"))
+    """path and sha256 of each file that a path or pattern names; files are streamed, whatever their size."""
+    jvm, where = spark._jvm, spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs, rows = where.getFileSystem(spark._jsc.hadoopConfiguration()), []
+    for one in fs.globStatus(where) or []:
+        data = fs.open(one.getPath())
+        try:
+            rows.append((one.getPath().toString(), jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(data)))
+        finally:
+            data.close()
+    return spark.createDataFrame(rows, "path string, sha256 string")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -19,7 +20,8 @@ def append_new(batch: DataFrame, target: str, spec: SourceSpec, clean: Callable[
     items = first_of(with_shard(ingest_filter(clean(batch), spec), spec), ["shard", "item_id"], batch["source_index"] if "source_index" in batch.columns else batch["item_id"])
     where = spark._jvm.org.apache.hadoop.fs.Path(target)
     if where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
-        held = spark.read.schema(items.schema).parquet(target).select("shard", "item_id").distinct()
+        shards = [r["shard"] for r in items.select("shard").distinct().collect()]  # spec.shards at most; only their folders are read
+        held = spark.read.schema(items.schema).parquet(target).filter(F.col("shard").isin(shards)).select("shard", "item_id")
         items = items.join(held, ["shard", "item_id"], "left_anti")
     items.write.mode("append").partitionBy("shard").parquet(target)
 

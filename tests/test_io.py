@@ -5,8 +5,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from talus.operators import extract, prompts
-from talus.plans.specs import REVIEWS_INTL
+from talus.operators import extract, prompts, select, stats
+from talus.plans.specs import QA_POSTS, REVIEWS_INTL
 from talus.sources import readers, sinks
 from talus.streaming import ingest
 
@@ -48,6 +48,51 @@ def test_nested_posts(spark, tmp_path):
     assert rows[1]["user_id"] == "9" and rows[1]["tags"] == ["x"] and rows[1]["ts_ms"] == 5000 and len(rows[1]["item_id"]) == 40
 
 
+def test_posts_of_many_files_keep_their_order(spark, tmp_path):
+    for n in range(12):
+        posts = [{"Id": 100 * n + k, "Body": f"text {n} {k}"} for k in range(3)]
+        (tmp_path / f"p{n:02d} +.jsonl").write_text("\t \n" + json.dumps({"user_id": " u ", "posts": posts}) + "\n" + json.dumps({"OwnerUserId": 7, "Id": 100 * n + 50}) + "\n")
+    rows = readers.qa_posts(readers.json_lines(spark, readers.files(spark, str(tmp_path), "*.jsonl"))).orderBy("source_index").collect()
+    assert [int(r["item_id"]) for r in rows] == [100 * n + k for n in range(12) for k in (0, 1, 2, 50)] and {r["user_id"] for r in rows} == {"u", "7"}
+    items = readers.qa_posts(readers.json_lines(spark, readers.files(spark, str(tmp_path), "*.jsonl")))
+    top = select.select_users(items, QA_POSTS.but(min_count=1, min_chars=0))
+    assert [(r["user_id"], r["rank"]) for r in top.orderBy("rank").collect()] == [("u", 1), ("7", 2)]
+
+
+@pytest.mark.parametrize("size", [1 << 27, 40])
+def test_json_arrays_in_parts(spark, tmp_path, size):
+    rows = [{"a": i, "t": "}{][ \\ \" é" * (i % 3), "in": {"x": [i, {"y": "}"}]}} for i in range(20)]
+    (tmp_path / "one.json").write_text("\ufeff[" + ", ".join(json.dumps(r) + (', [1, {"n": 1}], "}", null' if r["a"] % 5 == 0 else "") for r in rows) + " ]\n", encoding="utf-8")
+    (tmp_path / "two.json").write_text(json.dumps([{"a": 100}], indent=1))
+    (tmp_path / "zero.json").write_text(" [ ]")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        found = readers.json_array(spark, readers.files(spark, str(tmp_path), "*.json")).orderBy("pos").select(F.to_json("v").alias("v")).collect()
+        assert [json.loads(r["v"]) for r in found] == [*rows, {"a": 100}]
+        for bad in ('[{"a": 1}', '{"a": 1}', '[{"a": 1}] x', "", '[{"a": "}]'):
+            (tmp_path / "bad.json").write_text(bad)
+            if bad:
+                with pytest.raises(Exception, match="no whole JSON array"):
+                    readers.json_array(spark, [str(tmp_path / "bad.json")]).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_csv_files_with_other_columns(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("author,text,thread_id\nx,1,t\n")
+    (tmp_path / "b.csv").write_text("text,author,label\n2,y,L\n3,z,\n")
+    (tmp_path / "c.csv").write_text("")
+    rows = readers.forum_posts(readers.csv_rows(spark, readers.files(spark, str(tmp_path), "*.csv"))).orderBy("source_index").collect()
+    assert [(r["user_id"], r["text"], r["category"], r["thread"]) for r in rows] == [("x", "1", "forum", "t"), ("y", "2", "L", ""), ("z", "3", "forum", "")]
+
+
+def test_chart_without_a_drawing_library(spark, tmp_path):
+    rows = spark.createDataFrame([("A & b", 50.0), ("C", 0.0)], "category string, coverage_pct double")
+    drawn = open(stats.coverage_chart(rows, str(tmp_path / "c.svg"))).read()
+    assert drawn.count("<rect") == 2 and "A &amp; b" in drawn and f'height="{400 * 50 / 105:.2f}"' in drawn
+
+
 def test_csv_and_stata(spark, tmp_path):
     (tmp_path / "f.csv").write_text('﻿author,created_at,text,thread_id\nan,2024-01-02T03:04:05+0700,"two\nlines, ""q""",t1\n', encoding="utf-8")
     row = readers.forum_posts(readers.csv_rows(spark, readers.files(spark, str(tmp_path), "*.csv"))).first()

@@ -138,10 +138,10 @@ def test_stats_take_the_first_persona_of_a_user(spark):
     people = spark.createDataFrame([("u", 0, [("d", "a"), ("z", "q")]), (" u ", 1, [("d", "a")]), ("", 2, [("d", "a")])], f"user_id string, ord int, {field}")
     dims = spark.createDataFrame([("d", "c1"), ("e", "c2")], "id string, category string")
     own = stats.distinct_personas(people)
-    row = stats.persona_stats(own, dims).first()
+    row = stats.persona_stats(own, stats.supported(own), dims).first()
     assert (row["persona_count"], row["supported_dimension_count"], row["average_supported_dimensions_per_persona"]) == (1, 2, 2.0)
-    assert {r["category"]: r["coverage_pct"] for r in stats.coverage(own, dims).collect()} == {"c1": 100.0, "c2": 0.0}
-    assert stats.persona_stats(own.limit(0), dims).first()["average_supported_dimensions_per_persona"] == 0.0
+    assert {r["category"]: r["coverage_pct"] for r in stats.coverage(own, stats.supported(own), dims).collect()} == {"c1": 100.0, "c2": 0.0}
+    assert stats.persona_stats(own.limit(0), stats.supported(own.limit(0)), dims).first()["average_supported_dimensions_per_persona"] == 0.0
 
 
 def test_crosswalk_statuses(spark):

@@ -1,3 +1,4 @@
+import dataclasses
 import json
 
 import pandas as pd
@@ -5,6 +6,7 @@ import pytest
 
 from talus.__main__ import main
 from talus.functions.survey import SURVEY_COLUMNS, VALUE_MAPS, computed
+from talus.operators import extract
 from talus.plans import pipeline
 from talus.plans.specs import FORUM_POSTS, QA_POSTS, REVIEWS_INTL, REVIEWS_VN
 
@@ -49,7 +51,7 @@ def test_all_stages_and_resume(spark, tmp_path, spec):
     stats = json.loads((tmp_path / "work" / "stats.json").read_text())
     fits = spec.coerce != "exact"
     assert (stats["persona_count"], stats["supported_dimension_count"]) == (1, int(fits))
-    assert spark.read.text(f"{plan.at('prompt_log')}/user=*/part=*").count() > 0
+    assert spark.read.parquet(plan.at("prompt_log")).filter("length(prompt) > 50").count() > 0
     pipeline.run(spark, plan, "extract")
     pipeline.run(spark, plan, "extract")
     assert spark.read.schema(pipeline.PERSONA).json(plan.at("personas")).select("user_id").distinct().count() == 2
@@ -58,6 +60,33 @@ def test_all_stages_and_resume(spark, tmp_path, spec):
         pipeline.run(spark, plan, "nosuch")
 
 
+def test_answers_outlive_a_job_that_dies(spark, tmp_path):
+    write_inputs(tmp_path / "in", "forum")
+    (tmp_path / "schema.json").write_text(json.dumps(DIMS))
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def make(dies):  # a user has two chunks of the schema, so two calls
+        def client(prompt):
+            if dies and len(list(calls.iterdir())) == 2:
+                raise extract.Unauthorized("no more")
+            (calls / str(len(list(calls.iterdir())))).write_text(prompt)
+            return answer(prompt)
+
+        return client
+
+    plan = pipeline.Run(FORUM_POSTS.but(min_count=2, min_chars=10, shards=2), str(tmp_path / "in"), str(tmp_path / "work"), str(tmp_path / "schema.json"), make_client=lambda: make(True), users_at_once=1, tasks=1)
+    for stage in ("ingest", "prepare", "compact"):
+        pipeline.run(spark, plan, stage)
+    with pytest.raises(Exception, match="no more"):
+        pipeline.run(spark, plan, "extract")
+    assert spark.read.schema(pipeline.PERSONA).json(plan.at("personas")).count() == 1 and len(list(calls.iterdir())) == 2
+    pipeline.run(spark, dataclasses.replace(plan, make_client=lambda: make(False)), "extract")
+    people = pipeline.read_personas(spark, plan.at("personas"))
+    assert sorted(r["user_id"] for r in people.collect()) == ["u1", "u2"] and len(list(calls.iterdir())) == 4
+    assert [r["user_id"] for r in people.orderBy("ord").collect()] == ["u1", "u2"]
+
+
 def test_survey(spark, tmp_path):
     rows = pd.DataFrame([dict.fromkeys(SURVEY_COLUMNS, "x") | {"sex": "female", "age": "40", "marital": "maybe"}, dict.fromkeys(SURVEY_COLUMNS, "y") | {"trust": "depends"}])
     rows.rename(columns={"class": "clas5"}).to_stata(tmp_path / "s.dta", write_index=False)  # pandas won't write that name, files have it
