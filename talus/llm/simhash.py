@@ -4,7 +4,7 @@ Distinct fingerprints lie in classes by the population counts of their four 16-b
 differ in sum by no more than their Hamming distance, so only tiles of classes within the radius of each other meet; all
 other pairs of tiles are skipped without being read. A pair of tiles is compared by numpy exclusive-or and bit counts, and
 hands on a spanning forest of its links, never all of them. Components come from rounds of contraction in which each node
-joins the neighbour of least priority; every round is written to the shared folder.
+joins the neighbour of least priority, or stays; every round is written to the shared folder.
 
 With ``similarity``, links are pairs of texts whose sets of shingles have that Jaccard similarity or more. Links of fingerprints
 are candidates then, beside those of min-hash bands, which catch the similar pairs that differ in more bits. Candidates are
@@ -127,23 +127,28 @@ def linked(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataF
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node and label, the same for all nodes of a component; only nodes with an edge to another have a row."""
-    spark = edges.sparkSession
+    """node and label, the same for all nodes of a component; only nodes with an edge to another have a row.
+
+    In every second round priorities are the nodes themselves, so that stars around their least node, which is how groups come,
+    are one node after the first; in the others they are random, so that paths get shorter by a share whatever their order.
+    """
     edges = staged(edges.select("u", "v").distinct(), "edges")
-    label, turn = spark.createDataFrame([], "node long, label long"), 0
+    rounds: list[DataFrame] = []
     while not edges.isEmpty():
-        turn += 1
-        order = lambda c: F.struct(F.xxhash64(F.lit(turn), c).alias("p"), c.alias("x"))  # noqa: E731, B023
+        turn = len(rounds)
+        order = lambda c: F.struct((F.xxhash64(F.lit(turn), c) if turn % 2 else c).alias("p"), c.alias("x"))  # noqa: E731, B023
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         joins = staged(both.groupBy("u").agg(F.min(order(F.col("v"))).alias("to")).select("u", F.least(order(F.col("u")), F.col("to"))["x"].alias("to")), "joins")
         side = lambda c: joins.select(F.col("u").alias(c), F.col("to").alias(f"{c}_to"))  # noqa: E731, B023
         moved = edges.join(side("u"), "u").join(side("v"), "v").filter("u_to <> v_to")
         edges = staged(moved.select(F.least("u_to", "v_to").alias("u"), F.greatest("u_to", "v_to").alias("v")).distinct(), "edges")
-        if turn == 1:
-            label = joins.select(F.col("u").alias("node"), F.col("to").alias("label"))
-        else:
-            label = staged(label.join(joins.withColumnRenamed("u", "label"), "label", "left").select("node", F.coalesce("to", "label").alias("label")), "label")
-    return label
+        rounds.append(joins)
+    if not rounds:
+        return edges.sparkSession.createDataFrame([], "node long, label long")
+    label = rounds[0].select(F.col("u").alias("node"), F.col("to").alias("label"))
+    for joins in rounds[1:]:
+        label = label.join(joins.select(F.col("u").alias("label"), "to"), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+    return staged(label, "label")
 
 
 def near_duplicates(
