@@ -88,6 +88,7 @@ def mix(
     parts = staged(shares(classes, repeats), "shares")
     sure = parts.groupBy("_key").agg(F.sum(F.col("_sure") * F.col("_words")).alias("_n"))
     goal = goal.join(sure, "_key", "left").withColumn("_rest", F.greatest(F.lit(0.0), F.col("target") - F.coalesce("_n", F.lit(0)))).drop("_n")
+    goal = staged(goal, "goal")  # a row for each source, and Spark knows that, so that rows of a large one needn't meet in one task
 
     few = each.select("_key", "size", "_w", "_u", "_row")
     narrow = _ranked(few, goal, parts)
