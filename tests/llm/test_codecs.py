@@ -1,7 +1,9 @@
 """Tokens, pieces and media: equality with the libraries and exact round trips."""
 
 import hashlib
+import math
 import random
+import statistics
 import struct
 import zlib
 
@@ -88,6 +90,32 @@ def test_token_files_of_odd_rows_in_many_shards(odd, none, spark):
     assert tokens.token_files(none, WORDS).count() == 0
 
 
+def test_large_documents_and_shared_ids(spark):
+    docs = spark.createDataFrame([(1, "one two " * 400), *[(5, f"same id {i}") for i in range(30)], (5, "same id 3"), (9, None)], "doc_id long, text string").repartition(4)
+    path = tokens.write_tokens(docs, WORDS, shard=64)
+    out = tokens.read_tokens(spark, path, with_ids=True).orderBy("start").collect()
+    library = Tokenizer.from_file(WORDS)
+    told = sorted((r["doc_id"], [*library.encode(r["text"] or "", add_special_tokens=False).ids, 2]) for r in docs.collect())
+    assert sorted((r["doc_id"], r["ids"]) for r in out) == told and [r["doc_id"] for r in out] == [i for i, _ in told]
+    assert [r["start"] for r in out] == [sum(r["n_tokens"] for r in out[:k]) for k in range(len(out))]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, (1 << 40) - 1), max_size=40))
+def test_numbers_of_any_width_round_trip(x):
+    width = max([0, *x]).bit_length()
+    data = tokens.packed(np.array(x, np.int64), width)
+    back, at = tokens.unpacked(b"ab" + data, len(x), width, 2)
+    assert back.tolist() == x and at == 2 + len(data)
+
+
+def test_packed_shards_are_smaller_than_plain_ids(spark):
+    library = Tokenizer.from_file(WORDS)
+    docs = [np.array([*library.encode(t, add_special_tokens=False).ids, 2], "<u4").tobytes() for t in documents(spark).values()]
+    data, n = tokens.pack(docs, library.get_vocab_size())
+    assert len(data) < 2 * n
+
+
 def unigram(tmp_path):
     """The public pieces as a unigram model for the library: kind and placeholder scores changed in the file's bytes."""
     out = b""
@@ -126,6 +154,34 @@ def test_merging_equals_library(spark):
         assert transducer.encode(t) == ids and transducer.model.decode(ids) == LIBRARY.decode(ids)
 
 
+def test_every_place_has_one_path_of_finite_weight():
+    """The acceptor of merged pairs leaves one sequence of pieces, and that is what merging makes."""
+    transducer, rng = pieces.Transducer(pieces.Model(PIECES)), random.Random(4)
+    infinite = float("inf")
+    for _ in range(150):
+        text = "".join(rng.choice("▁theinganotr") for _ in range(rng.randint(1, 9)))
+        code = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
+        start, end, symbol = (x.tolist() for x in transducer.lexicon.arcs(code, np.full(len(code), len(code))))
+        paths = [[(0, transducer.width - 1, ())]] + [[] for _ in text]
+        for place in range(len(text)):
+            for a, b, x in zip(start, end, symbol, strict=True):
+                if a == place:
+                    for _, last, ids in paths[place]:
+                        if transducer.acceptor(np.array([last]), np.array([x]))[0] < infinite:
+                            paths[b].append((b, x, (*ids, x)))
+        assert [len(p) for p in paths] == [1] * (len(text) + 1)
+        assert [transducer.lexicon.text[i] for i in paths[-1][0][2]] == transducer.merged(text)
+
+
+def test_cuts_of_more_than_a_generation(monkeypatch):
+    transducer = pieces.Transducer(pieces.Model(PIECES))
+    monkeypatch.setattr(pieces, "TOGETHER", 7)
+    transducer.memo.most = 2000
+    texts = [*fuzz(6, 300), "", None]
+    assert [np.frombuffer(x, np.int32).tolist() for x in transducer.packed(texts)] == [LIBRARY.encode(t or "") for t in texts]
+    assert transducer.memo.bytes < 10_000
+
+
 def test_ops_5_and_7(spark, odd, none):
     counts = {r["doc_id"]: r["n_tokens"] for r in queries.op5_token_counts(spark, SMALL).collect()}
     counter = pieces.Counter(pieces.Model(PIECES, pieces.UNIGRAM))
@@ -137,6 +193,8 @@ def test_ops_5_and_7(spark, odd, none):
     rows = pieces.encoded(odd, PIECES, keep=("doc_id", "text", "score")).collect()
     assert len(rows) == odd.count() and all(r["exact"] and r["decoded"] == (r["text"] or "") and r["ids"] == LIBRARY.encode(r["text"] or "") for r in rows)
     assert {r["n_tokens"] for r in pieces.token_counts(odd.filter("text is null or text = ''"), PIECES).collect()} == {0}
+    told = sorted(counter(r["text"]) for r in odd.collect())
+    assert sorted(r["n_tokens"] for r in pieces.token_counts(odd, PIECES).collect()) == told
     assert pieces.encoded(none, PIECES).count() == 0 and pieces.token_counts(none, PIECES).count() == 0
 
 
@@ -153,6 +211,52 @@ def test_op8_equals_plain_code(spark, odd, none):
     assert media.media_column(none).count() == 0
 
 
+def plain_picture(png):
+    """Rows of samples by the format's definition, a sample at a time."""
+    at, data = 8, b""
+    while at < len(png):
+        n, kind = struct.unpack_from(">I4s", png, at)
+        if kind == b"IHDR":
+            width, height = struct.unpack_from(">II", png, at + 8)
+        data += png[at + 8 : at + 8 + n] if kind == b"IDAT" else b""
+        at += 12 + n
+    raw, rows = zlib.decompress(data), []
+    for y in range(height):
+        kind, *line = raw[y * (width + 1) : (y + 1) * (width + 1)]
+        for x in range(width):
+            a, b, c = (line[x - 1] if x else 0), (rows[-1][x] if y else 0), (rows[-1][x - 1] if x and y else 0)
+            p = a + b - c
+            paeth = min((abs(p - a), 0, a), (abs(p - b), 1, b), (abs(p - c), 2, c))[2]
+            line[x] = (line[x] + (0, a, b, (a + b) // 2, paeth)[kind]) % 256
+        rows.append(line)
+    return rows
+
+
+def plain_feature(rows):
+    """Bits of the lowest cosine coefficients of the picture's 32 by 32 cells, and whether each is far enough from the median to tell."""
+    def cells(n):
+        return [range(i * n // 32, max((i + 1) * n // 32, i * n // 32 + 1)) for i in range(32)]
+
+    mean = [[sum(rows[y][x] for y in ys for x in xs) / len(ys) / len(xs) for xs in cells(len(rows[0]))] for ys in cells(len(rows))]
+    cos = [[math.cos(math.pi * (2 * i + 1) * k / 64) for i in range(32)] for k in range(8)]
+    low = [sum(cos[u][i] * cos[v][j] * mean[i][j] for i in range(32) for j in range(32)) for u in range(8) for v in range(8)]
+    middle = statistics.median(low)
+    return [x > middle for x in low], [abs(x - middle) > 1e-4 for x in low]
+
+
+def test_op8_features_and_pictures_equal_plain_code(spark):
+    texts = sorted(documents(spark).items(), key=lambda kv: len(kv[1]))
+    texts = dict([*texts[:150:15], *[x for x in texts if len(x[1]) > 32 * 576][:2]])
+    found = {r["doc_id"]: r["feature"] for r in queries.op8_media(spark, SMALL).collect()}
+    for i, text in texts.items():
+        raw, _ = media.payload(text)
+        rows = plain_picture(media.png_encode(raw))
+        assert bytes(x for row in rows for x in row) == raw
+        bits, sure = plain_feature(rows)
+        assert all(b == (int(found[i], 16) >> (63 - k) & 1) for k, (b, s) in enumerate(zip(bits, sure, strict=True)) if s)
+        assert sum(sure) > (40 if len(rows) >= 32 else 0)
+
+
 def test_png_filters_and_damage():
     rng = np.random.default_rng(2)
     picture = rng.integers(0, 256, (11, 7), dtype=np.uint8)
