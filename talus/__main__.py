@@ -29,7 +29,10 @@ def main(argv: list[str] | None = None) -> None:
         return
     changes = {k: v for k, v in (("top_k", given.top_k), ("max_users", given.max_users), ("shards", given.shards)) if v is not None}
     config = ClientConfig(given.endpoint, given.model or "", given.authorization or "", given.provider or "local") if given.endpoint else None
-    plan = pipeline.Run(SPECS[given.source].but(**changes), given.input, given.work, given.schema, given.metadata, given.mapping, given.rows_per_file or 0, (lambda: HttpClient(config)) if config else (lambda: stub), log_prompts=given.log_prompts, chart=given.chart)
+    plan = pipeline.Run(
+        SPECS[given.source].but(**changes), given.input, given.work, given.schema, given.metadata, given.mapping, given.rows_per_file or 0,
+        (lambda: HttpClient(config)) if config else (lambda: stub), log_prompts=given.log_prompts, chart=given.chart
+    )
     for path in pipeline.run(spark, plan, given.stage):
         print(path)
 

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from talus.functions.text import collapse
 
 # Columns of the survey, age bands, and targets of the crosswalk; None leaves an answer unsupported on purpose.
-SURVEY_COLUMNS = ("age", "sex", "race", "hispanic", "region", "born", "marital", "childs", "degree", "educ", "wrkstat", "class", "polviews", "relig", "reliten", "health", "trust", "fefam")
+SURVEY_COLUMNS = (
+    "age", "sex", "race", "hispanic", "region", "born", "marital", "childs", "degree", "educ", "wrkstat", "class", "polviews", "relig", "reliten",
+    "health", "trust", "fefam"
+)
 AGE_BANDS = ((18, 24), (25, 34), (35, 44), (45, 54), (55, 64), (65, 74), (75, 84))
 VALUE_MAPS: dict[str, tuple[str, dict[str, str | None]]] = {
     "gender_identity": ("sex", {"female": "Woman", "male": "Man"}),
@@ -18,8 +21,13 @@ VALUE_MAPS: dict[str, tuple[str, dict[str, str | None]]] = {
         "3": "3+ children", "3.0": "3+ children", "4": "3+ children", "4.0": "3+ children", "5": "3+ children", "5.0": "3+ children",
         "6": "3+ children", "6.0": "3+ children", "7": "3+ children", "7.0": "3+ children", "8 or more": "3+ children",
     }),
-    "demo_marital_status": ("marital", {"married": "Married", "never married": "Single", "divorced": "Divorced", "widowed": "Widowed", "separated": "Separated"}),
-    "socioeconomic_band": ("class", {"lower class": "Low income", "working class": "Lower-middle", "middle class": "Middle", "upper class": "Upper-middle", "no class": None}),
+    "demo_marital_status": (
+        "marital", {"married": "Married", "never married": "Single", "divorced": "Divorced", "widowed": "Widowed", "separated": "Separated"}
+    ),
+    "socioeconomic_band": (
+        "class",
+        {"lower class": "Low income", "working class": "Lower-middle", "middle class": "Middle", "upper class": "Upper-middle", "no class": None}
+    ),
     "demo_employment_status": ("wrkstat", {
         "working full time": "Full-time", "working part time": "Part-time", "retired": "Retired", "keeping house": "Homemaker",
         "unemployed, laid off, looking for work": "Unemployed", "in school": "Student",

@@ -50,7 +50,9 @@ def category_path(x: Column, most: int = 6) -> Column:
     """First ``most`` distinct names of a JSON text: a list, a list of lists, or a plain name."""
     lists = F.from_json(x, "array<array<string>>")
     flat = F.from_json(x, "array<string>")
-    names = F.when(F.ltrim(x).startswith("["), F.coalesce(F.when(F.ltrim(F.substring(F.ltrim(x), 2, 1 << 20)).startswith("["), F.flatten(lists)), flat)).when(x.isNotNull(), F.array(x))
+    names = F.when(
+        F.ltrim(x).startswith("["), F.coalesce(F.when(F.ltrim(F.substring(F.ltrim(x), 2, 1 << 20)).startswith("["), F.flatten(lists)), flat)
+    ).when(x.isNotNull(), F.array(x))
     return F.slice(clean_tags(names), 1, most)
 
 

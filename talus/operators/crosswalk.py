@@ -22,10 +22,16 @@ def statuses(maps: Maps = VALUE_MAPS, rules: dict[str, Column] | None = None) ->
         raw, key = F.col(source).cast("string"), answer_key(F.col(source))
         known, null_on_purpose = key.isin(*mapping), key.isin(*[k for k, v in mapping.items() if v is None]) if None in mapping.values() else F.lit(False)
         status = F.when(raw.isNull(), "missing").when(~known, "unmapped").when(null_on_purpose, "deliberately_null").otherwise("mapped")
-        out.append(F.struct(F.lit(target).alias("dimension_id"), F.lit(source).alias("source_column"), raw.alias("raw_value"), key.alias("normalized_value"), _lookup(mapping, key).alias("result"), status.alias("status")))
+        out.append(F.struct(
+            F.lit(target).alias("dimension_id"), F.lit(source).alias("source_column"), raw.alias("raw_value"), key.alias("normalized_value"),
+            _lookup(mapping, key).alias("result"), status.alias("status")
+        ))
     for target, value in (computed() if rules is None else rules).items():
         null = F.lit(None).cast("string")
-        out.append(F.struct(F.lit(target).alias("dimension_id"), F.lit("compute").alias("source_column"), null.alias("raw_value"), null.alias("normalized_value"), value.cast("string").alias("result"), F.when(value.isNotNull(), "mapped").otherwise("unsupported").alias("status")))
+        out.append(F.struct(
+            F.lit(target).alias("dimension_id"), F.lit("compute").alias("source_column"), null.alias("raw_value"), null.alias("normalized_value"),
+            value.cast("string").alias("result"), F.when(value.isNotNull(), "mapped").otherwise("unsupported").alias("status")
+        ))
     return out
 
 
@@ -39,7 +45,9 @@ def crosswalk(answers: DataFrame, maps: Maps = VALUE_MAPS, rules: dict[str, Colu
     each = F.array(*statuses(maps, rules))
     pairs = lambda keep, value: F.map_from_entries(F.transform(F.filter(F.col("_s"), keep), lambda s: F.struct(s["dimension_id"], s[value])))
     out = answers.withColumn("_s", each)
-    return out.withColumn("observed", pairs(lambda s: s["result"].isNotNull(), "result")).withColumn("unmapped", pairs(lambda s: s["status"] == "unmapped", "raw_value")).drop("_s")
+    return out.withColumn("observed", pairs(lambda s: s["result"].isNotNull(), "result")).withColumn(
+        "unmapped", pairs(lambda s: s["status"] == "unmapped", "raw_value")
+    ).drop("_s")
 
 
 def check_targets(dims: DataFrame, maps: Maps = VALUE_MAPS, rules: dict[str, Column] | None = None) -> None:
@@ -58,7 +66,8 @@ def full_fields(observed: DataFrame, dims: DataFrame) -> DataFrame:
     order = F.broadcast(dims.agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "id"))), lambda x: x["id"]).alias("_order")))  # one row
     value = lambda d: F.try_element_at("observed", d)
     field = lambda d: F.struct(
-        d.alias("field_id"), value(d).alias("value"), F.when(value(d).isNotNull(), 1.0).otherwise(0.0).alias("confidence"), F.when(value(d).isNotNull(), EVIDENCE).otherwise("").alias("evidence"),
+        d.alias("field_id"), value(d).alias("value"), F.when(value(d).isNotNull(), 1.0).otherwise(0.0).alias("confidence"),
+        F.when(value(d).isNotNull(), EVIDENCE).otherwise("").alias("evidence"),
         F.lit("").alias("description"), F.when(value(d).isNotNull(), "direct").otherwise("unsupported").alias("assignment_type"),
     )
     return observed.crossJoin(order).withColumn("fields", F.transform("_order", field)).drop("_order")
@@ -81,13 +90,21 @@ def top_unmapped(observed: DataFrame, index: str, most: int = 100) -> DataFrame:
 
 def validation(personas: DataFrame, dims: DataFrame, expected: int | None = None) -> DataFrame:
     """One row: rows, unique_users and errors (wrong field lists, users that repeat, values not allowed, assignments that don't fit, a wrong number of rows)."""
-    schema = F.broadcast(dims.agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "id"))), lambda x: x["id"]).alias("_order"), F.map_from_entries(F.collect_list(F.struct("id", F.coalesce("values", F.array().cast("array<string>"))))).alias("_allowed")))
+    schema = F.broadcast(dims.agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("pos", "id"))), lambda x: x["id"]).alias("_order"),
+        F.map_from_entries(F.collect_list(F.struct("id", F.coalesce("values", F.array().cast("array<string>"))))).alias("_allowed")
+    ))
     each = personas.crossJoin(schema)  # one row
     listed = F.coalesce(F.transform("fields", lambda f: f["field_id"]) == F.col("_order"), F.lit(False))
-    wrong = F.size(F.filter("fields", lambda f: f["value"].isNotNull() & ~F.coalesce(F.array_contains(F.col("_allowed")[f["field_id"]], f["value"]), F.lit(False)))) + F.size(F.filter("fields", lambda f: ~f["assignment_type"].eqNullSafe(F.when(f["value"].isNotNull(), "direct").otherwise("unsupported"))))
+    wrong = F.size(F.filter(
+        "fields", lambda f: f["value"].isNotNull() & ~F.coalesce(F.array_contains(F.col("_allowed")[f["field_id"]], f["value"]), F.lit(False))
+    )) + F.size(F.filter("fields", lambda f: ~f["assignment_type"].eqNullSafe(F.when(f["value"].isNotNull(), "direct").otherwise("unsupported"))))
     marks = each.select("user_id", F.when(listed, wrong).otherwise(1).alias("_e"), listed.alias("_ok"))
     users = marks.groupBy("user_id").agg(F.count("*").alias("n"), F.count_if("_ok").alias("good"), F.sum("_e").alias("e"))
-    total = users.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count_if(F.col("good") > 0).alias("unique_users"), F.coalesce(F.sum(F.col("e") + F.greatest(F.col("good") - 1, F.lit(0))), F.lit(0)).alias("errors"))
+    total = users.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count_if(F.col("good") > 0).alias("unique_users"),
+        F.coalesce(F.sum(F.col("e") + F.greatest(F.col("good") - 1, F.lit(0))), F.lit(0)).alias("errors")
+    )
     return total if expected is None else total.withColumn("errors", F.col("errors") + (F.col("rows") != expected).cast("long"))
 
 

@@ -97,7 +97,10 @@ class HttpClient:
 
     def follow_up(self, prompt: str, answer: dict, question: str) -> dict:
         """A second turn that hands the first answer back, reasoning included."""
-        return self.chat([{"role": "user", "content": prompt}, {"role": "assistant", **{k: v for k, v in answer.items() if k != "role"}}, {"role": "user", "content": question}])
+        return self.chat([
+            {"role": "user", "content": prompt}, {"role": "assistant", **{k: v for k, v in answer.items() if k != "role"}},
+            {"role": "user", "content": question}
+        ])
 
 
 def call_model(prompts: DataFrame, make_client: Callable[[], Callable[[str], str]] = lambda: stub, threads: int = 1, tasks: int | None = None) -> DataFrame:
@@ -120,8 +123,12 @@ def call_model(prompts: DataFrame, make_client: Callable[[], Callable[[str], str
         with ThreadPoolExecutor(threads) as pool:
             for frame in frames:
                 answers = list(pool.map(one, frame["prompt"]))
-                yield pd.DataFrame({"user_id": frame["user_id"], "chunk": frame["chunk"], "response": [a for a, _ in answers], "error": [e for _, e in answers]})
+                yield pd.DataFrame({
+                    "user_id": frame["user_id"], "chunk": frame["chunk"], "response": [a for a, _ in answers], "error": [e for _, e in answers]
+                })
 
     kind = prompts.schema["user_id"].dataType.simpleString()
     dealt = prompts.repartition(tasks) if tasks else prompts
-    return dealt.select("user_id", "chunk", "prompt").mapInPandas(of, f"user_id {kind}, chunk {prompts.schema['chunk'].dataType.simpleString()}, response string, error string")
+    return dealt.select("user_id", "chunk", "prompt").mapInPandas(
+        of, f"user_id {kind}, chunk {prompts.schema['chunk'].dataType.simpleString()}, response string, error string"
+    )

@@ -68,7 +68,9 @@ def removal_reasons(items: DataFrame, spec: SourceSpec) -> DataFrame:
         reason = F.when((title == "") & (text == ""), EMPTY_POST)
     elif spec.cascade == "forum":
         reason = F.when(F.col("ts_ms").isNull(), NO_TIME).when(F.length(text) < spec.min_text, NO_EVIDENCE)
-    keyed = items.select(*sorted(has, key=items.columns.index), reason.alias("_reason"), F.sha2(F.concat_ws("\u0001", *content_key(items, spec)), 256).alias("_same"))
+    keyed = items.select(
+        *sorted(has, key=items.columns.index), reason.alias("_reason"), F.sha2(F.concat_ws("\u0001", *content_key(items, spec)), 256).alias("_same")
+    )
     w = Window.partitionBy("user_id", "_same", F.col("_reason").isNull()).orderBy("source_index")
     repeated = F.when(F.col("_reason").isNull() & (F.row_number().over(w) > 1), DUPLICATE_POST if spec.cascade == "qa" else DUPLICATE)
     return keyed.withColumn("reason", F.coalesce("_reason", repeated)).drop("_reason", "_same")
@@ -91,8 +93,12 @@ def removal_summary(judged: DataFrame) -> DataFrame:
         return each.groupBy("user_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "n")))).alias(out))
 
     none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<bigint>"))
-    out = counts.join(by(F.col("reason"), "removed_by_reason"), "user_id", "left").join(by(F.coalesce(F.nullif("category", F.lit("")), F.lit("Unknown")), "removed_by_category"), "user_id", "left")
-    return out.withColumn("removed_rows", F.col("input_rows") - F.col("kept_rows")).withColumns({c: F.coalesce(c, none) for c in ("removed_by_reason", "removed_by_category")})
+    out = counts.join(by(F.col("reason"), "removed_by_reason"), "user_id", "left").join(
+        by(F.coalesce(F.nullif("category", F.lit("")), F.lit("Unknown")), "removed_by_category"), "user_id", "left"
+    )
+    return out.withColumn("removed_rows", F.col("input_rows") - F.col("kept_rows")).withColumns({
+        c: F.coalesce(c, none) for c in ("removed_by_reason", "removed_by_category")
+    })
 
 
 def metadata_last(meta: DataFrame, keys: list[str], *order: Column) -> DataFrame:
@@ -141,7 +147,10 @@ def split_summary(split: DataFrame) -> DataFrame:
     out = []
     for part in ("construction", "validation"):
         here = F.col("part") == part
-        out += [F.count_if(here).alias(f"{part}_rows"), F.count_if(here & has_text).alias(f"{part}_text_rows"), F.count_if(here & rated).alias(f"{part}_rated_rows")]
+        out += [
+            F.count_if(here).alias(f"{part}_rows"), F.count_if(here & has_text).alias(f"{part}_text_rows"),
+            F.count_if(here & rated).alias(f"{part}_rated_rows")
+        ]
     last = F.max_by("ts_ms", F.when(F.col("part") == "construction", F.col("place"))).alias("construction_last")
     first = F.min_by("ts_ms", F.when(F.col("part") == "validation", F.col("place"))).alias("validation_first")
     return split.groupBy("user_id").agg(*out, last, first)
@@ -153,7 +162,10 @@ def category_stats(kept: DataFrame) -> DataFrame:
     title, text, rated = F.col("_c_title"), F.col("_c_text"), valid_rating(F.col("rating"))
     score = F.when(rated, F.col("rating").cast("double"))
     each = kept.groupBy("user_id", F.coalesce(F.nullif("category", F.lit("")), F.lit("Unknown")).alias("category"))
-    return each.agg(F.count("*").alias("items"), F.count_if(text != "").alias("text_items"), F.count_if((text == "") & (title == "")).alias("rating_only"), F.sum(F.length(text)).alias("text_chars"), F.count(score).alias("rated"), F.round(F.avg(score), 3).alias("mean_rating"))
+    return each.agg(
+        F.count("*").alias("items"), F.count_if(text != "").alias("text_items"), F.count_if((text == "") & (title == "")).alias("rating_only"),
+        F.sum(F.length(text)).alias("text_chars"), F.count(score).alias("rated"), F.round(F.avg(score), 3).alias("mean_rating")
+    )
 
 
 def counters(kept: DataFrame, value: Column, out: str = "value") -> DataFrame:

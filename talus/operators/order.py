@@ -27,7 +27,10 @@ def percentiles(df: DataFrame, key: str, values: list[str], first_seen: str | No
     if first_seen:  # ranges of the order: of numbers, or the blocks of files of a reader's position
         seen = F.col(first_seen)
         part = F.floor(seen / 65_536) if not isinstance(df.schema[first_seen].dataType, T.StructType) else F.struct(seen["pos"]["file"], seen["pos"]["block"])
-    long = df.select(key, *([F.col(first_seen).alias("_seen"), part.alias("_part")] if first_seen else []), F.explode(F.array(*[F.struct(F.lit(v).alias("metric"), F.col(v).cast("double").alias("_v")) for v in values])).alias("m"))
+    long = df.select(
+        key, *([F.col(first_seen).alias("_seen"), part.alias("_part")] if first_seen else []),
+        F.explode(F.array(*[F.struct(F.lit(v).alias("metric"), F.col(v).cast("double").alias("_v")) for v in values])).alias("m")
+    )
     long = long.select("*", "m.metric", F.col("m._v").alias("_v")).drop("m")
     cell = ["metric", "_v", "_part"] if first_seen else ["metric", "_v"]
     order = cell[1:]
@@ -35,7 +38,10 @@ def percentiles(df: DataFrame, key: str, values: list[str], first_seen: str | No
     upto = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
     steps = cells.groupBy("metric", "_step").agg(F.sum("_n").alias("_sum"))
     every = Window.partitionBy("metric")
-    steps = steps.select("metric", "_step", F.coalesce(F.sum("_sum").over(upto(every.orderBy("_step"))), F.lit(0)).alias("_below"), F.sum("_sum").over(every).alias("_total"))
+    steps = steps.select(
+        "metric", "_step", F.coalesce(F.sum("_sum").over(upto(every.orderBy("_step"))), F.lit(0)).alias("_below"),
+        F.sum("_sum").over(every).alias("_total")
+    )
     inside = F.coalesce(F.sum("_n").over(upto(Window.partitionBy("metric", "_step").orderBy(*order))), F.lit(0))
     cells = cells.withColumn("_inside", inside).join(steps, ["metric", "_step"])
     place = F.col("_below") + F.col("_inside")

@@ -30,23 +30,39 @@ def render_item(spec: SourceSpec, place: Column, has: set[str]) -> Column:
     text = truncate(F.col("text"), spec.text_chars) if not spec.whole_items else collapse(F.col("text"))
     product = truncate(c("product_title"), 220)
     if spec.cascade == "review":
-        path = F.transform(F.coalesce(c("product_path") if "product_path" in has else F.array().cast("array<string>"), F.array().cast("array<string>")), lambda x: truncate(x, 80))
+        path = F.transform(
+            F.coalesce(c("product_path") if "product_path" in has else F.array().cast("array<string>"), F.array().cast("array<string>")),
+            lambda x: truncate(x, 80)
+        )
         lines = [
-            F.concat(F.lit("[review "), place.cast("string"), F.lit("]")), _line("date", _or(c("ts_ms"), "unknown")), _line("category", _or(c("category"), "Unknown")),
-            _line("parent", _or(F.coalesce(c("parent_id").cast("string"), c("product_id").cast("string")), "")), _line("rating", _or(c("rating"), "unknown")), _line("review_title", _or(collapse(c("title")), "(untitled)")),
-            _if(product, _line("product_title", product)), _if(c("product_main"), _line("product_main_category", truncate(c("product_main"), 120))), F.when(F.size(path) > 0, _line("product_category_path", F.array_join(path, " > "))),
+            F.concat(F.lit("[review "), place.cast("string"), F.lit("]")), _line("date", _or(c("ts_ms"), "unknown")),
+            _line("category", _or(c("category"), "Unknown")),
+            _line("parent", _or(F.coalesce(c("parent_id").cast("string"), c("product_id").cast("string")), "")),
+            _line("rating", _or(c("rating"), "unknown")), _line("review_title", _or(collapse(c("title")), "(untitled)")),
+            _if(product, _line("product_title", product)), _if(c("product_main"), _line("product_main_category", truncate(c("product_main"), 120))),
+            F.when(F.size(path) > 0, _line("product_category_path", F.array_join(path, " > "))),
             _line("verified", _or(c("verified"), "unknown")), _line("helpful_vote", _or(c("helpful"), "0")), _line("text", text),
         ]
     elif spec.cascade == "shop":
-        lines = [F.concat(F.lit("[review "), place.cast("string"), F.lit("]")), _line("timestamp", _or(c("timestamp"), "unknown")), _line("category", _or(c("category"), "Unknown")), _line("rating", _or(c("rating"), "unknown")), _if(product, _line("product_title", product)), _if(c("product_url"), _line("product_url", collapse(c("product_url")))), _line("text", text)]
+        lines = [
+            F.concat(F.lit("[review "), place.cast("string"), F.lit("]")), _line("timestamp", _or(c("timestamp"), "unknown")),
+            _line("category", _or(c("category"), "Unknown")), _line("rating", _or(c("rating"), "unknown")),
+            _if(product, _line("product_title", product)), _if(c("product_url"), _line("product_url", collapse(c("product_url")))),
+            _line("text", text)
+        ]
     elif spec.cascade == "qa":
         tags = F.array_join(F.col("tags"), ", ") if "tags" in has else F.lit("")
         lines = [
-            F.concat(F.lit("[post p"), F.lpad(place.cast("string"), 4, "0"), F.lit("]")), _line("date", _or(c("date"), "unknown")), _line("type", _or(c("post_type"), "post")), _line("tags", _or(tags, "(none)")),
-            _line("title", _or(c("title"), "(untitled)")), _line("score", _or(c("score"), "unknown")), _line("accepted", _or(c("accepted"), "n/a")), _line("text", text),
+            F.concat(F.lit("[post p"), F.lpad(place.cast("string"), 4, "0"), F.lit("]")), _line("date", _or(c("date"), "unknown")),
+            _line("type", _or(c("post_type"), "post")), _line("tags", _or(tags, "(none)")),
+            _line("title", _or(c("title"), "(untitled)")), _line("score", _or(c("score"), "unknown")), _line("accepted", _or(c("accepted"), "n/a")),
+            _line("text", text),
         ]
     else:
-        lines = [F.concat(F.lit("[post "), place.cast("string"), F.lit("]")), _line("timestamp", _or(c("timestamp"), "unknown")), _line("thread_id", _or(c("thread"), "unknown")), _line("text", text)]
+        lines = [
+            F.concat(F.lit("[post "), place.cast("string"), F.lit("]")), _line("timestamp", _or(c("timestamp"), "unknown")),
+            _line("thread_id", _or(c("thread"), "unknown")), _line("text", text)
+        ]
     return F.concat_ws("\n", *lines)
 
 
@@ -95,24 +111,42 @@ def format_counts(entries: Column, most: int) -> Column:
 
 
 def summary(stats: DataFrame, spec: SourceSpec, parts: DataFrame | None = None) -> DataFrame:
-    """Per user one line: counts of the split (where there is one) and of the twelve largest categories. stats: as category_stats gives, with optional arrays ratings, products and bare_products of (value, n)."""
+    """Per user one line: counts of the split (where there is one) and of the twelve largest categories.
+
+    stats: as category_stats gives, with optional arrays ratings, products and bare_products of (value, n).
+    """
     mean = F.coalesce(two_decimals(F.col("mean_rating")), F.lit("unknown"))
     if spec.cascade == "review":
-        fields = [("category", F.col("category")), ("rows", F.col("items")), ("text_reviews", F.col("text_items")), ("rating_only", F.col("rating_only")), ("mean_rating", mean)]
-        fields += [(label, F.nullif(format_counts(F.col(c), n), F.lit(""))) for label, c, n in (("ratings", "ratings", 5), ("product_categories", "products", 4), ("rating_only_products", "bare_products", 3)) if c in stats.columns]
+        fields = [
+            ("category", F.col("category")), ("rows", F.col("items")), ("text_reviews", F.col("text_items")), ("rating_only", F.col("rating_only")),
+            ("mean_rating", mean)
+        ]
+        fields += [
+            (label, F.nullif(format_counts(F.col(c), n), F.lit("")))
+            for label, c, n in (("ratings", "ratings", 5), ("product_categories", "products", 4), ("rating_only_products", "bare_products", 3))
+            if c in stats.columns
+        ]
         head = "=== Summary Stats ==="
     else:
-        fields = [("category", F.col("category")), ("review_count", F.col("items")), ("text_chars", F.col("text_chars")), ("rating_count", F.col("rated")), ("mean_rating", mean)]
+        fields = [
+            ("category", F.col("category")), ("review_count", F.col("items")), ("text_chars", F.col("text_chars")), ("rating_count", F.col("rated")),
+            ("mean_rating", mean)
+        ]
         head = "=== Category Summary ==="
     line = F.concat_ws("; ", *[F.concat(F.lit(f"{label}="), v.cast("string")) for label, v in fields])
     w = Window.partitionBy("user_id").orderBy(F.col("items").desc(), "category")
     top = stats.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= TOP_CATEGORIES).withColumn("line", line)
-    lines = top.groupBy("user_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "line"))), lambda x: x["line"]), "\n").alias("lines"))
+    lines = top.groupBy("user_id").agg(F.array_join(
+        F.transform(F.array_sort(F.collect_list(F.struct("place", "line"))), lambda x: x["line"]), "\n"
+    ).alias("lines"))
     first = F.lit(head)
     if parts is not None:
         lines = lines.join(parts, "user_id", "left")
         n = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("string")
-        first = F.concat(first, F.lit("\nconstruction_rows: "), n("construction_rows"), F.lit("; validation_rows: "), n("validation_rows"), F.lit("; construction_text_reviews: "), n("construction_text_rows"), F.lit("; construction_ratings: "), n("construction_rated_rows"))
+        first = F.concat(
+            first, F.lit("\nconstruction_rows: "), n("construction_rows"), F.lit("; validation_rows: "), n("validation_rows"),
+            F.lit("; construction_text_reviews: "), n("construction_text_rows"), F.lit("; construction_ratings: "), n("construction_rated_rows")
+        )
     return lines.select("user_id", truncate(F.concat_ws("\n", first, "lines"), SUMMARY_CHARS).alias("summary"))
 
 
@@ -129,7 +163,10 @@ def profiles(items: DataFrame, spec: SourceSpec, summaries: DataFrame | None = N
     if spec.cascade == "review":
         groups = items.groupBy("user_id").agg(F.count_distinct(F.coalesce("category", F.lit("Unknown"))).alias("_groups"))
         body = body.join(groups, "user_id")
-        head = F.concat(F.lit(f"{spec.title} - construction split: "), F.col("profile_items").cast("string"), F.lit(" reviews across "), F.col("_groups").cast("string"), F.lit(" categories."))
+        head = F.concat(
+            F.lit(f"{spec.title} - construction split: "), F.col("profile_items").cast("string"), F.lit(" reviews across "),
+            F.col("_groups").cast("string"), F.lit(" categories.")
+        )
     if summaries is not None:
         body = body.join(summaries, "user_id", "left")
     whole = F.concat_ws("\n\n", head, *(["summary"] if summaries is not None else []), "body")

@@ -51,7 +51,9 @@ def chunked(dims: DataFrame, size: int) -> DataFrame:
     category = Window.partitionBy("category")
     out = dims.withColumn("_first", F.min("pos").over(category)).withColumn("_part", F.floor((F.row_number().over(category.orderBy("pos")) - 1) / size))
     every = Window.partitionBy(F.lit(0))  # a schema has few rows
-    return out.withColumn("chunk", F.dense_rank().over(every.orderBy("_first", "_part")) - 1).withColumn("rank", F.row_number().over(every.orderBy("_first", "pos"))).drop("_first", "_part")
+    return out.withColumn(
+        "chunk", F.dense_rank().over(every.orderBy("_first", "_part")) - 1
+    ).withColumn("rank", F.row_number().over(every.orderBy("_first", "pos"))).drop("_first", "_part")
 
 
 def dimension_line(id_: Column, label: Column, description: Column, values: Column) -> Column:
@@ -61,6 +63,12 @@ def dimension_line(id_: Column, label: Column, description: Column, values: Colu
 
 def prompts(profiles: DataFrame, chunks: DataFrame, rules: tuple[str, ...] = RULES) -> DataFrame:
     """user_id, chunk, prompt: every profile with every chunk. Chunks are few rows of a schema, so they are broadcast."""
-    lines = chunks.groupBy("chunk").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", dimension_line(F.col("id"), F.col("label"), F.col("description"), F.col("values")).alias("line")))), lambda x: x["line"]), "\n").alias("dimension_lines"))
+    lines = chunks.groupBy("chunk").agg(F.array_join(
+        F.transform(
+            F.array_sort(F.collect_list(F.struct("rank", dimension_line(F.col("id"), F.col("label"), F.col("description"), F.col("values")).alias("line")))),
+            lambda x: x["line"]
+        ),
+        "\n"
+    ).alias("dimension_lines"))
     text = F.concat_ws("\n", F.lit("\n".join(rules)), F.lit("\nATTRIBUTES:"), "dimension_lines", F.lit("\nHISTORY:"), "profile_text")
     return profiles.crossJoin(F.broadcast(lines)).select("user_id", "chunk", text.alias("prompt"))

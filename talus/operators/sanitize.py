@@ -22,11 +22,19 @@ def parse_answers(answers: DataFrame) -> DataFrame:
 def judged(raw: DataFrame, dims: DataFrame, profiles: DataFrame, how: str = "dash") -> DataFrame:
     """raw answers of known dimensions, with value, confidence and evidence cleaned and ``supported``; what isn't is blank."""
     text = lambda c: F.trim(F.coalesce(c, F.lit("")))
-    named = raw.withColumn("field_id", text("field_id")).join(F.broadcast(dims.select(F.col("id").alias("field_id"), "values")), "field_id")  # a schema has few rows
-    clean = named.join(profiles.select("user_id", "profile_text"), "user_id").withColumns({"value": coerce_value(F.col("value"), F.col("values"), how), "confidence": confidence(F.col("confidence")), "evidence": text("evidence"), "description": text("description"), "assignment_type": text("assignment_type")})
+    named = raw.withColumn("field_id", text("field_id")).join(
+        F.broadcast(dims.select(F.col("id").alias("field_id"), "values")), "field_id"
+    )  # a schema has few rows
+    clean = named.join(profiles.select("user_id", "profile_text"), "user_id").withColumns({
+        "value": coerce_value(F.col("value"), F.col("values"), how), "confidence": confidence(F.col("confidence")), "evidence": text("evidence"),
+        "description": text("description"), "assignment_type": text("assignment_type")
+    })
     good = F.col("value").isNotNull() & F.col("assignment_type").isin(*ASSIGNMENTS) & quote_found(F.col("evidence"), F.col("profile_text"))
     out = clean.withColumn("supported", F.coalesce(good, F.lit(False))).drop("profile_text", "values")
-    blank = {"value": F.lit(None).cast("string"), "confidence": F.lit(0.0), "evidence": F.lit(""), "description": F.lit(""), "assignment_type": F.lit("unsupported")}
+    blank = {
+        "value": F.lit(None).cast("string"), "confidence": F.lit(0.0), "evidence": F.lit(""), "description": F.lit(""),
+        "assignment_type": F.lit("unsupported")
+    }
     return out.withColumns({c: F.when(F.col("supported"), F.col(c)).otherwise(b) for c, b in blank.items()})
 
 

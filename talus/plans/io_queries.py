@@ -59,7 +59,10 @@ _PLACED = "SELECT c_custkey, c_name, c_acctbal, row_number() OVER (PARTITION BY
 @query(_PLACED)
 def scan_json_lines(spark, sf_dir):
     place = F.row_number().over(Window.partitionBy("file").orderBy("pos"))
-    return _customers(spark, sf_dir).select(get("c_custkey", "bigint").alias("c_custkey"), get("c_name").alias("c_name"), get("c_acctbal", "double").alias("c_acctbal"), place.alias("place"))
+    return _customers(spark, sf_dir).select(
+        get("c_custkey", "bigint").alias("c_custkey"), get("c_name").alias("c_name"), get("c_acctbal", "double").alias("c_acctbal"),
+        place.alias("place")
+    )
 
 
 @query(f"SELECT c_custkey FROM ({_PLACED}) WHERE place <= 50")
@@ -73,7 +76,10 @@ def scan_json_array(spark, sf_dir):
     for n in range(2):
         put(as_array(rows.filter(F.col("k") % 2 == n)), folder, f"{n}.json", "k")
     found = readers.json_array(spark, readers.files(spark, folder, "*.json"))
-    return found.select(get("p_partkey", "bigint").alias("p_partkey"), get("p_name").alias("p_name"), get("p_brand").alias("p_brand"), get("p_size", "int").alias("p_size"))
+    return found.select(
+        get("p_partkey", "bigint").alias("p_partkey"), get("p_name").alias("p_name"), get("p_brand").alias("p_brand"),
+        get("p_size", "int").alias("p_size")
+    )
 
 
 @query("SELECT doc_id, md5(coalesce(text, '')) AS text_md5, lang, source FROM documents")
@@ -101,34 +107,49 @@ def _stata(spark: SparkSession, frame: pd.DataFrame) -> str:
 @query("SELECT n_nationkey AS source_row, n_name, n_regionkey || '.0' AS n_regionkey FROM nation WHERE n_nationkey < 20")
 def scan_stata(spark, sf_dir):
     frame = table(spark, sf_dir, "nation").orderBy("n_nationkey").toPandas()  # 25 rows at every scale
-    return readers.stata(spark, _stata(spark, frame), ("n_name", "n_regionkey"), 20).select(F.col("source_row").cast("int").alias("source_row"), "n_name", "n_regionkey")
+    return readers.stata(spark, _stata(spark, frame), ("n_name", "n_regionkey"), 20).select(
+        F.col("source_row").cast("int").alias("source_row"), "n_name", "n_regionkey"
+    )
 
 
-@query("""WITH e AS (SELECT *, ' u' || user_id || ' ' AS raw_user, 'P' || event_id % 5 AS parent, 'A' || event_id % 3 AS asin, epoch_us(ts) // 1000000 AS secs, CASE WHEN event_id % 3 = 0 THEN event_type || ' x' END AS raw_text FROM events)
-SELECT trim(raw_user) AS user_id, 'Toys' AS category, secs * 1000 AS ts_ms, value AS rating, event_type AS title, coalesce(raw_text, props) AS text, event_id % 4 <> 0 AS verified, event_id % 6 AS helpful,
+@query("""WITH e AS (SELECT *, ' u' || user_id || ' ' AS raw_user, 'P' || event_id % 5 AS parent, 'A' || event_id % 3 AS asin, epoch_us(ts) // 1000000
+  AS secs, CASE WHEN event_id % 3 = 0 THEN event_type || ' x' END AS raw_text FROM events)
+SELECT trim(raw_user) AS user_id, 'Toys' AS category, secs * 1000 AS ts_ms, value AS rating, event_type AS title, coalesce(raw_text, props) AS text,
+  event_id % 4 <> 0 AS verified, event_id % 6 AS helpful,
   sha1('Toys|' || raw_user || '|' || parent || '|' || asin || '|' || CASE WHEN event_id % 2 = 0 THEN secs::VARCHAR ELSE '' END || '|'
-    || CASE WHEN value = 0 THEN '' WHEN value = floor(value) THEN value::BIGINT::VARCHAR ELSE value::VARCHAR END || '|' || coalesce(raw_text, '')) AS item_id FROM e WHERE year(ts) = 2024""")
+    || CASE WHEN value = 0 THEN '' WHEN value = floor(value) THEN value::BIGINT::VARCHAR ELSE value::VARCHAR END || '|' || coalesce(raw_text, '')) AS
+  item_id FROM e WHERE year(ts) = 2024""")
 def ingest_products(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     n, secs = F.col("event_id"), F.floor(micros(events, "ts") / 1_000_000)
     rows = events.select(
-        n.alias("event_id"), F.concat(F.lit(" u"), "user_id", F.lit(" ")).alias("user_id"), F.concat(F.lit("P"), n % 5).alias("parent_asin"), F.concat(F.lit("A"), n % 3).alias("asin"),
-        F.when(n % 2 == 0, secs).alias("timestamp"), F.when(n % 2 == 1, secs * 1000).alias("sort_timestamp"), F.col("value").alias("rating"), F.col("event_type").alias("review_title"),
-        F.when(n % 3 == 0, F.concat("event_type", F.lit(" x"))).alias("text"), F.col("props").alias("review_text"), (n % 4 != 0).alias("verified_purchase"), (n % 6).alias("helpful_vote"),
+        n.alias("event_id"), F.concat(F.lit(" u"), "user_id", F.lit(" ")).alias("user_id"), F.concat(F.lit("P"), n % 5).alias("parent_asin"),
+        F.concat(F.lit("A"), n % 3).alias("asin"),
+        F.when(n % 2 == 0, secs).alias("timestamp"), F.when(n % 2 == 1, secs * 1000).alias("sort_timestamp"), F.col("value").alias("rating"),
+        F.col("event_type").alias("review_title"),
+        F.when(n % 3 == 0, F.concat("event_type", F.lit(" x"))).alias("text"), F.col("props").alias("review_text"),
+        (n % 4 != 0).alias("verified_purchase"), (n % 6).alias("helpful_vote"),
     )
     folder = new_path(spark, "products")
     put(as_json(rows, "event_id"), folder, "meta_Toys_part_1.jsonl", "k")
     items = readers.product_reviews(readers.json_lines(spark, readers.files(spark, folder, "*.jsonl")))
-    return select.ingest_filter(items, REVIEWS_INTL.but(years=(2024, 2024))).select("user_id", "category", "ts_ms", "rating", "title", "text", "verified", "helpful", "item_id")
+    return select.ingest_filter(items, REVIEWS_INTL.but(years=(2024, 2024))).select(
+        "user_id", "category", "ts_ms", "rating", "title", "text", "verified", "helpful", "item_id"
+    )
 
 
-@query(f"""SELECT conv_id::VARCHAR AS user_id, CASE WHEN turn % 4 = 3 THEN sha1(conv_id || '|' || kind || '|' || (1500000000 + turn) * 1000 || '|' || coalesce(role, '') || '|' || plain) ELSE (conv_id * 1000 + turn)::VARCHAR END AS item_id, kind AS post_type,
-  (1500000000 + turn) * 1000 AS ts_ms, '2017-07-14' AS date, coalesce(role || ',', '') || 'a' AS tags, md5(plain) AS text_md5, row_number() OVER (PARTITION BY conv_id ORDER BY turn)::INT AS place
-FROM (SELECT *, CASE turn % 3 WHEN 1 THEN 'question' WHEN 2 THEN 'answer' ELSE 'post' END AS kind, {clean("regexp_replace(coalesce(text, ''), '<.*?>', ' ', 'gs')")} AS plain FROM conversations)""")
+@query(f"""SELECT conv_id::VARCHAR AS user_id, CASE WHEN turn % 4 = 3 THEN sha1(conv_id || '|' || kind || '|' || (1500000000 + turn) * 1000 || '|' ||
+  coalesce(role, '') || '|' || plain) ELSE (conv_id * 1000 + turn)::VARCHAR END AS item_id, kind AS post_type,
+  (1500000000 + turn) * 1000 AS ts_ms, '2017-07-14' AS date, coalesce(role || ',', '') || 'a' AS tags, md5(plain) AS text_md5, row_number() OVER
+  (PARTITION BY conv_id ORDER BY turn)::INT AS place
+FROM (SELECT *, CASE turn % 3 WHEN 1 THEN 'question' WHEN 2 THEN 'answer' ELSE 'post' END AS kind,
+  {clean("regexp_replace(coalesce(text, ''), '<.*?>', ' ', 'gs')")} AS plain FROM conversations)""")
 def ingest_posts(spark, sf_dir):
     post = F.struct(
-        F.col("turn").alias("_order"), F.when(F.col("turn") % 4 != 3, F.col("conv_id") * 1000 + F.col("turn")).alias("Id"), (F.col("turn") % 3).alias("PostTypeId"), (F.col("turn") + 1_500_000_000).alias("CreationDate"),
-        F.concat(F.coalesce(F.concat(F.lit("<"), "role", F.lit(">")), F.lit("")), F.lit("<a><a>")).alias("Tags"), F.col("role").alias("Title"), F.concat(F.lit("<p>"), F.coalesce("text", F.lit("")), F.lit("</p>")).alias("Body"),
+        F.col("turn").alias("_order"), F.when(F.col("turn") % 4 != 3, F.col("conv_id") * 1000 + F.col("turn")).alias("Id"),
+        (F.col("turn") % 3).alias("PostTypeId"), (F.col("turn") + 1_500_000_000).alias("CreationDate"),
+        F.concat(F.coalesce(F.concat(F.lit("<"), "role", F.lit(">")), F.lit("")), F.lit("<a><a>")).alias("Tags"), F.col("role").alias("Title"),
+        F.concat(F.lit("<p>"), F.coalesce("text", F.lit("")), F.lit("</p>")).alias("Body"),
     )
     users = table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("user_id")).agg(F.array_sort(F.collect_list(post)).alias("posts"))
     folder = new_path(spark, "posts")
@@ -136,7 +157,10 @@ def ingest_posts(spark, sf_dir):
         put(as_json(users, "user_id").filter(F.col("k") % 3 == n), folder, f"{n}.jsonl", "k")
     items = readers.qa_posts(readers.json_lines(spark, readers.files(spark, folder, "*.jsonl"), only_objects=True))
     place = F.row_number().over(Window.partitionBy("user_id").orderBy("source_index"))
-    return items.select("user_id", "item_id", "post_type", "ts_ms", "date", F.array_join("tags", ",").alias("tags"), F.md5(F.col("text").cast("binary")).alias("text_md5"), place.alias("place"))
+    return items.select(
+        "user_id", "item_id", "post_type", "ts_ms", "date", F.array_join("tags", ",").alias("tags"),
+        F.md5(F.col("text").cast("binary")).alias("text_md5"), place.alias("place")
+    )
 
 
 _DATES = ("yyyy-MM-dd", "yyyyMMdd", "yyyy-MM-dd'T'HH", "yyyy-MM-dd'T'HH:mm:ss'+0700'")
@@ -152,12 +176,16 @@ _TS = "epoch_us(o_orderdate) // 1000 - CASE WHEN o_orderkey % 4 = 3 THEN 2520000
 _AT = "strftime(to_timestamp(ts_ms // 1000 + 25200) AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%S+07:00')"
 
 
-@query(f"""SELECT user_id, category, rating, text, product_title, ts_ms, {_AT} AS timestamp, sha1(category || '|' || user_id || '|' || ts_ms || '|' || CASE WHEN rating = 0 THEN '' ELSE rating::INT::VARCHAR END || '|' || text || '|' || product_title || '||' || category) AS item_id
-FROM (SELECT o_custkey::VARCHAR AS user_id, CASE WHEN o_orderkey % 2 = 0 THEN 'Cat ' || o_orderstatus ELSE 'Books' END AS category, (o_orderkey % 7)::DOUBLE AS rating, o_orderpriority AS text, 'N' || o_orderkey AS product_title, {_TS} AS ts_ms FROM orders)""")
+@query(f"""SELECT user_id, category, rating, text, product_title, ts_ms, {_AT} AS timestamp, sha1(category || '|' || user_id || '|' || ts_ms || '|' ||
+  CASE WHEN rating = 0 THEN '' ELSE rating::INT::VARCHAR END || '|' || text || '|' || product_title || '||' || category) AS item_id
+FROM (SELECT o_custkey::VARCHAR AS user_id, CASE WHEN o_orderkey % 2 = 0 THEN 'Cat ' || o_orderstatus ELSE 'Books' END AS category, (o_orderkey %
+  7)::DOUBLE AS rating, o_orderpriority AS text, 'N' || o_orderkey AS product_title, {_TS} AS ts_ms FROM orders)""")
 def ingest_shop(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     rows = orders.select(
-        F.concat(F.lit(" "), F.col("o_custkey").cast("string")).alias("UserId"), F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit(" Cat \t"), "o_orderstatus")).alias("SubCategory"), (F.col("o_orderkey") % 7).alias("Rating"),
+        F.concat(F.lit(" "), F.col("o_custkey").cast("string")).alias("UserId"),
+        F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit(" Cat \t"), "o_orderstatus")).alias("SubCategory"),
+        (F.col("o_orderkey") % 7).alias("Rating"),
         F.col("o_orderpriority").alias("Comment"), F.concat(F.lit("N"), "o_orderkey").alias("ProductName"), _dated(orders).alias("CommentDate"), "o_orderkey",
     )
     folder = new_path(spark, "shop")
@@ -166,13 +194,16 @@ def ingest_shop(spark, sf_dir):
     return items.select("user_id", "category", "rating", "text", "product_title", "ts_ms", "timestamp", "item_id")
 
 
-@query(f"""SELECT user_id, category, source, thread, text, ts_ms, {_AT} AS timestamp, CASE WHEN explicit THEN 'id ' || thread ELSE sha1(category || '|' || user_id || '|' || ts_ms || '|' || thread || '||' || text) END AS item_id
-FROM (SELECT 'c ' || o_custkey AS user_id, CASE WHEN o_orderkey % 3 = 0 THEN 'forum' ELSE o_orderstatus END AS category, CASE WHEN o_orderkey % 3 = 2 THEN o_orderstatus ELSE 'forum' END AS source, o_orderkey::VARCHAR AS thread,
+@query(f"""SELECT user_id, category, source, thread, text, ts_ms, {_AT} AS timestamp, CASE WHEN explicit THEN 'id ' || thread ELSE sha1(category ||
+  '|' || user_id || '|' || ts_ms || '|' || thread || '||' || text) END AS item_id
+FROM (SELECT 'c ' || o_custkey AS user_id, CASE WHEN o_orderkey % 3 = 0 THEN 'forum' ELSE o_orderstatus END AS category, CASE WHEN o_orderkey % 3 = 2
+  THEN o_orderstatus ELSE 'forum' END AS source, o_orderkey::VARCHAR AS thread,
   o_orderpriority || ', "x"' || chr(10) || 'y' AS text, o_orderkey % 5 = 0 AS explicit, {_TS} AS ts_ms FROM orders)""")
 def ingest_forum(spark, sf_dir):
     orders, k = table(spark, sf_dir, "orders"), F.col("o_orderkey")
     rows = orders.select(
-        F.concat(F.lit("c   "), "o_custkey").alias("author"), _dated(orders).alias("created_at"), F.when(k % 3 == 1, F.col("o_orderstatus")).alias("label"), F.when(k % 3 == 2, F.col("o_orderstatus")).alias("source"),
+        F.concat(F.lit("c   "), "o_custkey").alias("author"), _dated(orders).alias("created_at"),
+        F.when(k % 3 == 1, F.col("o_orderstatus")).alias("label"), F.when(k % 3 == 2, F.col("o_orderstatus")).alias("source"),
         k.alias("thread_id"), F.concat("o_orderpriority", F.lit(', "x"\ny')).alias("text"), F.when(k % 5 == 0, F.concat(F.lit("id  "), k)).alias("post_id"),
     )
     folder = new_path(spark, "forum")
@@ -181,7 +212,8 @@ def ingest_forum(spark, sf_dir):
     return items.select("user_id", "category", "source", "thread", "text", "ts_ms", "timestamp", "item_id")
 
 
-@query("SELECT (('0x' || substr(sha1(user_id::VARCHAR), 1, 8))::BIGINT % 16)::INT AS shard, count(*) AS events, count(DISTINCT user_id) AS users FROM events GROUP BY ALL")
+@query("""SELECT (('0x' || substr(sha1(user_id::VARCHAR), 1, 8))::BIGINT % 16)::INT AS shard, count(*) AS events, count(DISTINCT user_id) AS users
+  FROM events GROUP BY ALL""")
 def shard_files(spark, sf_dir):
     path = sinks.write_shards(table(spark, sf_dir, "events").select("event_id", "user_id"), new_path(spark, "shards"), 16)
     return sinks.read_shards(spark, path).groupBy("shard").agg(F.count("*").alias("events"), F.count_distinct("user_id").alias("users"))
@@ -197,16 +229,22 @@ def file_digests(spark, sf_dir):
 
 @query("SELECT count(*) AS rows, count(DISTINCT c_mktsegment) AS segments, max(c_custkey) AS last, 'é' AS sign FROM customer")
 def json_document(spark, sf_dir):
-    row = table(spark, sf_dir, "customer").agg(F.count("*").alias("rows"), F.count_distinct("c_mktsegment").alias("segments"), F.max("c_custkey").alias("last"), F.lit("é").alias("sign"))
+    row = table(spark, sf_dir, "customer").agg(
+        F.count("*").alias("rows"), F.count_distinct("c_mktsegment").alias("segments"), F.max("c_custkey").alias("last"), F.lit("é").alias("sign")
+    )
     path = readers.require(spark, sinks.write_document(row, f"{new_path(spark, 'document')}.json"), "written just now")
     return spark.read.schema("rows long, segments long, last long, sign string").option("multiLine", True).json(path)
 
 
-_LINES = ", ".join("({}, '- {} | {} | What the {} is. | [{}]')".format(p, i, label, label.lower(), " | ".join(v) or "(free value)") for p, i, label, _, v in DIMS)
+_LINES = ", ".join(
+    "({}, '- {} | {} | What the {} is. | [{}]')".format(p, i, label, label.lower(), " | ".join(v) or "(free value)") for p, i, label, _, v in DIMS
+)
 
 
-@query(f"""WITH {CHUNK_SQL}, l(pos, line) AS (VALUES {_LINES}), t AS (SELECT chunk, string_agg(line, chr(10) ORDER BY rank) AS body FROM chunks JOIN l ON chunks.pos = l.pos GROUP BY chunk)
-SELECT c_custkey AS user_id, chunk, md5('Answer.' || chr(10) || chr(10) || 'ATTRIBUTES:' || chr(10) || body || chr(10) || chr(10) || 'HISTORY:' || chr(10) || c_name) AS prompt_md5 FROM customer, t""")
+@query(f"""WITH {CHUNK_SQL}, l(pos, line) AS (VALUES {_LINES}), t AS (SELECT chunk, string_agg(line, chr(10) ORDER BY rank) AS body FROM chunks JOIN l
+  ON chunks.pos = l.pos GROUP BY chunk)
+SELECT c_custkey AS user_id, chunk, md5('Answer.' || chr(10) || chr(10) || 'ATTRIBUTES:' || chr(10) || body || chr(10) || chr(10) || 'HISTORY:' ||
+  chr(10) || c_name) AS prompt_md5 FROM customer, t""")
 def prompt_log(spark, sf_dir):
     users = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("profile_text"))
     path = sinks.write_prompt_log(prompts.prompts(users, prompts.chunked(dims(spark), 2), rules=("Answer.",)), new_path(spark, "prompts"), 4)
@@ -224,7 +262,8 @@ def append_personas(spark, sf_dir):
     return spark.read.schema(schema).json(path).groupBy("user_id").agg(F.count("*").alias("personas"), F.min("run").alias("run"))
 
 
-@query("""SELECT trim(role_user) AS user_id, first_text AS value FROM (SELECT conv_id::VARCHAR AS role_user, md5(coalesce(text, '')) AS first_text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM conversations) WHERE n = 1""")
+@query("""SELECT trim(role_user) AS user_id, first_text AS value
+FROM (SELECT conv_id::VARCHAR AS role_user, md5(coalesce(text, '')) AS first_text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM conversations) WHERE n = 1""")
 def personas_first_wins(spark, sf_dir):
     fields = F.array(F.struct(F.lit("t").alias("field_id"), F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("value")))
     user = F.concat(F.when(F.col("turn") % 2 == 1, " ").otherwise(""), F.col("conv_id").cast("string"))
@@ -235,22 +274,32 @@ def personas_first_wins(spark, sf_dir):
 
 @query("SELECT * FROM (VALUES " + ", ".join(f"({p}, '{i}', '{c}', {len(v)})" for p, i, _, c, v in DIMS) + ") AS d(pos, id, category, allowed)")
 def schema_document(spark, sf_dir):
-    path = sinks.write_json(spark, {"dimensions": [{"id": i, "label": label, "category": c, "values": v} for _, i, label, c, v in DIMS]}, f"{new_path(spark, 'schema')}.json")
+    path = sinks.write_json(
+        spark, {"dimensions": [{"id": i, "label": label, "category": c, "values": v} for _, i, label, c, v in DIMS]},
+        f"{new_path(spark, 'schema')}.json"
+    )
     return prompts.load_dimensions(spark, path).select("pos", "id", "category", F.size("values").alias("allowed"))
 
 
-@query("""SELECT event_id, CASE event_id % 4 WHEN 0 THEN event_type || ',B' WHEN 1 THEN event_type || ',B,c d' WHEN 2 THEN event_type ELSE '1,2,3,4,5,6' END AS path, CASE event_id % 3 WHEN 0 THEN 'Toys' WHEN 1 THEN 'Books' ELSE 'Home_part' END AS category FROM events""")
+@query("""SELECT event_id, CASE event_id % 4 WHEN 0 THEN event_type || ',B' WHEN 1 THEN event_type || ',B,c d' WHEN 2 THEN event_type ELSE '1,2,3,4,5,6' END AS path,
+  CASE event_id % 3 WHEN 0 THEN 'Toys' WHEN 1 THEN 'Books' ELSE 'Home_part' END AS category FROM events""")
 def category_paths(spark, sf_dir):
     k, t = F.col("event_id") % 4, F.col("event_type")
-    raw = F.when(k == 0, F.concat(F.lit('["'), t, F.lit('", "B", "'), t, F.lit('", ""]'))).when(k == 1, F.concat(F.lit('[["'), t, F.lit('"], ["B", " c  d "]]'))).when(k == 2, t).otherwise('["1","2","3","4","5","6","7"]')
+    raw = F.when(
+        k == 0, F.concat(F.lit('["'), t, F.lit('", "B", "'), t, F.lit('", ""]'))
+    ).when(k == 1, F.concat(F.lit('[["'), t, F.lit('"], ["B", " c  d "]]'))).when(k == 2, t).otherwise('["1","2","3","4","5","6","7"]')
     name = F.when(F.col("event_id") % 3 == 0, "meta_Toys_part_002.jsonl.gz").when(F.col("event_id") % 3 == 1, "Books_sample_9.jsonl").otherwise("Home_part.jsonl")
-    return table(spark, sf_dir, "events").select("event_id", F.array_join(fn.category_path(raw), ",").alias("path"), fn.category_of_file(name).alias("category"))
+    return table(spark, sf_dir, "events").select(
+        "event_id", F.array_join(fn.category_path(raw), ",").alias("path"), fn.category_of_file(name).alias("category")
+    )
 
 
 # Answers of a made-up survey: each column goes through its labels, one that no rule knows, and a missing one.
 ANSWERS: dict[str, tuple[str, ...]] = {source: tuple(mapping) for source, mapping in VALUE_MAPS.values()} | {
-    "age": ("17", "18", "30.0", "44", "50", "64.5", "70", "84", "85", "89 or older"), "race": ("white", "black", "other"), "hispanic": ("not hispanic", "mexican", ""), "region": ("pacific", ""),
-    "degree": ("graduate", "bachelor's", "associate/junior college", "high school", "less than high school"), "educ": ("7 years of college", "8 or more years of college", "6th grade", "12th grade", "no formal schooling"),
+    "age": ("17", "18", "30.0", "44", "50", "64.5", "70", "84", "85", "89 or older"), "race": ("white", "black", "other"),
+    "hispanic": ("not hispanic", "mexican", ""), "region": ("pacific", ""),
+    "degree": ("graduate", "bachelor's", "associate/junior college", "high school", "less than high school"),
+    "educ": ("7 years of college", "8 or more years of college", "6th grade", "12th grade", "no formal schooling"),
     "reliten": ("strong", "somewhat strong (vol.)", "not very strong", "no religion"),
 }
 
@@ -261,8 +310,14 @@ def _answer_list(column: str) -> tuple[str | None, ...]:
 
 def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels with white space and capitals as files have them."""
-    pick = lambda c, i: F.element_at(F.array(*[F.lit(x) for x in _answer_list(c)]), (F.pmod(F.col("c_custkey") * (2 * i + 1) + F.floor(F.col("c_custkey") / 7), F.lit(len(_answer_list(c)))) + 1).cast("int"))
-    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("row_index"), *[F.concat(F.lit("\t"), F.initcap(pick(c, i)), F.lit(" ")).alias(c) for i, c in enumerate(SURVEY_COLUMNS)])
+    pick = lambda c, i: F.element_at(
+        F.array(*[F.lit(x) for x in _answer_list(c)]),
+        (F.pmod(F.col("c_custkey") * (2 * i + 1) + F.floor(F.col("c_custkey") / 7), F.lit(len(_answer_list(c)))) + 1).cast("int")
+    )
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("row_index"),
+        *[F.concat(F.lit("\t"), F.initcap(pick(c, i)), F.lit(" ")).alias(c) for i, c in enumerate(SURVEY_COLUMNS)]
+    )
 
 
 def _quoted(x: str | None) -> str:
@@ -270,21 +325,42 @@ def _quoted(x: str | None) -> str:
 
 
 def _rules_sql() -> str:
-    pick = [f"list_extract([{', '.join(map(_quoted, _answer_list(c)))}], ((c_custkey * {2 * i + 1} + c_custkey // 7) % {len(_answer_list(c))} + 1)::INT) AS {c if c != 'class' else 'class_'}" for i, c in enumerate(SURVEY_COLUMNS)]
+    pick = [
+        f"list_extract([{', '.join(map(_quoted, _answer_list(c)))}], ((c_custkey * {2 * i + 1} + c_custkey // 7) % {len(_answer_list(c))} + 1)::INT) AS {c if c != 'class' else 'class_'}"
+        for i, c in enumerate(SURVEY_COLUMNS)
+    ]
     parts = []
     for target, (source, mapping) in VALUE_MAPS.items():
         c = "class_" if source == "class" else source
         cases = " ".join(f"WHEN {_quoted(k)} THEN {_quoted(v)}" for k, v in mapping.items())
         void = [k for k, v in mapping.items() if v is None]
-        status = f"CASE WHEN {c} IS NULL THEN 'missing' WHEN {c} NOT IN ({', '.join(map(_quoted, mapping))}) THEN 'unmapped'" + (f" WHEN {c} IN ({', '.join(map(_quoted, void))}) THEN 'deliberately_null'" if void else "") + " ELSE 'mapped' END"
+        known = f"WHEN {c} NOT IN ({', '.join(map(_quoted, mapping))}) THEN 'unmapped'"
+        known += f" WHEN {c} IN ({', '.join(map(_quoted, void))}) THEN 'deliberately_null'" if void else ""
+        status = f"CASE WHEN {c} IS NULL THEN 'missing' {known} ELSE 'mapped' END"
         parts.append(f"SELECT row_index, '{target}' AS dimension_id, CASE {c} {cases} END AS result, {status} AS status FROM a")
     rules = {
-        "age_bracket": "CASE WHEN contains(age, 'older') THEN '85+' WHEN n BETWEEN 18 AND 24 THEN '18-24' WHEN n BETWEEN 25 AND 34 THEN '25-34' WHEN n BETWEEN 35 AND 44 THEN '35-44' WHEN n BETWEEN 45 AND 54 THEN '45-54' WHEN n BETWEEN 55 AND 64 THEN '55-64' WHEN n BETWEEN 65 AND 74 THEN '65-74' WHEN n BETWEEN 75 AND 84 THEN '75-84' WHEN n >= 85 THEN '85+' END",
-        "demo_ethnicity_broad": "CASE WHEN hispanic <> '' AND hispanic <> 'not hispanic' THEN 'Hispanic / Latino' WHEN race = 'white' THEN 'White / European' WHEN race = 'black' THEN 'Black / African' END",
-        "highest_education": "CASE degree WHEN 'graduate' THEN CASE WHEN contains(coalesce(educ, ''), '7 years') OR contains(coalesce(educ, ''), '8 or more years') THEN 'Doctorate' ELSE 'Master''s' END WHEN 'bachelor''s' THEN 'Bachelor''s' WHEN 'associate/junior college' THEN 'Associate''s' WHEN 'high school' THEN 'Secondary' WHEN 'less than high school' THEN CASE WHEN regexp_extract(educ, '^[0-9]+') <> '' AND regexp_extract(educ, '^[0-9]+')::INT <= 8 THEN 'Primary' ELSE 'Secondary' END END",
+        "age_bracket": (
+            "CASE WHEN contains(age, 'older') THEN '85+' WHEN n BETWEEN 18 AND 24 THEN '18-24' WHEN n BETWEEN 25 AND 34 THEN '25-34'"
+            " WHEN n BETWEEN 35 AND 44 THEN '35-44' WHEN n BETWEEN 45 AND 54 THEN '45-54' WHEN n BETWEEN 55 AND 64 THEN '55-64'"
+            " WHEN n BETWEEN 65 AND 74 THEN '65-74' WHEN n BETWEEN 75 AND 84 THEN '75-84' WHEN n >= 85 THEN '85+' END"
+        ),
+        "demo_ethnicity_broad": (
+            "CASE WHEN hispanic <> '' AND hispanic <> 'not hispanic' THEN 'Hispanic / Latino'"
+            " WHEN race = 'white' THEN 'White / European' WHEN race = 'black' THEN 'Black / African' END"
+        ),
+        "highest_education": (
+            "CASE degree WHEN 'graduate' THEN CASE"
+            " WHEN contains(coalesce(educ, ''), '7 years') OR contains(coalesce(educ, ''), '8 or more years') THEN 'Doctorate' ELSE 'Master''s' END"
+            " WHEN 'bachelor''s' THEN 'Bachelor''s' WHEN 'associate/junior college' THEN 'Associate''s'"
+            " WHEN 'high school' THEN 'Secondary' WHEN 'less than high school' THEN CASE"
+            " WHEN regexp_extract(educ, '^[0-9]+') <> '' AND regexp_extract(educ, '^[0-9]+')::INT <= 8 THEN 'Primary' ELSE 'Secondary' END END"
+        ),
         "seniority": "CASE wrkstat WHEN 'retired' THEN 'Retired' WHEN 'in school' THEN 'Student / intern' END",
         "life_stage": "CASE wrkstat WHEN 'in school' THEN 'Student' WHEN 'retired' THEN 'Retirement' END",
-        "religiosity": "CASE WHEN relig = 'none' OR reliten = 'no religion' THEN 'Secular' WHEN reliten = 'strong' THEN 'Devout' WHEN reliten = 'somewhat strong (vol.)' THEN 'Observant' WHEN reliten = 'not very strong' THEN 'Spiritual' END",
+        "religiosity": (
+            "CASE WHEN relig = 'none' OR reliten = 'no religion' THEN 'Secular' WHEN reliten = 'strong' THEN 'Devout'"
+            " WHEN reliten = 'somewhat strong (vol.)' THEN 'Observant' WHEN reliten = 'not very strong' THEN 'Spiritual' END"
+        ),
         "region": "CASE WHEN region <> '' THEN 'North America' END",
     }
     parts += [f"SELECT row_index, '{t}', {sql}, CASE WHEN {sql} IS NULL THEN 'unsupported' ELSE 'mapped' END FROM a" for t, sql in rules.items()]
@@ -296,38 +372,57 @@ def survey_rules(spark, sf_dir):
     return cw.audit(_answers(spark, sf_dir), keep=("row_index",)).select("row_index", "dimension_id", "result", "status")
 
 
-@query("SELECT format('gss-{:06d}', n_nationkey) AS user_id, 18 AS fields, 4 AS direct, n_nationkey::VARCHAR AS source_row_index FROM nation WHERE n_nationkey < 20")
+@query("""SELECT format('gss-{:06d}', n_nationkey) AS user_id, 18 AS fields, 4 AS direct, n_nationkey::VARCHAR AS source_row_index FROM nation WHERE
+  n_nationkey < 20""")
 def survey_file(spark, sf_dir):
     """A Stata file of a row for each nation, converted with its checks and manifest, and read back from its gzipped lines."""
     keys = [r["n_nationkey"] for r in table(spark, sf_dir, "nation").select("n_nationkey").orderBy("n_nationkey").collect()]  # 25 rows at every scale
-    frame = pd.DataFrame([dict.fromkeys(SURVEY_COLUMNS, "x") | {"sex": ("female", "male")[k % 2], "age": str(20 + 3 * k % 60)} for k in keys]).rename(columns={"class": "clas5"})
+    frame = pd.DataFrame([
+        dict.fromkeys(SURVEY_COLUMNS, "x") | {"sex": ("female", "male")[k % 2], "age": str(20 + 3 * k % 60)} for k in keys
+    ]).rename(columns={"class": "clas5"})
     values = {t: sorted({v for v in m.values() if v}) for t, (_, m) in VALUE_MAPS.items()} | {t: [] for t in computed()}
-    values |= {"age_bracket": ["18-24", "25-34", "35-44", "45-54", "55-64", "65-74", "75-84", "85+"], "region": ["North America"], "demo_ethnicity_broad": ["Hispanic / Latino"]}
+    values |= {
+        "age_bracket": ["18-24", "25-34", "35-44", "45-54", "55-64", "65-74", "75-84", "85+"], "region": ["North America"],
+        "demo_ethnicity_broad": ["Hispanic / Latino"]
+    }
     schema = sinks.write_json(spark, {"dimensions": [{"id": t, "category": "c", "values": v} for t, v in values.items()]}, f"{new_path(spark, 'schema')}.json")
     out = new_path(spark, "survey")
     pipeline.survey(spark, _stata(spark, frame), schema, out, limit=20)
     rows = spark.read.schema(pipeline.PERSONA + ", source_row_index string").json(out)
-    return rows.select("user_id", F.size("fields").alias("fields"), F.size(F.filter("fields", lambda f: f["assignment_type"] == "direct")).alias("direct"), "source_row_index")
+    return rows.select(
+        "user_id", F.size("fields").alias("fields"), F.size(F.filter("fields", lambda f: f["assignment_type"] == "direct")).alias("direct"),
+        "source_row_index"
+    )
 
 
 _BARE = "CASE WHEN source_index % 3 = 0 THEN '' ELSE 'thing ' || source_index % 5 END"
 
 
-@query(f"""WITH {HIST}, rem AS (SELECT * REPLACE (CASE source_index % 11 WHEN 0 THEN 'ok' WHEN 1 THEN '' ELSE text END AS text, ts_ms // 86400000 // 30 AS ts_ms), {_BARE} AS product_title FROM hist),
-pre AS (SELECT *, CASE WHEN rating IS NULL OR rating NOT BETWEEN 1 AND 5 THEN 'missing_or_invalid_rating' WHEN product_title = '' AND length({clean('text')}) < 20 THEN 'insufficient_text_evidence' END AS r FROM rem)
-SELECT item_id, user_id, coalesce(r, CASE WHEN row_number() OVER (PARTITION BY user_id, category, rating, ts_ms, lower({clean('text')}), product_title, r IS NULL ORDER BY source_index) > 1 THEN 'duplicate_review' END) AS reason FROM pre""")
+@query(f"""WITH {HIST}, rem AS (SELECT * REPLACE (CASE source_index % 11 WHEN 0 THEN 'ok' WHEN 1 THEN '' ELSE text END AS text, ts_ms // 86400000 //
+  30 AS ts_ms), {_BARE} AS product_title FROM hist),
+pre AS (SELECT *, CASE WHEN rating IS NULL OR rating NOT BETWEEN 1 AND 5 THEN 'missing_or_invalid_rating' WHEN product_title = '' AND
+  length({clean('text')}) < 20 THEN 'insufficient_text_evidence' END AS r FROM rem)
+SELECT item_id, user_id, coalesce(r, CASE WHEN row_number() OVER (PARTITION BY user_id, category, rating, ts_ms, lower({clean('text')}),
+  product_title, r IS NULL ORDER BY source_index) > 1 THEN 'duplicate_review' END) AS reason FROM pre""")
 def shop_filter(spark, sf_dir):
     k = F.col("source_index")
-    items = hist(spark, sf_dir).withColumn("text", F.when(k % 11 == 0, "ok").when(k % 11 == 1, "").otherwise(F.col("text"))).withColumn("ts_ms", F.floor(F.floor(F.col("ts_ms") / 86_400_000) / 30))
+    items = hist(spark, sf_dir).withColumn(
+        "text", F.when(k % 11 == 0, "ok").when(k % 11 == 1, "").otherwise(F.col("text"))
+    ).withColumn("ts_ms", F.floor(F.floor(F.col("ts_ms") / 86_400_000) / 30))
     items = items.withColumn("product_title", F.when(k % 3 == 0, "").otherwise(F.concat(F.lit("thing "), k % 5)))
     return history.removal_reasons(items, REVIEWS_VN).select("item_id", "user_id", "reason")
 
 
-@query("""SELECT event_id, CASE event_id % 6 WHEN 0 THEN epoch_us(day) // 1000 WHEN 1 THEN epoch_us(day) // 1000 + 9 * 3600000 WHEN 2 THEN epoch_us(day) // 1000 + (9 * 3600 + 30 * 60 + 15) * 1000 + 250 WHEN 3 THEN epoch_us(day) // 1000 WHEN 4 THEN epoch_us(day) // 1000 - 5400000 END AS ts_ms
+@query("""SELECT event_id, CASE event_id % 6 WHEN 0 THEN epoch_us(day) // 1000 WHEN 1 THEN epoch_us(day) // 1000 + 9 * 3600000 WHEN 2 THEN
+  epoch_us(day) // 1000 + (9 * 3600 + 30 * 60 + 15) * 1000 + 250 WHEN 3 THEN epoch_us(day) // 1000 WHEN 4 THEN epoch_us(day) // 1000 - 5400000 END AS ts_ms
 FROM (SELECT event_id, date_trunc('day', ts)::TIMESTAMP AS day FROM events)""")
 def iso_forms(spark, sf_dir):
     day, k = F.date_trunc("day", F.col("ts").cast("timestamp_ntz")), F.col("event_id") % 6
     at = lambda p: F.date_format(day, p)
-    week = F.concat(F.extract(F.lit("YEAROFWEEK"), day).cast("string"), F.lit("-W"), F.lpad(F.weekofyear(day).cast("string"), 2, "0"), F.lit("-"), (F.weekday(day) + 1).cast("string"))
-    text = F.when(k == 0, at("yyyyMMdd")).when(k == 1, at("yyyy-MM-dd'T09'")).when(k == 2, at("yyyy-MM-dd'T093015,25'")).when(k == 3, week).when(k == 4, at("yyyy-MM-dd'T00:00+01:30'")).otherwise("2024-13-01")
+    week = F.concat(
+        F.extract(F.lit("YEAROFWEEK"), day).cast("string"), F.lit("-W"), F.lpad(F.weekofyear(day).cast("string"), 2, "0"), F.lit("-"),
+        (F.weekday(day) + 1).cast("string")
+    )
+    text = F.when(k == 0, at("yyyyMMdd")).when(k == 1, at("yyyy-MM-dd'T09'")).when(k == 2, at("yyyy-MM-dd'T093015,25'"))
+    text = text.when(k == 3, week).when(k == 4, at("yyyy-MM-dd'T00:00+01:30'")).otherwise("2024-13-01")
     return table(spark, sf_dir, "events").select("event_id", fn.iso_ms(text).alias("ts_ms"))

@@ -60,7 +60,8 @@ def read_metadata(spark: SparkSession, folder: str) -> DataFrame:
     get = lambda n: F.try_variant_get("v", f"$.{n}", "string")
     name = F.element_at(F.split("file", "/"), -1)
     rows = raw.select(
-        F.coalesce(get("category"), readers.category_of_file(name)).alias("category"), F.coalesce(get("parent_asin"), F.lit("")).alias("parent_id"), F.substring(collapse(get("title")), 1, 500).alias("product_title"),
+        F.coalesce(get("category"), readers.category_of_file(name)).alias("category"), F.coalesce(get("parent_asin"), F.lit("")).alias("parent_id"),
+        F.substring(collapse(get("title")), 1, 500).alias("product_title"),
         F.substring(collapse(get("main_category")), 1, 200).alias("product_main"), category_path(get("categories")).alias("product_path"), "pos",
     )
     return history.metadata_last(rows, ["category", "parent_id"], F.col("pos")).drop("pos")
@@ -79,7 +80,9 @@ def prepare(spark: SparkSession, run: Run) -> str:
         keys = ["category", "parent_id"]
         own = history.with_metadata(own, history.wanted_metadata(read_metadata(spark, run.metadata), own, keys), keys)
     elif run.spec.cascade == "review":
-        own = own.withColumns({"product_title": F.lit(None).cast("string"), "product_main": F.lit(None).cast("string"), "product_path": F.array().cast("array<string>")})
+        own = own.withColumns({
+            "product_title": F.lit(None).cast("string"), "product_main": F.lit(None).cast("string"), "product_path": F.array().cast("array<string>")
+        })
     judged = history.removal_reasons(own, run.spec)
     judged = judged if "category" in judged.columns else judged.withColumn("category", F.lit(None).cast("string"))
     sinks.write_json_lines(history.removal_summary(judged), run.at("removed"))
@@ -96,9 +99,14 @@ def compact(spark: SparkSession, run: Run) -> str:
         if run.spec.cascade == "review":
             pairs = lambda c, out: history.counters(shown, c).groupBy("user_id", "category").agg(F.collect_list(F.struct("value", "n")).alias(out))
             bare = F.when((collapse(F.col("title")) == "") & (collapse(F.col("text")) == ""), F.nullif(collapse(F.col("product_title")), F.lit("")))
-            stat = stat.join(pairs(history.rating_value(F.col("rating")), "ratings"), ["user_id", "category"], "left").join(pairs(bare, "bare_products"), ["user_id", "category"], "left")
+            stat = stat.join(
+                pairs(history.rating_value(F.col("rating")), "ratings"), ["user_id", "category"], "left"
+            ).join(pairs(bare, "bare_products"), ["user_id", "category"], "left")
             named = shown.select("user_id", "category", F.explode("product_path").alias("p"))
-            stat = stat.join(history.counters(named, F.col("p")).groupBy("user_id", "category").agg(F.collect_list(F.struct("value", "n")).alias("products")), ["user_id", "category"], "left")
+            stat = stat.join(
+                history.counters(named, F.col("p")).groupBy("user_id", "category").agg(F.collect_list(F.struct("value", "n")).alias("products")),
+                ["user_id", "category"], "left"
+            )
         summaries = profile.summary(stat, run.spec, history.split_summary(rows) if run.spec.cascade == "review" else None)
     out = profile.profiles(shown, run.spec, summaries).join(rows.groupBy("user_id").agg(F.first("rank").alias("rank")), "user_id")
     out.withColumn("source", F.lit(run.spec.name)).withColumn("profile_chars", F.length("profile_text")).write.mode("overwrite").parquet(run.at("profiles"))
@@ -134,7 +142,9 @@ def extract_personas(spark: SparkSession, run: Run) -> str:
     order = Window.orderBy("rank", "user_id")  # ranks and ids of top_k users at most
     places = todo.select("user_id", "rank").withColumn("turn", F.row_number().over(order) - 1)
     places = places.filter(F.col("turn") < run.spec.max_users) if run.spec.max_users else places
-    todo = written(todo.join(places.select("user_id", F.floor(F.col("turn") / run.users_at_once).cast("int").alias("turn")), "user_id"), new_path(spark, "todo"))
+    todo = written(
+        todo.join(places.select("user_id", F.floor(F.col("turn") / run.users_at_once).cast("int").alias("turn")), "user_id"), new_path(spark, "todo")
+    )
     dims = dimensions(spark, run)
     n = dims.count()
     if run.log_prompts:
@@ -163,7 +173,9 @@ def read_personas(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_stats(spark: SparkSession, run: Run) -> str:
-    people = stats.distinct_personas(read_personas(spark, readers.require(spark, run.at("personas"), "run the extract stage first")), strip=run.spec.cascade != "qa")
+    people = stats.distinct_personas(
+        read_personas(spark, readers.require(spark, run.at("personas"), "run the extract stage first")), strip=run.spec.cascade != "qa"
+    )
     dims, fields = dimensions(spark, run), stats.supported(people)
     listed = F.struct((-F.col("supported_dimension_count")).alias("_o"), "category", "supported_dimension_count")
     by = stats.supported_by_category(fields, dims).agg(F.array_sort(F.collect_list(listed)).alias("c"))  # a row for each category
@@ -189,12 +201,16 @@ def survey(spark: SparkSession, source: str, schema: str, out: str, limit: int =
     crosswalk.check_targets(dims)
     rows = readers.stata(spark, source, SURVEY_COLUMNS, limit)
     seen = crosswalk.surrogate_users(crosswalk.crosswalk(rows), "source_row")
-    full = crosswalk.full_fields(seen, dims).select("user_id", F.lit(source_name).alias("source"), F.col("source_row").cast("string").alias("source_row_index"), "fields", "observed")
+    full = crosswalk.full_fields(seen, dims).select(
+        "user_id", F.lit(source_name).alias("source"), F.col("source_row").cast("string").alias("source_row_index"), "fields", "observed"
+    )
     sinks.write_json_lines(full, out, gzip=True)
     n = rows.count()
     crosswalk.validated(spark.read.schema(PERSONA).json(out), dims, n)
     digest = lambda path: sinks.file_sha256(spark, path).orderBy("path").first()["sha256"]
-    histogram = {str(r["grounded"]): r["respondents"] for r in crosswalk.grounded_histogram(seen).orderBy("grounded").collect()}  # at most one row for each dimension
+    histogram = {
+        str(r["grounded"]): r["respondents"] for r in crosswalk.grounded_histogram(seen).orderBy("grounded").collect()
+    }  # at most one row for each dimension
     digests = [r["sha256"] for r in sinks.file_sha256(spark, f"{out}/*.gz").orderBy("path").collect()]  # a row for each file written
     manifest = {
         "source": source, "source_sha256": digest(source), "schema": schema, "schema_sha256": digest(schema), "output": out, "output_sha256": digests,

@@ -14,7 +14,8 @@ from talus.functions.text import WHITE, category_of_file, clean_tags, collapse,
 
 # Names under which question-and-answer dumps hold a field; the first that is there and not null counts.
 ALIASES = {
-    "user_id": ("user_id", "owner_user_id", "OwnerUserId", "account_id"), "post_id": ("post_id", "Id", "id"), "post_type": ("post_type", "PostTypeId", "post_type_id"),
+    "user_id": ("user_id", "owner_user_id", "OwnerUserId", "account_id"), "post_id": ("post_id", "Id", "id"),
+    "post_type": ("post_type", "PostTypeId", "post_type_id"),
     "timestamp": ("timestamp", "creation_date", "CreationDate"), "tags": ("tags", "Tags"), "title": ("title", "Title"), "text": ("text", "body", "Body"),
     "score": ("score", "Score"), "accepted": ("accepted", "is_accepted", "accepted_answer"),
 }
@@ -79,7 +80,12 @@ def limit_per_file(rows: DataFrame, most: int) -> DataFrame:
 def json_lines(spark: SparkSession, paths: list[str], only_objects: bool = False) -> DataFrame:
     """file, pos and v, a variant, so that an absent key can be told from null. A bad line fails the job and is named; rows that are no objects go if only_objects."""
     rows = lines(spark, paths).withColumn("v", F.try_parse_json("value"))
-    checked = rows.withColumn("v", F.when(F.col("v").isNull(), F.raise_error(F.concat(F.lit("bad JSON in "), "file", F.lit(": "), F.substring("value", 1, 80))).cast("variant")).otherwise(F.col("v")))
+    checked = rows.withColumn(
+        "v",
+        F.when(
+            F.col("v").isNull(), F.raise_error(F.concat(F.lit("bad JSON in "), "file", F.lit(": "), F.substring("value", 1, 80))).cast("variant")
+        ).otherwise(F.col("v"))
+    )
     out = checked.select("file", "pos", "v")
     return out.filter(F.schema_of_variant("v").startswith("OBJECT")) if only_objects else out
 
@@ -164,7 +170,9 @@ def json_array(spark: SparkSession, paths: list[str]) -> DataFrame:
         yield pd.DataFrame(rows, columns=["file", "n", "value"])
 
     found = dealt.mapInPandas(of, "file string, n long, value string")
-    whole = F.when(F.col("value").isNull(), F.raise_error(F.concat("file", F.lit(" is no whole JSON array"))).cast("variant")).otherwise(F.try_parse_json("value"))
+    whole = F.when(
+        F.col("value").isNull(), F.raise_error(F.concat("file", F.lit(" is no whole JSON array"))).cast("variant")
+    ).otherwise(F.try_parse_json("value"))
     pos = F.struct(F.col("file"), F.lit(0).cast("long").alias("block"), F.col("n").alias("row"))
     out = found.select("file", pos.alias("pos"), whole.alias("v"), "value")
     bad = F.raise_error(F.concat(F.lit("bad JSON in "), "file", F.lit(": "), F.substring("value", 1, 80))).cast("variant")
@@ -249,12 +257,17 @@ def product_reviews(raw: DataFrame) -> DataFrame:
     text = lambda n: F.coalesce(_get(n), F.lit(""))
     either = lambda a, b: F.coalesce(F.nullif(_get(a), F.lit("")), _get(b), F.lit(""))
     category = F.coalesce(F.nullif(_get("category"), F.lit("")), F.nullif(category_of_file(name), F.lit("")), F.lit("Unknown"))
-    own_id = surrogate_id(F.col("category"), F.col("_user"), F.col("parent_id"), F.col("product_id"), _falsy(F.col("_time")), _falsy(F.col("_rating")), F.col("_text"))
+    own_id = surrogate_id(
+        F.col("category"), F.col("_user"), F.col("parent_id"), F.col("product_id"), _falsy(F.col("_time")), _falsy(F.col("_rating")), F.col("_text")
+    )
     rows = raw.select(
-        _strip(_get("user_id")).alias("user_id"), category.alias("category"), text("parent_asin").alias("parent_id"), text("asin").alias("product_id"), epoch_ms(time).alias("ts_ms"),
+        _strip(_get("user_id")).alias("user_id"), category.alias("category"), text("parent_asin").alias("parent_id"),
+        text("asin").alias("product_id"), epoch_ms(time).alias("ts_ms"),
         _get("rating").try_cast("double").alias("rating"), either("title", "review_title").alias("title"), either("text", "review_text").alias("text"),
-        F.coalesce(_get("verified_purchase", "boolean"), F.lit(False)).alias("verified"), F.coalesce(helpful.try_cast("bigint"), F.lit(0)).alias("helpful"), F.col("pos").alias("source_index"),
-        _get("review_id").alias("_id"), text("user_id").alias("_user"), _get("timestamp").alias("_time"), _get("rating").alias("_rating"), text("text").alias("_text"),
+        F.coalesce(_get("verified_purchase", "boolean"), F.lit(False)).alias("verified"),
+        F.coalesce(helpful.try_cast("bigint"), F.lit(0)).alias("helpful"), F.col("pos").alias("source_index"),
+        _get("review_id").alias("_id"), text("user_id").alias("_user"), _get("timestamp").alias("_time"), _get("rating").alias("_rating"),
+        text("text").alias("_text"),
     )
     return rows.withColumn("item_id", F.coalesce(F.nullif("_id", F.lit("")), own_id)).drop("_id", "_user", "_time", "_rating", "_text")
 
@@ -266,22 +279,29 @@ def shop_reviews(raw: DataFrame) -> DataFrame:
     category = collapse(F.coalesce(F.nullif(_get("SubCategory"), F.lit("")), F.nullif(stem, F.lit("")), F.lit("Unknown")))
     rows = raw.select(
         _strip(_get("UserId")).alias("user_id"), category.alias("category"), _get("Rating").try_cast("double").alias("rating"), text("Comment").alias("text"),
-        text("ProductName").alias("product_title"), text("ProductUrl").alias("product_url"), iso_ms(_get("CommentDate")).alias("ts_ms"), F.col("pos").alias("source_index"), _get("Rating").alias("_rating"),
+        text("ProductName").alias("product_title"), text("ProductUrl").alias("product_url"), iso_ms(_get("CommentDate")).alias("ts_ms"),
+        F.col("pos").alias("source_index"), _get("Rating").alias("_rating"),
     )
-    own_id = surrogate_id(*[_falsy(F.col(c)) if c in ("_rating", "ts_ms") else F.col(c) for c in ("category", "user_id", "ts_ms", "_rating", "text", "product_title", "product_url", "category")])
+    own_id = surrogate_id(*[
+        _falsy(F.col(c)) if c in ("_rating", "ts_ms") else F.col(c)
+        for c in ("category", "user_id", "ts_ms", "_rating", "text", "product_title", "product_url", "category")
+    ])
     return rows.withColumn("timestamp", iso_plus7(F.col("ts_ms"))).withColumn("item_id", own_id).drop("_rating")
 
 
 def qa_posts(raw: DataFrame) -> DataFrame:
     """Items of posts, flat or nested under ``posts`` of a user's row; names vary. Their order is that of rows, then of posts in a row."""
     nested = F.try_variant_get("v", "$.posts", "array<variant>")
-    each = raw.withColumn("outer_user", F.nullif(_strip(_get("user_id")), F.lit(""))).select("pos", "outer_user", F.posexplode(F.coalesce(nested, F.array("v"))).alias("i", "p"))
+    each = raw.withColumn("outer_user", F.nullif(_strip(_get("user_id")), F.lit(""))).select(
+        "pos", "outer_user", F.posexplode(F.coalesce(nested, F.array("v"))).alias("i", "p")
+    )
     each = each.filter(F.schema_of_variant("p").startswith("OBJECT"))
     get = lambda name, kind="string": _first(name, kind, "p")
     time = F.coalesce(epoch_ms(get("timestamp")), F.when(get("timestamp").try_cast("bigint").isNull(), iso_ms(get("timestamp"))))
     tags = F.coalesce(F.when(get("tags", "array<string>").isNotNull(), clean_tags(get("tags", "array<string>"))), parse_tags(get("tags")))
     rows = each.select(
-        F.coalesce("outer_user", _strip(get("user_id"))).alias("user_id"), F.coalesce(get("post_id"), F.lit("")).alias("_id"), post_type(get("post_type")).alias("post_type"), time.alias("ts_ms"), tags.alias("tags"),
+        F.coalesce("outer_user", _strip(get("user_id"))).alias("user_id"), F.coalesce(get("post_id"), F.lit("")).alias("_id"),
+        post_type(get("post_type")).alias("post_type"), time.alias("ts_ms"), tags.alias("tags"),
         collapse(get("title")).alias("title"), strip_html(get("text")).alias("text"), get("score").alias("score"), get("accepted", "boolean").alias("accepted"),
         F.struct(F.col("pos"), F.col("i").alias("item")).alias("source_index"),
     )
@@ -295,8 +315,10 @@ def forum_posts(raw: DataFrame) -> DataFrame:
     c = lambda n: F.coalesce(F.col(n), F.lit("")) if n in has else F.lit("")
     category = collapse(F.coalesce(F.nullif(c("label"), F.lit("")), F.nullif(c("source"), F.lit("")), F.lit(FORUM)))
     rows = raw.select(
-        collapse(c("author")).alias("user_id"), category.alias("category"), collapse(F.coalesce(F.nullif(c("source"), F.lit("")), F.lit(FORUM))).alias("source"), collapse(c("thread_id")).alias("thread"),
-        collapse(c("text_hash")).alias("text_hash"), c("text").alias("text"), iso_ms(c("created_at")).alias("ts_ms"), collapse(c("post_id")).alias("_id"), F.col("pos").alias("source_index"),
+        collapse(c("author")).alias("user_id"), category.alias("category"),
+        collapse(F.coalesce(F.nullif(c("source"), F.lit("")), F.lit(FORUM))).alias("source"), collapse(c("thread_id")).alias("thread"),
+        collapse(c("text_hash")).alias("text_hash"), c("text").alias("text"), iso_ms(c("created_at")).alias("ts_ms"),
+        collapse(c("post_id")).alias("_id"), F.col("pos").alias("source_index"),
         c("thread_id").alias("_thread"), c("text_hash").alias("_hash"),
     )
     own_id = surrogate_id(*[_falsy(F.col(n)) if n == "ts_ms" else F.col(n) for n in ("category", "user_id", "ts_ms", "_thread", "_hash", "text")])

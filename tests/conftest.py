@@ -13,7 +13,10 @@ SMALL = "/root/testdata/sf0.001"
 def spark():
     from pyspark.sql import SparkSession
 
-    conf = {"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.session.timeZone": "UTC", "spark.driver.memory": "4g", "spark.driver.bindAddress": "127.0.0.1", "spark.driver.host": "127.0.0.1"}
+    conf = {
+        "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+        "spark.sql.session.timeZone": "UTC", "spark.driver.memory": "4g", "spark.driver.bindAddress": "127.0.0.1", "spark.driver.host": "127.0.0.1"
+    }
     builder = SparkSession.builder.master("local[4]").appName("talus-tests")
     for k, v in conf.items():
         builder = builder.config(k, v)

@@ -42,7 +42,13 @@ def test_json_array(spark, tmp_path):
 
 
 def test_nested_posts(spark, tmp_path):
-    (tmp_path / "p.jsonl").write_text(json.dumps({"user_id": "u2", "posts": [{"Id": 7, "PostTypeId": "1", "CreationDate": "2020-01-02T03:04:05Z", "Tags": "<spark><sql><spark>", "Title": "Why?", "Body": "<p>See <code>a<b</code> &amp; x</p>", "Score": 3}]}) + "\n" + json.dumps({"OwnerUserId": 9, "timestamp": 5, "tags": ["x", "x"], "text": "t"}) + "\n")
+    (tmp_path / "p.jsonl").write_text(json.dumps({
+        "user_id": "u2",
+        "posts": [{
+            "Id": 7, "PostTypeId": "1", "CreationDate": "2020-01-02T03:04:05Z", "Tags": "<spark><sql><spark>", "Title": "Why?",
+            "Body": "<p>See <code>a<b</code> &amp; x</p>", "Score": 3
+        }]
+    }) + "\n" + json.dumps({"OwnerUserId": 9, "timestamp": 5, "tags": ["x", "x"], "text": "t"}) + "\n")
     rows = readers.qa_posts(readers.json_lines(spark, readers.files(spark, str(tmp_path), "*.jsonl"))).orderBy("source_index").collect()
     assert rows[0]["text"] == "See [CODE] &amp; x" and rows[0]["tags"] == ["spark", "sql"] and rows[0]["post_type"] == "question" and rows[0]["date"] == "2020-01-02" and rows[0]["item_id"] == "7"
     assert rows[1]["user_id"] == "9" and rows[1]["tags"] == ["x"] and rows[1]["ts_ms"] == 5000 and len(rows[1]["item_id"]) == 40
@@ -62,7 +68,9 @@ def test_posts_of_many_files_keep_their_order(spark, tmp_path):
 @pytest.mark.parametrize("size", [1 << 27, 40])
 def test_json_arrays_in_parts(spark, tmp_path, size):
     rows = [{"a": i, "t": "}{][ \\ \" é" * (i % 3), "in": {"x": [i, {"y": "}"}]}} for i in range(20)]
-    (tmp_path / "one.json").write_text("\ufeff[" + ", ".join(json.dumps(r) + (', [1, {"n": 1}], "}", null' if r["a"] % 5 == 0 else "") for r in rows) + " ]\n", encoding="utf-8")
+    (tmp_path / "one.json").write_text(
+        "\ufeff[" + ", ".join(json.dumps(r) + (', [1, {"n": 1}], "}", null' if r["a"] % 5 == 0 else "") for r in rows) + " ]\n", encoding="utf-8"
+    )
     (tmp_path / "two.json").write_text(json.dumps([{"a": 100}], indent=1))
     (tmp_path / "zero.json").write_text(" [ ]")
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
@@ -175,6 +183,7 @@ def test_stream_takes_each_item_once(spark, tmp_path):
     (tmp_path / "in").mkdir()
     schema, spec = "user_id string, item_id string, ts_ms long, source_index long", REVIEWS_INTL.but(years=None, shards=4)
     for n, items in enumerate(([("u", "a"), ("u", "b"), ("", "c")], [("u", "b"), ("v", "d")])):
-        (tmp_path / "in" / f"{n}.json").write_text("".join(json.dumps({"user_id": u, "item_id": i, "ts_ms": 1, "source_index": k}) + "\n" for k, (u, i) in enumerate(items)))
+        (tmp_path / "in" / f"{n}.json").write_text("".join(json.dumps({"user_id": u, "item_id": i, "ts_ms": 1, "source_index": k}) + "\n" for k, (u,
+  i) in enumerate(items)))
         ingest.ingest_stream(spark, source, schema, target, check, spec).awaitTermination()
     assert sorted((r["user_id"], r["item_id"]) for r in spark.read.parquet(target).collect()) == [("u", "a"), ("u", "b"), ("v", "d")]

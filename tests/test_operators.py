@@ -67,9 +67,21 @@ def _cascade(rows, spec):
 @pytest.mark.parametrize("seed", range(3))
 def test_cascade_equals_row_by_row(spark, seed):
     rng = random.Random(seed)
-    texts = ["Great product, works as expected", "great  PRODUCT, works as expected", "A long enough remark about it", "a LONG enough remark about it", "short", "", "Another remark that is long enough"]
-    rows = [{"user_id": "u", "source_index": i, "category": rng.choice("ab"), "ts_ms": rng.choice([None, 1, 2]), "rating": rng.choice([None, 0.0, 3.0, 5.0]), "text": rng.choice(texts), "title": "", "product_id": None} for i in range(150)]
-    df = spark.createDataFrame([tuple(r.values()) for r in rows], "user_id string, source_index long, category string, ts_ms long, rating double, text string, title string, product_id string")
+    texts = [
+        "Great product, works as expected", "great  PRODUCT, works as expected", "A long enough remark about it", "a LONG enough remark about it",
+        "short", "", "Another remark that is long enough"
+    ]
+    rows = [
+        {
+            "user_id": "u", "source_index": i, "category": rng.choice("ab"), "ts_ms": rng.choice([None, 1, 2]),
+            "rating": rng.choice([None, 0.0, 3.0, 5.0]), "text": rng.choice(texts), "title": "", "product_id": None
+        }
+        for i in range(150)
+    ]
+    df = spark.createDataFrame(
+        [tuple(r.values()) for r in rows],
+        "user_id string, source_index long, category string, ts_ms long, rating double, text string, title string, product_id string"
+    )
     found = {r["source_index"]: r["reason"] for r in history.removal_reasons(df, REVIEWS_INTL).collect()}
     assert found == _cascade(rows, REVIEWS_INTL)
     summary = history.removal_summary(history.removal_reasons(df, REVIEWS_INTL)).first()
@@ -106,7 +118,10 @@ def test_two_decimals_as_printf(spark):
 
 def test_profiles_of_all_sources(spark):
     rows = [("u", i, 1_700_000_000_000 + i, f"text {i}", "", "c", 4.0, ["a"], "th") for i in range(3)]
-    items = spark.createDataFrame(rows, "user_id string, source_index long, ts_ms long, text string, title string, category string, rating double, tags array<string>, thread string").withColumn("product_id", F.lit("p")).withColumn("score", F.lit("2"))
+    items = spark.createDataFrame(
+        rows,
+        "user_id string, source_index long, ts_ms long, text string, title string, category string, rating double, tags array<string>, thread string"
+    ).withColumn("product_id", F.lit("p")).withColumn("score", F.lit("2"))
     for spec in SPECS.values():
         text = profile.profiles(items, spec, profile.summary(history.category_stats(items), spec)).first()["profile_text"]
         assert all(f"text: text {i}" in text for i in range(3)), spec.name
@@ -130,7 +145,9 @@ def test_sanitize_prefers_support_then_confidence_then_order(spark):
     answers = spark.createDataFrame([("u", 0, text), ("u", 1, "}{"), ("u", 2, '{"fields":"x"}'), ("u", 3, None)], "user_id string, chunk int, response string")
     best = sanitize.best_answers(sanitize.judged(sanitize.parse_answers(answers), dims, prof))
     row = sanitize.personas(best, prof, dims).first()
-    assert [(f["field_id"], f["value"], f["confidence"], f["assignment_type"]) for f in row["fields"]] == [("d", "b", 0.7, "direct"), ("e", None, 0.0, "unsupported")]
+    assert [
+        (f["field_id"], f["value"], f["confidence"], f["assignment_type"]) for f in row["fields"]
+    ] == [("d", "b", 0.7, "direct"), ("e", None, 0.0, "unsupported")]
 
 
 def test_stats_take_the_first_persona_of_a_user(spark):
@@ -153,7 +170,9 @@ def test_crosswalk_statuses(spark):
     assert status["demo_citizenship_status"] == ("deliberately_null", None) and status["demo_marital_status"] == ("unmapped", None)
     assert status["gender_identity"] == ("mapped", "Woman") and status["trust_level"] == ("mapped", "Skeptical") and status["political_lean"] == ("missing", None)
     out = crosswalk.crosswalk(df).first()
-    assert out["observed"] == {"gender_identity": "Woman", "demo_children_count": "3+ children", "trust_level": "Skeptical", "age_bracket": "35-44"} and out["unmapped"] == {"demo_marital_status": "maybe"}
+    assert out["observed"] == {
+        "gender_identity": "Woman", "demo_children_count": "3+ children", "trust_level": "Skeptical", "age_bracket": "35-44"
+    } and out["unmapped"] == {"demo_marital_status": "maybe"}
 
 
 def test_validation_counts_and_raises(spark):

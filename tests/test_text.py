@@ -33,12 +33,21 @@ def test_html_and_tags(spark):
     assert one(spark, fn.parse_tags(F.col("x")), x=None) == []
 
 
-@pytest.mark.parametrize("x, out", [('["a","b","a"]', ["a", "b"]), ('[["a","b"],["c"]]', ["a", "b", "c"]), ("plain", ["plain"]), ('["1","2","3","4","5","6","7"]', list("123456")), (None, [])])
+@pytest.mark.parametrize(
+    "x, out",
+    [('["a","b","a"]', ["a", "b"]), ('[["a","b"],["c"]]', ["a", "b", "c"]), ("plain", ["plain"]), ('["1","2","3","4","5","6","7"]', list("123456")), (None, [])]
+)
 def test_category_path(spark, x, out):
     assert one(spark, fn.category_path(F.col("x")), x=x) == out
 
 
-@pytest.mark.parametrize("x, out", [("2024-01-02T03:04:05+0700", 1704139445000), ("2024-01-02", 1704153600000), ("2024-01-02T03:04:05Z", 1704164645000), ("2024-01-02 03:04:05", 1704164645000), ("2024", None), ("x", None), (None, None)])
+@pytest.mark.parametrize(
+    "x, out",
+    [
+        ("2024-01-02T03:04:05+0700", 1704139445000), ("2024-01-02", 1704153600000), ("2024-01-02T03:04:05Z", 1704164645000),
+        ("2024-01-02 03:04:05", 1704164645000), ("2024", None), ("x", None), (None, None)
+    ]
+)
 def test_iso(spark, x, out):
     assert one(spark, fn.iso_ms(F.col("x")), x=x) == out
 
