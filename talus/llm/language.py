@@ -196,7 +196,10 @@ def fit(
             values = [features(texts[i]) for i in known]
             at = [np.flatnonzero(x) for x in values]
             own = b.take(pa.array(known, pa.int64()))
-            cols = [pa.array([a.astype(np.uint16).tobytes() for a in at], pa.binary()), pa.array([x[a].astype(np.float32).tobytes() for a, x in zip(at, values, strict=True)], pa.binary())]
+            cols = [
+                pa.array([a.astype(np.uint16).tobytes() for a in at], pa.binary()),
+                pa.array([x[a].astype(np.float32).tobytes() for a, x in zip(at, values, strict=True)], pa.binary())
+            ]
             yield pa.RecordBatch.from_arrays([own["_draw"], own["_id"], own["_lang"], *cols], names=["_draw", "_id", "_lang", "at", "value"])
 
     drawn_rows = rows.withColumn("_draw", drawn).filter(F.col("_draw") < F.coalesce(share[F.col("_lang")], F.lit(0.0)))

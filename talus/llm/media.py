@@ -131,9 +131,14 @@ def write_media(docs: DataFrame, path: str | None = None, text: str = "text", do
     def of(batches):
         for b in batches:
             each = [payload(t) for t in b["_text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array([n for _, n in each], pa.int64()), pa.array([png_encode(p) for p, _ in each], pa.binary())], names=["doc_id", "n_bytes", "media"])
+            yield pa.RecordBatch.from_arrays(
+                [b["doc_id"], pa.array([n for _, n in each], pa.int64()), pa.array([png_encode(p) for p, _ in each], pa.binary())],
+                names=["doc_id", "n_bytes", "media"]
+            )
 
-    schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), T.StructField("n_bytes", T.LongType()), T.StructField("media", T.BinaryType())])
+    schema = T.StructType([
+        T.StructField("doc_id", docs.schema[doc_id].dataType), T.StructField("n_bytes", T.LongType()), T.StructField("media", T.BinaryType())
+    ])
     docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("_text")).mapInArrow(of, schema).write.option("compression", "none").parquet(path)
     return path
 
@@ -143,19 +148,34 @@ def media_features(spark: SparkSession, path: str, doc_type: T.DataType | None =
     prepare(spark)
     kind = T.StructField("doc_id", doc_type or T.LongType())
     stored = spark.read.schema(T.StructType([kind, T.StructField("n_bytes", T.LongType()), T.StructField("media", T.BinaryType())])).parquet(path)
-    fields = [kind, *[T.StructField(n, t) for n, t in (("n_bytes", T.LongType()), ("payload_bytes", T.LongType()), ("payload_sha256", T.StringType()), ("tail_crc32", T.LongType()), ("feature", T.StringType()), ("media", T.BinaryType()))]]
+    fields = [
+        kind,
+        *[
+            T.StructField(n, t)
+            for n, t in (
+                ("n_bytes", T.LongType()), ("payload_bytes", T.LongType()), ("payload_sha256", T.StringType()), ("tail_crc32", T.LongType()),
+                ("feature", T.StringType()), ("media", T.BinaryType())
+            )
+        ]
+    ]
 
     def of(batches):
         for b in batches:
             pictures = [png_decode(m) for m in b["media"].to_pylist()]
             raw = [p.tobytes() for p in pictures]
             yield pa.RecordBatch.from_arrays(
-                [b["doc_id"], b["n_bytes"], pa.array(map(len, raw), pa.int64()), pa.array([hashlib.sha256(r).hexdigest() for r in raw]), pa.array([zlib.crc32(r[-TAIL:]) for r in raw], pa.int64()), pa.array(map(cosine_hash, pictures), pa.string()), b["media"]],
+                [
+                    b["doc_id"], b["n_bytes"], pa.array(map(len, raw), pa.int64()), pa.array([hashlib.sha256(r).hexdigest() for r in raw]),
+                    pa.array([zlib.crc32(r[-TAIL:]) for r in raw], pa.int64()), pa.array(map(cosine_hash, pictures), pa.string()), b["media"]
+                ],
                 names=[f.name for f in fields],
             )
 
     out = stored.mapInArrow(of, T.StructType(fields))
-    return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", F.length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), "feature")
+    return out.select(
+        "doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", F.length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"), "feature"
+    )
 
 
 def media_column(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

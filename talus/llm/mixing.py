@@ -25,13 +25,21 @@ WEIGHTS = (1, 2, 3)
 def targets(sizes: DataFrame, repeats: int = REPEATS, weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
     """Of _key, _source, source_size (a row each source): target. Sources by code point, null last, get the weights in turn."""
     one = Window.partitionBy(F.lit(0))
-    ranked = sizes.withColumn("_w", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.pmod(F.row_number().over(one.orderBy(F.col("_source").asc_nulls_last())) - 1, F.lit(len(weights))) + 1).cast("int")))
+    ranked = sizes.withColumn(
+        "_w",
+        F.element_at(
+            F.array(*[F.lit(float(w)) for w in weights]),
+            (F.pmod(F.row_number().over(one.orderBy(F.col("_source").asc_nulls_last())) - 1, F.lit(len(weights))) + 1).cast("int")
+        )
+    )
     order = one.orderBy(F.col("source_size") / F.col("_w"), "_key")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     level = (F.sum("source_size").over(one) - repeats * F.coalesce(F.sum("source_size").over(before), F.lit(0))) / (F.sum("_w").over(one) - F.coalesce(F.sum("_w").over(before), F.lit(0.0)))
     filled = ranked.withColumn("_level", level).withColumn("_n", F.row_number().over(order))
     filled = filled.withColumn("_at", F.when(F.col("_level") * F.col("_w") <= repeats * F.col("source_size"), F.struct("_n", "_level")))
-    return filled.withColumn("target", F.least(F.col("source_size") * F.lit(float(repeats)), F.col("_w") * F.min("_at").over(one)["_level"])).select("_key", "source_size", "target")
+    return filled.withColumn(
+        "target", F.least(F.col("source_size") * F.lit(float(repeats)), F.col("_w") * F.min("_at").over(one)["_level"])
+    ).select("_key", "source_size", "target")
 
 
 def uniform(*parts: Column) -> Column:
@@ -78,8 +86,10 @@ def mix(
     if clash := {"doc_id", "size", "source_size", "target", "taken", "copies"} & set(keep):
         raise ValueError(f"keep names columns of the result: {sorted(clash)}")
     each = docs.select(
-        docs[doc_id].alias("doc_id"), docs[source].alias("_source"), word_count(docs[text]).alias("size"), (_class_weight(docs[weight]) if weight else F.lit(None).cast("double")).alias("_w"),
-        uniform(F.lit(seed), docs[doc_id].cast("string"), F.md5(docs[text].cast("binary"))).alias("_u"), F.monotonically_increasing_id().alias("_row"), *[docs[c].alias(f"_keep_{c}") for c in keep],
+        docs[doc_id].alias("doc_id"), docs[source].alias("_source"), word_count(docs[text]).alias("size"),
+        (_class_weight(docs[weight]) if weight else F.lit(None).cast("double")).alias("_w"),
+        uniform(F.lit(seed), docs[doc_id].cast("string"), F.md5(docs[text].cast("binary"))).alias("_u"),
+        F.monotonically_increasing_id().alias("_row"), *[docs[c].alias(f"_keep_{c}") for c in keep],
     ).withColumn("_key", F.when(F.col("_source").isNull(), "").otherwise(F.concat(F.lit("="), F.col("_source"))))
     each = staged(each if weight else each.withColumn("_w", binary_digits(F.col("size"))), "sizes")
     sizes = each.groupBy("_key").agg(F.first("_source").alias("_source"), F.sum("size").alias("source_size"))
@@ -96,10 +106,14 @@ def mix(
     bins = live.groupBy("_key", "_bin").agg(F.sum("size").alias("_sum"), F.first("_rest").alias("_rest"), F.max("_place").alias("_top"))
     by_bin = Window.partitionBy("_key").orderBy("_bin")
     before = by_bin.rowsBetween(Window.unboundedPreceding, -1)
-    bins = bins.select("_key", "_bin", "_sum", "_rest", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"), F.max("_top").over(before).alias("_top"))
+    bins = bins.select(
+        "_key", "_bin", "_sum", "_rest", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"), F.max("_top").over(before).alias("_top")
+    )
     cut = staged(bins.filter("_before <= _rest and _before + _sum > _rest").select("_key", F.col("_bin").alias("_cut"), "_before", "_top"), "cuts")
     inside = live.join(cut.select("_key", "_cut", "_before"), "_key").filter("_bin = _cut")
-    inside = inside.withColumn("_upto", F.col("_before") + F.sum("size").over(Window.partitionBy("_key", "_bin").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)))
+    inside = inside.withColumn(
+        "_upto", F.col("_before") + F.sum("size").over(Window.partitionBy("_key", "_bin").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0))
+    )
     reached = inside.filter("_upto <= _rest").groupBy("_key").agg(F.max("_upto").alias("_upto"), F.max("_place").alias("_found"))
     every = bins.groupBy("_key").agg(F.sum("_sum").alias("_all"))
     gaps = every.join(cut.select("_key", F.lit(True).alias("_cut"), "_before", "_top"), "_key", "left").join(reached, "_key", "left")
@@ -113,7 +127,9 @@ def mix(
     out = _ranked(each, staged(plan.join(last, "_key", "left"), "plan"), parts)
     copies = F.col("_sure") + (_taken() | F.coalesce(F.col("_row") == F.col("_last"), F.lit(False))).cast("long")
     kept = [F.col(f"_keep_{c}").alias(c) for c in keep]
-    return out.select("doc_id", *kept, "size", "source_size", "target", (copies * F.col("size")).cast("long").alias("taken"), copies.cast("long").alias("copies"))
+    return out.select(
+        "doc_id", *kept, "size", "source_size", "target", (copies * F.col("size")).cast("long").alias("taken"), copies.cast("long").alias("copies")
+    )
 
 
 def _ranked(rows: DataFrame, goal: DataFrame, parts: DataFrame) -> DataFrame:
@@ -147,7 +163,8 @@ l AS (SELECT *, row_number() OVER o AS n,
     / (sum(v) OVER () - coalesce(sum(v) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS level
   FROM v WINDOW o AS (ORDER BY source_size / v, source NULLS FIRST)),
 t AS (SELECT source, source_size, least(source_size * 3.0::DOUBLE, v * (SELECT arg_min(level, n) FROM l WHERE level * v <= 3 * source_size)) AS target FROM l),
-c AS (SELECT d.source, w, sum(size)::DOUBLE AS words, any_value(target) AS target FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source WHERE size <= target GROUP BY d.source, w),
+c AS (SELECT d.source, w, sum(size)::DOUBLE AS words, any_value(target) AS target FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source WHERE size
+  <= target GROUP BY d.source, w),
 a AS (SELECT *, (target - 3 * coalesce(sum(words) OVER (PARTITION BY source ORDER BY w DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
     / nullif(sum(words * w) OVER (PARTITION BY source ORDER BY w DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0) AS level FROM c),
 b AS (SELECT *, least(3.0::DOUBLE, coalesce(arg_max(level, w) FILTER (level * w <= 3) OVER (PARTITION BY source) * w, 3.0::DOUBLE)) AS times FROM a),
@@ -157,10 +174,12 @@ z AS (SELECT t.*, greatest(0.0::DOUBLE, target - coalesce((SELECT sum(sure * wor
 q AS (SELECT d.*, z.source_size, z.target, z.rest, size > target AS large, CASE WHEN size <= target THEN coalesce(p.sure, 0) ELSE 0 END AS sure,
     CASE WHEN size <= target AND share > 0 THEN u / (1 - u) / (share / (1 - share)) END AS q
   FROM d JOIN z ON d.source IS NOT DISTINCT FROM z.source LEFT JOIN p ON d.source IS NOT DISTINCT FROM p.source AND d.w = p.w),
-r AS (SELECT *, q IS NOT NULL AND size <= rest AS live, sum(size) FILTER (q IS NOT NULL AND size <= rest) OVER (PARTITION BY source ORDER BY q, doc_id ROWS UNBOUNDED PRECEDING) AS upto
+r AS (SELECT *, q IS NOT NULL AND size <= rest AS live, sum(size) FILTER (q IS NOT NULL AND size <= rest) OVER (PARTITION BY source ORDER BY q, doc_id
+  ROWS UNBOUNDED PRECEDING) AS upto
   FROM q WHERE size > 0 AND (q IS NOT NULL OR large)),
 k AS (SELECT *, live AND upto <= rest AS taken_in, coalesce(max(CASE WHEN live AND upto <= rest THEN upto END) OVER (PARTITION BY source), 0) AS done FROM r),
-f AS (SELECT *, row_number() OVER (PARTITION BY source, taken_in OR abs(rest - done - size) >= rest - done ORDER BY abs(rest - done - size), coalesce(q, -1)) AS n FROM k)
+f AS (SELECT *, row_number() OVER (PARTITION BY source, taken_in OR abs(rest - done - size) >= rest - done ORDER BY abs(rest - done - size),
+  coalesce(q, -1)) AS n FROM k)
 SELECT q.doc_id, q.size, q.source_size, q.target,
   (q.size * (q.sure + CASE WHEN f.taken_in OR (f.n = 1 AND NOT f.taken_in AND abs(f.rest - f.done - f.size) < f.rest - f.done) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM q LEFT JOIN f ON q.doc_id = f.doc_id

@@ -164,7 +164,10 @@ class Model:
     def raw(self) -> list[bytes]:
         """UTF-8 of each id, with spaces for their marks; a byte piece is its byte, a control piece nothing."""
         show = {CONTROL: lambda p: b"", BYTE: lambda p: bytes([int(p[3:5], 16)]), UNKNOWN: lambda p: " ⁇ ".encode()}
-        return [show[t](p) if t in show else (p.replace(SPACE, " ") if self.escape else p).encode("utf-8") for p, t in zip(self.pieces, self.types, strict=True)]
+        return [
+            show[t](p) if t in show else (p.replace(SPACE, " ") if self.escape else p).encode("utf-8")
+            for p, t in zip(self.pieces, self.types, strict=True)
+        ]
 
     def decode(self, ids) -> str:
         """The text of ids; byte pieces that are no UTF-8 become U+FFFD."""
@@ -439,6 +442,8 @@ def encoded(
             cols += [pa.array(decoded, pa.string())] * with_text
             yield pa.RecordBatch.from_arrays(cols, names=[*keep, "ids", "exact", *["decoded"] * with_text])
 
-    fields = [T.StructField(c, docs.schema[c].dataType) for c in keep] + [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("exact", T.BooleanType())]
+    fields = [T.StructField(c, docs.schema[c].dataType) for c in keep] + [
+        T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("exact", T.BooleanType())
+    ]
     schema = T.StructType(fields + [T.StructField("decoded", T.StringType())] * with_text)
     return docs.select(*[docs[c].alias(f"_keep{i}") for i, c in enumerate(keep)], docs[text].alias("_text")).mapInArrow(of, schema)

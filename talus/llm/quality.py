@@ -69,7 +69,10 @@ class GatedAttention:
 
     def __init__(self, rng: np.random.Generator):
         draw = lambda *s: (rng.standard_normal(s) / np.sqrt(s[0])).astype(np.float32)
-        self.p = {"W": draw(FEATURES, HIDDEN), "b": np.zeros(HIDDEN, np.float32), "V": draw(HIDDEN, GATE), "U": draw(HIDDEN, GATE), "w": draw(GATE), "c": draw(HIDDEN), "d": np.zeros(1, np.float32)}
+        self.p = {
+            "W": draw(FEATURES, HIDDEN), "b": np.zeros(HIDDEN, np.float32), "V": draw(HIDDEN, GATE), "U": draw(HIDDEN, GATE), "w": draw(GATE),
+            "c": draw(HIDDEN), "d": np.zeros(1, np.float32)
+        }
 
     def forward(self, x: np.ndarray, starts: np.ndarray):
         """x: passages of all bags, one after the other; starts: where each bag begins."""
@@ -95,7 +98,10 @@ class GatedAttention:
         dh = (dz * a[:, None] + dt @ p["V"].T + ds @ p["U"].T) * (1 - h * h)
         return {"W": x.T @ dh, "b": dh.sum(axis=0), "V": h.T @ dt, "U": h.T @ ds, "w": (t * s).T @ de, "c": z.T @ err, "d": err.sum(keepdims=True)}
 
-    def fit(self, bags: list[np.ndarray], y: np.ndarray, rng: np.random.Generator, epochs: int = 25, size: int = 64, rate: float = 3e-3, decay: float = 1e-5) -> None:
+    def fit(
+        self, bags: list[np.ndarray], y: np.ndarray, rng: np.random.Generator, epochs: int = 25, size: int = 64, rate: float = 3e-3,
+        decay: float = 1e-5
+    ) -> None:
         m = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in self.p.items()}
         turn = 0
         for _ in range(epochs):
@@ -129,7 +135,10 @@ class Constant:
         return np.full(len(texts), self.share)
 
 
-def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "quality", folds: int = FOLDS, sample: int = SAMPLE, seed: int = SEED):
+def fit(
+    docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "quality", folds: int = FOLDS, sample: int = SAMPLE,
+    seed: int = SEED
+):
     """A model from labelled documents outside the held-out fold: at most ``sample`` of them, those with the least hashes of the id and the seed."""
     prepare(docs.sparkSession)
     known = labels.filter(labels[label].isNotNull() & labels[doc_id].isNotNull() & (doc_crc(labels[doc_id]) % folds != 0))
@@ -169,6 +178,8 @@ def score(docs: DataFrame, model, text: str = "text", doc_id: str = "doc_id", fo
             found = model.score(b["_text"].to_pylist())
             yield pa.RecordBatch.from_arrays([b["doc_id"], b["held_out"], pa.array(found, pa.float64())], names=["doc_id", "held_out", "score"])
 
-    schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), T.StructField("held_out", T.BooleanType()), T.StructField("score", T.DoubleType())])
+    schema = T.StructType([
+        T.StructField("doc_id", docs.schema[doc_id].dataType), T.StructField("held_out", T.BooleanType()), T.StructField("score", T.DoubleType())
+    ])
     rows = docs.select(docs[doc_id].alias("doc_id"), (doc_crc(docs[doc_id]) % folds == 0).alias("held_out"), docs[text].alias("_text"))
     return rows.mapInArrow(of, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -51,7 +51,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str, model: str | None = None)
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
     out = pieces.encoded(_table(spark, sf_dir, "documents"), model or vocabulary(PIECES))
-    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.xxhash64("ids").alias("ids_xxhash64"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), "exact")
+    return out.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.xxhash64("ids").alias("ids_xxhash64"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), "exact"
+    )
 
 
 def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +71,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, language.fit(docs)).select("doc_id", held_out, "lang_pred", "score")
 
 
-_ALL = (op1_substring_dedup, op2_simhash, op3_mixing, op4_exact_topk, op5_token_counts, op6_quality, op7_sentencepiece, op8_media, op9_token_files, op10_language_id)
+_ALL = (
+    op1_substring_dedup, op2_simhash, op3_mixing, op4_exact_topk, op5_token_counts, op6_quality, op7_sentencepiece, op8_media, op9_token_files,
+    op10_language_id
+)
 QUERIES = {f.__name__: f for f in _ALL}
 
 ORACLES: dict[str, str] = {"op3_mixing": mixing.ORACLE, "op4_exact_topk": topk.ORACLE}

@@ -108,10 +108,14 @@ def linked(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataF
     step = F.explode(F.array(*[F.array(*map(F.lit, s)) for s in steps])).alias("step")
     # which tiles meet is settled by their classes; fingerprints come in where two do
     near = tiles.select(*code, F.col("part").alias("part_a"), F.col("tile").alias("tile_a"), step)
-    near = near.select("part_a", "tile_a", (F.expr("step = array(0, 0, 0, 0)")).alias("same"), *[(F.col(c) + F.col("step")[i]).alias(c) for i, c in enumerate(code)])
+    near = near.select(
+        "part_a", "tile_a", (F.expr("step = array(0, 0, 0, 0)")).alias("same"), *[(F.col(c) + F.col("step")[i]).alias(c) for i, c in enumerate(code)]
+    )
     near = near.filter(" and ".join(f"{c} between 0 and 16" for c in code))
     met = near.join(tiles.select(*code, "part", "tile"), code).filter("not same or part_a <= part").select("tile_a", "tile")
-    pairs = met.join(tiles.select(F.col("tile").alias("tile_a"), F.col("fps").alias("a")), "tile_a").join(tiles.select("tile", F.col("fps").alias("b")), "tile").select("a", "b")
+    pairs = met.join(
+        tiles.select(F.col("tile").alias("tile_a"), F.col("fps").alias("a")), "tile_a"
+    ).join(tiles.select("tile", F.col("fps").alias("b")), "tile").select("a", "b")
 
     def of(batches):
         for batch in batches:
@@ -138,7 +142,9 @@ def components(edges: DataFrame) -> DataFrame:
         turn = len(rounds)
         order = lambda c: F.struct((F.xxhash64(F.lit(turn), c) if turn % 2 else c).alias("p"), c.alias("x"))  # noqa: E731, B023
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        joins = staged(both.groupBy("u").agg(F.min(order(F.col("v"))).alias("to")).select("u", F.least(order(F.col("u")), F.col("to"))["x"].alias("to")), "joins")
+        joins = staged(
+            both.groupBy("u").agg(F.min(order(F.col("v"))).alias("to")).select("u", F.least(order(F.col("u")), F.col("to"))["x"].alias("to")), "joins"
+        )
         side = lambda c: joins.select(F.col("u").alias(c), F.col("to").alias(f"{c}_to"))  # noqa: E731, B023
         moved = edges.join(side("u"), "u").join(side("v"), "v").filter("u_to <> v_to")
         edges = staged(moved.select(F.least("u_to", "v_to").alias("u"), F.greatest("u_to", "v_to").alias("v")).distinct(), "edges")
@@ -152,7 +158,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE, seed: int = SEED, radius: int = RADIUS, similarity: float | None = None,
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE, seed: int = SEED, radius: int = RADIUS,
+    similarity: float | None = None,
 ) -> DataFrame:
     """doc_id, fp (a long) and component_id, the least id among documents that links reach; one row for each input row.
 
@@ -168,7 +175,9 @@ def near_duplicates(
         each, label = _similar(docs, text, doc_id, shingle, radius, similarity)
     nodes = each.groupBy("node").agg(F.min("doc_id").alias("first"))
     nodes = staged(nodes.join(label, "node", "left").select("node", "first", F.coalesce("label", "node").alias("label")), "nodes")
-    named = staged(nodes.groupBy("label").agg(F.min("first").alias("component_id")), "named")  # so that Spark can split the join of a label that many nodes have
+    named = staged(
+        nodes.groupBy("label").agg(F.min("first").alias("component_id")), "named"
+    )  # so that Spark can split the join of a label that many nodes have
     return each.join(nodes.join(named, "label").select("node", "component_id"), "node").select("doc_id", "fp", "component_id")
 
 
@@ -184,7 +193,10 @@ def _similar(docs: DataFrame, text: str, doc_id: str, shingle: int, radius: int,
             nodes = np.array([jaccard.node_of(x) for x in found], np.uint64).view(np.int64)
             fps = np.array([majority(x) for x in found], np.uint64).view(np.int64)
             bounds = pa.array(np.arange(len(found) + 1, dtype=np.int32) * jaccard.BANDS)
-            yield pa.RecordBatch.from_arrays([b["doc_id"], b["_key"], pa.array(nodes), pa.array(fps), pa.ListArray.from_arrays(bounds, pa.array(marks))], names=["doc_id", "_key", "node", "fp", "bands"])
+            yield pa.RecordBatch.from_arrays(
+                [b["doc_id"], b["_key"], pa.array(nodes), pa.array(fps), pa.ListArray.from_arrays(bounds, pa.array(marks))],
+                names=["doc_id", "_key", "node", "fp", "bands"]
+            )
 
     kinds = {"_key": T.LongType(), "node": T.LongType(), "fp": T.LongType(), "bands": T.ArrayType(T.LongType())}
     schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), *[T.StructField(c, k) for c, k in kinds.items()]])
@@ -198,7 +210,9 @@ def _similar(docs: DataFrame, text: str, doc_id: str, shingle: int, radius: int,
     edges = [
         band.join(heads, "band").select(F.col("head").alias("u"), F.col("node").alias("v")),
         once.select("fp", "node").join(same, "fp").select(F.col("head").alias("u"), F.col("node").alias("v")),
-        pairs.join(same.select(F.col("fp").alias("u"), F.col("head").alias("hu")), "u").join(same.select(F.col("fp").alias("v"), F.col("head").alias("hv")), "v").select(F.col("hu").alias("u"), F.col("hv").alias("v")),
+        pairs.join(
+            same.select(F.col("fp").alias("u"), F.col("head").alias("hu")), "u"
+        ).join(same.select(F.col("fp").alias("v"), F.col("head").alias("hv")), "v").select(F.col("hu").alias("u"), F.col("hv").alias("v")),
     ]
     coarse = components(edges[0].union(edges[1]).union(edges[2]).filter("u <> v"))
     sizes = coarse.groupBy("label").agg(F.count("*").alias("n"))
@@ -215,7 +229,9 @@ def _similar(docs: DataFrame, text: str, doc_id: str, shingle: int, radius: int,
             yield pa.RecordBatch.from_arrays([b["node"], b["label"], b["parts"], found], names=["node", "label", "parts", "shingles"])
 
     part = F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part")
-    tiles = texts.mapInArrow(sets, "node long, label long, parts int, shingles binary").select("*", part, F.explode(F.expr("sequence(0, parts - 1)")).alias("other"))
+    tiles = texts.mapInArrow(sets, "node long, label long, parts int, shingles binary").select(
+        "*", part, F.explode(F.expr("sequence(0, parts - 1)")).alias("other")
+    )
     low, high = F.least("part", "other"), F.greatest("part", "other")
     pack = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("label"), F.lit(packs))).otherwise(F.xxhash64("label", low, high))
     tiles = tiles.select("node", "label", "part", low.alias("low"), high.alias("high"), "shingles", pack.alias("tile"))

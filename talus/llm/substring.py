@@ -165,7 +165,8 @@ def dedup_substrings(
 ) -> DataFrame:
     """The columns in keep, then n_words, n_removed and kept_text: the words that no window covers which starts anywhere else, joined by one space.
 
-    index: history to which docs are added: windows that start anywhere in it count as copies, and docs' runs and texts join it; without one, docs alone count. batches: runs that docs are appended as.
+    index: history to which docs are added: windows that start anywhere in it count as copies, and
+  docs' runs and texts join it; without one, docs alone count. batches: runs that docs are appended as.
     An empty table gives an empty result. Memory: a block of about block_chars characters, or one longer text, for each task.
     """
     spark = docs.sparkSession
@@ -193,9 +194,15 @@ def dedup_substrings(
         rows, count, _ = _ordered([f for _, _, f in _candidates(left["_text"].to_pylist(), _longs(right, "ms"), window, gram)])
         bucket = _buckets(rows, n)
         cut = np.flatnonzero(np.diff(bucket)) + 1
-        out = [(int(b[0]), key[0].as_py(), r.tobytes(), np.minimum(c, 2).astype(np.uint8).tobytes()) for b, r, c in zip(np.split(bucket, cut), np.split(rows, cut), np.split(count, cut), strict=True) if len(b)]
+        out = [
+            (int(b[0]), key[0].as_py(), r.tobytes(), np.minimum(c, 2).astype(np.uint8).tobytes())
+            for b, r, c in zip(np.split(bucket, cut), np.split(rows, cut), np.split(count, cut), strict=True) if len(b)
+        ]
         cols = list(zip(*out, strict=True)) or [[]] * 4
-        return pa.table([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.binary())], names=["bucket", "block", "rows", "count"])
+        return pa.table(
+            [pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.binary())],
+            names=["bucket", "block", "rows", "count"]
+        )
 
     def verified(key, table):
         parts = [np.frombuffer(x, np.uint64).reshape(-1, 2) for x in table["rows"].to_pylist()]
@@ -228,15 +235,22 @@ def dedup_substrings(
             else:
                 kept_words = words
             n_words.append(len(words)), n_removed.append(len(words) - len(kept_words)), texts.append(b" ".join(kept_words).decode("utf-8", "surrogatepass"))
-        return pa.table([*[left[f"_keep{i}"] for i in range(len(keep))], pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(texts, pa.string())], names=[*keep, "n_words", "n_removed", "kept_text"])
+        return pa.table(
+            [*[left[f"_keep{i}"] for i in range(len(keep))], pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(texts, pa.string())],
+            names=[*keep, "n_words", "n_removed", "kept_text"]
+        )
 
     def counted(blocks, shared):
-        return blocks.groupBy("_block").cogroup(shared.withColumnRenamed("block", "_block").groupBy("_block")).applyInArrow(candidates, "bucket int, block int, rows binary, count binary")
+        return blocks.groupBy("_block").cogroup(shared.withColumnRenamed("block", "_block").groupBy("_block")).applyInArrow(
+            candidates, "bucket int, block int, rows binary, count binary"
+        )
 
     found = counted(blocks, shared)
     if history:
         found = found.union(counted(history[0], shares(history[1])).withColumn("block", F.lit(-1)))
     marks = found.groupBy("bucket").applyInArrow(verified, "block int, bucket int, bits binary").filter("block >= 0")
-    told = shared.select("block", F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("bits"), "ms").unionByName(marks.select("block", "bucket", "bits", F.lit(None).cast("array<long>").alias("ms")))
+    told = shared.select(
+        "block", F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("bits"), "ms"
+    ).unionByName(marks.select("block", "bucket", "bits", F.lit(None).cast("array<long>").alias("ms")))
     out = T.StructType([*fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())])
     return blocks.groupBy("_block").cogroup(told.withColumnRenamed("block", "_block").groupBy("_block")).applyInArrow(removed, out)

@@ -184,9 +184,13 @@ def is_wordwise(config: dict) -> bool:
     kinds, parts = [x.get("type") for x in normal.get("normalizers", [])], split.get("pretokenizers", [{}, {}])
     first, second = (*parts, {}, {})[:2]
     return (
-        kinds == ["NFC", "Replace", "Lowercase"] and len(parts) == 2 and first.get("type") == "Split" and first.get("pattern") == {"Regex": WORDWISE} and first.get("invert") is True and first.get("behavior") == "Removed"
+        kinds == ["NFC", "Replace", "Lowercase"] and len(parts) == 2 and first.get("type") == "Split"
+        and first.get("pattern") == {"Regex": WORDWISE} and first.get("invert") is True and first.get("behavior") == "Removed"
         and second.get("type") == "ByteLevel" and not second.get("add_prefix_space") and not second.get("use_regex")
-        and all(t["content"].startswith("<") and not re.search(r"\s", t["content"]) and not t["lstrip"] and not t["rstrip"] for t in config.get("added_tokens", []))
+        and all(
+            t["content"].startswith("<") and not re.search(r"\s", t["content"]) and not t["lstrip"] and not t["rstrip"]
+            for t in config.get("added_tokens", [])
+        )
     )
 
 
@@ -266,7 +270,10 @@ def write_tokens(
         def flush():
             nonlocal held, ids, room, seq
             data, n = pack(held, max(base, end + 1))
-            cols = [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([n], pa.int64()), pa.array([ids], pa.list_(arrow)), pa.array([data], pa.binary())]
+            cols = [
+                pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([n], pa.int64()), pa.array([ids], pa.list_(arrow)),
+                pa.array([data], pa.binary())
+            ]
             out = pa.RecordBatch.from_arrays(cols, names=["part", "seq", "n_ids", "doc_ids", "data"])
             held, ids, room, seq = [], [], 0, seq + 1
             return out
@@ -294,7 +301,9 @@ def read_tokens(spark: SparkSession, path: str, doc_type: T.DataType | None = No
     # offsets: of shards within their partition, and of partitions, whose number is bounded by the write
     upto = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
     inside = files.select("part", "seq", F.coalesce(F.sum("n_ids").over(upto(Window.partitionBy("part").orderBy("seq"))), F.lit(0)).alias("_inside"))
-    parts = files.groupBy("part").agg(F.sum("n_ids").alias("n")).select("part", F.coalesce(F.sum("n").over(upto(Window.orderBy("part"))), F.lit(0)).alias("_before"))
+    parts = files.groupBy("part").agg(F.sum("n_ids").alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(upto(Window.orderBy("part"))), F.lit(0)).alias("_before")
+    )
     offset = inside.join(parts, "part").select("part", "seq", (F.col("_inside") + F.col("_before")).alias("_offset"))
 
     def of(batches):
@@ -306,16 +315,24 @@ def read_tokens(spark: SparkSession, path: str, doc_type: T.DataType | None = No
                 whole = memoryview(every).cast("B")
                 crc = [zlib.crc32(whole[4 * s : 4 * (s + n)]) for s, n in zip(first.tolist(), size.tolist(), strict=True)]
                 n = len(size)
-                cols = [ids.values, pa.array(np.full(n, part, np.int32)), pa.array(np.full(n, seq, np.int32)), pa.array(first), pa.array(size), pa.array(crc, pa.int64())]
+                cols = [
+                    ids.values, pa.array(np.full(n, part, np.int32)), pa.array(np.full(n, seq, np.int32)), pa.array(first), pa.array(size),
+                    pa.array(crc, pa.int64())
+                ]
                 names = ["doc_id", "part", "seq", "_first", "n_tokens", "ids_crc32"]
                 if with_ids:
                     cols.append(pa.ListArray.from_arrays(pa.array(np.append(first, len(every)).astype(np.int32)), pa.array(every.astype(np.int32))))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    fields = [("doc_id", kind), ("part", T.IntegerType()), ("seq", T.IntegerType()), ("_first", T.LongType()), ("n_tokens", T.LongType()), ("ids_crc32", T.LongType())] + [("ids", T.ArrayType(T.IntegerType()))] * with_ids
+    fields = [
+        ("doc_id", kind), ("part", T.IntegerType()), ("seq", T.IntegerType()), ("_first", T.LongType()), ("n_tokens", T.LongType()),
+        ("ids_crc32", T.LongType())
+    ] + [("ids", T.ArrayType(T.IntegerType()))] * with_ids
     rows = files.select("part", "seq", "doc_ids", "data").mapInArrow(of, T.StructType([T.StructField(*f) for f in fields]))
-    return rows.join(offset, ["part", "seq"]).select("doc_id", (F.col("_first") + F.col("_offset")).alias("start"), "n_tokens", "ids_crc32", *["ids"] * with_ids)
+    return rows.join(offset, ["part", "seq"]).select(
+        "doc_id", (F.col("_first") + F.col("_offset")).alias("start"), "n_tokens", "ids_crc32", *["ids"] * with_ids
+    )
 
 
 def token_files(docs: DataFrame, tokenizer: str, text: str = "text", doc_id: str = "doc_id", **how) -> DataFrame:

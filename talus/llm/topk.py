@@ -65,7 +65,9 @@ class BallTree:
             live = (found >= least[q][:, None]).any(axis=1)
             q, found = q[live], found[live]
             if len(q):
-                s, w = np.concatenate([score[q], found], axis=1), np.concatenate([who[q], np.where(found == LOWEST, np.iinfo(np.int64).max, them[None, :])], axis=1)
+                s, w = np.concatenate([score[q], found], axis=1), np.concatenate(
+                    [who[q], np.where(found == LOWEST, np.iinfo(np.int64).max, them[None, :])], axis=1
+                )
                 order = np.lexsort((w, ~s))[:, :k]
                 score[q], who[q] = np.take_along_axis(s, order, 1), np.take_along_axis(w, order, 1)
                 least[q] = np.maximum(least[q], score[q][:, -1])
@@ -103,7 +105,10 @@ def _balls(batches):
             x = _matrix(b["c_rows"].slice(i, 1), len(b["c_ids"].slice(i, 1).flatten())).astype(np.float64)
             centres.append(x.mean(axis=0))
             radii.append(float(np.sqrt(((x - centres[-1]) ** 2).sum(axis=1)).max()))
-        yield pa.RecordBatch.from_arrays([b["dim"], b["shard"], pa.array([c.tolist() for c in centres], pa.list_(pa.float64())), pa.array(radii, pa.float64())], names=["dim", "shard", "centre", "radius"])
+        yield pa.RecordBatch.from_arrays(
+            [b["dim"], b["shard"], pa.array([c.tolist() for c in centres], pa.list_(pa.float64())), pa.array(radii, pa.float64())],
+            names=["dim", "shard", "centre", "radius"]
+        )
 
 
 def _meetings(k: int):
@@ -188,7 +193,9 @@ def top_k(
     once. Scores are exact as long as they fit 64 bits. An empty table gives an empty result.
     """
     prepare(vectors.sparkSession)
-    rows = vectors.select(vectors[vec_id].cast("long").alias("id"), query.alias("_query"), integers(vectors[vector], scale).alias("v")).filter("id is not null and v is not null")
+    rows = vectors.select(
+        vectors[vec_id].cast("long").alias("id"), query.alias("_query"), integers(vectors[vector], scale).alias("v")
+    ).filter("id is not null and v is not null")
     length = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     rows = staged(rows.select("id", "_query", "v", F.size("v").alias("dim"), F.floor(F.log2(length + 1) * 4).cast("int").alias("_class")), "vectors")
     sizes = rows.groupBy("dim", "_class").agg(F.count("*").alias("n"), F.count_if("_query").alias("q"))
@@ -200,12 +207,27 @@ def top_k(
     packed = lambda df, name: df.groupBy("dim", name).agg(F.collect_set(F.struct("id", "v")).alias("rows"))
     split = lambda name: [F.col("rows.id").alias(f"{name}_ids"), F.flatten("rows.v").alias(f"{name}_rows")]
     shard = (F.shiftleft(F.col("_class").cast("long"), 32) + bucket("id", F.col("_parts"))).alias("shard")
-    candidates = staged(packed(rows.join(sizes.select("dim", "_class", "_parts"), ["dim", "_class"]).select("dim", shard, "id", "v"), "shard").select("dim", "shard", *split("c")), "shards")
-    asked = staged(packed(rows.filter("_query").select("dim", bucket("id", F.lit(blocks)).cast("int").alias("block"), "id", "v"), "block").select("dim", "block", *split("q")), "blocks")
-
-    balls = candidates.mapInArrow(_balls, "dim int, shard long, centre array<double>, radius double").withColumn("group", bucket("shard", F.lit(groups)).cast("int"))
+    candidates = staged(
+        packed(
+            rows.join(sizes.select("dim", "_class", "_parts"), ["dim", "_class"]).select("dim", shard, "id", "v"), "shard"
+        ).select("dim", "shard", *split("c")),
+        "shards"
+    )
+    asked = staged(
+        packed(
+            rows.filter("_query").select("dim", bucket("id", F.lit(blocks)).cast("int").alias("block"), "id", "v"), "block"
+        ).select("dim", "block", *split("q")),
+        "blocks"
+    )
+
+    balls = candidates.mapInArrow(
+        _balls, "dim int, shard long, centre array<double>, radius double"
+    ).withColumn("group", bucket("shard", F.lit(groups)).cast("int"))
     balls = balls.groupBy("dim", "group").agg(F.collect_list(F.struct("shard", "centre", "radius")).alias("b"))
-    balls = staged(balls.select("dim", "group", F.col("b.shard").alias("shards"), F.flatten("b.centre").alias("centres"), F.col("b.radius").alias("radii")), "balls")
+    balls = staged(
+        balls.select("dim", "group", F.col("b.shard").alias("shards"), F.flatten("b.centre").alias("centres"), F.col("b.radius").alias("radii")),
+        "balls"
+    )
     every = lambda df: df.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).join(balls, ["dim", "group"])
     met, found = "dim int, block int, shard long, top double, at array<int>", "dim int, block int, q_ids array<long>, who array<long>, scores array<long>"
 

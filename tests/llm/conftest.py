@@ -20,8 +20,14 @@ def rows_of(seed=1, n=60, long_words=3000):
     texts[11], texts[12], texts[13], texts[14] = None, "", " \t\n ", words(long_words)
     texts[15] = f"{passage} {passage}"
     texts[16] = "!!! 123 ..."
-    rows = [(i, t, rng.choice(["en", "fr", None]), rng.choice(["a", "b", "é", None]), None if t is None else len(t), 0, "x", None, "s", "b") for i, t in enumerate(texts)]
-    rows += [rows[3], rows[3], (None, texts[20], "en", "a", 5, 0, "", "", "", ""), (None, texts[20], "en", "a", 5, 0, "", "", "", ""), (None, None, None, None, None, None, None, None, None, None)]
+    rows = [
+        (i, t, rng.choice(["en", "fr", None]), rng.choice(["a", "b", "é", None]), None if t is None else len(t), 0, "x", None, "s", "b")
+        for i, t in enumerate(texts)
+    ]
+    rows += [
+        rows[3], rows[3], (None, texts[20], "en", "a", 5, 0, "", "", "", ""), (None, texts[20], "en", "a", 5, 0, "", "", "", ""),
+        (None, None, None, None, None, None, None, None, None, None)
+    ]
     return rows
 
 

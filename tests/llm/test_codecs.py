@@ -91,7 +91,9 @@ def test_token_files_of_odd_rows_in_many_shards(odd, none, spark):
 
 
 def test_large_documents_and_shared_ids(spark):
-    docs = spark.createDataFrame([(1, "one two " * 400), *[(5, f"same id {i}") for i in range(30)], (5, "same id 3"), (9, None)], "doc_id long, text string").repartition(4)
+    docs = spark.createDataFrame(
+        [(1, "one two " * 400), *[(5, f"same id {i}") for i in range(30)], (5, "same id 3"), (9, None)], "doc_id long, text string"
+    ).repartition(4)
     path = tokens.write_tokens(docs, WORDS, shard=64)
     out = tokens.read_tokens(spark, path, with_ids=True).orderBy("start").collect()
     library = Tokenizer.from_file(WORDS)
@@ -203,7 +205,9 @@ def test_op8_equals_plain_code(spark, odd, none):
     for r in queries.op8_media(spark, SMALL).collect():
         raw = texts[r["doc_id"]].encode()
         whole = raw + b"\xff" * (576 * max(1, -(-len(raw) // 576)) - len(raw))
-        assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(raw), len(whole), hashlib.sha256(whole).hexdigest(), zlib.crc32(whole[-32:]))
+        assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (
+            len(raw), len(whole), hashlib.sha256(whole).hexdigest(), zlib.crc32(whole[-32:])
+        )
         png = media.png_encode(whole)
         assert (r["media_bytes"], r["media_sha256"]) == (len(png), hashlib.sha256(png).hexdigest()) and len(r["feature"]) == 16
     out = media.media_column(odd).collect()

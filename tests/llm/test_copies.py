@@ -77,7 +77,10 @@ def test_later_call_meets_history(spark):
 def test_batches_meet_runs_before_them(spark):
     frame = lambda *rows: spark.createDataFrame(rows, "m long, block int, n long")
     index = substring.FingerprintIndex(spark)
-    met = [sorted(r["m"] for r in index.append(b).collect()) for b in (frame((1, 0, 1), (2, 0, 2), (3, 0, 1)), frame((1, 1, 1), (4, 1, 1)), frame((4, 2, 1), (4, 3, 1), (3, 2, 1), (5, 2, 1)))]
+    met = [
+        sorted(r["m"] for r in index.append(b).collect())
+        for b in (frame((1, 0, 1), (2, 0, 2), (3, 0, 1)), frame((1, 1, 1), (4, 1, 1)), frame((4, 2, 1), (4, 3, 1), (3, 2, 1), (5, 2, 1)))
+    ]
     assert met == [[2], [1], [3, 4]]
 
 

@@ -87,7 +87,9 @@ def test_inclusion_rates_are_the_fractions(spark):
 
 
 def test_weight_column(spark):
-    df = spark.createDataFrame([(i, "a " * 10, "s" if i % 2 else "t", 4.0 if i % 4 < 2 else 1.0) for i in range(4000)], "doc_id long, text string, source string, w double")
+    df = spark.createDataFrame(
+        [(i, "a " * 10, "s" if i % 2 else "t", 4.0 if i % 4 < 2 else 1.0) for i in range(4000)], "doc_id long, text string, source string, w double"
+    )
     out = mixing.mix(df, weight="w", keep=("w",)).collect()
     for s in (0, 1):
         own = [r for r in out if r["doc_id"] % 2 == s]
@@ -103,7 +105,10 @@ def test_mixing_empty_table(none):
 
 
 def brute(vectors, k):
-    ints = {i: [int(np.floor(1024 * float(np.float32(x)))) for x in v] for i, v in vectors if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
+    ints = {
+        i: [int(np.floor(1024 * float(np.float32(x)))) for x in v] for i, v in vectors
+        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)
+    }
     out = []
     for q in ints:
         if q % 100 == 0:
@@ -117,7 +122,10 @@ def test_search_equals_brute_force(spark, seed, shard):
     rng = random.Random(seed)
     vectors = [(i, [rng.uniform(-1, 1) for _ in range(8)]) for i in range(300)]
     same = vectors[7][1]
-    vectors += [(i, same) for i in range(300, 380)] + [(400, [0.5] * 3), (500, [0.1] * 3), (600, None), (700, [float("nan")] * 8), (800, [None] * 8), (900, [float("inf")] * 8), (None, same), vectors[5], vectors[0]]
+    vectors += [(i, same) for i in range(300, 380)] + [
+        (400, [0.5] * 3), (500, [0.1] * 3), (600, None), (700, [float("nan")] * 8), (800, [None] * 8), (900, [float("inf")] * 8), (None, same),
+        vectors[5], vectors[0]
+    ]
     df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>").withColumn("score", F.lit("x")).repartition(3)
     found = sorted(map(tuple, topk.top_k(df, F.col("vec_id") % 100 == 0, k=5, shard_rows=shard, block_rows=2).collect()))
     assert found == brute({i: (i, v) for i, v in vectors}.values(), 5)

@@ -23,7 +23,9 @@ def test_quality_held_out_accuracy(spark):
 
 def test_quality_learns_outside_the_fold_only(spark):
     docs, labels = (spark.read.parquet(f"{MEDIUM}/{t}.parquet") for t in ("documents", "labels"))
-    flipped = labels.withColumn("quality", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, 1 - F.col("quality")).otherwise(F.col("quality")))
+    flipped = labels.withColumn(
+        "quality", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, 1 - F.col("quality")).otherwise(F.col("quality"))
+    )
     texts = [r["text"] for r in docs.limit(20).collect()]
     assert np.array_equal(quality.fit(docs, labels).score(texts), quality.fit(docs, flipped).score(texts))
 
@@ -98,7 +100,9 @@ def test_attention_gradient():
 
 
 def test_language_held_out_accuracy(spark):
-    out = queries.op10_language_id(spark, MEDIUM).join(spark.read.parquet(f"{MEDIUM}/documents.parquet").select("doc_id", "lang"), "doc_id").filter("held_out").toPandas()
+    out = queries.op10_language_id(spark, MEDIUM).join(
+        spark.read.parquet(f"{MEDIUM}/documents.parquet").select("doc_id", "lang"), "doc_id"
+    ).filter("held_out").toPandas()
     assert (out["lang_pred"] == out["lang"]).mean() > 0.95
 
 

@@ -92,7 +92,9 @@ def test_near_equals_brute_force_jaccard(spark, monkeypatch, small, tile):
             if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) and root[i] != root[j]:
                 a, b = sorted((root[i], root[j]))
                 root = [a if r == b else r for r in root]
-    found = simhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), shingle=5, similarity=0.8).select("doc_id", "component_id")
+    found = simhash.near_duplicates(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), shingle=5, similarity=0.8
+    ).select("doc_id", "component_id")
     assert 10 < len(set(root)) < len(root) - 40
     assert sorted(map(tuple, found.collect())) == list(enumerate(root))
 
