@@ -22,6 +22,21 @@ def collapse(x: Column) -> Column:
     return F.trim(F.when(plain, F.regexp_replace(text, f"[{_ASCII}]+", " ")).otherwise(F.regexp_replace(text, WHITE, " ")))
 
 
+def has_text(x: Column) -> Column:
+    """Whether there is anything but white space."""
+    return F.coalesce(x.rlike(f"[^{_ASCII}{_OTHER}]"), F.lit(False))
+
+
+def strip(x: Column) -> Column:
+    """Without white space of any kind at the ends; null stays null."""
+    return F.regexp_replace(x, f"^{WHITE}|{WHITE}$", "")
+
+
+def folded(x: Column) -> Column:
+    """Lower case for comparisons, where also the sharp s, the long s and the final sigma are as their other forms."""
+    return F.translate(F.replace(F.lower(x), F.lit("ß"), F.lit("ss")), "ſς", "sσ")
+
+
 def truncate(x: Column, most: int) -> Column:
     """Collapsed text; over ``most`` characters it is cut and marked (the mark makes that one more than most)."""
     clean = collapse(x)
@@ -129,22 +144,22 @@ def confidence(x: Column) -> Column:
 
 
 def is_nullish(x: Column) -> Column:
-    return x.isNull() | F.lower(F.trim(x)).isin(*NULLISH)
+    return x.isNull() | folded(strip(x)).isin(*NULLISH)
 
 
 def dash_key(x: Column) -> Column:
     """Form in which values are compared: hyphens as en dashes, spaces collapsed, lower case."""
-    return F.lower(collapse(F.regexp_replace(x, "-", "–")))
+    return folded(collapse(F.regexp_replace(x, "-", "–")))
 
 
 def hyphen_key(x: Column) -> Column:
     """The other way round: en and em dashes as hyphens."""
-    return F.lower(collapse(F.regexp_replace(x, "[–—]", "-")))
+    return folded(collapse(F.regexp_replace(x, "[–—]", "-")))
 
 
 def coerce_value(x: Column, allowed: Column, how: str = "dash") -> Column:
     """The allowed value that x stands for: itself, else the last with the same key (``dash``, ``hyphen``) or none (``exact``). No allowed values: any."""
-    text = F.trim(x)
+    text = strip(x)
     values = F.coalesce(allowed, F.array().cast("array<string>"))
     key = {"dash": dash_key, "hyphen": hyphen_key}.get(how)
     found = F.when(F.array_contains(values, text), text)
@@ -173,7 +188,7 @@ def shard(user: Column, n: int) -> Column:
 
 
 def post_type(x: Column) -> Column:
-    v = F.lower(F.trim(F.coalesce(x.cast("string"), F.lit(""))))
+    v = F.lower(strip(F.coalesce(x.cast("string"), F.lit(""))))
     return F.when(v.isin("1", "question"), "question").when(v.isin("2", "answer"), "answer").otherwise("post")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from talus.functions.text import coerce_value, confidence, quote_found
+from talus.functions.text import coerce_value, confidence, quote_found, strip
 from talus.plans.specs import ASSIGNMENTS
 
 PARTS = ("field_id", "value", "confidence", "evidence", "description", "assignment_type")
@@ -21,7 +21,7 @@ def parse_answers(answers: DataFrame) -> DataFrame:
 
 def judged(raw: DataFrame, dims: DataFrame, profiles: DataFrame, how: str = "dash") -> DataFrame:
     """raw answers of known dimensions, with value, confidence and evidence cleaned and ``supported``; what isn't is blank."""
-    text = lambda c: F.trim(F.coalesce(c, F.lit("")))
+    text = lambda c: strip(F.coalesce(c, F.lit("")))
     named = raw.withColumn("field_id", text("field_id")).join(
         F.broadcast(dims.select(F.col("id").alias("field_id"), "values")), "field_id"
     )  # a schema has few rows

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from talus.functions.text import loose_double, shard
+from talus.functions.text import has_text, loose_double, shard
 from talus.operators.order import first_of, percentiles
 from talus.plans.specs import SourceSpec
 
@@ -43,7 +43,7 @@ def user_metrics(items: DataFrame, spec: SourceSpec) -> DataFrame:
     columns, text = set(items.columns), F.coalesce("text", F.lit(""))
     chars = F.length(text) + (F.length(F.coalesce("title", F.lit(""))) if spec.cascade == "qa" else 0)
     aggregates = [
-        F.count("*").alias("items"), F.sum((F.trim(text) != "").cast("long")).alias("text_items"), F.sum(chars).cast("long").alias("text_chars"),
+        F.count("*").alias("items"), F.count_if(has_text(text)).alias("text_items"), F.sum(chars).cast("long").alias("text_chars"),
         F.min("ts_ms").alias("_from"), F.max("ts_ms").alias("_to"), F.min("source_index").alias("first_seen"),
         (F.sum(F.col("verified").cast("long")) if "verified" in columns else F.lit(0)).alias("_verified"),
         (F.sum(loose_double(F.col("score"), 0.0)) if "score" in columns else F.lit(0.0)).alias("score_sum"),

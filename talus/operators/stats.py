@@ -7,6 +7,7 @@ from xml.sax.saxutils import escape
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from talus.functions.text import strip
 from talus.operators.order import first_of
 
 UNKNOWN_CATEGORY = "Unknown field category"
@@ -14,9 +15,10 @@ UNKNOWN_CATEGORY = "Unknown field category"
 TOP_PCT = 105
 
 
-def distinct_personas(personas: DataFrame, strip: bool = True) -> DataFrame:
+def distinct_personas(personas: DataFrame, stripped: bool = True) -> DataFrame:
     """The first persona of each non-empty user id, by the column ord where there is one, else by its fields' text."""
-    user = F.trim(F.col("user_id").cast("string")) if strip else F.col("user_id").cast("string")
+    user = F.col("user_id").cast("string")
+    user = strip(user) if stripped else user
     named = personas.withColumn("user_id", F.coalesce(user, F.lit(""))).filter("user_id <> ''")
     return first_of(named, ["user_id"], F.col("ord") if "ord" in personas.columns else F.to_json(F.struct("fields")))
 

@@ -174,7 +174,7 @@ def read_personas(spark: SparkSession, path: str) -> DataFrame:
 
 def write_stats(spark: SparkSession, run: Run) -> str:
     people = stats.distinct_personas(
-        read_personas(spark, readers.require(spark, run.at("personas"), "run the extract stage first")), strip=run.spec.cascade != "qa"
+        read_personas(spark, readers.require(spark, run.at("personas"), "run the extract stage first")), stripped=run.spec.cascade != "qa"
     )
     dims, fields = dimensions(spark, run), stats.supported(people)
     listed = F.struct((-F.col("supported_dimension_count")).alias("_o"), "category", "supported_dimension_count")

@@ -10,7 +10,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from talus.functions.text import WHITE, category_of_file, clean_tags, collapse, epoch_ms, iso_ms, iso_plus7, parse_tags, post_type, strip_html, surrogate_id, utc_date
+from talus.functions.text import (
+    category_of_file, clean_tags, collapse, epoch_ms, has_text, iso_ms, iso_plus7, parse_tags, post_type, strip, strip_html, surrogate_id, utc_date,
+)
 
 # Names under which question-and-answer dumps hold a field; the first that is there and not null counts.
 ALIASES = {
@@ -67,7 +69,7 @@ def _placed(rows: DataFrame, *columns: Column | str) -> DataFrame:
 def lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Lines that aren't white space alone, with file and pos, whose order is theirs over the sorted files. One scan; large plain files are split, gzip can't be."""
     rows = _placed(spark.read.text(paths), "value")
-    return rows.filter(F.regexp_replace("value", WHITE, "") != "")
+    return rows.filter(has_text(F.col("value")))
 
 
 def limit_per_file(rows: DataFrame, most: int) -> DataFrame:
@@ -239,11 +241,6 @@ def _first(name: str, kind: str = "string", of: str = "v") -> Column:
     return F.coalesce(*[_get(a, kind, of) for a in ALIASES[name]])
 
 
-def _strip(x: Column) -> Column:
-    """Without white space at the ends."""
-    return F.regexp_replace(F.coalesce(x, F.lit("")), f"^{WHITE}|{WHITE}$", "")
-
-
 def _falsy(x: Column) -> Column:
     """'' in place of null and of numbers that are 0."""
     return F.when(x.try_cast("double") == 0, "").otherwise(F.coalesce(x.cast("string"), F.lit("")))
@@ -261,7 +258,7 @@ def product_reviews(raw: DataFrame) -> DataFrame:
         F.col("category"), F.col("_user"), F.col("parent_id"), F.col("product_id"), _falsy(F.col("_time")), _falsy(F.col("_rating")), F.col("_text")
     )
     rows = raw.select(
-        _strip(_get("user_id")).alias("user_id"), category.alias("category"), text("parent_asin").alias("parent_id"),
+        strip(F.coalesce(_get("user_id"), F.lit(""))).alias("user_id"), category.alias("category"), text("parent_asin").alias("parent_id"),
         text("asin").alias("product_id"), epoch_ms(time).alias("ts_ms"),
         _get("rating").try_cast("double").alias("rating"), either("title", "review_title").alias("title"), either("text", "review_text").alias("text"),
         F.coalesce(_get("verified_purchase", "boolean"), F.lit(False)).alias("verified"),
@@ -278,7 +275,7 @@ def shop_reviews(raw: DataFrame) -> DataFrame:
     text = lambda n: F.coalesce(_get(n), F.lit(""))
     category = collapse(F.coalesce(F.nullif(_get("SubCategory"), F.lit("")), F.nullif(stem, F.lit("")), F.lit("Unknown")))
     rows = raw.select(
-        _strip(_get("UserId")).alias("user_id"), category.alias("category"), _get("Rating").try_cast("double").alias("rating"), text("Comment").alias("text"),
+        strip(F.coalesce(_get("UserId"), F.lit(""))).alias("user_id"), category.alias("category"), _get("Rating").try_cast("double").alias("rating"), text("Comment").alias("text"),
         text("ProductName").alias("product_title"), text("ProductUrl").alias("product_url"), iso_ms(_get("CommentDate")).alias("ts_ms"),
         F.col("pos").alias("source_index"), _get("Rating").alias("_rating"),
     )
@@ -292,7 +289,7 @@ def shop_reviews(raw: DataFrame) -> DataFrame:
 def qa_posts(raw: DataFrame) -> DataFrame:
     """Items of posts, flat or nested under ``posts`` of a user's row; names vary. Their order is that of rows, then of posts in a row."""
     nested = F.try_variant_get("v", "$.posts", "array<variant>")
-    each = raw.withColumn("outer_user", F.nullif(_strip(_get("user_id")), F.lit(""))).select(
+    each = raw.withColumn("outer_user", F.nullif(strip(_get("user_id")), F.lit(""))).select(
         "pos", "outer_user", F.posexplode(F.coalesce(nested, F.array("v"))).alias("i", "p")
     )
     each = each.filter(F.schema_of_variant("p").startswith("OBJECT"))
@@ -300,7 +297,7 @@ def qa_posts(raw: DataFrame) -> DataFrame:
     time = F.coalesce(epoch_ms(get("timestamp")), F.when(get("timestamp").try_cast("bigint").isNull(), iso_ms(get("timestamp"))))
     tags = F.coalesce(F.when(get("tags", "array<string>").isNotNull(), clean_tags(get("tags", "array<string>"))), parse_tags(get("tags")))
     rows = each.select(
-        F.coalesce("outer_user", _strip(get("user_id"))).alias("user_id"), F.coalesce(get("post_id"), F.lit("")).alias("_id"),
+        F.coalesce("outer_user", strip(get("user_id")), F.lit("")).alias("user_id"), F.coalesce(get("post_id"), F.lit("")).alias("_id"),
         post_type(get("post_type")).alias("post_type"), time.alias("ts_ms"), tags.alias("tags"),
         collapse(get("title")).alias("title"), strip_html(get("text")).alias("text"), get("score").alias("score"), get("accepted", "boolean").alias("accepted"),
         F.struct(F.col("pos"), F.col("i").alias("item")).alias("source_index"),

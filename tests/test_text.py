@@ -1,8 +1,11 @@
+from datetime import UTC, datetime
+
 import pytest
 from pyspark.sql import functions as F
 
 from talus.functions import survey
 from talus.functions import text as fn
+from talus.functions.survey import answer_key
 
 
 def one(spark, column, **values):
@@ -105,3 +108,30 @@ def test_survey_rules(spark):
     assert one(spark, survey.education(F.col("d"), F.col("e")), d="less than high school", e="7th grade") == "Primary"
     assert one(spark, survey.ethnicity(F.col("h"), F.col("r")), h="not hispanic", r="White") == "White / European"
     assert one(spark, survey.religiosity(F.col("r"), F.col("i")), r="None", i=None) == "Secular"
+
+
+@pytest.mark.parametrize("x", [
+    "2024-01-02", "20240102", "2024-W01-2", "2024W012", "2024-W01", "2024-01-02T03", "2024-01-02 03:04", "20240102T030405", "2024-01-02T03:04:05,5", "2024-01-02T03:04:05.123456+07:00",
+    "2024-01-02T03:04:05-0130", "2024-01-02T03:04+01", " 2024-01-02T03:04:05Z ", "2024-02-30", "2024-W53-1", "2020-W53-7", "2024-1-2", "2024-01-02T25", "2024-01-02T03:60", "", "x", "2024-01-02T", "2024-01-0203",
+])
+def test_iso_forms_as_python_reads_them(spark, x):
+    try:
+        told = datetime.fromisoformat(x.strip().replace("Z", "+00:00"))
+        told = int((told if told.tzinfo else told.replace(tzinfo=UTC)).timestamp() * 1000)
+    except ValueError:
+        told = None
+    assert one(spark, fn.iso_ms(F.col("x")), x=x) == told
+
+
+def test_white_space_and_case(spark):
+    assert one(spark, fn.strip(F.col("x")), x="\t\u3000 a \n b \x1f") == "a \n b"
+    assert one(spark, fn.folded(F.col("x")), x="Straße ΣΟΦΟΣ ſ") == "straße σοφος s".replace("ß", "ss").replace("ς", "σ")
+    assert [one(spark, fn.has_text(F.col("x")), x=x) for x in ("\u2003\t", " a", "")] == [False, True, False]
+    assert one(spark, fn.is_nullish(F.col("x")), x="\tNone\n") is True
+
+
+def test_answers_are_looked_up_in_one_form(spark):
+    assert one(spark, answer_key(F.col("x")), x="\tMale  or\nother ") == "male or other"
+    assert one(spark, answer_key(F.col("x")), x="Can’t") == "can't" and one(spark, answer_key(F.col("x").cast("int")), x="1") == "1.0"
+    assert one(spark, answer_key(F.col("x").cast("double")), x="2.5") == "2.5" and one(spark, answer_key(F.col("x").cast("bigint")), x="12000000") == "12000000.0"
+    assert one(spark, answer_key(F.col("x")), x="1") == "1"
