@@ -21,8 +21,8 @@ __all__ = ["new_path", "scratch", "staged", "written"]
 SPACES = r"\x20\x09-\x0D"
 WORD = f"[^{SPACES}]+"
 ARROW_ROWS, ARROW_BYTES = 1000, 4 << 20
-#: Bytes of a memo's young generation, and what an entry weighs beside its key and value, as estimated.
-MEMO_BYTES, ENTRY_BYTES = 24 << 20, 200
+#: Bytes of a memo's young generation, what an entry weighs, and what each sign of its key adds to it and its value, as estimated.
+MEMO_BYTES, ENTRY_BYTES, SIGN_BYTES = 24 << 20, 200, 4
 _shipped: set[str] = set()
 
 
@@ -53,7 +53,7 @@ class Memo(dict):
     """key -> value of a function, in two generations.
 
     A young one that weighs ``most`` bytes becomes the old one, and what was old is forgotten; keys that are asked for again come
-    back from it. ``learn`` gets many keys at once, where a function of many is faster. Values are never None.
+    back from it. ``learn`` gets many keys at once, where a function of many is faster. Keys are texts; values are never None.
     """
 
     _every: list[weakref.ref] = []
@@ -72,11 +72,10 @@ class Memo(dict):
 
     def _put(self, key, value) -> None:
         if self.bytes > self.most:
-            self.old = self.copy()
+            self.old, self.bytes = self.copy(), 0
             self.clear()
-            self.bytes = 0
         self[key] = value
-        self.bytes += ENTRY_BYTES + (len(key) if isinstance(key, (str, bytes)) else 0) + (len(value) if isinstance(value, bytes) else 0)
+        self.bytes += ENTRY_BYTES + SIGN_BYTES * len(key)
 
     def learn(self, keys: Iterable) -> None:
         """Afterwards most keys are known, all where they weigh less than a generation."""

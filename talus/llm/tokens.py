@@ -32,7 +32,7 @@ MAGIC, HEAD = b"TRP2", struct.Struct("<IIQQBBB")
 #: Rounds of pair replacement: None goes on until no pair is left that occurs LEAST times.
 END, ROUNDS, PAIRS, LEAST = 2, None, 65_536, 6
 #: Bytes of a generation of remembered words, and of parts of words.
-WORD_BYTES, PART_BYTES, BITS = 96 << 20, 48 << 20, 20
+WORD_BYTES, PART_BYTES, BITS = 192 << 20, 96 << 20, 20
 #: Ids of a shard; a task holds one shard at a time.
 SHARD = 1 << 20
 
