@@ -4,9 +4,9 @@ Each stage takes what its predecessor kept and returns documents (doc_id, text,
 ids. Stages talk through Parquet only. Rules for odd rows:
 
 * language: rows whose language can't be told (null text, or no letter in it) go; all others stay as they are.
-* near: texts link where the Jaccard similarity of their five-word shingles is 0.8 or more. One row of each component stays, the one with the least
-  doc_id (null is last), then the least hash of its text. Rows
-  are told apart by id and text: ids may be null or shared.
+* near: the SimHash operator with five-word shingles; texts link where the Jaccard similarity of these is 0.8 or more. One row of
+  each component stays, the one with the least doc_id (null is last), then the least hash of its text. Rows are told apart by id
+  and text: ids may be null or shared.
 * repeats: words of repeated windows go; a document that keeps all its words keeps its text as it was, one that keeps none goes.
 * mix: a document is there as often as the mix takes it, up to three times; those it doesn't take go.
 * encode: ids of every row, and whether decoding gives the text again.
