@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talus.llm import language, media, mixing, pieces, quality, simhash, substring, tokens, topk
+from talus.llm import cluster, fertility, fim, language, media, mixing, pieces, quality, simhash, substring, tokens, topk
 from talus.llm.common import doc_crc
 
-PIECES, WORDS = "piece_bpe_32k.model", "word_bpe_49k.json"
+PIECES, WORDS, RANKS = "piece_bpe_32k.model", "word_bpe_49k.json", "byte_bpe_multi_50k.tiktoken"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,10 +71,34 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, language.fit(docs)).select("doc_id", held_out, "lang_pred", "score")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fim.fill_in_middle(_table(spark, sf_dir, "documents"))
+    digest = lambda c: F.sha2(F.col(c).cast("binary"), 256)
+    return out.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", digest("output").alias("output_sha256"), digest("restored_text").alias("restored_sha256")
+    )
+
+
+def op12_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster.cluster(_table(spark, sf_dir, "embeddings"))
+
+
+def vocabularies() -> tuple[fertility.Vocabulary, ...]:
+    import public_tokenizers
+
+    return fertility.Vocabulary("piece", vocabulary(PIECES)), fertility.Vocabulary("rank", vocabulary(RANKS), public_tokenizers.PATTERN)
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.rules(_table(spark, sf_dir, "documents"), vocabularies())
+
+
 _ALL = (
     op1_substring_dedup, op2_simhash, op3_mixing, op4_exact_topk, op5_token_counts, op6_quality, op7_sentencepiece, op8_media, op9_token_files,
-    op10_language_id
+    op10_language_id, op11_fill_in_middle, op12_clustering, op13_quality_rules
 )
 QUERIES = {f.__name__: f for f in _ALL}
 
-ORACLES: dict[str, str] = {"op3_mixing": mixing.ORACLE, "op4_exact_topk": topk.ORACLE}
+ORACLES: dict[str, str] = {
+    "op3_mixing": mixing.ORACLE, "op4_exact_topk": topk.ORACLE, "op11_fill_in_middle": fim.ORACLE, "op12_clustering": cluster.ORACLE
+}
