@@ -168,9 +168,10 @@ def coerce_value(x: Column, allowed: Column, how: str = "dash") -> Column:
     return F.when(~is_nullish(x), F.when(F.size(values) == 0, text).otherwise(found))
 
 
-def quote_found(quote: Column, profile: Column) -> Column:
-    """Whether a non-empty quote stands in the profile, as it is or with spaces collapsed."""
-    return (quote != "") & (F.contains(profile, quote) | F.contains(collapse(profile), collapse(quote)))
+def quote_found(quote: Column, profile: Column, plain: Column | None = None) -> Column:
+    """Whether a non-empty quote stands in the profile, as it is or with spaces collapsed. plain: the collapsed profile, where it is at hand."""
+    plain = collapse(profile) if plain is None else plain
+    return (quote != "") & (F.contains(profile, quote) | F.contains(plain, collapse(quote)))
 
 
 def rating_text(r: Column) -> Column:

@@ -13,8 +13,11 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import DataFrame
 
-# Repeats of a failed call, longest wait and time limit of a call in seconds, and tokens of an answer.
-REPEATS, LONGEST_WAIT, TIME_LIMIT, ANSWER_TOKENS = 10, 60, 300, 8192
+# Repeats of a failed call, longest wait and time limit of a call in seconds, and what calls of a local model ask for.
+REPEATS, LONGEST_WAIT, TIME_LIMIT = 10, 60, 300
+LOCAL = {"max_tokens": 8192, "temperature": 0.0, "top_p": 1.0, "top_k": 30, "chat_template_kwargs": {"enable_thinking": False}}
+#: Most bytes of prompts that a Python worker is handed at once.
+BATCH_BYTES = 4 << 20
 
 
 class Unauthorized(RuntimeError):
@@ -69,7 +72,7 @@ class HttpClient:
 
     def chat(self, messages: list[dict]) -> dict:
         body = {"model": self.config.model, "messages": messages}
-        body |= {"max_tokens": ANSWER_TOKENS, "temperature": 0.0} if provider(self.config.provider) == "local" else {"reasoning": {"enabled": True}}
+        body |= LOCAL if provider(self.config.provider) == "local" else {"reasoning": {"enabled": True}}
         problem = ""
         for attempt in range(self.config.repeats + 1):
             if self.cancelled:
@@ -106,8 +109,10 @@ class HttpClient:
 def call_model(prompts: DataFrame, make_client: Callable[[], Callable[[str], str]] = lambda: stub, threads: int = 1, tasks: int | None = None) -> DataFrame:
     """user_id, chunk, response and error: one call for each prompt. A failed call has an error and a null response; refused credentials fail the job.
 
-    tasks bounds the calls at a time to tasks * threads.
+    tasks bounds the calls at a time to tasks * threads. The session's limit on the bytes of Arrow batches is set to BATCH_BYTES, since
+    thousands of prompts, the default number of rows, may be hundreds of megabytes.
     """
+    prompts.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
     def of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = make_client()

@@ -124,9 +124,12 @@ def not_done(users: DataFrame, done: DataFrame) -> DataFrame:
     return users.join(done.select("user_id").distinct(), "user_id", "left_anti")
 
 
-def history_order(spec: SourceSpec) -> list[Column]:
+def history_order(spec: SourceSpec, newest_first: bool = False) -> list[Column]:
     if spec.cascade == "review":
-        return [F.col("ts_ms"), F.coalesce(F.col("product_id").cast("string"), F.lit("")), F.col("source_index")]
+        order = [F.col("ts_ms"), F.coalesce(F.col("product_id").cast("string"), F.lit("")), F.col("source_index")]
+        return [c.desc() for c in order] if newest_first else order
+    if newest_first:
+        return [F.col("ts_ms").desc_nulls_first(), F.col("source_index").desc()]
     return [F.col("ts_ms").asc_nulls_last(), F.col("source_index")]
 
 

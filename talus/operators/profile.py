@@ -67,11 +67,14 @@ def render_item(spec: SourceSpec, place: Column, has: set[str]) -> Column:
 
 
 def newest(items: DataFrame, most: int, order: list[Column]) -> DataFrame:
-    """The last ``most`` items of each user by an ascending order, with place from 1 for the oldest of them; 0: all."""
+    """The first ``most`` items of each user by an order that has the newest first, with place from 1 for the oldest of them; 0: all.
+
+    Each task keeps no more than ``most`` of a user before the shuffle.
+    """
     user = Window.partitionBy("user_id")
-    placed = items.withColumn("_from_end", F.count("*").over(user) - F.row_number().over(user.orderBy(*order)) + 1)
+    placed = items.withColumn("_from_end", F.row_number().over(user.orderBy(*order)))
     kept = placed.filter(F.col("_from_end") <= most) if most else placed
-    return kept.withColumn("place", F.row_number().over(user.orderBy(F.col("_from_end").desc()))).drop("_from_end")
+    return kept.withColumn("place", (F.count("*").over(user) - F.col("_from_end") + 1).cast("int")).drop("_from_end")
 
 
 def suffix_fit(rendered: DataFrame, most: int, joint: int = 2) -> DataFrame:
@@ -152,7 +155,7 @@ def summary(stats: DataFrame, spec: SourceSpec, parts: DataFrame | None = None)
 
 def profiles(items: DataFrame, spec: SourceSpec, summaries: DataFrame | None = None) -> DataFrame:
     """user_id, profile_items, profile_text of the construction items."""
-    shown = newest(items, spec.newest, history_order(spec))
+    shown = newest(items, spec.newest, history_order(spec, newest_first=True))
     rendered = shown.withColumn("rendered", render_item(spec, F.col("place"), set(shown.columns)))
     if spec.whole_items:
         body = joined(suffix_fit(rendered.select("user_id", "place", "rendered"), spec.profile_chars))

@@ -62,7 +62,10 @@ def dimension_line(id_: Column, label: Column, description: Column, values: Colu
 
 
 def prompts(profiles: DataFrame, chunks: DataFrame, rules: tuple[str, ...] = RULES) -> DataFrame:
-    """user_id, chunk, prompt: every profile with every chunk. Chunks are few rows of a schema, so they are broadcast."""
+    """user_id, chunk, prompt: every profile with every chunk, or with those of its array ``chunks``. Chunks are few rows of a schema, so they are broadcast.
+
+    Prompts are put together behind the last shuffle of the profiles: nothing that is as large as profiles times chunks is ever sent.
+    """
     lines = chunks.groupBy("chunk").agg(F.array_join(
         F.transform(
             F.array_sort(F.collect_list(F.struct("rank", dimension_line(F.col("id"), F.col("label"), F.col("description"), F.col("values")).alias("line")))),
@@ -71,4 +74,8 @@ def prompts(profiles: DataFrame, chunks: DataFrame, rules: tuple[str, ...] = RUL
         "\n"
     ).alias("dimension_lines"))
     text = F.concat_ws("\n", F.lit("\n".join(rules)), F.lit("\nATTRIBUTES:"), "dimension_lines", F.lit("\nHISTORY:"), "profile_text")
-    return profiles.crossJoin(F.broadcast(lines)).select("user_id", "chunk", text.alias("prompt"))
+    if "chunks" in profiles.columns:
+        each = profiles.withColumn("chunk", F.explode("chunks")).join(F.broadcast(lines), "chunk")
+    else:
+        each = profiles.crossJoin(F.broadcast(lines))
+    return each.select("user_id", "chunk", text.alias("prompt"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from talus.functions.text import coerce_value, confidence, quote_found, strip
+from talus.functions.text import coerce_value, collapse, confidence, quote_found, strip
 from talus.plans.specs import ASSIGNMENTS
 
 PARTS = ("field_id", "value", "confidence", "evidence", "description", "assignment_type")
@@ -25,12 +25,16 @@ def judged(raw: DataFrame, dims: DataFrame, profiles: DataFrame, how: str = "das
     named = raw.withColumn("field_id", text("field_id")).join(
         F.broadcast(dims.select(F.col("id").alias("field_id"), "values")), "field_id"
     )  # a schema has few rows
-    clean = named.join(profiles.select("user_id", "profile_text"), "user_id").withColumns({
+    # a profile meets all quotes of its user at once, and is made plain once; only the quotes that it holds go on to the answers
+    quotes = named.groupBy("user_id").agg(F.collect_set(text("evidence")).alias("_quotes"))  # some for each dimension of a schema
+    holds = lambda plain: F.filter("_quotes", lambda q: quote_found(q, F.col("profile_text"), plain))
+    held = F.transform(F.array(collapse(F.col("profile_text"))), holds)[0].alias("_held")
+    clean = named.join(profiles.join(quotes, "user_id").select("user_id", held), "user_id").withColumns({
         "value": coerce_value(F.col("value"), F.col("values"), how), "confidence": confidence(F.col("confidence")), "evidence": text("evidence"),
         "description": text("description"), "assignment_type": text("assignment_type")
     })
-    good = F.col("value").isNotNull() & F.col("assignment_type").isin(*ASSIGNMENTS) & quote_found(F.col("evidence"), F.col("profile_text"))
-    out = clean.withColumn("supported", F.coalesce(good, F.lit(False))).drop("profile_text", "values")
+    good = F.col("value").isNotNull() & F.col("assignment_type").isin(*ASSIGNMENTS) & F.array_contains("_held", F.col("evidence"))
+    out = clean.withColumn("supported", F.coalesce(good, F.lit(False))).drop("_held", "values")
     blank = {
         "value": F.lit(None).cast("string"), "confidence": F.lit(0.0), "evidence": F.lit(""), "description": F.lit(""),
         "assignment_type": F.lit("unsupported")

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from talus.functions.text import strip
 from talus.operators.order import first_of
 
-UNKNOWN_CATEGORY = "Unknown field category"
+#: Categories of fields that the schema doesn't know, and of its dimensions that name none.
+UNKNOWN_CATEGORY, NO_CATEGORY = "Unknown field category", "Uncategorized"
 #: Where a chart's scale ends.
 TOP_PCT = 105
 
@@ -28,9 +29,13 @@ def supported(personas: DataFrame) -> DataFrame:
     return personas.select("user_id", F.explode("fields").alias("f")).filter("f.value is not null").select("user_id", F.col("f.field_id").alias("id"))
 
 
+def _categories(dims: DataFrame) -> DataFrame:
+    return dims.select("id", F.coalesce(F.nullif("category", F.lit("")), F.lit(NO_CATEGORY)).alias("category"))
+
+
 def supported_by_category(fields: DataFrame, dims: DataFrame) -> DataFrame:
     """category and supported_dimension_count, the largest first, ties by name."""
-    counted = fields.groupBy("id").agg(F.count("*").alias("n")).join(F.broadcast(dims.select("id", "category")), "id", "left")  # a schema has few rows
+    counted = fields.groupBy("id").agg(F.count("*").alias("n")).join(F.broadcast(_categories(dims)), "id", "left")  # a schema has few rows
     out = counted.groupBy(F.coalesce("category", F.lit(UNKNOWN_CATEGORY)).alias("category")).agg(F.sum("n").alias("supported_dimension_count"))
     return out.orderBy(F.col("supported_dimension_count").desc(), "category")
 
@@ -45,7 +50,7 @@ def persona_stats(users: DataFrame, fields: DataFrame, dims: DataFrame) -> DataF
 
 def coverage(users: DataFrame, fields: DataFrame, dims: DataFrame) -> DataFrame:
     """category and coverage_pct of all schema categories: supported of possible, the largest first."""
-    possible = dims.groupBy("category").agg(F.count("*").alias("dimensions"))
+    possible = _categories(dims).groupBy("category").agg(F.count("*").alias("dimensions"))
     each = possible.join(supported_by_category(fields, dims), "category", "left").crossJoin(F.broadcast(users.agg(F.count("*").alias("persona_count"))))  # one row
     total = F.col("persona_count") * F.col("dimensions")
     pct = F.when(total > 0, 100.0 * F.coalesce("supported_dimension_count", F.lit(0)) / total).otherwise(0.0)

@@ -17,78 +17,95 @@ from talus.sources import readers, sinks
 from talus.sources.shared import new_path
 
 
-def put(rows: DataFrame, folder: str, name: str, order: str | None = None, **options: str) -> None:
-    """Rows of one text column, or all columns as CSV, as one file of that name."""
+#: Least number of files that a table is written as, and the most rows of one.
+FILES, FILE_ROWS = 8, 1_000_000
+#: The same in SQL: the number of a row's file, of its key and the table's number of rows and largest key.
+_PART = f"k * greatest({FILES}, n // {FILE_ROWS}) // (m + 1)"
+
+
+def put(rows: DataFrame, folder: str, name: str, kind: str = "text", array: bool = False, **options: str) -> None:
+    """Files by ranges of the key k, in its order, each written by a task of its own; their numbers stand in the name at {}.
+
+    A text file has the column value, as whole JSON arrays whose last element is no object if array; other kinds all columns but k.
+    """
     spark, made = rows.sparkSession, new_path(rows.sparkSession, "made")
-    one = rows.repartition(1).sortWithinPartitions(order) if order else rows.coalesce(1)
-    kind = options.pop("kind", "text")
-    (one.select("value") if kind == "text" else one).write.format(kind).options(**options).save(made)
+    most, count = rows.agg(F.max("k"), F.count("*")).first()
+    n = max(FILES, count // FILE_ROWS)
+    rows = rows.withColumn("part", F.expr(f"k * {n} div ({most or 0} + 1)"))
+    if array:
+        rows = rows.withColumn("value", F.concat("value", F.lit(",")))
+        for k, text in ((-1, "["), (1 << 62, "null]")):
+            rows = rows.unionByName(spark.range(n).select(F.lit(k).cast("long").alias("k"), F.lit(text).alias("value"), F.col("id").alias("part")))
+    rows = rows.repartition(n, "part").sortWithinPartitions("part", "k")
+    (rows.select("part", "value") if kind == "text" else rows.drop("k")).write.partitionBy("part").format(kind).options(**options).save(made)
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs = path(made).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(path(folder))
-    part = next(f.getPath() for f in fs.globStatus(path(f"{made}/part-*")))
-    if not fs.rename(part, path(f"{folder}/{name}")):
-        raise OSError(f"{folder}/{name} couldn't be made")
+    for f in fs.globStatus(path(f"{made}/part=*/part-*")):
+        to = path(f"{folder}/{name.format(f.getPath().getParent().getName().removeprefix('part=').zfill(5))}")
+        fs.mkdirs(to.getParent())
+        if not fs.rename(f.getPath(), to):
+            raise OSError(f"{to.toString()} couldn't be made")
 
 
 def as_json(rows: DataFrame, key: str) -> DataFrame:
     return rows.select(F.col(key).cast("long").alias("k"), F.to_json(F.struct("*")).alias("value"))
 
 
-def as_array(rows: DataFrame) -> DataFrame:
-    """Lines of a JSON array whose last element is no object."""
-    ends = rows.sparkSession.createDataFrame([(-1, "["), (1 << 62, "null]")], "k long, value string")
-    return rows.withColumn("value", F.concat("value", F.lit(","))).unionByName(ends)
-
-
 def get(name: str, kind: str = "string") -> Column:
     return F.try_variant_get("v", f"$.{name}", kind)
 
 
-def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _customers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
     folder, rows = new_path(spark, "lines"), as_json(table(spark, sf_dir, "customer"), "c_custkey")
-    other = spark.createDataFrame([(2 * k, v) for k, v in enumerate((" \t ", "[1]", "3", '"{}"'))], "k long, value string")
-    put(rows.filter("k % 2 = 0").unionByName(other), folder, "a b+c.jsonl", "k")
-    put(rows.filter("k % 2 = 1"), folder, "d.jsonl.gz", "k", compression="gzip")
-    return readers.json_lines(spark, readers.files(spark, folder, "*.jsonl", "*.jsonl.gz"), only_objects=True)
+    odd = F.explode(F.array(*[F.lit(x) for x in (" \t ", "[1]", "3", '"{}"')])).alias("value")
+    others = rows.filter("k % 5 = 0").select("k", odd)
+    put(rows.filter("k % 2 = 0").unionByName(others), folder, "a b+c/{}.jsonl")
+    put(rows.filter("k % 2 = 1"), folder, "d-{}.jsonl.gz", compression="gzip")
+    paths = readers.files(spark, folder, "*.jsonl", "*.jsonl.gz")
+    return readers.json_lines(spark, paths, only_objects=True), paths
 
 
-_PLACED = "SELECT c_custkey, c_name, c_acctbal, row_number() OVER (PARTITION BY c_custkey % 2 ORDER BY c_custkey)::INT AS place FROM customer"
-
-
-@query(_PLACED)
+@query("SELECT c_custkey, c_name, c_acctbal, row_number() OVER (ORDER BY c_custkey % 2, c_custkey) - 1 AS source_index FROM customer")
 def scan_json_lines(spark, sf_dir):
-    place = F.row_number().over(Window.partitionBy("file").orderBy("pos"))
-    return _customers(spark, sf_dir).select(
+    """Rows are numbered over all sorted files; blank lines and lines that are no objects don't count."""
+    rows, paths = _customers(spark, sf_dir)
+    rows = rows.select(
         get("c_custkey", "bigint").alias("c_custkey"), get("c_name").alias("c_name"), get("c_acctbal", "double").alias("c_acctbal"),
-        place.alias("place")
+        F.col("pos").alias("source_index")
     )
+    return readers.numbered(rows, paths)
 
 
-@query(f"SELECT c_custkey FROM ({_PLACED}) WHERE place <= 50")
+@query(f"""SELECT c_custkey FROM (SELECT c_custkey, row_number() OVER (PARTITION BY half, {_PART} ORDER BY c_custkey) AS place FROM (SELECT c_custkey,
+  c_custkey AS k, c_custkey % 2 AS half, count(*) OVER (PARTITION BY c_custkey % 2) + CASE WHEN c_custkey % 2 = 0 THEN 4 * (SELECT count(*) FROM
+  customer WHERE c_custkey % 5 = 0) ELSE 0 END AS n, CASE WHEN c_custkey % 2 = 0 THEN (SELECT max(c_custkey) FROM customer WHERE c_custkey % 2 = 0
+  OR c_custkey % 5 = 0) ELSE max(c_custkey) OVER (PARTITION BY c_custkey % 2) END AS m FROM customer)) WHERE place <= 50""")
 def rows_per_file(spark, sf_dir):
-    return readers.limit_per_file(_customers(spark, sf_dir), 50).select(get("c_custkey", "bigint").alias("c_custkey"))
+    return readers.limit_per_file(_customers(spark, sf_dir)[0], 50).select(get("c_custkey", "bigint").alias("c_custkey"))
 
 
-@query("SELECT p_partkey, p_name, p_brand, p_size FROM part")
+@query("SELECT p_partkey, p_name, p_brand, p_size, row_number() OVER (ORDER BY p_partkey % 2, p_partkey) - 1 AS number FROM part")
 def scan_json_array(spark, sf_dir):
     folder, rows = new_path(spark, "arrays"), as_json(table(spark, sf_dir, "part").withColumn("odd", F.lit('}{"][')), "p_partkey")
     for n in range(2):
-        put(as_array(rows.filter(F.col("k") % 2 == n)), folder, f"{n}.json", "k")
+        put(rows.filter(F.col("k") % 2 == n), folder, f"{n}-{{}}.json", array=True)
     found = readers.json_array(spark, readers.files(spark, folder, "*.json"))
     return found.select(
         get("p_partkey", "bigint").alias("p_partkey"), get("p_name").alias("p_name"), get("p_brand").alias("p_brand"),
-        get("p_size", "int").alias("p_size")
+        get("p_size", "int").alias("p_size"), "number"
     )
 
 
-@query("SELECT doc_id, md5(coalesce(text, '')) AS text_md5, lang, source FROM documents")
+@query("""SELECT doc_id, md5(coalesce(text, '')) AS text_md5, lang, source, row_number() OVER (ORDER BY doc_id % 2, doc_id) - 1 AS number
+  FROM documents""")
 def scan_csv(spark, sf_dir):
-    folder, docs = new_path(spark, "csv"), table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    put(docs.filter("doc_id % 2 = 0"), folder, "a.csv", kind="csv", header="true", quote='"', escape='"')
-    put(docs.filter("doc_id % 2 = 1").select("source", "lang", "text", "doc_id"), folder, "b.csv", kind="csv", header="true", quote='"', escape='"')
+    folder, docs = new_path(spark, "csv"), table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", F.col("doc_id").alias("k"))
+    kind = {"kind": "csv", "header": "true", "quote": '"', "escape": '"'}
+    put(docs.filter("doc_id % 2 = 0"), folder, "a-{}.csv", **kind)
+    put(docs.filter("doc_id % 2 = 1").select("source", "lang", "text", "doc_id", "k"), folder, "b-{}.csv", **kind)
     rows = readers.csv_rows(spark, readers.files(spark, folder, "*.csv"))
-    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_md5"), "lang", "source")
+    text_md5 = F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_md5")
+    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), text_md5, "lang", "source", "number")
 
 
 def _stata(spark: SparkSession, frame: pd.DataFrame) -> str:
@@ -115,51 +132,69 @@ def scan_stata(spark, sf_dir):
 @query("""WITH e AS (SELECT *, ' u' || user_id || ' ' AS raw_user, 'P' || event_id % 5 AS parent, 'A' || event_id % 3 AS asin, epoch_us(ts) // 1000000
   AS secs, CASE WHEN event_id % 3 = 0 THEN event_type || ' x' END AS raw_text FROM events)
 SELECT trim(raw_user) AS user_id, 'Toys' AS category, secs * 1000 AS ts_ms, value AS rating, event_type AS title, coalesce(raw_text, props) AS text,
-  event_id % 4 <> 0 AS verified, event_id % 6 AS helpful,
-  sha1('Toys|' || raw_user || '|' || parent || '|' || asin || '|' || CASE WHEN event_id % 2 = 0 THEN secs::VARCHAR ELSE '' END || '|'
-    || CASE WHEN value = 0 THEN '' WHEN value = floor(value) THEN value::BIGINT::VARCHAR ELSE value::VARCHAR END || '|' || coalesce(raw_text, '')) AS
-  item_id FROM e WHERE year(ts) = 2024""")
+  event_id % 4 = 1 AS verified, event_id % 6 AS helpful,
+  sha1('Toys|' || raw_user || '|' || parent || '|' || asin || '|' || CASE WHEN event_id % 2 = 0 THEN secs || CASE WHEN event_id % 10 = 0 THEN '.5'
+    ELSE '' END ELSE '' END || '|' || CASE WHEN value = 0 THEN '' WHEN value = floor(value) THEN value::BIGINT::VARCHAR ELSE value::VARCHAR END ||
+    '|' || coalesce(raw_text, '')) AS item_id,
+  row_number() OVER (ORDER BY event_id) - 1 AS source_index
+FROM e WHERE year(ts) = 2024""")
 def ingest_products(spark, sf_dir):
+    """Times are numbers, numbers with a fraction and texts, votes have fractions or are texts, and words stand where a flag should."""
     events = table(spark, sf_dir, "events")
     n, secs = F.col("event_id"), F.floor(micros(events, "ts") / 1_000_000)
-    rows = events.select(
-        n.alias("event_id"), F.concat(F.lit(" u"), "user_id", F.lit(" ")).alias("user_id"), F.concat(F.lit("P"), n % 5).alias("parent_asin"),
-        F.concat(F.lit("A"), n % 3).alias("asin"),
-        F.when(n % 2 == 0, secs).alias("timestamp"), F.when(n % 2 == 1, secs * 1000).alias("sort_timestamp"), F.col("value").alias("rating"),
-        F.col("event_type").alias("review_title"),
-        F.when(n % 3 == 0, F.concat("event_type", F.lit(" x"))).alias("text"), F.col("props").alias("review_text"),
-        (n % 4 != 0).alias("verified_purchase"), (n % 6).alias("helpful_vote"),
+    quoted = lambda x: F.concat(F.lit('"'), x, F.lit('"'))
+    time = F.when(n % 10 == 0, F.concat(secs.cast("string"), F.lit(".5"))).when(n % 10 == 2, quoted(secs.cast("string"))).otherwise(secs.cast("string"))
+    votes = F.when(n % 5 == 0, F.concat((n % 6).cast("string"), F.lit(".7"))).when(n % 5 == 1, quoted((n % 6).cast("string"))).otherwise((n % 6).cast("string"))
+    flag = F.element_at(F.array(*[F.lit(x) for x in ('"yes"', "true", "1", "false")]), (n % 4 + 1).cast("int"))
+    rows = events.filter("year(ts) = 2024 or event_id % 7 = 0").select(
+        F.concat(F.lit(" u"), "user_id", F.lit(" ")).alias("user_id"), F.concat(F.lit("P"), n % 5).alias("parent_asin"),
+        F.concat(F.lit("A"), n % 3).alias("asin"), F.when(n % 2 == 1, secs * 1000).alias("sort_timestamp"), F.col("value").alias("rating"),
+        F.col("event_type").alias("review_title"), F.when(n % 3 == 0, F.concat("event_type", F.lit(" x"))).alias("text"), F.col("props").alias("review_text"),
+        n.alias("_n"), time.alias("_time"), votes.alias("_votes"), flag.alias("_flag"),
+    )
+    body = F.to_json(F.struct("user_id", "parent_asin", "asin", "sort_timestamp", "rating", "review_title", "text", "review_text"))
+    raw = F.concat(
+        F.lit('{"verified_purchase": '), "_flag", F.lit(', "helpful_vote": '), "_votes", F.when(F.col("_n") % 2 == 0, F.concat(F.lit(', "timestamp": '), "_time"))
+        .otherwise(""), F.lit(", "), F.substring(body, 2, 1 << 30)
     )
     folder = new_path(spark, "products")
-    put(as_json(rows, "event_id"), folder, "meta_Toys_part_1.jsonl", "k")
-    items = readers.product_reviews(readers.json_lines(spark, readers.files(spark, folder, "*.jsonl")))
-    return select.ingest_filter(items, REVIEWS_INTL.but(years=(2024, 2024))).select(
-        "user_id", "category", "ts_ms", "rating", "title", "text", "verified", "helpful", "item_id"
+    put(rows.select(F.col("_n").alias("k"), raw.alias("value")), folder, "{}/meta_Toys_part_1.jsonl")
+    paths = readers.files(spark, folder, "*.jsonl")
+    items = select.ingest_filter(readers.product_reviews(readers.json_lines(spark, paths)), REVIEWS_INTL.but(years=(2024, 2024)))
+    return readers.numbered(items, paths).select(
+        "user_id", "category", "ts_ms", "rating", "title", "text", "verified", "helpful", "item_id", "source_index"
     )
 
 
-@query(f"""SELECT conv_id::VARCHAR AS user_id, CASE WHEN turn % 4 = 3 THEN sha1(conv_id || '|' || kind || '|' || (1500000000 + turn) * 1000 || '|' ||
-  coalesce(role, '') || '|' || plain) ELSE (conv_id * 1000 + turn)::VARCHAR END AS item_id, kind AS post_type,
-  (1500000000 + turn) * 1000 AS ts_ms, '2017-07-14' AS date, coalesce(role || ',', '') || 'a' AS tags, md5(plain) AS text_md5, row_number() OVER
-  (PARTITION BY conv_id ORDER BY turn)::INT AS place
-FROM (SELECT *, CASE turn % 3 WHEN 1 THEN 'question' WHEN 2 THEN 'answer' ELSE 'post' END AS kind,
+@query(f"""SELECT conv_id::VARCHAR AS user_id, CASE WHEN turn % 4 = 3 OR conv_id + turn = 0 THEN sha1(conv_id || '|' || kind || '|' || ms || '|' ||
+  coalesce(role, '') || '|' || plain) ELSE (conv_id + turn)::VARCHAR END AS item_id, kind AS post_type, ms AS ts_ms, '2017-07-14' AS date,
+  CASE turn % 5 WHEN 0 THEN '' WHEN 1 THEN 'a,5' ELSE coalesce(role || ',', '') || 'a' END AS tags, md5(plain) AS text_md5,
+  CASE turn % 3 WHEN 0 THEN true WHEN 1 THEN NULL ELSE false END AS accepted, row_number() OVER (ORDER BY conv_id, turn) - 1 AS source_index
+FROM (SELECT *, (1500000000 + turn) * 1000 AS ms, CASE turn % 3 WHEN 1 THEN 'question' WHEN 2 THEN 'answer' ELSE 'post' END AS kind,
   {clean("regexp_replace(coalesce(text, ''), '<.*?>', ' ', 'gs')")} AS plain FROM conversations)""")
 def ingest_posts(spark, sf_dir):
-    post = F.struct(
-        F.col("turn").alias("_order"), F.when(F.col("turn") % 4 != 3, F.col("conv_id") * 1000 + F.col("turn")).alias("Id"),
-        (F.col("turn") % 3).alias("PostTypeId"), (F.col("turn") + 1_500_000_000).alias("CreationDate"),
-        F.concat(F.coalesce(F.concat(F.lit("<"), "role", F.lit(">")), F.lit("")), F.lit("<a><a>")).alias("Tags"), F.col("role").alias("Title"),
-        F.concat(F.lit("<p>"), F.coalesce("text", F.lit("")), F.lit("</p>")).alias("Body"),
-    )
-    users = table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("user_id")).agg(F.array_sort(F.collect_list(post)).alias("posts"))
+    """Posts of users in one row each. Ids may be 0, times have fractions, tags are texts, lists or a number, and accepted is a flag or a word."""
+    turn, raw = F.col("turn"), lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    body = F.to_json(F.struct(
+        (turn % 3).alias("PostTypeId"), F.col("role").alias("Title"), F.concat(F.lit("<p>"), F.coalesce("text", F.lit("")), F.lit("</p>")).alias("Body")
+    ))
+    tag_text = raw('"', F.coalesce(F.concat(F.lit("<"), "role", F.lit(">")), F.lit("")), '<a><a>"')
+    tags = F.when(turn % 5 == 0, "5").when(turn % 5 == 1, '["a", 5, " a ", 0, null, ""]').otherwise(tag_text)
+    own_id = F.when(turn % 4 != 3, raw('"Id": ', (F.col("conv_id") + turn).cast("string"), ", ")).otherwise("")
+    accepted = F.when(turn % 3 == 0, "true").when(turn % 3 == 1, '"true"').otherwise("false")
+    post = raw(
+        "{", own_id, '"CreationDate": ', (turn + 1_500_000_000).cast("string"), F.when(turn % 2 == 1, ".25").otherwise(""), ', "Tags": ', tags,
+        ', "accepted": ', accepted, ", ", F.substring(body, 2, 1 << 30)
+    )
+    posts = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", post.alias("p")))), lambda x: x["p"]), ", ")
+    users = table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("k")).agg(posts.alias("posts"))
     folder = new_path(spark, "posts")
-    for n in range(3):
-        put(as_json(users, "user_id").filter(F.col("k") % 3 == n), folder, f"{n}.jsonl", "k")
-    items = readers.qa_posts(readers.json_lines(spark, readers.files(spark, folder, "*.jsonl"), only_objects=True))
-    place = F.row_number().over(Window.partitionBy("user_id").orderBy("source_index"))
+    put(users.select("k", raw('{"user_id": " ', F.col("k").cast("string"), '", "posts": [', F.col("posts"), ', 7, "x"]}').alias("value")), folder, "{}.jsonl")
+    paths = readers.files(spark, folder, "*.jsonl")
+    items = readers.numbered(readers.qa_posts(readers.json_lines(spark, paths, only_objects=True)), paths)
     return items.select(
         "user_id", "item_id", "post_type", "ts_ms", "date", F.array_join("tags", ",").alias("tags"),
-        F.md5(F.col("text").cast("binary")).alias("text_md5"), place.alias("place")
+        F.md5(F.col("text").cast("binary")).alias("text_md5"), "accepted", "source_index"
     )
 
 
@@ -189,7 +224,7 @@ def ingest_shop(spark, sf_dir):
         F.col("o_orderpriority").alias("Comment"), F.concat(F.lit("N"), "o_orderkey").alias("ProductName"), _dated(orders).alias("CommentDate"), "o_orderkey",
     )
     folder = new_path(spark, "shop")
-    put(as_array(as_json(rows, "o_orderkey")), folder, "Books.json", "k")
+    put(as_json(rows, "o_orderkey"), folder, "{}/Books.json", array=True)
     items = readers.shop_reviews(readers.json_array(spark, readers.files(spark, folder, "*.json")))
     return items.select("user_id", "category", "rating", "text", "product_title", "ts_ms", "timestamp", "item_id")
 
@@ -207,7 +242,7 @@ def ingest_forum(spark, sf_dir):
         k.alias("thread_id"), F.concat("o_orderpriority", F.lit(', "x"\ny')).alias("text"), F.when(k % 5 == 0, F.concat(F.lit("id  "), k)).alias("post_id"),
     )
     folder = new_path(spark, "forum")
-    put(rows, folder, "f.csv", kind="csv", header="true", quote='"', escape='"')
+    put(rows.withColumn("k", F.col("thread_id")), folder, "f-{}.csv", kind="csv", header="true", quote='"', escape='"')
     items = readers.forum_posts(readers.csv_rows(spark, readers.files(spark, folder, "*.csv")))
     return items.select("user_id", "category", "source", "thread", "text", "ts_ms", "timestamp", "item_id")
 
@@ -219,11 +254,11 @@ def shard_files(spark, sf_dir):
     return sinks.read_shards(spark, path).groupBy("shard").agg(F.count("*").alias("events"), F.count_distinct("user_id").alias("users"))
 
 
-@query("SELECT r_name AS name, sha256(r_name || chr(10)) AS sha256 FROM region")
+@query(f"""SELECT lpad(part::VARCHAR, 5, '0') AS name, sha256(string_agg(c_name || chr(10), '' ORDER BY k)) AS sha256
+  FROM (SELECT *, {_PART} AS part FROM (SELECT c_name, c_custkey AS k, count(*) OVER () AS n, max(c_custkey) OVER () AS m FROM customer)) GROUP BY part""")
 def file_digests(spark, sf_dir):
-    folder, regions = new_path(spark, "digests"), table(spark, sf_dir, "region")
-    for r in regions.collect():  # five rows at every scale
-        put(regions.filter(F.col("r_regionkey") == r["r_regionkey"]).select(F.col("r_name").alias("value")), folder, f"{r['r_name']}.txt")
+    folder = new_path(spark, "digests")
+    put(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("value")), folder, "{}.txt")
     return sinks.file_sha256(spark, f"{folder}/*.txt").select(F.regexp_extract("path", r"([^/]+)\.txt$", 1).alias("name"), "sha256")
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from talus.functions.survey import SURVEY_COLUMNS
@@ -47,11 +47,13 @@ class Run:
 
 
 def read_items(spark: SparkSession, run: Run) -> DataFrame:
+    """Items with a dense source_index over the sorted files; a run of some rows of each file of lines keeps positions instead."""
     paths = readers.files(spark, run.source, *GLOBS[run.spec.cascade])
     raw = {"review": readers.json_lines, "shop": readers.json_array, "forum": readers.csv_rows}.get(run.spec.cascade)
     rows = raw(spark, paths) if raw else readers.json_lines(spark, paths, only_objects=True)
     rows = readers.limit_per_file(rows, run.rows_per_file)
-    return {"review": readers.product_reviews, "shop": readers.shop_reviews, "qa": readers.qa_posts, "forum": readers.forum_posts}[run.spec.cascade](rows)
+    items = {"review": readers.product_reviews, "shop": readers.shop_reviews, "qa": readers.qa_posts, "forum": readers.forum_posts}[run.spec.cascade](rows)
+    return items if run.rows_per_file and "in_file" not in rows.columns else readers.numbered(items.filter("user_id <> ''"), paths)
 
 
 def read_metadata(spark: SparkSession, folder: str) -> DataFrame:
@@ -97,16 +99,17 @@ def compact(spark: SparkSession, run: Run) -> str:
     if run.spec.cascade in ("review", "shop"):
         stat = history.category_stats(shown)
         if run.spec.cascade == "review":
-            pairs = lambda c, out: history.counters(shown, c).groupBy("user_id", "category").agg(F.collect_list(F.struct("value", "n")).alias(out))
+            def pairs(value: Column, out: str, most: int, of: DataFrame = shown) -> DataFrame:
+                """The most frequent values only: a hot user may have millions."""
+                top = history.top_counters(history.counters(of, value), most)
+                return top.groupBy("user_id", "category").agg(F.collect_list(F.struct("value", "n")).alias(out))
+
             bare = F.when((collapse(F.col("title")) == "") & (collapse(F.col("text")) == ""), F.nullif(collapse(F.col("product_title")), F.lit("")))
             stat = stat.join(
-                pairs(history.rating_value(F.col("rating")), "ratings"), ["user_id", "category"], "left"
-            ).join(pairs(bare, "bare_products"), ["user_id", "category"], "left")
+                pairs(history.rating_value(F.col("rating")), "ratings", 5), ["user_id", "category"], "left"
+            ).join(pairs(bare, "bare_products", 3), ["user_id", "category"], "left")
             named = shown.select("user_id", "category", F.explode("product_path").alias("p"))
-            stat = stat.join(
-                history.counters(named, F.col("p")).groupBy("user_id", "category").agg(F.collect_list(F.struct("value", "n")).alias("products")),
-                ["user_id", "category"], "left"
-            )
+            stat = stat.join(pairs(F.col("p"), "products", 4, named), ["user_id", "category"], "left")
         summaries = profile.summary(stat, run.spec, history.split_summary(rows) if run.spec.cascade == "review" else None)
     out = profile.profiles(shown, run.spec, summaries).join(rows.groupBy("user_id").agg(F.first("rank").alias("rank")), "user_id")
     out.withColumn("source", F.lit(run.spec.name)).withColumn("profile_chars", F.length("profile_text")).write.mode("overwrite").parquet(run.at("profiles"))
@@ -151,11 +154,13 @@ def extract_personas(spark: SparkSession, run: Run) -> str:
         sinks.write_prompt_log(prompts.prompts(todo, dims), run.at("prompt_log"))
     for turn in range((todo.agg(F.max("turn")).first()[0] or 0) + 1):
         users = todo.filter(F.col("turn") == turn)
-        grid = prompts.prompts(users, dims)
+        due = users.select("user_id").crossJoin(F.broadcast(dims.select("chunk").distinct()))  # ids and numbers of chunks
         if _there(spark, run.at("answers")):
             known = spark.read.schema(ANSWERS).parquet(run.at("answers")).filter("response is not null")
-            grid = grid.join(known.select("user_id", "chunk"), ["user_id", "chunk"], "left_anti")
-        found = extract.call_model(grid, run.make_client, run.spec.concurrency, run.tasks)
+            due = due.join(known.select("user_id", "chunk"), ["user_id", "chunk"], "left_anti")
+        due = users.join(due.groupBy("user_id").agg(F.array_sort(F.collect_set("chunk")).alias("chunks")), "user_id")
+        grid = prompts.prompts(due.repartition(run.tasks) if run.tasks else due, dims)
+        found = extract.call_model(grid, run.make_client, run.spec.concurrency)
         found.select("user_id", F.col("chunk").cast("int").alias("chunk"), "response", "error").write.mode("append").parquet(run.at("answers"))
         answers = spark.read.schema(ANSWERS).parquet(run.at("answers")).join(users.select("user_id"), "user_id", "left_semi")
         best = sanitize.best_answers(sanitize.judged(sanitize.parse_answers(answers), dims, users, run.spec.coerce))

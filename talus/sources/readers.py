@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-import re
-from collections import defaultdict
-from collections.abc import Iterator
+import csv
+import io
 
 import pandas as pd
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from talus.functions import loose
 from talus.functions.text import (
-    category_of_file, clean_tags, collapse, epoch_ms, has_text, iso_ms, iso_plus7, parse_tags, post_type, strip, strip_html, surrogate_id, utc_date,
+    SECONDS_BELOW, category_of_file, collapse, has_text, iso_ms, iso_plus7, post_type, strip, strip_html, surrogate_id, utc_date,
 )
+from talus.sources.blocks import Arrays, Csv, file_path, numbered_blocks, records
+from talus.sources.shared import staged
 
 # Names under which question-and-answer dumps hold a field; the first that is there and not null counts.
 ALIASES = {
@@ -21,7 +24,6 @@ ALIASES = {
     "timestamp": ("timestamp", "creation_date", "CreationDate"), "tags": ("tags", "Tags"), "title": ("title", "Title"), "text": ("text", "body", "Body"),
     "score": ("score", "Score"), "accepted": ("accepted", "is_accepted", "accepted_answer"),
 }
-MOST_CSV = 100_000_000
 #: Category of posts that name none.
 FORUM = "forum"
 
@@ -55,15 +57,10 @@ def require(spark: SparkSession, path: str, hint: str) -> str:
 POSITION = "struct<file: string, block: bigint, row: bigint>"
 
 
-def _file() -> Column:
-    """The file's path as it was given; Spark hands it on with signs escaped."""
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-
-
 def _placed(rows: DataFrame, *columns: Column | str) -> DataFrame:
     """columns, file and pos of a scan. Rows of a block are in one partition, in order."""
-    pos = F.struct(_file().alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
-    return rows.select(*columns, _file().alias("file"), pos.alias("pos"))
+    pos = F.struct(file_path().alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    return rows.select(*columns, file_path().alias("file"), pos.alias("pos"))
 
 
 def lines(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -76,6 +73,8 @@ def limit_per_file(rows: DataFrame, most: int) -> DataFrame:
     """The first rows of each file; 0: all."""
     if not most:
         return rows
+    if "in_file" in rows.columns:
+        return rows.filter(F.col("in_file") < most)
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy("file").orderBy("pos"))).filter(F.col("_n") <= most).drop("_n")
 
 
@@ -92,119 +91,84 @@ def json_lines(spark: SparkSession, paths: list[str], only_objects: bool = False
     return out.filter(F.schema_of_variant("v").startswith("OBJECT")) if only_objects else out
 
 
-def _objects(chunks: Iterator[tuple[str, str]]) -> Iterator[tuple[str, int, str | None]]:
-    """Of (path, text between closing braces) in order: path, number and text of each object of each file's array. A file that isn't one whole array ends in a None.
+def bad_line(spark: SparkSession, paths: list[str]) -> tuple[str, int, str] | None:
+    """File, line number from 1 and beginning of the first line that isn't JSON, over the sorted files."""
+    rows = _placed(spark.read.text(paths), "value")
+    bad = F.when(has_text(F.col("value")) & F.try_parse_json("value").isNull(), F.struct(F.col("pos.row"), F.substring("value", 1, 80).alias("text")))
+    counts = rows.groupBy("pos.file", "pos.block").agg(F.count("*").alias("n"), F.min("pos.row").alias("first"), F.min(bad).alias("bad"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row a block
+    at = (before + F.col("bad.row") - F.col("first") + 1).alias("line")
+    found = counts.select("file", at, "bad").filter("bad is not null").orderBy("file", "line").first()
+    return found and (found["file"], found["line"], found["bad"]["text"])
+
+
+def numbered(items: DataFrame, paths: list[str] | None = None, start: int = 0) -> DataFrame:
+    """items with source_index as one number, dense from start over the sorted files, in place of a position.
 
-    Other elements are passed over. Only the element at hand is held.
+    items come from a scan by selections, filters and unfolding alone, so that the rows of a file's block are together and in order; it is
+    an error if they aren't. They are written to the shared folder once: a block's number of rows and the numbers before it are of the
+    rows that are read again. Where the readers number rows themselves, their order is kept. If a line isn't JSON, paths let the error
+    name file and line.
     """
-    signs = re.compile(r'["\\\[\]{}]|[^\s,"\\\[\]{}]')
-    path, n, depth, inside, escaped, held, begun, ended, odd = None, 0, 0, False, False, [], False, False, False
-    for at, chunk in chunks:
-        if at != path:
-            if path is not None and (not ended or odd):
-                yield path, n, None
-            path, n, depth, inside, escaped, held, begun, ended, odd = at, 0, 0, False, False, [], False, False, False
-            chunk = chunk.removeprefix("\ufeff")
-        start, skip = 0, 0
-        for found in signs.finditer(chunk):
-            sign, i = found[0], found.start()
-            if inside:
-                if escaped and i == skip:
-                    escaped = False
-                elif sign == "\\":
-                    escaped, skip = True, i + 1
-                elif sign == '"':
-                    inside = False
-                continue
-            if not begun:
-                begun, depth, odd = True, 1, sign != "["
-                continue
-            if ended:
-                odd = True
-            elif sign == '"':
-                inside = True
-            elif sign in "[{":
-                depth += 1
-                if depth == 2 and sign == "{":
-                    held, start = ["{"], i + 1
-            elif sign in "]}":
-                depth -= 1
-                if depth == 0:
-                    ended = True
-                elif depth == 1 and held:
-                    held.append(chunk[start : i + 1])
-                    yield path, n, "".join(held)
-                    held, n = [], n + 1
-        if held:
-            held.append(chunk[start:])
-        if escaped and skip < len(chunk):
-            escaped = False
-    if path is not None and (not ended or odd):
-        yield path, n, None
+    if not items.schema["source_index"].dataType.typeName().startswith("struct"):
+        return items.withColumn("source_index", F.col("source_index") + start)
+    nested = "pos" in items.schema["source_index"].dataType.fieldNames()
+    pos = F.col("source_index.pos" if nested else "source_index")
+    try:
+        rows = staged(items.withColumn("_at", F.monotonically_increasing_id()), "items")
+    except PySparkException as error:
+        found = bad_line(items.sparkSession, paths) if paths else None
+        if not found:
+            raise
+        raise ValueError(f"bad JSON at {found[0]}:{found[1]}: {found[2]}") from error
+    keyed = rows.withColumns({"_file": pos["file"], "_block": pos["block"]})
+    counts = keyed.groupBy(F.col("_file").alias("file"), F.col("_block").alias("block")).agg(
+        F.count("*").alias("n"), F.min("_at").alias("first"), F.max("_at").alias("last")
+    )
+    apart = F.raise_error(F.concat(F.lit("rows of a block aren't together: "), F.col("file"))).cast("long")
+    counts = counts.withColumn("first", F.when(F.col("last") - F.col("first") + 1 == F.col("n"), F.col("first")).otherwise(apart))
+    places = numbered_blocks(counts).join(counts.select("file", "block", "first"), ["file", "block"])
+    # a row for each block of a file, of which the driver holds as many in its listing of files
+    places = F.broadcast(places.select(F.col("file").alias("_file"), F.col("block").alias("_block"), (F.col("before") - F.col("first") + start).alias("_add")))
+    return keyed.join(places, ["_file", "_block"]).withColumn("source_index", F.col("_at") + F.col("_add")).drop("_file", "_block", "_at", "_add")
 
 
 def json_array(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """file, pos and v of the objects of files that hold one JSON array each; a byte order mark is skipped, cut-off files fail.
+    """file, pos, number and v of the objects of files that hold one JSON array each; a byte order mark is skipped, cut-off files fail.
 
-    Spark cuts files at closing braces, so no row is larger than an element's innermost part. A task goes through its files'
-    parts in order (sorted, on disk if need be) and holds one element at a time.
+    number is dense from 0 over the sorted files, in_file the same in each. A file is read by as many tasks as it has blocks, twice.
     """
-    cut = _placed(spark.read.option("lineSep", "}").text(paths), "value")
-    dealt = cut.repartition(F.col("file")).sortWithinPartitions("pos").select("file", "value")
-
-    def of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def chunks():
-            last = None
-            for frame in frames:
-                for path, value in zip(frame["file"], frame["value"], strict=True):
-                    if last is not None:
-                        yield last[0], last[1] + "}" * (last[0] == path)  # the brace that stood between two parts
-                    last = path, value
-            if last is not None:
-                yield last
-
-        rows = []
-        for row in _objects(chunks()):
-            rows.append(row)
-            if len(rows) == 1000:
-                yield pd.DataFrame(rows, columns=["file", "n", "value"])
-                rows = []
-        yield pd.DataFrame(rows, columns=["file", "n", "value"])
-
-    found = dealt.mapInPandas(of, "file string, n long, value string")
-    whole = F.when(
-        F.col("value").isNull(), F.raise_error(F.concat("file", F.lit(" is no whole JSON array"))).cast("variant")
-    ).otherwise(F.try_parse_json("value"))
-    pos = F.struct(F.col("file"), F.lit(0).cast("long").alias("block"), F.col("n").alias("row"))
-    out = found.select("file", pos.alias("pos"), whole.alias("v"), "value")
+    rows = records(spark, paths, Arrays)
     bad = F.raise_error(F.concat(F.lit("bad JSON in "), "file", F.lit(": "), F.substring("value", 1, 80))).cast("variant")
-    return out.select("file", "pos", F.when(F.col("v").isNull(), bad).otherwise(F.col("v")).alias("v"))
-
-
-def _first_line(spark: SparkSession, path: str) -> str | None:
-    jvm, where = spark._jvm, spark._jvm.org.apache.hadoop.fs.Path(path)
-    data = where.getFileSystem(spark._jsc.hadoopConfiguration()).open(where)
-    try:
-        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(data, "UTF-8")).readLine()
-    finally:
-        data.close()
+    v = F.coalesce(F.try_parse_json("value"), bad)
+    return rows.select("file", "pos", "number", "in_file", v.alias("v"))
 
 
 def csv_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """All columns as text, with file and pos; quotes, line breaks in fields and a byte order mark are read as they should be.
+    """All columns as text, with file, pos, number and in_file; quotes, line breaks in fields and a byte order mark are read as they should be.
 
-    One scan for each kind of header line. A file that has line breaks in fields can't be split, so each is read by one task.
+    number is dense from 0 over the sorted files, header lines not counted. A file is read by as many tasks as it has blocks, twice.
+    Header lines may differ: columns that a file lacks are null.
     """
-    kinds = defaultdict(list)
-    for path in paths:
-        kinds[_first_line(spark, path)].append(path)
-    out = None
-    for head, own in kinds.items():
-        if head is not None:
-            one = spark.read.csv(own, header=True, multiLine=True, quote='"', escape='"', maxCharsPerColumn=MOST_CSV)
-            one = _placed(one, *[F.col(f"`{c}`") for c in one.columns])
-            out = one if out is None else out.unionByName(one, allowMissingColumns=True)
-    return out if out is not None else spark.createDataFrame([], f"file string, pos {POSITION}")
+    rows = records(spark, paths, Csv)
+    heads = sorted((r["file"], r["value"]) for r in rows.filter("in_file = 0").select("file", "value").collect())  # a row for each file
+    if not heads:
+        return spark.createDataFrame([], f"file string, pos {POSITION}, number bigint, in_file bigint")
+    kinds = {head: next(csv.reader(io.StringIO(head, newline=""))) for _, head in heads}
+    order = {head: i for i, head in enumerate(kinds)}
+    files = spark.createDataFrame([(file, order[head], n + 1) for n, (file, head) in enumerate(heads)], "file string, _kind int, _heads long")
+    width = max(map(len, kinds.values()))
+    schema = ", ".join(f"_{i} string" for i in range(width))
+    one = F.from_csv("value", schema, {"quote": '"', "escape": '"', "multiLine": "true"})
+    data = rows.filter("in_file > 0").join(F.broadcast(files), "file").withColumn("_c", one)  # the driver holds the list of files
+    names = dict.fromkeys(name or f"_c{i}" for columns in kinds.values() for i, name in enumerate(columns))
+    places = {name: [(order[h], max(i for i, c in enumerate(columns) if (c or f"_c{i}") == name)) for h, columns in kinds.items() if name in columns or name.startswith("_c")] for name in names}
+
+    def of(name: str) -> Column:
+        return F.coalesce(*[F.when(F.col("_kind") == kind, F.col(f"_c._{i}")) for kind, i in places[name]]).alias(name)
+
+    number = (F.col("number") - F.col("_heads")).alias("number")
+    return data.select(*[of(name) for name in names], "file", "pos", number, (F.col("in_file") - 1).alias("in_file"))
 
 
 def stata(spark: SparkSession, path: str, columns: tuple[str, ...], most: int = 0) -> DataFrame:
@@ -229,16 +193,19 @@ def stata(spark: SparkSession, path: str, columns: tuple[str, ...], most: int =
     return out
 
 
-def _get(name: str, kind: str = "string", of: str = "v") -> Column:
-    return F.try_variant_get(of, f"$.{name}", kind)
+def _fields(raw: DataFrame, *names: str) -> DataFrame:
+    """file, source_index and the values under the names, each taken out of its row once, as columns that begin with an underscore."""
+    return raw.select("file", _order(raw), *[loose.field(n).alias(f"_{n}") for n in names])
 
 
-def _has(name: str) -> Column:
-    return F.array_contains(F.json_object_keys(F.to_json("v")), name)
+def _text(*names: str) -> Column:
+    """The text of the first of some values that isn't empty, zero or null; else ''."""
+    return F.coalesce(*[F.nullif(loose.text(F.col(f"_{n}")), F.lit("")) for n in names], F.lit(""))
 
 
-def _first(name: str, kind: str = "string", of: str = "v") -> Column:
-    return F.coalesce(*[_get(a, kind, of) for a in ALIASES[name]])
+def _either(name: str, other: str) -> Column:
+    """The value under a name, null included; the other's where the name isn't there at all."""
+    return F.coalesce(F.col(f"_{name}"), F.col(f"_{other}"))
 
 
 def _falsy(x: Column) -> Column:
@@ -246,60 +213,73 @@ def _falsy(x: Column) -> Column:
     return F.when(x.try_cast("double") == 0, "").otherwise(F.coalesce(x.cast("string"), F.lit("")))
 
 
+def _order(raw: DataFrame) -> Column:
+    """The number of a row where its reader gives one, else its position."""
+    return F.col("number" if "number" in raw.columns else "pos").alias("source_index")
+
+
 def product_reviews(raw: DataFrame) -> DataFrame:
-    """Items of JSON-line reviews. A key that is there with null hides its alternative; category falls back on the file's name."""
-    time = F.when(_has("timestamp"), _get("timestamp")).otherwise(_get("sort_timestamp"))
-    helpful = F.when(_has("helpful_vote"), _get("helpful_vote")).otherwise(_get("helpful_votes"))
+    """Items of JSON-line reviews. A key that is there with null hides its alternative; category falls back on the file's name.
+
+    Values may be of other types than expected: times and votes lose their fraction, and only true makes a purchase verified.
+    """
     name = F.element_at(F.split("file", "/"), -1)
-    text = lambda n: F.coalesce(_get(n), F.lit(""))
-    either = lambda a, b: F.coalesce(F.nullif(_get(a), F.lit("")), _get(b), F.lit(""))
-    category = F.coalesce(F.nullif(_get("category"), F.lit("")), F.nullif(category_of_file(name), F.lit("")), F.lit("Unknown"))
-    own_id = surrogate_id(
-        F.col("category"), F.col("_user"), F.col("parent_id"), F.col("product_id"), _falsy(F.col("_time")), _falsy(F.col("_rating")), F.col("_text")
-    )
-    rows = raw.select(
-        strip(F.coalesce(_get("user_id"), F.lit(""))).alias("user_id"), category.alias("category"), text("parent_asin").alias("parent_id"),
-        text("asin").alias("product_id"), epoch_ms(time).alias("ts_ms"),
-        _get("rating").try_cast("double").alias("rating"), either("title", "review_title").alias("title"), either("text", "review_text").alias("text"),
-        F.coalesce(_get("verified_purchase", "boolean"), F.lit(False)).alias("verified"),
-        F.coalesce(helpful.try_cast("bigint"), F.lit(0)).alias("helpful"), F.col("pos").alias("source_index"),
-        _get("review_id").alias("_id"), text("user_id").alias("_user"), _get("timestamp").alias("_time"), _get("rating").alias("_rating"),
-        text("text").alias("_text"),
+    category = F.coalesce(F.nullif(_text("category"), F.lit("")), F.nullif(category_of_file(name), F.lit("")), F.lit("Unknown"))
+    parts = ("u", "parent_id", "product_id", "t", "r", "x")
+    each = _fields(
+        raw, "user_id", "category", "parent_asin", "asin", "timestamp", "sort_timestamp", "rating", "title", "review_title", "text", "review_text",
+        "verified_purchase", "helpful_vote", "helpful_votes", "review_id"
+    )
+    rows = each.select(
+        strip(_text("user_id")).alias("user_id"), category.alias("category"), _text("parent_asin").alias("parent_id"), _text("asin").alias("product_id"),
+        loose.epoch_ms(_either("timestamp", "sort_timestamp"), SECONDS_BELOW).alias("ts_ms"), loose.real(F.col("_rating")).alias("rating"),
+        _text("title", "review_title").alias("title"), _text("text", "review_text").alias("text"),
+        F.coalesce(loose.flag(F.col("_verified_purchase")), F.lit(False)).alias("verified"),
+        F.coalesce(loose.whole(_either("helpful_vote", "helpful_votes")), F.lit(0)).alias("helpful"), "source_index",
+        _text("review_id").alias("i"), _text("user_id").alias("u"), _text("timestamp").alias("t"), _text("rating").alias("r"), _text("text").alias("x"),
     )
-    return rows.withColumn("item_id", F.coalesce(F.nullif("_id", F.lit("")), own_id)).drop("_id", "_user", "_time", "_rating", "_text")
+    own_id = surrogate_id(F.col("category"), *map(F.col, parts))
+    return rows.withColumn("item_id", F.coalesce(F.nullif("i", F.lit("")), own_id)).drop("i", "u", "t", "r", "x")
 
 
 def shop_reviews(raw: DataFrame) -> DataFrame:
     """Items of JSON-array reviews with ISO dates."""
     stem = F.regexp_replace(F.element_at(F.split("file", "/"), -1), r"\.json$", "")
-    text = lambda n: F.coalesce(_get(n), F.lit(""))
-    category = collapse(F.coalesce(F.nullif(_get("SubCategory"), F.lit("")), F.nullif(stem, F.lit("")), F.lit("Unknown")))
-    rows = raw.select(
-        strip(F.coalesce(_get("UserId"), F.lit(""))).alias("user_id"), category.alias("category"), _get("Rating").try_cast("double").alias("rating"), text("Comment").alias("text"),
-        text("ProductName").alias("product_title"), text("ProductUrl").alias("product_url"), iso_ms(_get("CommentDate")).alias("ts_ms"),
-        F.col("pos").alias("source_index"), _get("Rating").alias("_rating"),
+    category = collapse(F.coalesce(F.nullif(_text("SubCategory"), F.lit("")), F.nullif(stem, F.lit("")), F.lit("Unknown")))
+    each = _fields(raw, "UserId", "SubCategory", "Rating", "Comment", "ProductName", "ProductUrl", "CommentDate")
+    rows = each.select(
+        strip(_text("UserId")).alias("user_id"), category.alias("category"), loose.real(F.col("_Rating")).alias("rating"), _text("Comment").alias("text"),
+        _text("ProductName").alias("product_title"), _text("ProductUrl").alias("product_url"), iso_ms(_text("CommentDate")).alias("ts_ms"),
+        "source_index", _text("Rating").alias("r"),
     )
     own_id = surrogate_id(*[
-        _falsy(F.col(c)) if c in ("_rating", "ts_ms") else F.col(c)
-        for c in ("category", "user_id", "ts_ms", "_rating", "text", "product_title", "product_url", "category")
+        _falsy(F.col(c)) if c == "ts_ms" else F.col(c)
+        for c in ("category", "user_id", "ts_ms", "r", "text", "product_title", "product_url", "category")
     ])
-    return rows.withColumn("timestamp", iso_plus7(F.col("ts_ms"))).withColumn("item_id", own_id).drop("_rating")
+    return rows.withColumn("timestamp", iso_plus7(F.col("ts_ms"))).withColumn("item_id", own_id).drop("r")
 
 
 def qa_posts(raw: DataFrame) -> DataFrame:
-    """Items of posts, flat or nested under ``posts`` of a user's row; names vary. Their order is that of rows, then of posts in a row."""
-    nested = F.try_variant_get("v", "$.posts", "array<variant>")
-    each = raw.withColumn("outer_user", F.nullif(strip(_get("user_id")), F.lit(""))).select(
+    """Items of posts, flat or nested under ``posts`` of a user's row; names vary. Their order is that of rows, then of posts in a row.
+
+    Values may be of other types than expected: an id or user that is 0 or empty is none, tags are a list or a text, accepted is true,
+    false or unknown, and a time is a whole number (fractions are cut) or an ISO text.
+    """
+    posts = loose.field("posts")
+    nested = F.when(loose.kind(posts).startswith("ARRAY"), F.try_variant_get(posts, "$", "array<variant>"))
+    each = raw.withColumn("outer_user", F.nullif(strip(loose.text(loose.field("user_id"))), F.lit(""))).select(
         "pos", "outer_user", F.posexplode(F.coalesce(nested, F.array("v"))).alias("i", "p")
     )
     each = each.filter(F.schema_of_variant("p").startswith("OBJECT"))
-    get = lambda name, kind="string": _first(name, kind, "p")
-    time = F.coalesce(epoch_ms(get("timestamp")), F.when(get("timestamp").try_cast("bigint").isNull(), iso_ms(get("timestamp"))))
-    tags = F.coalesce(F.when(get("tags", "array<string>").isNotNull(), clean_tags(get("tags", "array<string>"))), parse_tags(get("tags")))
+    each = each.select("pos", "i", "outer_user", *[loose.first_given(names, "p").alias(f"_{name}") for name, names in ALIASES.items()])
+    get = lambda name: loose.text(F.col(f"_{name}"))
+    time = F.coalesce(
+        loose.epoch_ms(F.col("_timestamp"), SECONDS_BELOW), F.when(loose.whole(F.col("_timestamp")).isNull(), iso_ms(get("timestamp")))
+    )
     rows = each.select(
-        F.coalesce("outer_user", strip(get("user_id")), F.lit("")).alias("user_id"), F.coalesce(get("post_id"), F.lit("")).alias("_id"),
-        post_type(get("post_type")).alias("post_type"), time.alias("ts_ms"), tags.alias("tags"),
-        collapse(get("title")).alias("title"), strip_html(get("text")).alias("text"), get("score").alias("score"), get("accepted", "boolean").alias("accepted"),
+        F.coalesce("outer_user", strip(get("user_id"))).alias("user_id"), get("post_id").alias("_id"), post_type(get("post_type")).alias("post_type"),
+        time.alias("ts_ms"), loose.tags(F.col("_tags")).alias("tags"), collapse(get("title")).alias("title"), strip_html(get("text")).alias("text"),
+        F.try_variant_get("_score", "$", "string").alias("score"), loose.flag(F.col("_accepted")).alias("accepted"),
         F.struct(F.col("pos"), F.col("i").alias("item")).alias("source_index"),
     )
     own_id = surrogate_id(*[_falsy(F.col(c)) if c == "ts_ms" else F.col(c) for c in ("user_id", "post_type", "ts_ms", "title", "text")])
@@ -315,7 +295,7 @@ def forum_posts(raw: DataFrame) -> DataFrame:
         collapse(c("author")).alias("user_id"), category.alias("category"),
         collapse(F.coalesce(F.nullif(c("source"), F.lit("")), F.lit(FORUM))).alias("source"), collapse(c("thread_id")).alias("thread"),
         collapse(c("text_hash")).alias("text_hash"), c("text").alias("text"), iso_ms(c("created_at")).alias("ts_ms"),
-        collapse(c("post_id")).alias("_id"), F.col("pos").alias("source_index"),
+        collapse(c("post_id")).alias("_id"), _order(raw),
         c("thread_id").alias("_thread"), c("text_hash").alias("_hash"),
     )
     own_id = surrogate_id(*[_falsy(F.col(n)) if n == "ts_ms" else F.col(n) for n in ("category", "user_id", "ts_ms", "_thread", "_hash", "text")])

@@ -16,12 +16,21 @@ def write_json_lines(df: DataFrame, path: str, gzip: bool = False, append: bool
     return path
 
 
-def write_shards(items: DataFrame, path: str, n: int) -> str:
-    """Parquet by shard of the user; each shard's rows meet in one task unless it is too large for one file."""
-    items.withColumn("shard", shard(F.col("user_id"), n)).repartition("shard").write.mode("overwrite").partitionBy("shard").parquet(path)
+#: Most rows of a shard's file, and most bytes of a file that is read as one row.
+FILE_ROWS, WHOLE_FILE = 2_000_000, 1 << 30
+
+
+def _by_shard(rows: DataFrame, path: str, most: int) -> str:
+    """Small shards are one file each, and large ones as many as their size asks for: the rebalancing lets Spark split partitions at run time."""
+    rows.hint("rebalance", "shard").write.mode("overwrite").option("maxRecordsPerFile", most).partitionBy("shard").parquet(path)
     return path
 
 
+def write_shards(items: DataFrame, path: str, n: int, most: int = FILE_ROWS) -> str:
+    """Parquet by shard of the user. A shard beyond Spark's advisory partition size, as a hot user's, is written by many tasks."""
+    return _by_shard(items.withColumn("shard", shard(F.col("user_id"), n)), path, most)
+
+
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
@@ -50,19 +59,19 @@ def write_document(row: DataFrame, path: str) -> str:
 
 def write_prompt_log(prompts: DataFrame, path: str, shards: int = 64) -> str:
     """user_id, chunk and prompt in Parquet, in a folder for each shard of the user; a new log takes the old one's place. A text file for each prompt would be millions of them."""
-    logged = prompts.select("user_id", "chunk", "prompt", shard(F.col("user_id"), shards).alias("shard"))
-    logged.repartition("shard").write.mode("overwrite").partitionBy("shard").parquet(path)
-    return path
+    return _by_shard(prompts.select("user_id", "chunk", "prompt", shard(F.col("user_id"), shards).alias("shard")), path, FILE_ROWS)
 
 
 def file_sha256(spark: SparkSession, path: str) -> DataFrame:
-    """path and sha256 of each file that a path or pattern names; files are streamed, whatever their size."""
+    """path and sha256 of each file that a path or pattern names. Files of up to a gigabyte are read by tasks; larger ones, which no row can hold, are streamed one by one."""
     jvm, where = spark._jvm, spark._jvm.org.apache.hadoop.fs.Path(path)
     fs, rows = where.getFileSystem(spark._jsc.hadoopConfiguration()), []
-    for one in fs.globStatus(where) or []:
-        data = fs.open(one.getPath())
+    large = [f.getPath() for f in fs.globStatus(where) or [] if f.getLen() > WHOLE_FILE]
+    for one in large:
+        data = fs.open(one)
         try:
-            rows.append((one.getPath().toString(), jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(data)))
+            rows.append((one.toString(), jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(data)))
         finally:
             data.close()
-    return spark.createDataFrame(rows, "path string, sha256 string")
+    small = spark.read.format("binaryFile").load(path).filter(F.col("length") <= WHOLE_FILE).select("path", F.sha2("content", 256).alias("sha256"))
+    return small.unionByName(spark.createDataFrame(rows, "path string, sha256 string")) if rows else small

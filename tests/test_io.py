@@ -1,5 +1,8 @@
+import csv
 import gzip
 import json
+import random
+from contextlib import contextmanager
 
 import pandas as pd
 import pytest
@@ -56,10 +59,10 @@ def test_nested_posts(spark, tmp_path):
 
 def test_posts_of_many_files_keep_their_order(spark, tmp_path):
     for n in range(12):
-        posts = [{"Id": 100 * n + k, "Body": f"text {n} {k}"} for k in range(3)]
+        posts = [{"Id": 100 * n + k + 1, "Body": f"text {n} {k}"} for k in range(3)]
         (tmp_path / f"p{n:02d} +.jsonl").write_text("\t \n" + json.dumps({"user_id": " u ", "posts": posts}) + "\n" + json.dumps({"OwnerUserId": 7, "Id": 100 * n + 50}) + "\n")
     rows = readers.qa_posts(readers.json_lines(spark, readers.files(spark, str(tmp_path), "*.jsonl"))).orderBy("source_index").collect()
-    assert [int(r["item_id"]) for r in rows] == [100 * n + k for n in range(12) for k in (0, 1, 2, 50)] and {r["user_id"] for r in rows} == {"u", "7"}
+    assert [int(r["item_id"]) for r in rows] == [100 * n + k for n in range(12) for k in (1, 2, 3, 50)] and {r["user_id"] for r in rows} == {"u", "7"}
     items = readers.qa_posts(readers.json_lines(spark, readers.files(spark, str(tmp_path), "*.jsonl")))
     top = select.select_users(items, QA_POSTS.but(min_count=1, min_chars=0))
     assert [(r["user_id"], r["rank"]) for r in top.orderBy("rank").collect()] == [("u", 1), ("7", 2)]
@@ -95,6 +98,97 @@ def test_csv_files_with_other_columns(spark, tmp_path):
     assert [(r["user_id"], r["text"], r["category"], r["thread"]) for r in rows] == [("x", "1", "forum", "t"), ("y", "2", "L", ""), ("z", "3", "forum", "")]
 
 
+@contextmanager
+def blocks_of(spark, size):
+    """Files are cut into blocks of a few bytes."""
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_csv_in_blocks_equals_the_whole_file_reader(spark, tmp_path):
+    rng = random.Random(2)
+    cell = lambda: "".join(rng.choice(['a', "é", ",", '"', "\n", "\r\n", " "]) for _ in range(rng.randrange(6)))
+    for name in ("a", "b"):
+        with open(tmp_path / f"{name}.csv", "w", newline="", encoding="utf-8-sig") as f:
+            out = csv.writer(f, lineterminator="\n" if name == "a" else "\r\n")
+            out.writerow(["n", "x", 'y "z"'])
+            out.writerows([f"{name}{i}", cell(), cell()] for i in range(60))
+    paths = readers.files(spark, str(tmp_path), "*.csv")
+    told = []
+    for path in ("a", "b"):
+        with open(tmp_path / f"{path}.csv", newline="", encoding="utf-8-sig") as f:
+            told += [tuple(x or None for x in r) for r in list(csv.reader(f))[1:]]
+    for size in (1 << 27, 400):
+        with blocks_of(spark, size):
+            rows = readers.csv_rows(spark, paths)
+            found = [tuple(r) for r in rows.orderBy("number").select("n", "x", "`y \"z\"`", "number", "in_file").collect()]
+        assert found == [(*r, i, i % 60) for i, r in enumerate(told)]
+    whole = spark.read.csv(paths, header=True, multiLine=True, quote='"', escape='"').collect()
+    plain = lambda rows: sorted(tuple(x and x.replace("\r\n", "\n") for x in r[:3]) for r in rows)  # noqa: E731 (that reader makes line breaks alike)
+    assert plain(found) == plain(whole)
+    assert readers.limit_per_file(readers.csv_rows(spark, paths), 2).count() == 4
+
+
+def test_numbers_are_dense_over_sorted_files(spark, tmp_path):
+    for n in range(3):
+        lines = [json.dumps({"user_id": "u", "posts": [{"Id": 1000 * n + 10 * i + k + 1} for k in range(i % 4)]}) + "\n" + " \n" * (i % 2) for i in range(40)]
+        (tmp_path / f"{n}.jsonl").write_text("".join(lines))
+    (tmp_path / "3.jsonl").write_text("[]\n")
+    paths = readers.files(spark, str(tmp_path), "*.jsonl")
+    with blocks_of(spark, 300):
+        items = readers.numbered(readers.qa_posts(readers.json_lines(spark, paths, only_objects=True)), paths, start=1)
+        found = [(r["source_index"], int(r["item_id"])) for r in items.orderBy("source_index").collect()]
+        told = [1000 * n + 10 * i + k + 1 for n in range(3) for i in range(40) for k in range(i % 4)]
+        assert found == list(enumerate(told, 1))
+        (tmp_path / "3.jsonl").write_text("[]\n\n{}\n" * 30 + "{oops\n{worse\n")
+        with pytest.raises(ValueError, match=r"3\.jsonl:91: \{oops"):
+            readers.numbered(readers.qa_posts(readers.json_lines(spark, paths)), paths)
+    mixed = readers.qa_posts(readers.json_lines(spark, paths[:3])).repartition(7)
+    with pytest.raises(Exception, match="aren't together"):
+        readers.numbered(mixed).collect()
+    assert readers.numbered(readers.qa_posts(readers.json_lines(spark, paths[:3])).filter("false")).count() == 0
+
+
+def as_whole(x):
+    """A number without its fraction, a text of a whole number; None for others."""
+    try:
+        return int(x)
+    except (TypeError, ValueError):
+        return None
+
+
+LOOSE = (1546300800, 1546300800.5, "1546300800", "12.7", " 12 ", "1_0", True, False, None, 0, "", "0", [], {}, -3, -1.5, "x", "2019-01-01T00:00:00Z")
+
+
+def test_loose_values(spark, tmp_path):
+    with open(tmp_path / "a.jsonl", "w") as f:
+        f.writelines(json.dumps({"user_id": "u", "timestamp": x, "helpful_vote": x, "verified_purchase": x, "title": x, "review_id": i}) + "\n" for i, x in enumerate(LOOSE, 1))
+    rows = readers.product_reviews(readers.json_lines(spark, readers.files(spark, str(tmp_path), "*.jsonl"))).collect()
+    for r, x in zip(sorted(rows, key=lambda r: int(r["item_id"])), LOOSE, strict=True):
+        n = as_whole(x)
+        assert r["ts_ms"] == (None if n is None or n < 0 else n * 1000), x
+        assert (r["verified"], r["helpful"]) == (x is True, n or 0) and r["title"] == str(x or ""), x
+    with open(tmp_path / "a.jsonl", "w") as f:
+        f.writelines(json.dumps({"user_id": "u", "CreationDate": x, "Tags": x, "accepted": x, "Title": i, "Id": x}) + "\n" for i, x in enumerate(LOOSE, 1))
+    rows = readers.qa_posts(readers.json_lines(spark, readers.files(spark, str(tmp_path), "*.jsonl"))).collect()
+    for r, x in zip(sorted(rows, key=lambda r: int(r["title"])), LOOSE, strict=True):
+        n = as_whole(x)
+        assert r["ts_ms"] == (1546300800000 if isinstance(x, str) and "T" in x else None if n is None or n < 0 else n * 1000), x
+        assert r["accepted"] == (x if isinstance(x, bool) else None) and r["tags"] == (x.split() if isinstance(x, str) else []), x
+        assert (r["item_id"] == str(x)) == bool(x) and (x or len(r["item_id"]) == 40)
+
+
+def test_dimensions_without_a_category(spark):
+    dims = spark.createDataFrame([("a", None), ("b", ""), ("c", "C")], "id string, category string")
+    users, fields = spark.createDataFrame([("u",)], "user_id string"), spark.createDataFrame([("u", "a"), ("u", "b"), ("u", "other")], "user_id string, id string")
+    assert [tuple(r) for r in stats.coverage(users, fields, dims).collect()] == [("Uncategorized", 100.0), ("C", 0.0)]
+    assert dict(map(tuple, stats.supported_by_category(fields, dims).collect())) == {"Uncategorized": 2, "Unknown field category": 1}
+
+
 def test_chart_without_a_drawing_library(spark, tmp_path):
     rows = spark.createDataFrame([("A & b", 50.0), ("C", 0.0)], "category string, coverage_pct double")
     drawn = open(stats.coverage_chart(rows, str(tmp_path / "c.svg"))).read()
@@ -122,6 +216,18 @@ def test_sinks(spark, tmp_path):
     assert spark.read.json(zipped).count() == 2
 
 
+def test_a_hot_shard_is_many_files(spark, tmp_path):
+    rows = spark.range(200_000).select(F.when(F.col("id") % 10 == 0, F.col("id").cast("string")).otherwise("hot").alias("user_id"), F.sha2(F.col("id").cast("string"), 512).alias("v"))
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
+    try:
+        path = sinks.write_shards(rows.repartition(8), str(tmp_path / "s"), 4)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    files = sorted(len(list(d.glob("*.parquet"))) for d in (tmp_path / "s").glob("shard=*"))
+    assert len(files) == 4 and files[-1] >= 4 and files[0] <= 2 and sinks.read_shards(spark, path).count() == 200_000
+
+
 def test_schema_documents(spark, tmp_path):
     path = tmp_path / "d.json"
     path.write_text(json.dumps({"dimensions": [{"id": "a", "category": "X: y", "values": ["1"]}, {"id": "b", "category": "Z"}]}))
