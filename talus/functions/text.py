@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+from functools import cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,9 +35,21 @@ def strip(x: Column) -> Column:
     return F.regexp_replace(x, f"^{WHITE}|{WHITE}$", "")
 
 
+@cache
+def _folding() -> tuple[str, str, dict[str, str]]:
+    """Code points whose caseless form is one code point, those forms, and the code points whose form is longer."""
+    every = {c: c.casefold() for c in map(chr, range(sys.maxunicode + 1)) if c.casefold() != c}
+    one = {c: f for c, f in every.items() if len(f) == 1}
+    return "".join(one), "".join(one.values()), {c: f for c, f in every.items() if len(f) > 1}
+
+
 def folded(x: Column) -> Column:
-    """Lower case for comparisons, where also the sharp s, the long s and the final sigma are as their other forms."""
-    return F.translate(F.replace(F.lower(x), F.lit("ß"), F.lit("ss")), "ſς", "sσ")
+    """The caseless form of a text, code point by code point, for comparisons."""
+    ones, forms, longer = _folding()
+    text = F.translate(x, ones, forms)
+    pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(f).alias("f")) for c, f in longer.items()])
+    full = F.when(text.rlike(f"[{''.join(longer)}]"), F.aggregate(pairs, text, lambda s, p: F.replace(s, p["c"], p["f"]))).otherwise(text)
+    return F.when(F.octet_length(x) == F.length(x), F.lower(x)).otherwise(full)  # plain texts need no table
 
 
 def truncate(x: Column, most: int) -> Column:
@@ -149,7 +164,7 @@ def is_nullish(x: Column) -> Column:
 
 def dash_key(x: Column) -> Column:
     """Form in which values are compared: hyphens as en dashes, spaces collapsed, lower case."""
-    return folded(collapse(F.regexp_replace(x, "-", "–")))
+    return F.translate(folded(collapse(x)), "-", "–")
 
 
 def hyphen_key(x: Column) -> Column:

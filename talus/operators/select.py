@@ -42,17 +42,23 @@ def user_metrics(items: DataFrame, spec: SourceSpec) -> DataFrame:
     """One row per user: items, categories, text_items, text_chars, history_days, verified_share, score_sum and first_seen."""
     columns, text = set(items.columns), F.coalesce("text", F.lit(""))
     chars = F.length(text) + (F.length(F.coalesce("title", F.lit(""))) if spec.cascade == "qa" else 0)
-    aggregates = [
-        F.count("*").alias("items"), F.count_if(has_text(text)).alias("text_items"), F.sum(chars).cast("long").alias("text_chars"),
-        F.min("ts_ms").alias("_from"), F.max("ts_ms").alias("_to"), F.min("source_index").alias("first_seen"),
-        (F.sum(F.col("verified").cast("long")) if "verified" in columns else F.lit(0)).alias("_verified"),
-        (F.sum(loose_double(F.col("score"), 0.0)) if "score" in columns else F.lit(0.0)).alias("score_sum"),
-    ]
-    if spec.cascade == "qa":  # tags of all items; distinct ones are few for each user
-        users = items.groupBy("user_id").agg(*aggregates, F.size(F.array_distinct(F.flatten(F.collect_set("tags")))).cast("long").alias("categories"))
+    sums = {
+        "items": F.lit(1).cast("long"), "text_items": has_text(text).cast("long"), "text_chars": chars.cast("long"),
+        "_verified": F.col("verified").cast("long") if "verified" in columns else F.lit(0).cast("long"),
+        "score_sum": loose_double(F.col("score"), 0.0) if "score" in columns else F.lit(0.0),
+    }
+    ends = [F.min("_from").alias("_from"), F.max("_to").alias("_to"), F.min("first_seen").alias("first_seen")]
+    own = [F.col("ts_ms").alias("_from"), F.col("ts_ms").alias("_to"), F.col("source_index").alias("first_seen"), *[c.alias(n) for n, c in sums.items()]]
+    total = [F.sum(n).alias(n) for n in sums]
+    if spec.cascade == "qa":
+        # a row for each tag of an item, the item's numbers beside the first; each tag of a user becomes one row, so no list of tags is gathered
+        each = items.select("user_id", *own, F.posexplode_outer("tags").alias("_pos", "_tag"))
+        each = each.withColumns({n: F.when(F.coalesce("_pos", F.lit(0)) == 0, F.col(n)) for n in sums})
+        by_tag = each.groupBy("user_id", "_tag").agg(*total, *ends)
+        users = by_tag.groupBy("user_id").agg(*total, *ends, F.count("_tag").alias("categories"))
     else:
         group = "thread" if spec.cascade == "forum" else "category"
-        users = items.groupBy("user_id").agg(*aggregates, F.count_distinct(group).alias("categories"))
+        users = items.select("user_id", group, *own).groupBy("user_id").agg(*total, *ends, F.count_distinct(group).alias("categories"))
     days = F.coalesce((F.col("_to") - F.col("_from")) / F.lit(float(DAY_MS)), F.lit(0.0))
     return users.withColumn("history_days", days).withColumn("verified_share", F.col("_verified") / F.col("items")).drop("_from", "_to", "_verified")
 

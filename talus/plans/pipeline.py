@@ -16,7 +16,6 @@ from talus.functions.text import category_path, collapse
 from talus.operators import crosswalk, extract, history, profile, prompts, sanitize, select, stats
 from talus.plans.specs import SourceSpec
 from talus.sources import readers, sinks
-from talus.sources.shared import new_path, written
 
 STAGES = ("ingest", "prepare", "compact", "extract", "stats")
 GLOBS = {"review": ("*.jsonl", "*.jsonl.gz"), "shop": ("*.json",), "qa": ("*.jsonl", "*.jsonl.gz"), "forum": ("*.csv",)}
@@ -134,39 +133,71 @@ def _there(spark: SparkSession, path: str) -> bool:
 ANSWERS = "user_id string, chunk int, response string, error string"
 
 
-def extract_personas(spark: SparkSession, run: Run) -> str:
-    """Adds the personas of users that have none yet, the first max_users of them by rank (0: all), some users after the other.
+def _hand_out(spark: SparkSession, run: Run) -> DataFrame:
+    """Puts the profiles of users that have no persona yet, the first max_users of them by rank (0: all), into numbered turns of users_at_once.
 
-    Calls are dear: answers are written before anything is made of them, and an answer that a run left behind is used by the next.
+    Profiles of a turn lie below ``due``, and a small file in ``turns`` stands for each turn. What an earlier run handed out isn't handed
+    out again; if it died before it wrote the files of its turns, they are written now. Returns the profiles that are left to do.
     """
-    todo = spark.read.parquet(readers.require(spark, run.at("profiles"), "run the compact stage first"))
+    left = spark.read.parquet(readers.require(spark, run.at("profiles"), "run the compact stage first"))
     if _there(spark, run.at("personas")):
-        todo = history.not_done(todo, spark.read.schema(PERSONA).json(run.at("personas")))
-    order = Window.orderBy("rank", "user_id")  # ranks and ids of top_k users at most
-    places = todo.select("user_id", "rank").withColumn("turn", F.row_number().over(order) - 1)
-    places = places.filter(F.col("turn") < run.spec.max_users) if run.spec.max_users else places
-    todo = written(
-        todo.join(places.select("user_id", F.floor(F.col("turn") / run.users_at_once).cast("int").alias("turn")), "user_id"), new_path(spark, "todo")
-    )
-    dims = dimensions(spark, run)
+        left = history.not_done(left, spark.read.schema(PERSONA).json(run.at("personas")))
+    order, first = Window.orderBy("rank", "user_id"), 0  # ranks and ids of top_k users at most
+    places = left.select("user_id", "rank").withColumn("place", F.row_number().over(order) - 1)
+    places = places.filter(F.col("place") < run.spec.max_users) if run.spec.max_users else places
+    chosen = left.join(places.select("user_id"), "user_id", "left_semi")
+    if _there(spark, run.at("due")):
+        known = spark.read.parquet(run.at("due")).select("user_id", "turn")
+        first, places = known.agg(F.max("turn")).first()[0] + 1, history.not_done(places, known)
+    turn = (F.floor((F.row_number().over(order) - 1) / run.users_at_once) + first).cast("int").alias("turn")
+    new = left.join(places.select("user_id", turn), "user_id")
+    if not new.isEmpty():
+        new.repartition("turn").sortWithinPartitions("turn").write.mode("append").partitionBy("turn").parquet(run.at("due"))
+    if _there(spark, run.at("due")):
+        for r in spark.read.parquet(run.at("due")).select("turn").distinct().orderBy("turn").collect():  # a row for each users_at_once
+            if not _there(spark, name := f"{run.at('turns')}/{r['turn']:06d}.json"):
+                sinks.write_json(spark, {"turn": r["turn"]}, name)
+    return chosen
+
+
+def extract_personas(spark: SparkSession, run: Run) -> str:
+    """Adds the personas of users that have none yet, turn by turn, as a stream whose checkpoint knows which turns are done.
+
+    A run that starts again goes on with the turn that was broken off. Calls are dear: answers are written before anything is made of
+    them, and those that a broken turn left behind are used by the next. A turn's personas are one folder, which a repeated turn
+    replaces, so no persona is there twice.
+    """
+    left, dims = _hand_out(spark, run), dimensions(spark, run)
     n = dims.count()
     if run.log_prompts:
-        sinks.write_prompt_log(prompts.prompts(todo, dims), run.at("prompt_log"))
-    for turn in range((todo.agg(F.max("turn")).first()[0] or 0) + 1):
-        users = todo.filter(F.col("turn") == turn)
+        sinks.write_prompt_log(prompts.prompts(left, dims), run.at("prompt_log"))
+    if not _there(spark, run.at("turns")):
+        return run.at("personas")
+
+    def one(turn: int) -> None:
+        users = spark.read.parquet(run.at("due")).filter(F.col("turn") == turn).drop("turn")
+        path = f"{run.at('answers')}/turn={turn}"
         due = users.select("user_id").crossJoin(F.broadcast(dims.select("chunk").distinct()))  # ids and numbers of chunks
-        if _there(spark, run.at("answers")):
-            known = spark.read.schema(ANSWERS).parquet(run.at("answers")).filter("response is not null")
+        if _there(spark, path):
+            known = spark.read.schema(ANSWERS).parquet(path).filter("response is not null")
             due = due.join(known.select("user_id", "chunk"), ["user_id", "chunk"], "left_anti")
         due = users.join(due.groupBy("user_id").agg(F.array_sort(F.collect_set("chunk")).alias("chunks")), "user_id")
         grid = prompts.prompts(due.repartition(run.tasks) if run.tasks else due, dims)
         found = extract.call_model(grid, run.make_client, run.spec.concurrency)
-        found.select("user_id", F.col("chunk").cast("int").alias("chunk"), "response", "error").write.mode("append").parquet(run.at("answers"))
-        answers = spark.read.schema(ANSWERS).parquet(run.at("answers")).join(users.select("user_id"), "user_id", "left_semi")
+        found.select("user_id", F.col("chunk").cast("int").alias("chunk"), "response", "error").write.mode("append").parquet(path)
+        answers = spark.read.schema(ANSWERS).parquet(path)
         best = sanitize.best_answers(sanitize.judged(sanitize.parse_answers(answers), dims, users, run.spec.coerce))
         out = sanitize.personas(best, users, dims)
         whole = F.when(F.size("fields") == n, F.col("fields")).otherwise(F.raise_error(F.lit("a persona lacks dimensions")).cast(out.schema["fields"].dataType))
-        sinks.append_personas(out.select("user_id", F.lit(run.spec.name).alias("source"), whole.alias("fields")), run.at("personas"))
+        sinks.write_json_lines(out.select("user_id", F.lit(run.spec.name).alias("source"), whole.alias("fields")), f"{run.at('personas')}/turn={turn}")
+
+    def batch(turns: DataFrame, _: int) -> None:
+        for r in turns.collect():  # one turn
+            one(r["turn"])
+
+    turns = spark.readStream.schema("turn int").option("multiLine", True).option("maxFilesPerTrigger", 1).json(run.at("turns"))
+    query = turns.writeStream.option("checkpointLocation", run.at("extract_state")).trigger(availableNow=True).foreachBatch(batch).start()
+    query.awaitTermination()
     return run.at("personas")
 
 

@@ -135,3 +135,11 @@ def test_answers_are_looked_up_in_one_form(spark):
     assert one(spark, answer_key(F.col("x")), x="Can’t") == "can't" and one(spark, answer_key(F.col("x").cast("int")), x="1") == "1.0"
     assert one(spark, answer_key(F.col("x").cast("double")), x="2.5") == "2.5" and one(spark, answer_key(F.col("x").cast("bigint")), x="12000000") == "12000000.0"
     assert one(spark, answer_key(F.col("x")), x="1") == "1"
+
+
+def test_every_code_point_folds_as_casefold(spark):
+    points = [c for c in map(chr, range(1, 0x110000)) if not 0xD800 <= ord(c) < 0xE000]
+    rows = ["".join(points[i : i + 4000]) for i in range(0, len(points), 4000)]
+    found = {r["x"]: r["y"] for r in spark.createDataFrame([(x,) for x in rows], "x string").select("x", fn.folded(F.col("x")).alias("y")).collect()}
+    assert all(found[x] == x.casefold() for x in rows)
+    assert spark.range(1).select(fn.is_nullish(F.lit(" UN\u212aNOWN "))).first()[0]  # the sign of the kelvin
