@@ -47,8 +47,8 @@ def folded(x: Column) -> Column:
     """The caseless form of a text, code point by code point, for comparisons."""
     ones, forms, longer = _folding()
     text = F.translate(x, ones, forms)
-    pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(f).alias("f")) for c, f in longer.items()])
-    full = F.when(text.rlike(f"[{''.join(longer)}]"), F.aggregate(pairs, text, lambda s, p: F.replace(s, p["c"], p["f"]))).otherwise(text)
+    pairs = F.split(F.lit("\x01".join(c + f for c, f in longer.items())), "\x01")  # one literal: a code point, then its form
+    full = F.when(text.rlike(f"[{''.join(longer)}]"), F.aggregate(pairs, text, lambda s, p: F.replace(s, F.substring(p, 1, 1), F.substring(p, 2, 9)))).otherwise(text)
     return F.when(F.octet_length(x) == F.length(x), F.lower(x)).otherwise(full)  # plain texts need no table
 
 
