@@ -185,3 +185,21 @@ def test_validation_counts_and_raises(spark):
         crosswalk.validated(good, dims, 3)
     with pytest.raises(KeyError):
         crosswalk.check_targets(dims, {"nosuch": ("s", {})}, {})
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_plans_that_scale(spark):
+    items = spark.createDataFrame([("u", i, f"text {i}") for i in range(9)], "user_id string, n long, text string")
+    found = profile.newest(items, 3, [F.col("n").desc()])
+    assert "WindowGroupLimit" in plan_of(found) and [(r["n"], r["place"]) for r in found.orderBy("n").collect()] == [(6, 1), (7, 2), (8, 3)]
+    # the profile meets the quotes of its user, not each answer: its text isn't in a shuffle of answers, and is made plain once
+    raw = spark.createDataFrame([("u", 0, i, "d", "v", "0.5", f"text {i}", "", "direct") for i in range(4)], "user_id string, chunk int, pos int, field_id string, value string, confidence string, evidence string, description string, assignment_type string")
+    dims = spark.createDataFrame([("d", ["v"])], "id string, values array<string>")
+    people = spark.createDataFrame([("u", "text 0\n and  text   1")], "user_id string, profile_text string")
+    out = sanitize.judged(raw, dims, people)
+    assert sorted((r["pos"], r["supported"]) for r in out.collect()) == [(0, True), (1, True), (2, False), (3, False)]
+    shuffles = [line for line in plan_of(out).splitlines() if "Exchange" in line]
+    assert sum("profile_text" in line for line in shuffles) <= 1
