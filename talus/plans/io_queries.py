@@ -11,7 +11,7 @@ from talus.functions.survey import SURVEY_COLUMNS, VALUE_MAPS, computed
 from talus.operators import crosswalk as cw
 from talus.operators import history, prompts, select, stats
 from talus.plans import pipeline
-from talus.plans.queries import CHUNK_SQL, DIMS, HIST, clean, dims, hist, micros, query, table
+from talus.plans.queries import CHUNK_SQL, DIMS, HIST, PART_DIM_SQL, clean, dims, hist, micros, part_dims, query, table
 from talus.plans.specs import REVIEWS_INTL, REVIEWS_VN
 from talus.sources import readers, sinks
 from talus.sources.shared import new_path
@@ -307,13 +307,18 @@ def personas_first_wins(spark, sf_dir):
     return stats.distinct_personas(rows.unionByName(nobody)).select("user_id", F.col("fields")[0]["value"].alias("value"))
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"({p}, '{i}', '{c}', {len(v)})" for p, i, _, c, v in DIMS) + ") AS d(pos, id, category, allowed)")
+@query(f"""WITH {PART_DIM_SQL}
+SELECT pos, id, category, allowed::INT AS allowed, category LIKE 'SMALL:%' OR category = 'PROMO' AS fits FROM dims""")
 def schema_document(spark, sf_dir):
-    path = sinks.write_json(
-        spark, {"dimensions": [{"id": i, "label": label, "category": c, "values": v} for _, i, label, c, v in DIMS]},
-        f"{new_path(spark, 'schema')}.json"
-    )
-    return prompts.load_dimensions(spark, path).select("pos", "id", "category", F.size("values").alias("allowed"))
+    """A schema and a mapping are written as documents and loaded; the mapping's patterns meet the schema's categories."""
+    found = [r.asDict() for r in part_dims(spark, sf_dir).orderBy("pos").select("id", "category", "values").collect()]  # some hundred rows
+    folder = new_path(spark, "schema")
+    dims = prompts.load_dimensions(spark, sinks.write_json(spark, {"dimensions": found}, f"{folder}/schema.json"))
+    mapping = {"evidence_categories": [{"id": "a", "schema_categories": ["SMALL:*", "E*"]}, {"id": "b", "schema_categories": ["PROMO"]}]}
+    mapping["skip_by_default_schema_categories"] = ["E*"]
+    patterns = prompts.load_mapping(spark, sinks.write_json(spark, mapping, f"{folder}/mapping.json"))
+    fit = prompts.schema_subset(dims, *patterns).select("id", F.lit(True).alias("fits"))
+    return dims.join(fit, "id", "left").select("pos", "id", "category", F.size("values").alias("allowed"), F.coalesce("fits", F.lit(False)).alias("fits"))
 
 
 @query("""SELECT event_id, CASE event_id % 4 WHEN 0 THEN event_type || ',B' WHEN 1 THEN event_type || ',B,c d' WHEN 2 THEN event_type ELSE '1,2,3,4,5,6' END AS path,

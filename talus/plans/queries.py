@@ -10,7 +10,7 @@ import json
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from talus.functions import text as fn
@@ -442,16 +442,34 @@ CHUNK_SQL = f"""{DIM_SQL}, c AS (SELECT *, min(pos) OVER (PARTITION BY category)
 chunks AS (SELECT *, (dense_rank() OVER (ORDER BY first, part) - 1)::INT AS chunk, row_number() OVER (ORDER BY first, pos)::INT AS rank FROM c)"""
 
 
-@query(f"WITH {CHUNK_SQL} SELECT id, category, chunk, rank FROM chunks")
+PART_DIM_SQL = """d AS (SELECT p_type || '/' || p_brand AS id, CASE WHEN b % 3 = 0 THEN p_type ELSE p_type || ': b' || b % 3 END AS category,
+  count(DISTINCT p_size) AS allowed FROM (SELECT *, replace(p_brand, 'Brand#', '')::INT AS b FROM part) GROUP BY ALL),
+dims AS (SELECT (row_number() OVER (ORDER BY id) - 1)::INT AS pos, * FROM d)"""
+
+
+def part_dims(spark, sf_dir) -> DataFrame:
+    """A schema of a dimension for each type and brand of parts, whose values are their sizes: some hundred rows at every scale."""
+    b = F.replace("p_brand", F.lit("Brand#"), F.lit("")).cast("int")
+    category = F.when(b % 3 == 0, F.col("p_type")).otherwise(F.concat("p_type", F.lit(": b"), (b % 3).cast("string")))
+    rows = table(spark, sf_dir, "part").groupBy(F.concat("p_type", F.lit("/"), "p_brand").alias("id"), category.alias("category")).agg(
+        F.array_sort(F.collect_set(F.col("p_size").cast("string"))).alias("values")
+    )
+    return rows.withColumn("pos", F.row_number().over(Window.orderBy("id")) - 1)
+
+
+@query(f"""WITH {PART_DIM_SQL}, c AS (SELECT *, min(pos) OVER (PARTITION BY category) AS first, (row_number() OVER (PARTITION BY category ORDER BY pos) -
+  1) // 4 AS part FROM dims)
+SELECT id, category, (dense_rank() OVER (ORDER BY first, part) - 1)::INT AS chunk, row_number() OVER (ORDER BY first, pos)::INT AS rank FROM c""")
 def dim_chunks(spark, sf_dir):
-    return prompts.chunked(dims(spark), 2).select("id", "category", "chunk", "rank")
+    return prompts.chunked(part_dims(spark, sf_dir), 4).select("id", "category", "chunk", "rank")
 
 
-@query(f"""WITH {DIM_SQL} SELECT id, category FROM dims WHERE (category LIKE 'Text:%' OR category LIKE 'Origin:%' OR category = 'Sty') AND NOT
-  category LIKE 'Origin: R%'""")
+@query(f"""WITH {PART_DIM_SQL} SELECT id, category, allowed::INT AS allowed FROM dims WHERE (category LIKE 'SMALL:%' OR category LIKE 'E%' OR category =
+  'PROMO') AND NOT category LIKE 'ECONOMY: b2%'""")
 def schema_subset(spark, sf_dir):
     pattern = lambda *p: spark.createDataFrame([(x,) for x in p], "pattern string")
-    return prompts.schema_subset(dims(spark), pattern("Text:*", "Origin:*", "Sty"), pattern("Origin: R*")).select("id", "category")
+    found = prompts.schema_subset(part_dims(spark, sf_dir), pattern("SMALL:*", "E*", "PROMO"), pattern("ECONOMY: b2*"))
+    return found.select("id", "category", F.size("values").alias("allowed"))
 
 
 @query(f"WITH {CHUNK_SQL} SELECT c_custkey AS user_id, chunk, count(*) AS dimensions FROM customer, chunks GROUP BY ALL")
