@@ -16,6 +16,8 @@ def main(argv: list[str] | None = None) -> None:
         ask.add_argument(f"--{name}")
     for name in ("top-k", "max-users", "rows-per-file", "shards", "limit"):
         ask.add_argument(f"--{name}", type=int)
+    ask.add_argument("--calls-per-second", type=float, default=0.0)
+    ask.add_argument("--gate-port", type=int, default=0)
     ask.add_argument("--log-prompts", action="store_true")
     given = ask.parse_args(argv)
 
@@ -31,7 +33,8 @@ def main(argv: list[str] | None = None) -> None:
     config = ClientConfig(given.endpoint, given.model or "", given.authorization or "", given.provider or "local") if given.endpoint else None
     plan = pipeline.Run(
         SPECS[given.source].but(**changes), given.input, given.work, given.schema, given.metadata, given.mapping, given.rows_per_file or 0,
-        (lambda: HttpClient(config)) if config else (lambda: stub), log_prompts=given.log_prompts, chart=given.chart
+        (lambda: HttpClient(config)) if config else (lambda: stub), log_prompts=given.log_prompts, chart=given.chart,
+        calls_per_second=given.calls_per_second, gate_port=given.gate_port
     )
     for path in pipeline.run(spark, plan, given.stage):
         print(path)

@@ -13,6 +13,8 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from talus.operators.gate import Cancelled, Door, Unauthorized
+
 # Repeats of a failed call, longest wait and time limit of a call in seconds, and what calls of a local model ask for.
 REPEATS, LONGEST_WAIT, TIME_LIMIT = 10, 60, 300
 LOCAL = {"max_tokens": 8192, "temperature": 0.0, "top_p": 1.0, "top_k": 30, "chat_template_kwargs": {"enable_thinking": False}}
@@ -20,14 +22,6 @@ LOCAL = {"max_tokens": 8192, "temperature": 0.0, "top_p": 1.0, "top_k": 30, "cha
 BATCH_BYTES = 4 << 20
 
 
-class Unauthorized(RuntimeError):
-    """The endpoint refuses the credentials; no call can succeed, so the job fails."""
-
-
-class Cancelled(RuntimeError):
-    """Another call of the same task was refused."""
-
-
 @dataclass(frozen=True)
 class ClientConfig:
     """Where calls go. There is no default endpoint. provider: 'local' or 'router' ('openrouter' is another name for that)."""
@@ -56,7 +50,9 @@ def stub(prompt: str) -> str:
 
 
 class HttpClient:
-    """Chat completions over HTTP, with waits of 1, 2, 4 ... seconds or as the endpoint asks."""
+    """Chat completions over HTTP, with waits of 1, 2, 4 ... seconds or as the endpoint asks. Behind a door, each attempt asks for its turn."""
+
+    door: Door | None = None
 
     def __init__(self, config: ClientConfig, post: Callable | None = None, sleep: Callable[[float], None] = time.sleep):
         self.config, self.post, self.sleep, self.cancelled = config, post or self._post, sleep, False
@@ -77,6 +73,8 @@ class HttpClient:
         for attempt in range(self.config.repeats + 1):
             if self.cancelled:
                 raise Cancelled("another call was refused")
+            if self.door:
+                self.door.enter()
             wait = min(LONGEST_WAIT, 2**attempt)
             try:
                 status, head, answer = self.post(json.dumps(body).encode())
@@ -106,21 +104,31 @@ class HttpClient:
         ])
 
 
-def call_model(prompts: DataFrame, make_client: Callable[[], Callable[[str], str]] = lambda: stub, threads: int = 1, tasks: int | None = None) -> DataFrame:
+def call_model(prompts: DataFrame, make_client: Callable[[], Callable[[str], str]] = lambda: stub, threads: int = 1, tasks: int | None = None, door: Door | None = None) -> DataFrame:
     """user_id, chunk, response and error: one call for each prompt. A failed call has an error and a null response; refused credentials fail the job.
 
-    tasks bounds the calls at a time to tasks * threads. The session's limit on the bytes of Arrow batches is set to BATCH_BYTES, since
+    tasks bounds the calls at a time to tasks * threads. door: of the Gate in whose context the result is written; it holds all tasks' calls to
+    one rate, and a refusal in one task stops the others before their next call. The session's limit on the bytes of Arrow batches is set to BATCH_BYTES, since
     thousands of prompts, the default number of rows, may be hundreds of megabytes.
     """
     prompts.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
     def of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = make_client()
+        every = hasattr(client, "door")  # such a client asks before each attempt, others before each prompt
+        if every:
+            client.door = door
 
         def one(prompt: str) -> tuple[str | None, str | None]:
+            if door and not every:
+                door.enter()
             try:
                 return client(prompt), None
-            except (Unauthorized, Cancelled):
+            except Unauthorized as refusal:
+                if door:
+                    door.refuse(str(refusal))
+                raise
+            except Cancelled:
                 raise
             except Exception as error:  # one chunk's failure stays its own
                 return None, repr(error)

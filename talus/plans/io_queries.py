@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -9,12 +11,13 @@ from pyspark.sql import functions as F
 from talus.functions import text as fn
 from talus.functions.survey import SURVEY_COLUMNS, VALUE_MAPS, computed
 from talus.operators import crosswalk as cw
-from talus.operators import history, prompts, select, stats
+from talus.operators import extract, history, prompts, select, stats
+from talus.operators.gate import Gate
 from talus.plans import pipeline
 from talus.plans.queries import CHUNK_SQL, DIMS, HIST, PART_DIM_SQL, clean, dims, hist, micros, part_dims, query, table
 from talus.plans.specs import REVIEWS_INTL, REVIEWS_VN
 from talus.sources import readers, sinks
-from talus.sources.shared import new_path
+from talus.sources.shared import new_path, staged
 
 
 #: Least number of files that a table is written as, and the most rows of one.
@@ -247,6 +250,69 @@ def ingest_forum(spark, sf_dir):
     return items.select("user_id", "category", "source", "thread", "text", "ts_ms", "timestamp", "item_id")
 
 
+@query("""WITH wanted AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_quantity >= 49 AND l_partkey % 4 <> 3)
+SELECT CASE WHEN p_partkey % 3 = 0 THEN 'Books' ELSE 'Toys' END AS category, CASE WHEN p_partkey % 5 = 0 THEN '' ELSE 'P' END || p_partkey AS parent_id,
+  p_name || ' 2' AS product_title, p_brand AS product_main, p_type || ',x' AS product_path FROM part JOIN wanted ON p_partkey = k WHERE p_partkey <> 0""")
+def metadata_of_wanted(spark, sf_dir):
+    """Metadata lines of parts, two for each, some with keys that are numbers, of which 0 is no key; lines of parts that no item names aren't parsed."""
+    k = F.col("p_partkey")
+    key = F.when(k % 5 == 0, k.cast("string")).otherwise(F.concat(F.lit('"P'), k.cast("string"), F.lit('"')))
+    parts = table(spark, sf_dir, "part").withColumn("run", F.explode(F.array(F.lit(1), F.lit(2))))
+    body = F.to_json(F.struct(
+        F.when(k % 3 == 0, "Books").alias("category"), F.concat("p_name", F.lit(" "), "run").alias("title"), F.col("p_brand").alias("main_category"),
+        F.array("p_type", F.lit("x")).alias("categories"),
+    ))
+    folder = new_path(spark, "metadata")
+    put(parts.select((k * 2 + F.col("run")).alias("k"), F.concat(F.lit('{"parent_asin": '), key, F.lit(", "), F.substring(body, 2, 1 << 30)).alias("value")),
+        folder, "{}/meta_Toys.jsonl")
+    own = F.when(F.col("l_partkey") % 5 == 0, F.col("l_partkey").cast("string")).otherwise(F.concat(F.lit("P"), "l_partkey"))
+    items = table(spark, sf_dir, "lineitem").filter("l_quantity >= 49 and l_partkey % 4 <> 3").select(
+        F.when(F.col("l_partkey") % 3 == 0, "Books").otherwise("Toys").alias("category"), own.alias("parent_id")
+    )
+    rows = pipeline.read_metadata(spark, folder, staged(items.distinct(), "wanted"))
+    return rows.withColumn("product_path", F.array_join("product_path", ","))
+
+
+class Endpoint:
+    """A model behind HTTP, made up: what it says follows from the request. Some prompts are put off once, some never answered."""
+
+    def __init__(self):
+        self.seen = set()
+
+    def __call__(self, body: bytes) -> tuple[int, dict, bytes]:
+        asked = json.loads(body)
+        first, last = asked["messages"][0]["content"], asked["messages"][-1]["content"]
+        n = int(first.split("#")[1])
+        if n % 5 == 1:
+            return 500, {}, b""
+        if n % 5 == 2 and body not in self.seen:
+            self.seen.add(body)
+            return 429, {"Retry-After": "0"}, b""
+        said = f"{last} {'local' if asked.get('max_tokens') else 'router'}"
+        if len(asked["messages"]) > 1:
+            said = f"{asked['messages'][1]['reasoning_details']} {said}"
+        return 200, {}, json.dumps({"choices": [{"message": {"role": "assistant", "content": said, "reasoning_details": f"r{n}"}}]}).encode()
+
+
+def _client(provider: str, turns: int) -> extract.HttpClient | object:
+    http = extract.HttpClient(extract.ClientConfig("http://nowhere", "m", provider=provider, repeats=2), Endpoint(), lambda seconds: None)
+    return http if turns == 1 else lambda prompt: http.follow_up(prompt, http.chat([{"role": "user", "content": prompt}]), "and?")["content"]
+
+
+@query("""SELECT c_custkey AS user_id, way, CASE WHEN c_custkey % 5 <> 1 THEN CASE way WHEN 0 THEN c_name WHEN 1 THEN c_name ELSE 'r' || split_part(c_name, '#',
+  2)::BIGINT || ' and?' END || CASE way WHEN 0 THEN ' local' ELSE ' router' END END AS response, c_custkey % 5 = 1 AS failed
+FROM customer, (VALUES (0), (1), (2)) w(way)""")
+def model_calls(spark, sf_dir):
+    """One call of each provider and two turns for each customer, behind a gate; an endpoint in the task puts off some calls and fails others."""
+    asked = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), F.lit(0).alias("chunk"), F.col("c_name").alias("prompt"))
+    path = new_path(spark, "calls")
+    with Gate(spark) as gate:
+        for way, (provider, turns) in enumerate((("local", 1), ("router", 1), ("openrouter", 2))):
+            found = extract.call_model(asked, lambda p=provider, t=turns: _client(p, t), threads=2, door=gate.door)
+            found.withColumn("way", F.lit(way)).write.mode("append").parquet(path)
+    return spark.read.parquet(path).select("user_id", "way", "response", F.col("error").isNotNull().alias("failed"))
+
+
 @query("""SELECT (('0x' || substr(sha1(user_id::VARCHAR), 1, 8))::BIGINT % 16)::INT AS shard, count(*) AS events, count(DISTINCT user_id) AS users
   FROM events GROUP BY ALL""")
 def shard_files(spark, sf_dir):

@@ -12,10 +12,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from talus.functions.survey import SURVEY_COLUMNS
-from talus.functions.text import category_path, collapse
-from talus.operators import crosswalk, extract, history, profile, prompts, sanitize, select, stats
+from talus.functions.text import collapse
+from talus.operators import bloom, crosswalk, extract, history, profile, prompts, sanitize, select, stats
+from talus.operators.gate import Gate
 from talus.plans.specs import SourceSpec
 from talus.sources import readers, sinks
+from talus.sources.shared import staged
 
 STAGES = ("ingest", "prepare", "compact", "extract", "stats")
 GLOBS = {"review": ("*.jsonl", "*.jsonl.gz"), "shop": ("*.json",), "qa": ("*.jsonl", "*.jsonl.gz"), "forum": ("*.csv",)}
@@ -25,7 +27,8 @@ GLOBS = {"review": ("*.jsonl", "*.jsonl.gz"), "shop": ("*.json",), "qa": ("*.jso
 class Run:
     """One source's inputs and outputs. metadata: folder of product metadata; mapping: evidence mapping that narrows the schema; rows_per_file: 0 for all.
 
-    users_at_once: users whose answers are written before the next users' calls begin.
+    users_at_once: users whose answers are written before the next users' calls begin. calls_per_second: of all tasks together, 0: no bound;
+    tasks ask the driver for their turns at gate_port, 0: any free one.
     """
 
     spec: SourceSpec
@@ -40,6 +43,8 @@ class Run:
     log_prompts: bool = False
     chart: str | None = None
     users_at_once: int = 10_000
+    calls_per_second: float = 0.0
+    gate_port: int = 0
 
     def at(self, name: str) -> str:
         return f"{self.work.rstrip('/')}/{name}"
@@ -55,17 +60,17 @@ def read_items(spark: SparkSession, run: Run) -> DataFrame:
     return items if run.rows_per_file and "in_file" not in rows.columns else readers.numbered(items.filter("user_id <> ''"), paths)
 
 
-def read_metadata(spark: SparkSession, folder: str) -> DataFrame:
-    """category, parent_id, product_title, product_main and product_path of product metadata, the last row of each key."""
-    raw = readers.json_lines(spark, readers.files(spark, folder, "*.jsonl", "*.jsonl.gz"), only_objects=True)
-    get = lambda n: F.try_variant_get("v", f"$.{n}", "string")
-    name = F.element_at(F.split("file", "/"), -1)
-    rows = raw.select(
-        F.coalesce(get("category"), readers.category_of_file(name)).alias("category"), F.coalesce(get("parent_asin"), F.lit("")).alias("parent_id"),
-        F.substring(collapse(get("title")), 1, 500).alias("product_title"),
-        F.substring(collapse(get("main_category")), 1, 200).alias("product_main"), category_path(get("categories")).alias("product_path"), "pos",
-    )
-    return history.metadata_last(rows, ["category", "parent_id"], F.col("pos")).drop("pos")
+def read_metadata(spark: SparkSession, folder: str, wanted: DataFrame) -> DataFrame:
+    """category, parent_id, product_title, product_main and product_path of product metadata, the last row of each wanted key.
+
+    wanted: category and parent_id, each pair once, as a table that can be read twice. Lines whose parent_id can't be wanted aren't parsed.
+    """
+    rows = readers.lines(spark, readers.files(spark, folder, "*.jsonl", "*.jsonl.gz"))
+    raw = F.get_json_object("value", "$.parent_asin")
+    rows = bloom.maybe(rows, bloom.key_filter(wanted.select("parent_id"), wanted.count()), raw, F.coalesce(raw.rlike(bloom.WRITTEN_OTHERWISE), F.lit(True)))
+    meta = readers.product_metadata(readers.parsed(rows, only_objects=True))
+    keys = ["category", "parent_id"]
+    return history.metadata_last(history.wanted_metadata(meta, wanted, keys), keys, F.col("pos")).drop("pos")
 
 
 def ingest(spark: SparkSession, run: Run) -> str:
@@ -79,7 +84,8 @@ def prepare(spark: SparkSession, run: Run) -> str:
     own = history.only_selected(items.withColumn("user_id", F.col("user_id").cast("string")), chosen)
     if run.metadata:
         keys = ["category", "parent_id"]
-        own = history.with_metadata(own, history.wanted_metadata(read_metadata(spark, run.metadata), own, keys), keys)
+        wanted = staged(own.filter("parent_id <> ''").select(*keys).distinct(), "wanted")
+        own = history.with_metadata(own, read_metadata(spark, run.metadata, wanted), keys)
     elif run.spec.cascade == "review":
         own = own.withColumns({
             "product_title": F.lit(None).cast("string"), "product_main": F.lit(None).cast("string"), "product_path": F.array().cast("array<string>")
@@ -183,8 +189,9 @@ def extract_personas(spark: SparkSession, run: Run) -> str:
             due = due.join(known.select("user_id", "chunk"), ["user_id", "chunk"], "left_anti")
         due = users.join(due.groupBy("user_id").agg(F.array_sort(F.collect_set("chunk")).alias("chunks")), "user_id")
         grid = prompts.prompts(due.repartition(run.tasks) if run.tasks else due, dims)
-        found = extract.call_model(grid, run.make_client, run.spec.concurrency)
-        found.select("user_id", F.col("chunk").cast("int").alias("chunk"), "response", "error").write.mode("append").parquet(path)
+        with Gate(spark, run.calls_per_second, run.gate_port) as gate:
+            found = extract.call_model(grid, run.make_client, run.spec.concurrency, door=gate.door)
+            found.select("user_id", F.col("chunk").cast("int").alias("chunk"), "response", "error").write.mode("append").parquet(path)
         answers = spark.read.schema(ANSWERS).parquet(path)
         best = sanitize.best_answers(sanitize.judged(sanitize.parse_answers(answers), dims, users, run.spec.coerce))
         out = sanitize.personas(best, users, dims)

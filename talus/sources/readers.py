@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from talus.functions import loose
 from talus.functions.text import (
-    SECONDS_BELOW, category_of_file, collapse, has_text, iso_ms, iso_plus7, post_type, strip, strip_html, surrogate_id, utc_date,
+    SECONDS_BELOW, category_of_file, category_path, collapse, has_text, iso_ms, iso_plus7, post_type, strip, strip_html, surrogate_id, utc_date,
 )
 from talus.sources.blocks import Arrays, Csv, file_path, numbered_blocks, records
 from talus.sources.shared import staged
@@ -80,7 +80,12 @@ def limit_per_file(rows: DataFrame, most: int) -> DataFrame:
 
 def json_lines(spark: SparkSession, paths: list[str], only_objects: bool = False) -> DataFrame:
     """file, pos and v, a variant, so that an absent key can be told from null. A bad line fails the job and is named; rows that are no objects go if only_objects."""
-    rows = lines(spark, paths).withColumn("v", F.try_parse_json("value"))
+    return parsed(lines(spark, paths), only_objects)
+
+
+def parsed(rows: DataFrame, only_objects: bool = False) -> DataFrame:
+    """file, pos and v of lines, as ``json_lines`` gives them."""
+    rows = rows.withColumn("v", F.try_parse_json("value"))
     checked = rows.withColumn(
         "v",
         F.when(
@@ -242,6 +247,18 @@ def product_reviews(raw: DataFrame) -> DataFrame:
     return rows.withColumn("item_id", F.coalesce(F.nullif("i", F.lit("")), own_id)).drop("i", "u", "t", "r", "x")
 
 
+def product_metadata(raw: DataFrame) -> DataFrame:
+    """category, parent_id, product_title, product_main, product_path and pos of JSON-line metadata; category falls back on the file's name."""
+    name = F.element_at(F.split("file", "/"), -1)
+    category = F.coalesce(F.nullif(_text("category"), F.lit("")), F.nullif(category_of_file(name), F.lit("")), F.lit("Unknown"))
+    each = raw.select("file", "pos", *[loose.field(n).alias(f"_{n}") for n in ("category", "parent_asin", "title", "main_category", "categories")])
+    return each.select(
+        category.alias("category"), _text("parent_asin").alias("parent_id"), F.substring(collapse(_text("title")), 1, 500).alias("product_title"),
+        F.substring(collapse(_text("main_category")), 1, 200).alias("product_main"),
+        category_path(F.try_variant_get("_categories", "$", "string")).alias("product_path"), "pos",
+    )
+
+
 def shop_reviews(raw: DataFrame) -> DataFrame:
     """Items of JSON-array reviews with ISO dates."""
     stem = F.regexp_replace(F.element_at(F.split("file", "/"), -1), r"\.json$", "")

@@ -1,14 +1,18 @@
 import csv
+import dataclasses
 import gzip
 import json
 import random
+import time
 from contextlib import contextmanager
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from talus.operators import extract, prompts, select, stats
+from talus.operators import bloom, extract, prompts, select, stats
+from talus.operators.gate import Gate
+from talus.plans import pipeline
 from talus.plans.specs import QA_POSTS, REVIEWS_INTL
 from talus.sources import readers, sinks
 from talus.streaming import ingest
@@ -293,3 +297,85 @@ def test_stream_takes_each_item_once(spark, tmp_path):
   i) in enumerate(items)))
         ingest.ingest_stream(spark, source, schema, target, check, spec).awaitTermination()
     assert sorted((r["user_id"], r["item_id"]) for r in spark.read.parquet(target).collect()) == [("u", "a"), ("u", "b"), ("v", "d")]
+
+
+def test_gate_stops_all_tasks_at_the_first_refusal(spark, tmp_path):
+    def make():
+        def client(prompt):
+            (tmp_path / f"{prompt}-{time.time_ns()}").touch()
+            if prompt == "p0":
+                time.sleep(1)
+                raise extract.Unauthorized("no such key")
+            time.sleep(0.3)
+            return "x"
+
+        return client
+
+    grid = spark.range(0, 80, 1, 4).selectExpr("id as user_id", "0 as chunk", "concat('p', id) as prompt")
+    with pytest.raises(extract.Unauthorized, match="no such key"), Gate(spark) as gate:
+        extract.call_model(grid, make, door=gate.door).write.format("noop").mode("overwrite").save()
+    calls = sorted((int(f.name.split("-")[1]), f.name.split("-")[0]) for f in tmp_path.iterdir())
+    refused = next(at for at, name in calls if name == "p0") + 10**9
+    late = [name for at, name in calls if at > refused + 2 * 10**8]
+    assert not late and sum(name == "p0" for _, name in calls) == 1 and len(calls) < 25
+    assert not spark.sparkContext.getJobTags()
+
+
+def test_gate_keeps_one_rate_and_its_secret(spark, tmp_path):
+    def make():
+        return lambda prompt: str(time.time())
+
+    grid = spark.range(0, 40, 1, 4).selectExpr("id as user_id", "0 as chunk", "'p' as prompt")
+    with Gate(spark, per_second=20) as gate:
+        times = sorted(float(r["response"]) for r in extract.call_model(grid, make, threads=3, door=gate.door).collect())
+        assert times[-1] - times[0] > 0.9 * 39 / 20 and len(times) == 40
+        with pytest.raises(ValueError):
+            dataclasses.replace(gate.door, secret="other").refuse("x")
+        assert gate.why is None
+    with pytest.raises(ValueError):
+        Gate(spark, -1)
+
+
+def test_client_asks_before_each_attempt():
+    class Door:
+        asked = 0
+
+        def enter(self):
+            self.asked += 1
+            if self.asked == 3:
+                raise extract.Cancelled("stop")
+
+    client = extract.HttpClient(extract.ClientConfig("http://localhost:1", "m"), lambda body: (503, {}, b""), lambda s: None)
+    client.door = Door()
+    with pytest.raises(extract.Cancelled):
+        client("x")
+    assert client.door.asked == 3
+
+
+@pytest.mark.parametrize("n", [0, 1, 3000, 40_000])
+def test_key_filter_loses_no_key(spark, n):
+    keys = spark.range(n).selectExpr("concat('B0', id * 7) as k")
+    among = bloom.key_filter(keys, n)
+    rows = spark.range(200_000).selectExpr("concat('B0', id) as k", "id as other")
+    found = {r["other"] for r in bloom.maybe(rows, among, F.col("k")).collect()}
+    told = {7 * i for i in range(n) if 7 * i < 200_000}
+    assert told <= found and len(found - told) < 0.03 * 200_000
+    odd = spark.createDataFrame([(None,), ("no",), ("B00",)], "k string")
+    assert {r["k"] for r in bloom.maybe(odd, among, F.col("k"), F.col("k").isNull()).collect()} >= {None}
+    assert bloom.key_filter(keys, 1 << 40) is None and bloom.maybe(rows, None, F.col("k")).columns == ["k", "other"]
+
+
+def test_metadata_of_unwanted_keys_is_not_parsed(spark, tmp_path):
+    rows = [
+        '{"parent_asin": "P1", "title": " a  b ", "categories": ["x"]}', '{"parent_asin": "P1", "title": "late", "category": ""}',
+        '{"parent_asin": 12345678901234567890123, "title": "n"}', '{"parent_asin": true, "title": "t", "category": 0}', '{"parent_asin": "", "title": "none"}',
+        '{"title": "none"}', "[1]", '{"parent_asin": "P1", "category": "Other"}', '{"parent_asin": "P2"}', '{"x": {"parent_asin": "P3"}, "parent_asin": "P9"}',
+        '{"parent_asin": "gone"} and more'
+    ]
+    (tmp_path / "meta_Toys.jsonl").write_text("\n".join(rows) + "\n")
+    wanted = spark.createDataFrame([("Toys", k) for k in ("P1", "P3", "True", "12345678901234567890123")], "category string, parent_id string")
+    found = {(r["category"], r["parent_id"]): r["product_title"] for r in pipeline.read_metadata(spark, str(tmp_path), wanted).collect()}
+    assert found == {("Toys", "P1"): "late", ("Toys", "True"): "t", ("Toys", "12345678901234567890123"): "n"}
+    (tmp_path / "meta_Toys.jsonl").write_text('{"parent_asin": "P1", \n')
+    with pytest.raises(Exception, match="bad JSON"):
+        pipeline.read_metadata(spark, str(tmp_path), wanted).collect()
