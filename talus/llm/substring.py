@@ -5,7 +5,9 @@ windows have equal fingerprints, and neighbouring windows mostly share one, so a
 ``window - gram`` words to the index instead of one per word. The index is a list of immutable runs, each a Parquet table
 sorted by fingerprint that holds the number of places of each. A batch is merge-joined with the runs written before it;
 windows whose fingerprint has a second place are verified by a 128-bit digest of their whole word sequence; compaction merges
-runs. An index that outlives a call keeps its texts too, so windows of later calls are verified against those of earlier ones.
+runs. An index that outlives a call also has sorted runs of its windows' digests beside their fingerprints: windows of later calls are
+verified against those whose fingerprint they share, and texts of earlier calls are never read again. ``commit`` makes what was added
+durable in a manifest, by which another application opens the index.
 
 Rows whose text is null or has fewer words than a window keep all their words. A null text has no words. Repeated rows are
 documents of their own, so each is a copy of the other. Columns other than the text and those in ``keep`` are not read.
@@ -13,6 +15,8 @@ documents of their own, so each is a copy of the other. Columns other than the t
 
 from __future__ import annotations
 
+import json
+import uuid
 from functools import reduce
 
 import numpy as np
@@ -22,10 +26,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from talus.llm.common import Memo, Rolling, hashed, mix, new_path, prepare, sliding, split_words, staged
+from talus.operators import bloom
 
 WINDOW, GRAM = 35, 8
 #: Characters of text in a block, the unit that one Python call holds.
 BLOCK_CHARS = 4 << 20
+#: Runs of one level that a commit merges into one of the next; windows in a batch of digests.
+FAN, SLICE = 4, 1 << 18
+ENTRIES, DIGESTS = "m long, n long", "m long, a long, b long"
 _roll, _roll2 = Rolling(0x9E3779B97F4A7C15), Rolling(0xD6E8FEB86659FD93)
 
 
@@ -46,53 +54,121 @@ def digests(h: np.ndarray, window: int, at: np.ndarray) -> np.ndarray:
 
 
 class FingerprintIndex:
-    """Runs under ``path`` in the shared folder. ``append`` adds a batch as a run, ``compact`` merges all runs.
+    """Runs under ``path``, by default one in the shared folder that goes with the application. ``append`` adds a batch as a run, ``compact`` merges all runs.
 
-    ``remember`` keeps texts and their fingerprints' blocks; without them a run tells which fingerprints occur, but no window of it can be verified.
+    ``remember`` adds the digests of all windows; without them a run tells which fingerprints occur, but no window of it can be verified.
+    ``commit`` writes a numbered manifest of the runs and then removes what it no longer names. An index that is opened where a manifest
+    lies goes on from the last one; runs that a broken application left behind without a manifest are ignored and removed by the next
+    commit. So write a call's result, then commit: a call that is broken off before can be repeated. One application writes at a time; of
+    two that commit the same number the second fails.
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None, window: int = WINDOW, gram: int = GRAM):
         if not 0 < gram <= window:
             raise ValueError("gram must be from 1 to window")
-        self.spark, self.window, self.gram, self.path, self.runs, self.written = spark, window, gram, path or new_path(spark, "fingerprints"), [], 0
-        self.texts, self.spots, self.blocks = [], [], 0
-
-    def _write(self, entries: DataFrame) -> str:
-        path = f"{self.path}/run-{self.written:06d}"
-        self.written += 1
-        entries.groupBy("m").agg(F.sum("n").alias("n")).sortWithinPartitions("m").write.option("compression", "zstd").parquet(path)
+        self.spark, self.window, self.gram, self.path = spark, window, gram, (path or new_path(spark, "fingerprints")).rstrip("/")
+        self.version, self.runs, self.windows = 0, [], []
+        if known := self._manifests():
+            self.version = max(known)
+            told = json.loads(spark.read.option("wholetext", True).text(known[self.version]).first()["value"])
+            if (told["window"], told["gram"]) != (window, gram):
+                raise ValueError(f"{path} holds windows of {told['window']} words in grams of {told['gram']}")
+            self.runs, self.windows = ([f"{self.path}/{name}" for name in told[kind]] for kind in ("runs", "windows"))
+
+    def _at(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _fs(self):
+        return self._at(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _names(self) -> list[str]:
+        fs = self._fs()
+        return [f.getPath().getName() for f in fs.listStatus(self._at(self.path))] if fs.exists(self._at(self.path)) else []
+
+    def _manifests(self) -> dict[int, str]:
+        return {int(n[9:-5]): f"{self.path}/{n}" for n in self._names() if n.startswith("manifest-") and n.endswith(".json")}
+
+    def _write(self, rows: DataFrame, kind: str, level: int = 0) -> str:
+        """A run, sorted by fingerprint, each row once; its level stands in its name."""
+        path = f"{self.path}/{kind}-{level}-{uuid.uuid4().hex[:12]}"
+        rows = rows.groupBy("m").agg(F.sum("n").alias("n")) if kind == "run" else rows.distinct()
+        rows.sortWithinPartitions("m").write.option("compression", "zstd").parquet(path)
         return path
 
     def entries(self) -> DataFrame:
         """All runs: fingerprint and number of places; one row per run and fingerprint."""
-        none = self.spark.createDataFrame([], "m long, n long")
-        return self.spark.read.schema("m long, n long").parquet(*self.runs) if self.runs else none
+        return self.spark.read.schema(ENTRIES).parquet(*self.runs) if self.runs else self.spark.createDataFrame([], ENTRIES)
 
     def append(self, batch: DataFrame) -> DataFrame:
         """batch: m, n of new documents, as ``places`` gives them. Returns its fingerprints (m) with a second place in it or one in the runs before it."""
-        before, schema = self.entries().select("m") if self.runs else None, "m long, n long"
-        self.runs.append(self._write(batch.select("m", "n")))
-        run = self.spark.read.schema(schema).parquet(self.runs[-1])
+        before = self.entries().select("m") if self.runs else None
+        self.runs.append(self._write(batch.select("m", "n"), "run"))
+        run = self.spark.read.schema(ENTRIES).parquet(self.runs[-1])
         inside = run.filter("n > 1").select("m")
-        return inside if before is None else inside.union(run.filter("n = 1").select("m").join(before.hint("merge"), "m", "left_semi"))
-
-    def remember(self, blocks: DataFrame, places: DataFrame, n: int) -> None:
-        """blocks: ``_block`` (0 to n - 1) and ``_text`` of documents that were appended. places: their m and block."""
-        at = len(self.texts)
-        moved = lambda c: (F.col(c) + self.blocks).cast("int").alias(c)
-        for kept, rows, kind in ((self.texts, blocks.select(moved("_block"), "_text"), "texts"), (self.spots, places.select("m", moved("block")), "spots")):
-            kept.append(f"{self.path}/{kind}-{at:06d}")
-            rows.write.option("compression", "zstd").parquet(kept[-1])
-        self.blocks += n
-
-    def remembered(self) -> tuple[DataFrame, DataFrame]:
-        """Blocks and places of all that was remembered so far."""
-        return self.spark.read.schema("_block int, _text string").parquet(*self.texts), self.spark.read.schema("m long, block int").parquet(*self.spots)
-
-    def compact(self) -> None:
-        """One run in place of all; the old runs' files stay for readers that have begun."""
-        if len(self.runs) > 1:
-            self.runs = [self._write(self.entries())]
+        if before is None:
+            return inside
+        if self.windows:  # a history may be far larger than the batch
+            before = bloom.maybe(before, bloom.key_filter(run.select("m"), run.count()), F.col("m"))
+        return inside.union(run.filter("n = 1").select("m").join(before.hint("merge"), "m", "left_semi"))
+
+    def remember(self, blocks: DataFrame) -> None:
+        """blocks: ``_text`` of documents that were appended. Adds fingerprint and digest of each of their windows."""
+        window, gram = self.window, self.gram
+
+        def of(batches):
+            Memo.only()
+            for b in batches:
+                for text in b["_text"].to_pylist():
+                    h = hashed(split_words(text))
+                    low, _ = fingerprints(h, window, gram)
+                    if len(low):
+                        found = digests(h, window, np.arange(len(low)))
+                        for i in range(0, len(low), SLICE):
+                            cols = [low[i : i + SLICE], *found[i : i + SLICE].T]
+                            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c).view(np.int64)) for c in cols], names=["m", "a", "b"])
+
+        self.windows.append(self._write(blocks.select("_text").mapInArrow(of, DIGESTS), "windows"))
+
+    def remembered(self, repeated: DataFrame) -> DataFrame:
+        """Digests (a, b) of all remembered windows that have one of the fingerprints."""
+        every = self.spark.read.schema(DIGESTS).parquet(*self.windows) if self.windows else self.spark.createDataFrame([], DIGESTS)
+        met = bloom.maybe(every, bloom.key_filter(repeated.select("m"), repeated.count()), F.col("m"))
+        return met.join(repeated.select("m"), "m", "left_semi").select("a", "b")
+
+    def compact(self, since: int = 0) -> None:
+        """One run in place of all from a place in their order on; the old runs' files stay for readers that have begun, until a commit."""
+        if len(self.runs) > since + 1:
+            self.runs[since:] = [self._write(self.spark.read.schema(ENTRIES).parquet(*self.runs[since:]), "run")]
+
+    def _merged(self, paths: list[str], kind: str, schema: str) -> list[str]:
+        """Levels with FAN runs or more become one run of the next level, so a row is written again a logarithmic number of times."""
+        level = lambda path: int(path.rsplit("/", 1)[1].split("-")[1])
+        while full := [n for n in sorted(set(map(level, paths))) if sum(level(p) == n for p in paths) >= FAN]:
+            old = [p for p in paths if level(p) == full[0]]
+            paths = [p for p in paths if p not in old] + [self._write(self.spark.read.schema(schema).parquet(*old), kind, full[0] + 1)]
+        return paths
+
+    def commit(self) -> int:
+        """Makes all that was added durable; returns the manifest's number. Results of calls that weren't written before may fail afterwards."""
+        runs, windows = self._merged(self.runs, "run", ENTRIES), self._merged(self.windows, "windows", DIGESTS)
+        name = lambda path: path.rsplit("/", 1)[1]
+        told = {"window": self.window, "gram": self.gram, "runs": list(map(name, runs)), "windows": list(map(name, windows))}
+        fs, new = self._fs(), f"manifest-{self.version + 1:06d}.json"
+        written, final = self._at(f"{self.path}/.{new}-{uuid.uuid4().hex[:12]}"), self._at(f"{self.path}/{new}")
+        out = fs.create(written, False)
+        try:
+            out.write(bytearray(json.dumps(told).encode()))
+        finally:
+            out.close()
+        if fs.exists(final) or not fs.rename(written, final):
+            fs.delete(written, False)
+            raise OSError(f"{new} is there: another application has committed to {self.path}")
+        self.version, self.runs, self.windows = self.version + 1, runs, windows
+        stay = {new, *map(name, runs), *map(name, windows)}
+        for old in self._names():
+            if old not in stay and old.startswith(("run-", "windows-", "manifest-", ".manifest-")):
+                fs.delete(self._at(f"{self.path}/{old}"), True)
+        return self.version
 
     def repeated(self) -> DataFrame:
         """Fingerprints with a second place."""
@@ -165,8 +241,8 @@ def dedup_substrings(
 ) -> DataFrame:
     """The columns in keep, then n_words, n_removed and kept_text: the words that no window covers which starts anywhere else, joined by one space.
 
-    index: history to which docs are added: windows that start anywhere in it count as copies, and
-  docs' runs and texts join it; without one, docs alone count. batches: runs that docs are appended as.
+    index: history to which docs are added: windows that start anywhere in it count as copies, and docs' runs join it, for good by
+    ``index.commit()`` once the result is written; without one, docs alone count. batches: runs that docs are appended as.
     An empty table gives an empty result. Memory: a block of about block_chars characters, or one longer text, for each task.
     """
     spark = docs.sparkSession
@@ -181,21 +257,21 @@ def dedup_substrings(
     blocks = docs.select(*kept, docs[text].alias("_text"), F.pmod(key, F.lit(n)).cast("int").alias("_block"))
 
     places = staged(index.places(blocks), "places")
-    history = index.remembered() if index.texts else None
+    history, at = bool(index.windows), len(index.runs)
     repeated = reduce(DataFrame.union, [index.append(places.filter(F.pmod("block", F.lit(batches)) == i)) for i in range(batches)])
-    index.compact()
+    index.compact(at)
     if lasting:
-        index.remember(blocks, places, n)
         repeated = staged(repeated.distinct(), "repeated")
-    shares = lambda at: at.select("m", "block").join(repeated, "m", "left_semi").groupBy("block").agg(F.collect_set("m").alias("ms"))
-    shared = shares(places)
+        old = staged(index.remembered(repeated), "remembered") if history else None
+        index.remember(blocks)
+    shared = places.select("m", "block").join(repeated, "m", "left_semi").groupBy("block").agg(F.collect_set("m").alias("ms"))
 
-    def candidates(key, left, right):
-        rows, count, _ = _ordered([f for _, _, f in _candidates(left["_text"].to_pylist(), _longs(right, "ms"), window, gram)])
+    def spread(rows, count, block):
+        """Digests in order and their counts, cut by bucket."""
         bucket = _buckets(rows, n)
         cut = np.flatnonzero(np.diff(bucket)) + 1
         out = [
-            (int(b[0]), key[0].as_py(), r.tobytes(), np.minimum(c, 2).astype(np.uint8).tobytes())
+            (int(b[0]), block, r.tobytes(), np.minimum(c, 2).astype(np.uint8).tobytes())
             for b, r, c in zip(np.split(bucket, cut), np.split(rows, cut), np.split(count, cut), strict=True) if len(b)
         ]
         cols = list(zip(*out, strict=True)) or [[]] * 4
@@ -204,6 +280,15 @@ def dedup_substrings(
             names=["bucket", "block", "rows", "count"]
         )
 
+    def candidates(key, left, right):
+        rows, count, _ = _ordered([f for _, _, f in _candidates(left["_text"].to_pylist(), _longs(right, "ms"), window, gram)])
+        return spread(rows, count, key[0].as_py())
+
+    def earlier(batches):
+        for b in batches:
+            rows, count, _ = _ordered([np.stack([b[c].to_numpy().view(np.uint64) for c in ("a", "b")], axis=1)])
+            yield from spread(rows, count, -1).to_batches()
+
     def verified(key, table):
         parts = [np.frombuffer(x, np.uint64).reshape(-1, 2) for x in table["rows"].to_pylist()]
         count = np.concatenate([np.frombuffer(x, np.uint8) for x in table["count"].to_pylist()]).astype(np.int64)
@@ -240,14 +325,10 @@ def dedup_substrings(
             names=[*keep, "n_words", "n_removed", "kept_text"]
         )
 
-    def counted(blocks, shared):
-        return blocks.groupBy("_block").cogroup(shared.withColumnRenamed("block", "_block").groupBy("_block")).applyInArrow(
-            candidates, "bucket int, block int, rows binary, count binary"
-        )
-
-    found = counted(blocks, shared)
+    piece = "bucket int, block int, rows binary, count binary"
+    found = blocks.groupBy("_block").cogroup(shared.withColumnRenamed("block", "_block").groupBy("_block")).applyInArrow(candidates, piece)
     if history:
-        found = found.union(counted(history[0], shares(history[1])).withColumn("block", F.lit(-1)))
+        found = found.union(old.mapInArrow(earlier, piece))
     marks = found.groupBy("bucket").applyInArrow(verified, "block int, bucket int, bits binary").filter("block >= 0")
     told = shared.select(
         "block", F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("bits"), "ms"

@@ -74,6 +74,44 @@ def test_later_call_meets_history(spark):
     assert told[1][1] == 40 and kept(calls[2])[0][1] == 0
 
 
+def test_index_is_opened_again(spark, tmp_path):
+    rng = random.Random(6)
+    passages = [" ".join(f"{p}{rng.randrange(50)}" for _ in range(40)) for p in "abcdefgh"]
+    frame = lambda *texts: spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    path, before = f"file://{tmp_path}/index", []
+    for i in range(8):  # each call a new index on the same folder; passages come back after some calls, once inside another text
+        texts = [passages[i], f"new {i} {passages[max(0, i - 3)]} end", None, f"{passages[i // 2][:60]} {i}"]
+        broken = substring.FingerprintIndex(spark, path)
+        substring.dedup_substrings(frame("lost", passages[i]), index=broken, block_chars=100).collect()  # never committed
+        index = substring.FingerprintIndex(spark, path)
+        found = substring.dedup_substrings(frame(*texts), index=index, block_chars=100).collect()
+        told = kept([*before, *texts])[len(before) :]
+        assert sorted(map(tuple, found)) == sorted((j, *k) for j, k in enumerate(told))
+        before += texts
+        assert index.commit() == i + 1
+        assert len(index.runs) < 2 * substring.FAN and len(index.windows) == len(index.runs)
+        assert len([f for f in (tmp_path / "index").iterdir() if not f.name.startswith(".")]) == 1 + len(index.runs) + len(index.windows)
+    assert any(p.rsplit("/", 1)[1].startswith("windows-1-") for p in index.windows)
+    with pytest.raises(OSError, match="another application"):
+        other = substring.FingerprintIndex(spark, path)
+        other.version -= 1
+        other.commit()
+    with pytest.raises(ValueError, match="35 words"):
+        substring.FingerprintIndex(spark, path, window=20)
+
+
+def test_index_never_reads_earlier_texts(spark, tmp_path):
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    index = substring.FingerprintIndex(spark, f"file://{tmp_path}/index")
+    substring.dedup_substrings(docs, index=index).collect()
+    index.commit()
+    stored = {f.name for f in spark.read.parquet(*index.windows).schema} | {f.name for f in index.entries().schema}
+    assert stored == {"m", "a", "b", "n"}
+    again = substring.dedup_substrings(docs, index=substring.FingerprintIndex(spark, index.path)).collect()
+    assert again[0]["n_removed"] == 60
+
+
 def test_batches_meet_runs_before_them(spark):
     frame = lambda *rows: spark.createDataFrame(rows, "m long, block int, n long")
     index = substring.FingerprintIndex(spark)
