@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from talus.operators.gate import Cancelled, Door, Unauthorized
+from talus.sources.shared import ship
 
 # Repeats of a failed call, longest wait and time limit of a call in seconds, and what calls of a local model ask for.
 REPEATS, LONGEST_WAIT, TIME_LIMIT = 10, 60, 300
@@ -111,6 +112,7 @@ def call_model(prompts: DataFrame, make_client: Callable[[], Callable[[str], str
     one rate, and a refusal in one task stops the others before their next call. The session's limit on the bytes of Arrow batches is set to BATCH_BYTES, since
     thousands of prompts, the default number of rows, may be hundreds of megabytes.
     """
+    ship(prompts.sparkSession)
     prompts.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
     def of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

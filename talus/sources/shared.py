@@ -8,14 +8,24 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
 _tidied: set[str] = set()
+_shipped: set[str] = set()
 _scratch: list[list[str]] = []
 
 
+def ship(spark: SparkSession) -> None:
+    """Gives this package to the workers, once an application, by Spark's file server."""
+    app, package = spark.sparkContext.applicationId, Path(__file__).resolve().parents[1]
+    if app not in _shipped and package.is_dir():
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp(prefix='talus-code-')}/talus", "zip", package.parent, package.name))
+    _shipped.add(app)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir. Only where driver and executors are one process may it be unset."""
     named = spark.conf.get("spark.checkpoint.dir", None)
