@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-import shutil
-import tempfile
 import weakref
 from collections.abc import Callable, Iterable
-from pathlib import Path
 
 import numpy as np
 import xxhash
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from talus.sources.shared import new_path, scratch, staged, written
+from talus.sources.shared import new_path, scratch, ship, staged, written
 
 __all__ = ["new_path", "scratch", "staged", "written"]
 
@@ -23,18 +20,11 @@ WORD = f"[^{SPACES}]+"
 ARROW_ROWS, ARROW_BYTES = 1000, 4 << 20
 #: Bytes of a memo's young generation, what an entry weighs, and what each sign of its key adds to it and its value, as estimated.
 MEMO_BYTES, ENTRY_BYTES, SIGN_BYTES = 24 << 20, 200, 4
-_shipped: set[str] = set()
 
 
 def prepare(spark: SparkSession) -> None:
     """Batches for Python hold few enough rows that very long texts fit a worker; workers get this package by Spark's file server."""
-    app = spark.sparkContext.applicationId
-    if app not in _shipped:
-        package = Path(__file__).resolve().parents[1]
-        if package.is_dir():
-            path = shutil.make_archive(f"{tempfile.mkdtemp(prefix='talus-code-')}/talus", "zip", package.parent, package.name)
-            spark.sparkContext.addPyFile(path)
-        _shipped.add(app)
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
