@@ -7,8 +7,9 @@ hands on a spanning forest of its links, never all of them. Components come from
 joins the neighbour of least priority, or stays; every round is written to the shared folder.
 
 With ``similarity``, links are pairs of texts whose sets of shingles have that Jaccard similarity or more. Links of fingerprints
-are candidates then, beside those of min-hash bands, which catch the similar pairs that differ in more bits. Candidates are
-gathered in coarse components; within each, all pairs are compared by their whole sets, tile by tile.
+are candidates then, beside those of min-hash bands, which catch the similar pairs that differ in more bits. What meets in a
+band is compared there by signatures, so that texts which share no more than a passage aren't candidates. Candidates are gathered
+in coarse components; within each, all pairs are compared by their whole sets, tile by tile.
 """
 
 from __future__ import annotations
@@ -189,26 +190,26 @@ def _similar(docs: DataFrame, text: str, doc_id: str, shingle: int, radius: int,
     def of(batches):
         for b in batches:
             found = [jaccard.shingles(t, shingle) for t in b["_text"].to_pylist()]
-            marks = np.concatenate([jaccard.bands(x) for x in found] or [np.zeros(0, np.uint64)]).view(np.int64)
+            low = [jaccard.minima(x) for x in found]
+            marks = np.concatenate([jaccard.bands(x) for x in low] or [np.zeros(0, np.uint64)]).view(np.int64)
+            signs = pa.array([x.astype(np.uint8).tobytes() for x in low], pa.binary())
             nodes = np.array([jaccard.node_of(x) for x in found], np.uint64).view(np.int64)
             fps = np.array([majority(x) for x in found], np.uint64).view(np.int64)
             bounds = pa.array(np.arange(len(found) + 1, dtype=np.int32) * jaccard.BANDS)
             yield pa.RecordBatch.from_arrays(
-                [b["doc_id"], b["_key"], pa.array(nodes), pa.array(fps), pa.ListArray.from_arrays(bounds, pa.array(marks))],
-                names=["doc_id", "_key", "node", "fp", "bands"]
+                [b["doc_id"], b["_key"], pa.array(nodes), pa.array(fps), pa.ListArray.from_arrays(bounds, pa.array(marks)), signs],
+                names=["doc_id", "_key", "node", "fp", "bands", "signs"]
             )
 
-    kinds = {"_key": T.LongType(), "node": T.LongType(), "fp": T.LongType(), "bands": T.ArrayType(T.LongType())}
+    kinds = {"_key": T.LongType(), "node": T.LongType(), "fp": T.LongType(), "bands": T.ArrayType(T.LongType()), "signs": T.BinaryType()}
     schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), *[T.StructField(c, k) for c, k in kinds.items()]])
     each = staged(docs.select(docs[doc_id].alias("doc_id"), key, docs[text].alias("_text")).mapInArrow(of, schema), "shingles")
-    once = staged(each.groupBy("node").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands")), "sets")
-    # nodes of a band or a fingerprint are linked to the least of them: enough to bring all of them into one coarse component
-    band = once.select("node", F.explode("bands").alias("band"))
-    heads = band.groupBy("band").agg(F.min("node").alias("head"), F.count("*").alias("n")).filter("n > 1").select("band", "head")
+    once = staged(each.groupBy("node").agg(*[F.first(c).alias(c) for c in ("fp", "bands", "signs")]), "sets")
+    # nodes of a fingerprint are linked to the least of them: enough to bring all of them into one coarse component
     same = staged(once.groupBy("fp").agg(F.min("node").alias("head")), "heads")
     pairs = linked(same.select("fp"), radius)
     edges = [
-        band.join(heads, "band").select(F.col("head").alias("u"), F.col("node").alias("v")),
+        _met(once, least),
         once.select("fp", "node").join(same, "fp").select(F.col("head").alias("u"), F.col("node").alias("v")),
         pairs.join(
             same.select(F.col("fp").alias("u"), F.col("head").alias("hu")), "u"
@@ -228,15 +229,43 @@ def _similar(docs: DataFrame, text: str, doc_id: str, shingle: int, radius: int,
             found = pa.array([jaccard.shingles(t, shingle).tobytes() for t in b["_text"].to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([b["node"], b["label"], b["parts"], found], names=["node", "label", "parts", "shingles"])
 
+    tiles = _tiles(texts.mapInArrow(sets, "node long, label long, parts int, shingles binary"), "shingles", packs)
+
+    def compared(sets: list[bytes], across: int):
+        return forest(*jaccard.similar([np.frombuffer(x, np.uint64) for x in sets], least, across), len(sets))
+
+    return each, components(_linked_tiles(tiles, "shingles", compared))
+
+
+def _met(once: DataFrame, least: float) -> DataFrame:
+    """Pairs u, v that connect all nodes which meet in a band and have signatures as similar sets do."""
+    band = once.select("node", F.explode("bands").alias("band"))
+    of = (F.count("*").alias("n"), F.min("node").alias("head"), F.expr("bit_xor(xxhash64(node))").alias("who"))
+    # copies meet in most bands: of all buckets with the same nodes one is enough
+    buckets = band.groupBy("band").agg(*of).filter("n > 1").groupBy("n", "head", "who").agg(F.min("band").alias("band"))
+    buckets = buckets.select("band", F.ceil(F.col("n") / TILE).cast("int").alias("parts"))
+    rows = band.join(buckets, "band").join(once.select("node", "signs"), "node").withColumnRenamed("band", "label")
+    tiles = _tiles(rows, "signs", max(8, once.count() // 512))
+
+    def compared(signs: list[bytes], across: int):
+        return jaccard.resembling(np.frombuffer(b"".join(signs), np.uint8).reshape(len(signs), -1), least)
+
+    return _linked_tiles(tiles, "signs", compared)
+
+
+def _tiles(rows: DataFrame, what: str, packs: int) -> DataFrame:
+    """Of node, label, parts and a column: a row for each tile (a pair of a label's parts) that a node is in; labels of one part share packs."""
     part = F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part")
-    tiles = texts.mapInArrow(sets, "node long, label long, parts int, shingles binary").select(
-        "*", part, F.explode(F.expr("sequence(0, parts - 1)")).alias("other")
-    )
+    tiles = rows.select("*", part, F.explode(F.expr("sequence(0, parts - 1)")).alias("other"))
     low, high = F.least("part", "other"), F.greatest("part", "other")
     pack = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("label"), F.lit(packs))).otherwise(F.xxhash64("label", low, high))
-    tiles = tiles.select("node", "label", "part", low.alias("low"), high.alias("high"), "shingles", pack.alias("tile"))
+    return tiles.select("node", "label", "part", low.alias("low"), high.alias("high"), what, pack.alias("tile"))
+
+
+def _linked_tiles(tiles: DataFrame, what: str, links_of) -> DataFrame:
+    """Pairs u, v of the links in all tiles. links_of takes the column's values, and how many belong to the first of two parts (or 0)."""
 
-    def compared(table):
+    def of(table):
         label, first, last, part, node = (table[c].to_numpy() for c in ("label", "low", "high", "part", "node"))
         order = np.lexsort((node, part, last, first, label))
         rows = np.stack([label, first, last, node])[:, order]
@@ -246,12 +275,11 @@ def _similar(docs: DataFrame, text: str, doc_id: str, shingle: int, radius: int,
         cut = np.flatnonzero((np.diff(rows[:3, new], axis=1) != 0).any(axis=0)) + 1
         u, v = [], []
         for at in np.split(order, cut):
-            found = [np.frombuffer(x, np.uint64) for x in table["shingles"].take(pa.array(at)).to_pylist()]
             across = int((part[at] == first[at[0]]).sum()) if first[at[0]] != last[at[0]] else 0
             if across == len(at):
                 continue
-            i, j = forest(*jaccard.similar(found, least, across), len(at))
+            i, j = links_of(table[what].take(pa.array(at)).to_pylist(), across)
             u.append(node[at[i]]), v.append(node[at[j]])
         return pa.table([pa.array(np.concatenate([np.zeros(0, np.int64), *x])) for x in (u, v)], names=["u", "v"])
 
-    return each, components(tiles.groupBy("tile").applyInArrow(compared, "u long, v long"))
+    return tiles.groupBy("tile").applyInArrow(of, "u long, v long")

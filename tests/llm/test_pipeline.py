@@ -2,12 +2,13 @@
 
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
 
 import corpus_pipeline as pipeline
-from talus.llm import queries, simhash
+from talus.llm import jaccard, queries, simhash
 from tests.llm.conftest import SCHEMA, rows_of
 from tests.llm.test_copies import classes, fingerprint, kept
 
@@ -109,6 +110,40 @@ def test_near_links_what_simhash_missed(spark):
     assert sorted(r[0] for r in rows(near)) == list(range(0, 60, 2))
 
 
+def test_texts_with_a_shared_passage_are_no_candidates(spark, monkeypatch):
+    """Texts of similarity 0.14 meet in some bands; their signatures keep them apart before anything is gathered."""
+    rng, met, real = random.Random(8), [], simhash._met
+    words = lambda k: " ".join(f"v{rng.randrange(10**6)}" for _ in range(k))
+    passage = words(60)
+    docs = [(i, f"{passage} {words(180)}") for i in range(1500)]
+    docs += [(1500 + i, docs[i][1] + " more") for i in range(20)]
+    monkeypatch.setattr(simhash, "_met", lambda once, least: met.append((once, real(once, least))) or met[0][1])
+    found = simhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), shingle=5, similarity=0.8)
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == {i: i % 1500 for i in range(1520)}
+    once, candidates = met[0]
+    buckets = once.selectExpr("explode(bands) as band").groupBy("band").count()
+    assert buckets.filter("count > 2").count() > 0 and candidates.distinct().count() == 20  # a pair may meet in several buckets
+
+
+def test_signatures_connect_what_pairs_connect():
+    rng = np.random.default_rng(9)
+    signs = rng.integers(0, 256, (12, 160)).astype(np.uint8)[rng.integers(0, 12, 120)]
+    for row, share in zip(signs, rng.random(120) * 0.5, strict=True):  # up to half the places differ: chains and pairs on both sides of the limit
+        other = rng.random(160) < share
+        row[other] = rng.integers(0, 256, int(other.sum()))
+    limit = int(160 * 0.8 - jaccard.DEVIATIONS * (160 * 0.8 * 0.2) ** 0.5)
+    root = list(range(120))
+    for x in range(120):
+        for y in range(x):
+            if int((signs[x] == signs[y]).sum()) >= limit and root[x] != root[y]:
+                low, high = sorted((root[x], root[y]))
+                root = [low if r == high else r for r in root]
+    label = np.arange(120)
+    node, least = simhash.forest(*jaccard.resembling(signs, 0.8), 120)
+    label[node] = least
+    assert label.tolist() == root and 12 < len(set(root)) < 100
+
+
 def test_stages_on_an_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     for name, stage in pipeline.STAGES:
