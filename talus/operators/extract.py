@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from talus.operators.gate import Cancelled, Door, Unauthorized
+from talus.operators.gate import Cancelled, Door, Unauthorized, Unreachable
 from talus.sources.shared import ship
 
 # Repeats of a failed call, longest wait and time limit of a call in seconds, and what calls of a local model ask for.
@@ -130,7 +130,7 @@ def call_model(prompts: DataFrame, make_client: Callable[[], Callable[[str], str
                 if door:
                     door.refuse(str(refusal))
                 raise
-            except Cancelled:
+            except (Cancelled, Unreachable):
                 raise
             except Exception as error:  # one chunk's failure stays its own
                 return None, repr(error)

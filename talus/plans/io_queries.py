@@ -305,6 +305,7 @@ FROM customer, (VALUES (0), (1), (2)) w(way)""")
 def model_calls(spark, sf_dir):
     """One call of each provider and two turns for each customer, behind a gate; an endpoint in the task puts off some calls and fails others."""
     asked = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), F.lit(0).alias("chunk"), F.col("c_name").alias("prompt"))
+    asked = asked.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))  # few input files shouldn't mean few tasks
     path = new_path(spark, "calls")
     with Gate(spark) as gate:
         for way, (provider, turns) in enumerate((("local", 1), ("router", 1), ("openrouter", 2))):

@@ -336,6 +336,33 @@ def test_gate_keeps_one_rate_and_its_secret(spark, tmp_path):
         Gate(spark, -1)
 
 
+def test_gate_without_a_rate_is_asked_once_a_worker(spark):
+    class Counting(Gate):
+        turns = 0
+
+        def turn(self):
+            self.turns += 1
+            return super().turn()
+
+    class Client:
+        door = None
+
+        def __call__(self, prompt):
+            self.door.enter()
+            return prompt
+
+    grid = spark.range(0, 4000, 1, 4).selectExpr("id as user_id", "0 as chunk", "'p' as prompt")
+    with Counting(spark) as gate:
+        found = extract.call_model(grid, Client, threads=3, door=gate.door).filter("response = 'p' and error is null").count()
+        assert found == 4000 and 1 <= gate.turns <= 4 * 3  # threads may ask at the same time, before the first is told
+        gone = gate.door
+    with pytest.raises(OSError):
+        gone.enter()
+    failing = extract.call_model(grid.limit(1), Client, door=gone)
+    with pytest.raises(Exception, match="doesn't answer"):  # not an answer of its own
+        failing.collect()
+
+
 def test_client_asks_before_each_attempt():
     class Door:
         asked = 0
