@@ -16,6 +16,8 @@ from talus.plans.specs import SourceSpec
 DAY_MS = 86_400_000
 #: Steps of the score in which users are counted.
 STEPS = 1 << 14
+#: What a user's items are grouped by, where it isn't their category.
+GROUPS = {"qa": "tags", "forum": "thread"}
 
 
 def ingest_filter(items: DataFrame, spec: SourceSpec) -> DataFrame:
@@ -38,31 +40,52 @@ def distinct_items(items: DataFrame, spec: SourceSpec) -> DataFrame:
     return first_of(with_shard(items, spec), ["shard", "item_id"], F.col("source_index"))
 
 
-def user_metrics(items: DataFrame, spec: SourceSpec) -> DataFrame:
-    """One row per user: items, categories, text_items, text_chars, history_days, verified_share, score_sum and first_seen."""
+def measured(items: DataFrame, spec: SourceSpec) -> DataFrame:
+    """items with what user_metrics takes of each row in place of its texts; made before rows are dealt anew, so that no text moves."""
     columns, text = set(items.columns), F.coalesce("text", F.lit(""))
     chars = F.length(text) + (F.length(F.coalesce("title", F.lit(""))) if spec.cascade == "qa" else 0)
     sums = {
-        "items": F.lit(1).cast("long"), "text_items": has_text(text).cast("long"), "text_chars": chars.cast("long"),
+        "_items": F.lit(1).cast("long"), "_text_items": has_text(text).cast("long"), "_text_chars": chars.cast("long"),
         "_verified": F.col("verified").cast("long") if "verified" in columns else F.lit(0).cast("long"),
-        "score_sum": loose_double(F.col("score"), 0.0) if "score" in columns else F.lit(0.0),
+        "_score": loose_double(F.col("score"), 0.0) if "score" in columns else F.lit(0.0),
     }
+    own = [c for c in ("user_id", "item_id", "shard", "source_index", "ts_ms", GROUPS.get(spec.cascade, "category")) if c in columns]
+    return items.select(*own, *[c.alias(n) for n, c in sums.items()])
+
+
+def user_metrics(items: DataFrame, spec: SourceSpec) -> DataFrame:
+    """One row per user: items, categories, text_items, text_chars, history_days, verified_share, score_sum and first_seen. items may be measured.
+
+    Scores of posts are added in the order of source_index, since sums of fractions depend on theirs and ordinal places on the last digit.
+    """
+    rows = items if "_text_chars" in items.columns else measured(items, spec)
+    sums = {"items": "_items", "text_items": "_text_items", "text_chars": "_text_chars", "_verified": "_verified"}
     ends = [F.min("_from").alias("_from"), F.max("_to").alias("_to"), F.min("first_seen").alias("first_seen")]
-    own = [F.col("ts_ms").alias("_from"), F.col("ts_ms").alias("_to"), F.col("source_index").alias("first_seen"), *[c.alias(n) for n, c in sums.items()]]
+    own = [F.col("ts_ms").alias("_from"), F.col("ts_ms").alias("_to"), F.col("source_index").alias("first_seen"), *[F.col(c).alias(n) for n, c in sums.items()]]
     total = [F.sum(n).alias(n) for n in sums]
     if spec.cascade == "qa":
+        upto = Window.partitionBy("user_id").orderBy("source_index").rowsBetween(Window.unboundedPreceding, 0)
+        rows, own = rows.withColumn("_upto", F.sum("_score").over(upto)), [*own, F.struct(F.col("source_index").alias("at"), F.col("_upto").alias("sum")).alias("_last")]
+        ends.append(F.max("_last").alias("_last"))
         # a row for each tag of an item, the item's numbers beside the first; each tag of a user becomes one row, so no list of tags is gathered
-        each = items.select("user_id", *own, F.posexplode_outer("tags").alias("_pos", "_tag"))
+        each = rows.select("user_id", *own, F.posexplode_outer("tags").alias("_pos", "_tag"))
         each = each.withColumns({n: F.when(F.coalesce("_pos", F.lit(0)) == 0, F.col(n)) for n in sums})
         by_tag = each.groupBy("user_id", "_tag").agg(*total, *ends)
         users = by_tag.groupBy("user_id").agg(*total, *ends, F.count("_tag").alias("categories"))
+        users = users.withColumn("score_sum", F.col("_last.sum")).drop("_last")
     else:
-        group = "thread" if spec.cascade == "forum" else "category"
-        users = items.select("user_id", group, *own).groupBy("user_id").agg(*total, *ends, F.count_distinct(group).alias("categories"))
+        group = GROUPS.get(spec.cascade, "category")
+        score = F.sum("_score").alias("score_sum")
+        users = rows.select("user_id", group, "_score", *own).groupBy("user_id").agg(*total, *ends, score, F.count_distinct(group).alias("categories"))
     days = F.coalesce((F.col("_to") - F.col("_from")) / F.lit(float(DAY_MS)), F.lit(0.0))
     return users.withColumn("history_days", days).withColumn("verified_share", F.col("_verified") / F.col("items")).drop("_from", "_to", "_verified")
 
 
+def metrics_of(items: DataFrame, spec: SourceSpec) -> DataFrame:
+    """user_metrics of the first row of each item id; only measures of items are dealt."""
+    return user_metrics(distinct_items(measured(items, spec), spec), spec)
+
+
 def eligible(users: DataFrame, spec: SourceSpec) -> DataFrame:
     kept = users.filter((F.col("items") >= spec.min_count) & (F.col("text_chars") >= spec.min_chars))
     return kept.filter(F.col("verified_share") >= spec.min_verified) if spec.min_verified is not None else kept
@@ -94,5 +117,4 @@ def rank_users(scored: DataFrame, spec: SourceSpec) -> DataFrame:
 
 
 def select_users(items: DataFrame, spec: SourceSpec) -> DataFrame:
-    users = user_metrics(distinct_items(items, spec), spec)
-    return rank_users(score_users(eligible(users, spec), spec), spec)
+    return rank_users(score_users(eligible(metrics_of(items, spec), spec), spec), spec)

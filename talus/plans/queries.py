@@ -127,7 +127,7 @@ def user_ranking_forum(spark, sf_dir):
     1
 ) + ")")
 def user_metrics(spark, sf_dir):
-    users = select.user_metrics(select.distinct_items(hist(spark, sf_dir), REVIEWS_INTL), REVIEWS_INTL)
+    users = select.metrics_of(hist(spark, sf_dir), REVIEWS_INTL)
     return users.select(
         "user_id", "items", "text_items", "text_chars", "categories", F.round("history_days", 6).alias("history_days"),
         F.round("verified_share", 9).alias("verified_share")

@@ -1,4 +1,5 @@
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -203,3 +204,27 @@ def test_plans_that_scale(spark):
     assert sorted((r["pos"], r["supported"]) for r in out.collect()) == [(0, True), (1, True), (2, False), (3, False)]
     shuffles = [line for line in plan_of(out).splitlines() if "Exchange" in line]
     assert sum("profile_text" in line for line in shuffles) <= 1
+
+
+def moved(df):
+    """Names of the columns that exchanges get."""
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    told = df._jdf.queryExecution().explainString(mode)
+    return {c.split("#")[0].strip() for x in re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", told) for c in x.split(",")}
+
+
+def test_scores_of_posts_are_added_in_their_order(spark):
+    rows = [("u", str(i), i, i, "text", "", float(v), [t]) for i, (v, t) in enumerate([(1e16, "a"), (1.0, "b"), (-1e16, "a"), (0.5, "c")])]
+    items = spark.createDataFrame(rows, "user_id string, item_id string, source_index long, ts_ms long, text string, title string, score double, tags array<string>")
+    for n in (1, 3):
+        found = select.user_metrics(items.repartition(n, "item_id"), QA_POSTS).first()
+        assert found["score_sum"] == 1e16 + 1.0 - 1e16 + 0.5 and (found["items"], found["categories"], found["text_chars"]) == (4, 3, 16)
+
+
+@pytest.mark.parametrize("spec", SPECS.values(), ids=SPECS)
+def test_ranking_moves_no_texts(spark, spec):
+    columns = "user_id string, item_id string, source_index long, ts_ms long, text string, title string, score double, tags array<string>, category string, thread string"
+    items = spark.createDataFrame([("u", str(i), i, i, "some text", "", 1.0, ["a"], "c", "t") for i in range(3)], columns)
+    ranked = select.select_users(items, spec.but(min_count=1, min_chars=1, min_verified=None))
+    assert ranked.first()["text_chars"] == 27
+    assert "user_id" in moved(ranked) and "text" not in moved(ranked)
