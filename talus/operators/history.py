@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from talus.functions.text import collapse, rating_text, valid_rating
+from talus.functions.text import collapse, has_text, rating_text, valid_rating
 from talus.operators.order import first_of
 from talus.plans.specs import TEMPLATE_CHARS, SourceSpec
 
@@ -143,15 +143,20 @@ def temporal_split(kept: DataFrame, spec: SourceSpec) -> DataFrame:
     return placed.withColumn("part", F.when(F.col("place") <= cut, "construction").otherwise("validation"))
 
 
+def with_has_text(items: DataFrame) -> DataFrame:
+    """items with has_text: where only that is asked of texts later on, no text need move through the steps between."""
+    return items.withColumn("has_text", has_text(F.col("text")))
+
+
 def split_summary(split: DataFrame) -> DataFrame:
-    """Per user: rows, rows with text and rated rows of either part, and the times at the cut."""
-    split = split.withColumn("_has", collapse(F.col("text")) != "")
-    has_text, rated = F.col("_has"), valid_rating(F.col("rating")) if "rating" in split.columns else F.lit(False)
+    """Per user: rows, rows with text and rated rows of either part, and the times at the cut. A column has_text stands for texts."""
+    split = split if "has_text" in split.columns else with_has_text(split)
+    filled, rated = F.col("has_text"), valid_rating(F.col("rating")) if "rating" in split.columns else F.lit(False)
     out = []
     for part in ("construction", "validation"):
         here = F.col("part") == part
         out += [
-            F.count_if(here).alias(f"{part}_rows"), F.count_if(here & has_text).alias(f"{part}_text_rows"),
+            F.count_if(here).alias(f"{part}_rows"), F.count_if(here & filled).alias(f"{part}_text_rows"),
             F.count_if(here & rated).alias(f"{part}_rated_rows")
         ]
     last = F.max_by("ts_ms", F.when(F.col("part") == "construction", F.col("place"))).alias("construction_last")

@@ -276,7 +276,8 @@ def temporal_split(spark, sf_dir):
   AND 5) AS validation_rated_rows,
   max(ts_ms) FILTER (part = 'construction') AS construction_last, min(ts_ms) FILTER (part = 'validation') AS validation_first FROM split GROUP BY user_id""")
 def split_summary(spark, sf_dir):
-    return history.split_summary(history.temporal_split(kept(spark, sf_dir), REVIEWS_INTL))
+    items = history.removal_reasons(history.with_has_text(remarks(hist(spark, sf_dir))), REVIEWS_INTL)
+    return history.split_summary(history.temporal_split(history.kept_items(items, REVIEWS_INTL), REVIEWS_INTL))
 
 
 @query(f"""WITH {HIST} SELECT user_id, category, count(*) AS items, count(*) FILTER ({clean('text')} <> '') AS text_items, count(*) FILTER

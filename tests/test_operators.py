@@ -206,11 +206,15 @@ def test_plans_that_scale(spark):
     assert sum("profile_text" in line for line in shuffles) <= 1
 
 
-def moved(df):
-    """Names of the columns that exchanges get."""
+def moved_each(df):
+    """Names of the columns that each exchange gets."""
     mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     told = df._jdf.queryExecution().explainString(mode)
-    return {c.split("#")[0].strip() for x in re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", told) for c in x.split(",")}
+    return [{c.split("#")[0].strip() for c in x.split(",")} for x in re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", told)]
+
+
+def moved(df):
+    return set().union(*moved_each(df))
 
 
 def test_scores_of_posts_are_added_in_their_order(spark):
@@ -228,3 +232,11 @@ def test_ranking_moves_no_texts(spark, spec):
     ranked = select.select_users(items, spec.but(min_count=1, min_chars=1, min_verified=None))
     assert ranked.first()["text_chars"] == 27
     assert "user_id" in moved(ranked) and "text" not in moved(ranked)
+
+
+def test_split_summary_moves_no_texts(spark):
+    from talus.plans import queries
+    from tests.conftest import SMALL
+
+    # the documents' own join is the one place where texts are dealt
+    assert [c for c in moved_each(queries.split_summary(spark, SMALL)) if "text" in c and "doc_id" not in c] == []
