@@ -22,24 +22,32 @@ from talus.sources.shared import new_path, staged
 
 #: Least number of files that a table is written as, and the most rows of one.
 FILES, FILE_ROWS = 8, 1_000_000
+#: Bytes of a file, where rows are texts of any length.
+FILE_BYTES = 64 << 20
 #: The same in SQL: the number of a row's file, of its key and the table's number of rows and largest key.
 _PART = f"k * greatest({FILES}, n // {FILE_ROWS}) // (m + 1)"
 
 
-def put(rows: DataFrame, folder: str, name: str, kind: str = "text", array: bool = False, **options: str) -> None:
+def dealt(rows: DataFrame, n: int) -> DataFrame:
+    """rows with the part of each, a number below n, as a task of its own: by a hash some tasks would get several."""
+    return rows.repartitionById(n, F.col("part").cast("int"))
+
+
+def put(rows: DataFrame, folder: str, name: str, kind: str = "text", array: bool = False, size: Column | None = None, **options: str) -> None:
     """Files by ranges of the key k, in its order, each written by a task of its own; their numbers stand in the name at {}.
 
     A text file has the column value, as whole JSON arrays whose last element is no object if array; other kinds all columns but k.
+    size: bytes of a row, where they and not only rows are to bound a file.
     """
     spark, made = rows.sparkSession, new_path(rows.sparkSession, "made")
-    most, count = rows.agg(F.max("k"), F.count("*")).first()
-    n = max(FILES, count // FILE_ROWS)
+    most, count, total = rows.agg(F.max("k"), F.count("*"), F.sum(F.lit(0) if size is None else size)).first()
+    n = max(FILES, count // FILE_ROWS, (total or 0) // FILE_BYTES)
     rows = rows.withColumn("part", F.expr(f"k * {n} div ({most or 0} + 1)"))
     if array:
         rows = rows.withColumn("value", F.concat("value", F.lit(",")))
         for k, text in ((-1, "["), (1 << 62, "null]")):
             rows = rows.unionByName(spark.range(n).select(F.lit(k).cast("long").alias("k"), F.lit(text).alias("value"), F.col("id").alias("part")))
-    rows = rows.repartition(n, "part").sortWithinPartitions("part", "k")
+    rows = dealt(rows, n).sortWithinPartitions("part", "k")
     (rows.select("part", "value") if kind == "text" else rows.drop("k")).write.partitionBy("part").format(kind).options(**options).save(made)
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs = path(made).getFileSystem(spark._jsc.hadoopConfiguration())
@@ -104,8 +112,9 @@ def scan_json_array(spark, sf_dir):
 def scan_csv(spark, sf_dir):
     folder, docs = new_path(spark, "csv"), table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", F.col("doc_id").alias("k"))
     kind = {"kind": "csv", "header": "true", "quote": '"', "escape": '"'}
-    put(docs.filter("doc_id % 2 = 0"), folder, "a-{}.csv", **kind)
-    put(docs.filter("doc_id % 2 = 1").select("source", "lang", "text", "doc_id", "k"), folder, "b-{}.csv", **kind)
+    size = F.octet_length(F.coalesce("text", F.lit("")))
+    put(docs.filter("doc_id % 2 = 0"), folder, "a-{}.csv", size=size, **kind)
+    put(docs.filter("doc_id % 2 = 1").select("source", "lang", "text", "doc_id", "k"), folder, "b-{}.csv", size=size, **kind)
     rows = readers.csv_rows(spark, readers.files(spark, folder, "*.csv"))
     text_md5 = F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_md5")
     return rows.select(F.col("doc_id").cast("long").alias("doc_id"), text_md5, "lang", "source", "number")

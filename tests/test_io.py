@@ -406,3 +406,11 @@ def test_metadata_of_unwanted_keys_is_not_parsed(spark, tmp_path):
     (tmp_path / "meta_Toys.jsonl").write_text('{"parent_asin": "P1", \n')
     with pytest.raises(Exception, match="bad JSON"):
         pipeline.read_metadata(spark, str(tmp_path), wanted).collect()
+
+
+def test_made_files_have_a_task_each(spark):
+    from talus.plans.io_queries import dealt
+
+    rows = dealt(spark.range(0, 1000, 1, 3).selectExpr("id % 16 as part"), 16)
+    tasks = rows.select("part", F.spark_partition_id().alias("task")).distinct().collect()
+    assert len(tasks) == 16 and {r["part"] for r in tasks} == {r["task"] for r in tasks} == set(range(16))
