@@ -24,10 +24,15 @@ def _if(value: Column, line: Column) -> Column:
     return F.when(F.coalesce(value, F.lit("")) != "", line)
 
 
+def shown_text(spec: SourceSpec) -> Column:
+    """An item's text as its profile shows it."""
+    return truncate(F.col("text"), spec.text_chars) if not spec.whole_items else collapse(F.col("text"))
+
+
 def render_item(spec: SourceSpec, place: Column, has: set[str]) -> Column:
-    """One item's lines; lines without a value are left out where the source leaves them out."""
+    """One item's lines; lines without a value are left out where the source leaves them out. A column _shown stands for shown_text."""
     c = lambda n: F.col(n) if n in has else F.lit(None).cast("string")
-    text = truncate(F.col("text"), spec.text_chars) if not spec.whole_items else collapse(F.col("text"))
+    text = F.col("_shown") if "_shown" in has else shown_text(spec)
     product = truncate(c("product_title"), 220)
     if spec.cascade == "review":
         path = F.transform(
@@ -154,8 +159,8 @@ def summary(stats: DataFrame, spec: SourceSpec, parts: DataFrame | None = None)
 
 
 def profiles(items: DataFrame, spec: SourceSpec, summaries: DataFrame | None = None) -> DataFrame:
-    """user_id, profile_items, profile_text of the construction items."""
-    shown = newest(items, spec.newest, history_order(spec, newest_first=True))
+    """user_id, profile_items, profile_text of the construction items. Texts are cut to what is shown before they move."""
+    shown = newest(items.withColumn("_shown", shown_text(spec)).drop("text"), spec.newest, history_order(spec, newest_first=True))
     rendered = shown.withColumn("rendered", render_item(spec, F.col("place"), set(shown.columns)))
     if spec.whole_items:
         body = joined(suffix_fit(rendered.select("user_id", "place", "rendered"), spec.profile_chars))

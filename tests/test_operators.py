@@ -240,3 +240,10 @@ def test_split_summary_moves_no_texts(spark):
 
     # the documents' own join is the one place where texts are dealt
     assert [c for c in moved_each(queries.split_summary(spark, SMALL)) if "text" in c and "doc_id" not in c] == []
+
+
+def test_profiles_move_only_what_is_shown(spark):
+    rows = [("u", i, i, "t", "x" * 3000) for i in range(2)]
+    items = spark.createDataFrame(rows, "user_id string, source_index long, ts_ms long, thread string, text string")
+    found = profile.profiles(items, FORUM_POSTS)
+    assert "... [truncated]" in found.first()["profile_text"] and "_shown" in moved(found) and "text" not in moved(found)
