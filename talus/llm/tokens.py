@@ -22,6 +22,7 @@ from itertools import count as count_up
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,6 +42,12 @@ def slot(key: np.ndarray) -> np.ndarray:
     return (key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - BITS)).view(np.int64)
 
 
+def ragged(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Stretches of an array, one after the other."""
+    at = np.cumsum(size) - size
+    return flat[np.repeat(begin - at, size) + np.arange(size.sum())]
+
+
 def expanded(left: np.ndarray, right: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all rules, one rule after the other, and each rule's number of them."""
     symbols, owner = np.stack([left, right], axis=1).ravel().astype(np.int64), np.repeat(np.arange(len(left)), 2)
@@ -59,14 +66,15 @@ def repair(ids: np.ndarray, ends: np.ndarray, base: int, rounds: int | None = RO
     last = np.zeros(len(seq), bool)
     last[ends] = True
     count = 0
+    live = np.flatnonzero(~last[:-1])  # places whose pair may be frequent: one of old symbols that isn't won't be later
     for _ in count_up() if rounds is None else range(rounds):
-        if len(seq) < 2:
+        if not len(live):
             break
-        key = seq[:-1] << 32 | seq[1:]
-        free = ~last[:-1]
+        key = seq[live] << 32 | seq[live + 1]
         slots = slot(key)
-        common = np.bincount(slots[free], minlength=1 << BITS) >= least  # a pair is no more frequent than its slot
-        order = np.sort(key[common[slots] & free])
+        common = (np.bincount(slots, minlength=1 << BITS) >= least)[slots]  # a pair is no more frequent than its slot
+        live, key, slots = live[common], key[common], slots[common]
+        order = np.sort(key)
         if not len(order):
             break
         new = np.flatnonzero(np.concatenate([[True], order[1:] != order[:-1]]))
@@ -80,10 +88,9 @@ def repair(ids: np.ndarray, ends: np.ndarray, base: int, rounds: int | None = RO
         table = np.full(1 << BITS, -1, np.int32)
         table[slot(chosen)] = np.arange(len(chosen))
         which = table[slots]
-        at = np.flatnonzero((which >= 0) & free)
-        which = which[at]
-        hit = chosen[which] == key[at]
-        at, which = at[hit], which[hit]
+        hit = np.flatnonzero(which >= 0)
+        hit = hit[chosen[which[hit]] == key[hit]]
+        at, which = live[hit], which[hit]
         # of places that overlap the next, every other one counts, from the left
         first = np.concatenate([[True], np.diff(at) > 1])
         run = np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))
@@ -95,7 +102,12 @@ def repair(ids: np.ndarray, ends: np.ndarray, base: int, rounds: int | None = RO
         count += len(chosen)
         stay = np.ones(len(seq), bool)
         stay[at + 1] = False
-        seq, last = seq[stay], last[stay]
+        # alive are pairs that were common and all that hold a new symbol
+        before = at[at > 0] - 1
+        alive = np.zeros(len(seq), bool)
+        alive[live] = alive[at] = alive[before - ~stay[before]] = True
+        seq, last, alive = seq[stay], last[stay], alive[stay]
+        live = np.flatnonzero(alive[:-1] & ~last[:-1])
     starts = np.concatenate([[0], np.flatnonzero(last) + 1])[: len(ends)]
     return seq, np.concatenate(rules), starts
 
@@ -127,13 +139,17 @@ def unpacked(data: bytes, n: int, width: int, place: int) -> tuple[np.ndarray, i
 
 def pack(docs: list[bytes], base: int, **how) -> tuple[bytes, int]:
     """A shard's bytes from documents' ids (uint32, each ending in an end id), and how many ids it holds."""
-    ids = np.frombuffer(b"".join(docs), "<u4")
-    bounds = np.cumsum([0, *(len(d) // 4 for d in docs)])
+    return packed_ids(np.frombuffer(b"".join(docs), "<u4"), np.array([len(d) // 4 for d in docs], np.int64), base, **how)
+
+
+def packed_ids(ids: np.ndarray, sizes: np.ndarray, base: int, **how) -> tuple[bytes, int]:
+    """``pack`` of ids that lie one document after the other."""
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
     seq, rules, starts = repair(ids, bounds[1:] - 1, base, **how)
     _, length = expanded(rules[:, 0], rules[:, 1], base)
     width = [int(x).bit_length() for x in (base + len(rules), length.max(initial=0), len(ids))]
     arrays = [(rules[:, 0], 0), (rules[:, 1], 0), (length, 1), (seq, 0), (starts, 2), (bounds[:-1], 2)]
-    body = HEAD.pack(base, len(rules), len(seq), len(docs), *width) + b"".join(packed(x, width[w]) for x, w in arrays)
+    body = HEAD.pack(base, len(rules), len(seq), len(sizes), *width) + b"".join(packed(x, width[w]) for x, w in arrays)
     return MAGIC + struct.pack("<I", zlib.crc32(body)) + body, len(ids)
 
 
@@ -158,9 +174,7 @@ class Shard:
         self._size, self._offset, self._flat = size, offset, flat
 
     def _expand(self, symbols: np.ndarray) -> np.ndarray:
-        size = self._size[symbols]
-        begin = np.cumsum(size) - size
-        return self._flat[np.repeat(self._offset[symbols] - begin, size) + np.arange(size.sum())]
+        return ragged(self._flat, self._offset[symbols], self._size[symbols])
 
     def ids(self) -> np.ndarray:
         return self._expand(self.symbols)
@@ -175,6 +189,7 @@ _encoders: dict[str, tuple] = {}
 WORDWISE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Letters that normalising leaves alone and that have one lower-case form, and signs that no rule of a wordwise tokenizer reads.
 LETTERS = frozenset(c for c in map(chr, range(0x41, 0x180)) if c.isalpha() and c not in "ªµºİŉ" and len(c.lower()) == 1)
+ALL_LETTERS = "".join(sorted(LETTERS))
 SIGNS = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) not in "'<")
 
 
@@ -201,7 +216,8 @@ def byte_letters() -> dict[int, str]:
 
 
 class Wordwise:
-    """Texts to bytes of ids. A new word's letters and signs go to the library's model apart, as its own split does, other words to the whole tokenizer."""
+    """Texts to ids. A batch's words are told apart by Arrow and cut there into letters and signs, as the tokenizer's own split does; different ones go to the
+    library's model apart, other words to the whole tokenizer. What they gave is remembered."""
 
     def __init__(self, tokenizer):
         self.tokenizer, self.model, self.letter = tokenizer, tokenizer.model, byte_letters()
@@ -212,19 +228,45 @@ class Wordwise:
             text = "".join(map(self.letter.__getitem__, text.encode()))
         return array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
 
-    def _word(self, word: bytes) -> bytes:
-        text = word.decode("utf-8")
-        letters = text.rstrip(SIGNS)
-        if letters.isalpha() if letters.isascii() else LETTERS.issuperset(letters):
-            ids = self.parts[letters.lower()]
-            return ids if len(letters) == len(text) else ids + self.parts[text[len(letters) :]]
-        if not letters:
-            return self.parts[text]
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+    def _word(self, word: str) -> bytes:
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def flat(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and how many each has; with the end id behind each, where one is given."""
+        split = pc.ascii_split_whitespace(texts.fill_null(""))
+        places = split.flatten().dictionary_encode()
+        words, which, bounds = places.dictionary, places.indices.to_numpy(), split.offsets.to_numpy()
+        letters, signs = pc.utf8_rtrim(words, SIGNS), pc.utf8_ltrim(words, ALL_LETTERS)
+        length = lambda x: pc.binary_length(x).to_numpy()
+        other = length(letters) + length(signs) != length(words)  # else the word is letters, then signs
+        mask = pa.array(other)
+        letters, signs = (pc.if_else(mask, "", x).dictionary_encode() for x in (pc.utf8_lower(letters), signs))
+        asked = ((self.parts, letters.dictionary), (self.parts, signs.dictionary), (self.words, words.filter(mask)))
+        found = [list(map(memo.__getitem__, x.to_numpy(zero_copy_only=False))) for memo, x in asked]
+        known = [v for f in found for v in f]
+        ids, size = np.frombuffer(b"".join(known), "<u4"), np.fromiter(map(len, known), np.int64, len(known)) // 4
+        first, second = letters.indices.to_numpy().astype(np.int64), signs.indices.to_numpy() + len(found[0])
+        first[other] = len(found[0]) + len(found[1]) + np.arange(other.sum())  # its signs are none
+        halves = np.stack([first, second], axis=1).ravel()
+        ids, size = ragged(ids, (np.cumsum(size) - size)[halves], size[halves]), size[first] + size[second]
+        ids, size = np.append(ids, np.uint32(end or 0)), np.append(size, int(end is not None))
+        which = np.insert(which, bounds[1:] - bounds[0], len(size) - 1)
+        sizes = size[which]
+        upto = np.concatenate([[0], np.cumsum(sizes)])[bounds - bounds[0] + np.arange(len(bounds))]
+        return ragged(ids, (np.cumsum(size) - size)[which], sizes), np.diff(upto)
 
     def __call__(self, texts: list[bytes | None]) -> list[bytes]:
-        words = self.words
-        return [b"".join(map(words.__getitem__, t.split())) if t else b"" for t in texts]
+        ids, sizes = self.flat(pa.array(texts, pa.binary()).cast(pa.string()))
+        return [x.tobytes() for x in np.split(ids, np.cumsum(sizes)[:-1])] if texts else []
+
+
+def with_ends(encode, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts with the end id behind each, and how many each has."""
+    if isinstance(encode, Wordwise):
+        return encode.flat(texts, end)
+    mark = np.array([end], "<u4").tobytes()
+    raw = [e + mark for e in encode(texts.cast(pa.binary()).to_pylist())]
+    return np.frombuffer(b"".join(raw), "<u4"), np.array([len(r) // 4 for r in raw], np.int64)
 
 
 def encoder(path: str):
@@ -265,25 +307,30 @@ def write_tokens(
     def of(batches):
         encode, base = encoder(tokenizer)
         Memo.only(*([encode.words, encode.parts] if isinstance(encode, Wordwise) else []))
-        mark, held, ids, room, seq, part, arrow = np.array([end], "<u4").tobytes(), [], [], 0, 0, None, None
+        held, room, seq, part = [], 0, 0, None  # held: document ids, ids and sizes of what the next shard has
 
         def flush():
-            nonlocal held, ids, room, seq
-            data, n = pack(held, max(base, end + 1))
+            nonlocal held, room, seq
+            doc_ids, ids, sizes = zip(*held, strict=True)
+            data, n = packed_ids(np.concatenate(ids), np.concatenate(sizes), max(base, end + 1))
+            doc_ids = pa.concat_arrays(doc_ids)
             cols = [
-                pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([n], pa.int64()), pa.array([ids], pa.list_(arrow)),
-                pa.array([data], pa.binary())
+                pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([n], pa.int64()),
+                pa.ListArray.from_arrays(pa.array([0, len(doc_ids)], pa.int32()), doc_ids), pa.array([data], pa.binary())
             ]
-            out = pa.RecordBatch.from_arrays(cols, names=["part", "seq", "n_ids", "doc_ids", "data"])
-            held, ids, room, seq = [], [], 0, seq + 1
-            return out
+            held, room, seq = [], 0, seq + 1
+            return pa.RecordBatch.from_arrays(cols, names=["part", "seq", "n_ids", "doc_ids", "data"])
 
         for b in batches:
-            arrow = b["doc_id"].type
-            part = b["_part"][0].as_py() if b.num_rows else part
-            for i, e in zip(b["doc_id"].to_pylist(), encode(b["_text"].cast(pa.binary()).to_pylist()), strict=True):
-                held.append(e + mark), ids.append(i)
-                room += len(e) // 4 + 1
+            if not b.num_rows:
+                continue
+            part = b["_part"][0].as_py()
+            ids, sizes = with_ends(encode, b["_text"], end)
+            upto, begin = np.concatenate([[0], np.cumsum(sizes)]), 0
+            while begin < b.num_rows:  # a shard ends with the document that fills it
+                stop = min(int(np.searchsorted(upto, upto[begin] + shard - room)), b.num_rows)
+                held.append((b["doc_id"].slice(begin, stop - begin), ids[upto[begin] : upto[stop]], sizes[begin:stop]))
+                room, begin = room + int(upto[stop] - upto[begin]), stop
                 if room >= shard:
                     yield flush()
         if held:

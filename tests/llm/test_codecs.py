@@ -70,6 +70,37 @@ def test_rounds_go_on_until_no_pair_is_frequent():
     assert n == len(ids) and (tokens.Shard(data).ids() == ids).all()
 
 
+def test_rounds_look_only_at_pairs_that_may_be_frequent(monkeypatch):
+    rare, passage = np.arange(3, 60_003), np.tile(np.append(np.random.default_rng(3).integers(3, 9000, 500), 2), (40, 1))
+    looked, slot = [], tokens.slot
+    monkeypatch.setattr(tokens, "slot", lambda key: looked.append(len(key)) or slot(key))
+    ids = np.concatenate([rare, [2], passage.ravel()])
+    seq, _, _ = tokens.repair(ids, np.flatnonzero(ids == 2), 100_000)
+    assert len(seq) == 60_001 + 40 and sum(looked) < 2 * len(ids)
+
+
+def test_a_batch_asks_once_for_each_different_word():
+    class Counted(dict):
+        asked = 0
+
+        def __getitem__(self, key):
+            Counted.asked += 1
+            return self.of(key)
+
+    encode, _ = tokens.encoder(WORDS)
+    own = tokens.Wordwise(encode.tokenizer)
+    for name in ("words", "parts"):
+        of, counted = getattr(own, name).of, Counted()
+        counted.of = of
+        setattr(own, name, counted)
+    texts = ["Alpha beta, beta don't \u00c9t\u00e9 *** \u4f60\u597d " * 200, None, ""] * 3
+    assert own([t and t.encode() for t in texts]) == encode([t and t.encode() for t in texts])
+    ids, sizes = own.flat(tokens.pa.array(texts).slice(1, 4), 2)
+    library = Tokenizer.from_file(WORDS)
+    assert Counted.asked < 30
+    assert np.split(ids, np.cumsum(sizes)[:-1])[2].tolist() == [*library.encode(texts[3], add_special_tokens=False).ids, 2] and sizes[:2].tolist() == [1, 1]
+
+
 def test_op9_equals_library(spark):
     library, start = Tokenizer.from_file(WORDS), 0
     found = {r["doc_id"]: r for r in queries.op9_token_files(spark, SMALL).collect()}
