@@ -82,16 +82,20 @@ def newest(items: DataFrame, most: int, order: list[Column]) -> DataFrame:
     return kept.withColumn("place", (F.count("*").over(user) - F.col("_from_end") + 1).cast("int")).drop("_from_end")
 
 
+def _chars(rendered: DataFrame) -> Column:
+    return F.col("_chars") if "_chars" in rendered.columns else F.length("rendered")
+
+
 def suffix_fit(rendered: DataFrame, most: int, joint: int = 2) -> DataFrame:
     """The newest rendered items of each user that, joined, have no more than ``most`` characters; lengths only add up, so one running sum finds them."""
     w = Window.partitionBy("user_id").orderBy(F.col("place").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    return rendered.withColumn("_upto", F.sum(F.length("rendered") + joint).over(w) - joint).filter(F.col("_upto") <= most).drop("_upto")
+    return rendered.withColumn("_upto", F.sum(_chars(rendered) + joint).over(w) - joint).filter(F.col("_upto") <= most).drop("_upto")
 
 
 def prefix_fit(rendered: DataFrame, most: int, joint: int = 2) -> DataFrame:
     """The oldest rendered items of each user that begin within ``most`` characters of the joined text, and _items, how many there are in all."""
     user = Window.partitionBy("user_id").orderBy("place")
-    before = F.coalesce(F.sum(F.length("rendered") + joint).over(user.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    before = F.coalesce(F.sum(_chars(rendered) + joint).over(user.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     counted = rendered.withColumn("_before", before).withColumn("_items", F.count("*").over(Window.partitionBy("user_id")))
     return counted.filter(F.col("_before") < most).drop("_before")
 
@@ -158,15 +162,31 @@ def summary(stats: DataFrame, spec: SourceSpec, parts: DataFrame | None = None)
     return lines.select("user_id", truncate(F.concat_ws("\n", first, "lines"), SUMMARY_CHARS).alias("summary"))
 
 
-def profiles(items: DataFrame, spec: SourceSpec, summaries: DataFrame | None = None) -> DataFrame:
-    """user_id, profile_items, profile_text of the construction items. Texts are cut to what is shown before they move."""
-    shown = newest(items.withColumn("_shown", shown_text(spec)).drop("text"), spec.newest, history_order(spec, newest_first=True))
-    rendered = shown.withColumn("rendered", render_item(spec, F.col("place"), set(shown.columns)))
+def _fitted(items: DataFrame, spec: SourceSpec, texts: DataFrame | None) -> DataFrame:
+    """user_id, place and rendered of the items that a profile shows, and _items where some are cut at the end."""
+    fit = suffix_fit if spec.whole_items else prefix_fit
+    if texts is None:
+        items = items.withColumn("_shown", shown_text(spec)).drop("text")
+    placed = newest(items, spec.newest, history_order(spec, newest_first=True))
+    if texts is None:
+        return fit(placed.select("user_id", "place", render_item(spec, F.col("place"), set(placed.columns)).alias("rendered")), spec.profile_chars)
+    # an item's text ends it, so what stands before it and the text's length tell which items are shown; texts of these alone move to their users
+    bare = render_item(spec, F.col("place"), {*placed.columns, "_shown"})
+    rendered = placed.withColumn("_shown", F.lit("")).withColumn("rendered", bare)
+    kept = fit(rendered.select("user_id", "place", "rendered", "text_key", (F.length("rendered") + F.col("shown_chars")).alias("_chars")), spec.profile_chars)
+    whole = kept.drop("_chars").join(texts.select("text_key", shown_text(spec).alias("_shown")), "text_key").drop("text_key")
+    return whole.repartition("user_id").withColumn("rendered", F.concat("rendered", "_shown")).drop("_shown")  # else lists are made before texts move, and again behind
+
+
+def profiles(items: DataFrame, spec: SourceSpec, summaries: DataFrame | None = None, texts: DataFrame | None = None) -> DataFrame:
+    """user_id, profile_items, profile_text of the construction items. Texts are cut to what is shown before they move.
+
+    With texts (text_key, text; a row for each key) items have text_key and shown_chars, the length of ``shown_text``, in place of text.
+    """
+    body = joined(_fitted(items, spec, texts))
     if spec.whole_items:
-        body = joined(suffix_fit(rendered.select("user_id", "place", "rendered"), spec.profile_chars))
         users = items.select("user_id").distinct().join(body, "user_id", "left")
         return users.select("user_id", F.coalesce("profile_items", F.lit(0)).alias("profile_items"), F.coalesce("body", F.lit("")).alias("profile_text"))
-    body = joined(prefix_fit(rendered.select("user_id", "place", "rendered"), spec.profile_chars))
     head = F.lit(f"{spec.title}.")
     if spec.cascade == "review":
         groups = items.groupBy("user_id").agg(F.count_distinct(F.coalesce("category", F.lit("Unknown"))).alias("_groups"))

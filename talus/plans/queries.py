@@ -42,15 +42,17 @@ def micros(df: DataFrame, c: str) -> Column:
     return F.expr(f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', {c})") if df.schema[c].dataType.typeName() == "timestamp_ntz" else F.unix_micros(c)
 
 
-def hist(spark: SparkSession, sf_dir: str) -> DataFrame:
+def hist(spark: SparkSession, sf_dir: str, **of_text: Column) -> DataFrame:
+    """Items; with columns made of a document where its text would stand, if any are given."""
     events, docs = table(spark, sf_dir, "events"), table(spark, sf_dir, "documents")
+    docs = docs.select("doc_id", "source", "lang", *[c.alias(n) for n, c in of_text.items()]) if of_text else docs
     n = docs.agg(F.count("*").alias("n"))  # one row
     keyed = events.crossJoin(F.broadcast(n)).withColumn("k", F.col("event_id") % F.col("n")).withColumn("us", micros(events, "ts"))
     keyed = keyed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "k")  # events are narrow; a join on k needs this anyway, and few input files shouldn't mean few tasks
     return keyed.join(docs, F.col("k") == F.col("doc_id")).select(
         F.col("event_id").alias("item_id"), "user_id", F.col("event_type").alias("category"), F.floor(F.col("us") / 1000).cast("long").alias("ts_ms"),
         F.when(F.col("event_id") % 13 == 0, F.lit(None)).otherwise(F.col("event_id") % 7).cast("double").alias("rating"),
-        F.col("event_id").alias("source_index"), "text", F.col("source").alias("thread"),
+        F.col("event_id").alias("source_index"), *(of_text or ["text"]), F.col("source").alias("thread"),
         F.array("lang", "source", "event_type").alias("tags"), F.lit("").alias("title"), (F.col("event_id") % 10 != 0).alias("verified"),
         F.col("value").cast("string").alias("score"), F.col("doc_id").alias("product_id"),
     )
@@ -387,6 +389,14 @@ def suffix_fit(spark, sf_dir):
     return profile.suffix_fit(shown, 600).select("user_id", "turn", F.length("rendered").cast("long").alias("n"))
 
 
+def _profiles(spark, sf_dir, spec: SourceSpec, **fields: Column) -> DataFrame:
+    """Profiles of hist, whose texts are found by key once it is settled which are shown; of documents that share id and text one is kept."""
+    key = F.struct("doc_id", F.xxhash64("text"))
+    items = hist(spark, sf_dir, text_key=key, shown_chars=F.length(profile.shown_text(spec))).withColumns(fields)
+    texts = table(spark, sf_dir, "documents").select(key.alias("text_key"), "text").dropDuplicates(["text_key"])
+    return profile.profiles(items, spec, texts=texts)
+
+
 @query(f"""WITH {HIST}, r AS (SELECT user_id, source_index, '[post ' || row_number() OVER (PARTITION BY user_id ORDER BY ts_ms, source_index) || ']'
   || chr(10) || 'timestamp: unknown' || chr(10) || 'thread_id: ' || thread || chr(10) || 'text: ' ||
   CASE WHEN length({clean('text')}) > 2000 THEN rtrim(left({clean('text')}, 1985)) || ' ... [truncated]' ELSE {clean('text')} END AS line,
@@ -394,7 +404,7 @@ def suffix_fit(spark, sf_dir):
 SELECT user_id, count(*) AS profile_items, md5(left('Forum member profile.' || chr(10) || chr(10) || string_agg(line, chr(10) || chr(10) ORDER BY
   place), 35000)) AS profile_md5 FROM r GROUP BY user_id""")
 def profile_assemble(spark, sf_dir):
-    out = profile.profiles(hist(spark, sf_dir), FORUM_POSTS)
+    out = _profiles(spark, sf_dir, FORUM_POSTS)
     return out.select("user_id", "profile_items", F.md5(F.col("profile_text").cast("binary")).alias("profile_md5"))
 
 
@@ -408,7 +418,7 @@ f AS (SELECT *, sum(length(line) + 2) OVER (PARTITION BY user_id ORDER BY place
 SELECT u.user_id, count(f.line) AS profile_items, md5(coalesce(string_agg(f.line, chr(10) || chr(10) ORDER BY f.place), '')) AS profile_md5 FROM
   (SELECT DISTINCT user_id FROM hist) u LEFT JOIN (SELECT * FROM f WHERE upto <= 70000) f ON u.user_id = f.user_id GROUP BY u.user_id""")
 def profile_whole_items(spark, sf_dir):
-    out = profile.profiles(hist(spark, sf_dir).withColumn("score", F.lit("1")), QA_POSTS)
+    out = _profiles(spark, sf_dir, QA_POSTS, score=F.lit("1"))
     return out.select("user_id", "profile_items", F.md5(F.col("profile_text").cast("binary")).alias("profile_md5"))
 
 

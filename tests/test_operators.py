@@ -247,3 +247,26 @@ def test_profiles_move_only_what_is_shown(spark):
     items = spark.createDataFrame(rows, "user_id string, source_index long, ts_ms long, thread string, text string")
     found = profile.profiles(items, FORUM_POSTS)
     assert "... [truncated]" in found.first()["profile_text"] and "_shown" in moved(found) and "text" not in moved(found)
+
+
+@pytest.mark.parametrize("name", ["profile_whole_items", "profile_assemble"])
+def test_texts_move_once_it_is_settled_which_are_shown(spark, name):
+    from talus.plans import queries
+    from tests.conftest import SMALL
+
+    each = moved_each(queries.QUERIES[name](spark, SMALL))
+    placed = [c for c in each if "ts_ms" in c]
+    assert placed and all("shown_chars" in c and not c & {"_shown", "text"} for c in placed)
+
+
+@pytest.mark.parametrize("spec", [s.but(profile_chars=n) for s in SPECS.values() for n in (0, 150, 320, 5000)], ids=lambda s: f"{s.name}-{s.profile_chars}")
+def test_profiles_by_key_are_those_of_texts(spark, spec):
+    texts = [None, "", " a  b ", "ü你 \U0001f600\t　x", "y" * 3000, "plain words"]
+    rows = [(u, i, None if i == 3 else i, texts[(i + k) % 6], "t", "c", 4.0, ["a"], "th") for k, u in enumerate(("u", "v", None)) for i in range(9 - 4 * k)]
+    items = spark.createDataFrame(
+        rows, "user_id string, source_index long, ts_ms long, text string, title string, category string, rating double, tags array<string>, thread string"
+    ).withColumn("product_id", F.lit("p"))
+    key = F.xxhash64("text").alias("text_key")
+    keyed = items.select("*", key, F.length(profile.shown_text(spec)).alias("shown_chars")).drop("text")
+    by_key = profile.profiles(keyed, spec, texts=items.select(key, "text").distinct())
+    assert sorted(map(repr, by_key.collect())) == sorted(map(repr, profile.profiles(items, spec).collect()))
