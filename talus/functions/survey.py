@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -65,13 +67,13 @@ def age_bracket(age: Column) -> Column:
     return out.when((n >= 85) & ~F.isnan(n), "85+")
 
 
-def ethnicity(hispanic: Column, race: Column) -> Column:
-    h, r = answer_key(hispanic), answer_key(race)
+def ethnicity(hispanic: Column, race: Column, key: Callable[[Column], Column] = answer_key) -> Column:
+    h, r = key(hispanic), key(race)
     return F.when((h != "") & (h != "not hispanic"), "Hispanic / Latino").when(r == "white", "White / European").when(r == "black", "Black / African")
 
 
-def education(degree: Column, educ: Column) -> Column:
-    d, e = answer_key(degree), F.coalesce(answer_key(educ), F.lit(""))
+def education(degree: Column, educ: Column, key: Callable[[Column], Column] = answer_key) -> Column:
+    d, e = key(degree), F.coalesce(key(educ), F.lit(""))
     years = F.regexp_extract(e, r"^(\d+)", 1).try_cast("int")
     return (
         F.when(d == "graduate", F.when(e.contains("7 years") | e.contains("8 or more years"), "Doctorate").otherwise("Master's"))
@@ -80,21 +82,26 @@ def education(degree: Column, educ: Column) -> Column:
     )
 
 
-def religiosity(relig: Column, intensity: Column) -> Column:
-    r, i = answer_key(relig), answer_key(intensity)
+def religiosity(relig: Column, intensity: Column, key: Callable[[Column], Column] = answer_key) -> Column:
+    r, i = key(relig), key(intensity)
     return F.when((r == "none") | (i == "no religion"), "Secular").when(i == "strong", "Devout").when(i == "somewhat strong (vol.)", "Observant").when(i == "not very strong", "Spiritual")
 
 
-def computed() -> dict[str, Column]:
-    """Targets that rules compute from several answers."""
-    c = F.col
-    work = answer_key(c("wrkstat"))
+# Answers that the computed targets look up by their keys.
+COMPUTED_FROM = ("hispanic", "race", "degree", "educ", "wrkstat", "relig", "reliten", "region")
+
+
+def computed(keyed: Callable[[str], Column] | None = None) -> dict[str, Column]:
+    """Targets that rules compute from several answers. keyed: where an answer's key is found; else it is made of the answer, wherever it is used."""
+    same = lambda x: x
+    k, key = (keyed, same) if keyed else (F.col, answer_key)
+    c, work = F.col, key(k("wrkstat"))
     return {
         "age_bracket": age_bracket(c("age")),
-        "demo_ethnicity_broad": ethnicity(c("hispanic"), c("race")),
-        "highest_education": education(c("degree"), c("educ")),
+        "demo_ethnicity_broad": ethnicity(k("hispanic"), k("race"), key),
+        "highest_education": education(k("degree"), k("educ"), key),
         "seniority": F.when(work == "retired", "Retired").when(work == "in school", "Student / intern"),
         "life_stage": F.when(work == "in school", "Student").when(work == "retired", "Retirement"),
-        "religiosity": religiosity(c("relig"), c("reliten")),
-        "region": F.when(answer_key(c("region")) != "", "North America"),
+        "religiosity": religiosity(k("relig"), k("reliten"), key),
+        "region": F.when(key(k("region")) != "", "North America"),
     }

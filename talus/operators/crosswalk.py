@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from talus.functions.survey import VALUE_MAPS, answer_key, computed
+from talus.functions.survey import COMPUTED_FROM, VALUE_MAPS, answer_key, computed
 
 EVIDENCE = "Direct GSS survey response"  # fixed value
 Maps = dict[str, tuple[str, dict[str, str | None]]]
@@ -15,18 +15,28 @@ def _lookup(mapping: dict[str, str | None], key: Column) -> Column:
     return F.create_map(*[x for k, v in mapping.items() if v is not None for x in (F.lit(k), F.lit(v))])[key]
 
 
+def _key(column: str) -> str:
+    return f"_key_{column}"
+
+
+def with_keys(answers: DataFrame, maps: Maps = VALUE_MAPS, rules: dict[str, Column] | None = None) -> DataFrame:
+    """answers with the keys that ``statuses`` looks up: made once, in a step of their own, however often they are used."""
+    columns = dict.fromkeys([*(source for source, _ in maps.values()), *(COMPUTED_FROM if rules is None else ())])
+    return answers.withColumns({_key(c): answer_key(F.col(c)) for c in columns})
+
+
 def statuses(maps: Maps = VALUE_MAPS, rules: dict[str, Column] | None = None) -> list[Column]:
-    """For each target a struct of dimension_id, source_column, raw_value, normalized_value, result and status."""
+    """For each target a struct of dimension_id, source_column, raw_value, normalized_value, result and status; of answers ``with_keys``."""
     out = []
     for target, (source, mapping) in maps.items():
-        raw, key = F.col(source).cast("string"), answer_key(F.col(source))
+        raw, key = F.col(source).cast("string"), F.col(_key(source))
         known, null_on_purpose = key.isin(*mapping), key.isin(*[k for k, v in mapping.items() if v is None]) if None in mapping.values() else F.lit(False)
         status = F.when(raw.isNull(), "missing").when(~known, "unmapped").when(null_on_purpose, "deliberately_null").otherwise("mapped")
         out.append(F.struct(
             F.lit(target).alias("dimension_id"), F.lit(source).alias("source_column"), raw.alias("raw_value"), key.alias("normalized_value"),
             _lookup(mapping, key).alias("result"), status.alias("status")
         ))
-    for target, value in (computed() if rules is None else rules).items():
+    for target, value in (computed(lambda c: F.col(_key(c))) if rules is None else rules).items():
         null = F.lit(None).cast("string")
         out.append(F.struct(
             F.lit(target).alias("dimension_id"), F.lit("compute").alias("source_column"), null.alias("raw_value"), null.alias("normalized_value"),
@@ -37,14 +47,16 @@ def statuses(maps: Maps = VALUE_MAPS, rules: dict[str, Column] | None = None) ->
 
 def audit(answers: DataFrame, maps: Maps = VALUE_MAPS, rules: dict[str, Column] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """A row for each answer row and target."""
-    return answers.select(*keep, F.explode(F.array(*statuses(maps, rules))).alias("s")).select(*keep, "s.*")
+    keyed = with_keys(answers, maps, rules)
+    return keyed.select(*keep, F.explode(F.array(*statuses(maps, rules))).alias("s")).select(*keep, "s.*")
 
 
 def crosswalk(answers: DataFrame, maps: Maps = VALUE_MAPS, rules: dict[str, Column] | None = None) -> DataFrame:
     """answers with observed and unmapped, maps of dimension to value and to the raw answer without a rule."""
     each = F.array(*statuses(maps, rules))
     pairs = lambda keep, value: F.map_from_entries(F.transform(F.filter(F.col("_s"), keep), lambda s: F.struct(s["dimension_id"], s[value])))
-    out = answers.withColumn("_s", each)
+    keyed = with_keys(answers, maps, rules)
+    out = keyed.withColumn("_s", each).drop(*[c for c in keyed.columns if c not in answers.columns])
     return out.withColumn("observed", pairs(lambda s: s["result"].isNotNull(), "result")).withColumn(
         "unmapped", pairs(lambda s: s["status"] == "unmapped", "raw_value")
     ).drop("_s")

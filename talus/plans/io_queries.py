@@ -14,7 +14,7 @@ from talus.operators import crosswalk as cw
 from talus.operators import extract, history, prompts, select, stats
 from talus.operators.gate import Gate
 from talus.plans import pipeline
-from talus.plans.queries import CHUNK_SQL, DIMS, HIST, PART_DIM_SQL, clean, dims, hist, micros, part_dims, query, table
+from talus.plans.queries import CHUNK_SQL, DIMS, HIST, PART_DIM_SQL, clean, dims, hist, micros, part_dims, query, spread, table
 from talus.plans.specs import REVIEWS_INTL, REVIEWS_VN
 from talus.sources import readers, sinks
 from talus.sources.shared import new_path, staged
@@ -427,12 +427,11 @@ def _answer_list(column: str) -> tuple[str | None, ...]:
 def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels with white space and capitals as files have them."""
     pick = lambda c, i: F.element_at(
-        F.array(*[F.lit(x) for x in _answer_list(c)]),
+        F.array(*[F.concat(F.lit("\t"), F.initcap(F.lit(x)), F.lit(" ")) for x in _answer_list(c)]),  # a constant: made once
         (F.pmod(F.col("c_custkey") * (2 * i + 1) + F.floor(F.col("c_custkey") / 7), F.lit(len(_answer_list(c)))) + 1).cast("int")
     )
-    return table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("row_index"),
-        *[F.concat(F.lit("\t"), F.initcap(pick(c, i)), F.lit(" ")).alias(c) for i, c in enumerate(SURVEY_COLUMNS)]
+    return spread(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey").select(
+        F.col("c_custkey").alias("row_index"), *[pick(c, i).alias(c) for i, c in enumerate(SURVEY_COLUMNS)]
     )
 
 

@@ -42,13 +42,18 @@ def micros(df: DataFrame, c: str) -> Column:
     return F.expr(f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', {c})") if df.schema[c].dataType.typeName() == "timestamp_ntz" else F.unix_micros(c)
 
 
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Narrow rows dealt anew by a key: few input files shouldn't mean few tasks for what follows."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def hist(spark: SparkSession, sf_dir: str, **of_text: Column) -> DataFrame:
     """Items; with columns made of a document where its text would stand, if any are given."""
     events, docs = table(spark, sf_dir, "events"), table(spark, sf_dir, "documents")
     docs = docs.select("doc_id", "source", "lang", *[c.alias(n) for n, c in of_text.items()]) if of_text else docs
     n = docs.agg(F.count("*").alias("n"))  # one row
     keyed = events.crossJoin(F.broadcast(n)).withColumn("k", F.col("event_id") % F.col("n")).withColumn("us", micros(events, "ts"))
-    keyed = keyed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "k")  # events are narrow; a join on k needs this anyway, and few input files shouldn't mean few tasks
+    keyed = spread(keyed, "k")  # a join on k needs this anyway
     return keyed.join(docs, F.col("k") == F.col("doc_id")).select(
         F.col("event_id").alias("item_id"), "user_id", F.col("event_type").alias("category"), F.floor(F.col("us") / 1000).cast("long").alias("ts_ms"),
         F.when(F.col("event_id") % 13 == 0, F.lit(None)).otherwise(F.col("event_id") % 7).cast("double").alias("rating"),

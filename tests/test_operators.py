@@ -270,3 +270,30 @@ def test_profiles_by_key_are_those_of_texts(spark, spec):
     keyed = items.select("*", key, F.length(profile.shown_text(spec)).alias("shown_chars")).drop("text")
     by_key = profile.profiles(keyed, spec, texts=items.select(key, "text").distinct())
     assert sorted(map(repr, by_key.collect())) == sorted(map(repr, profile.profiles(items, spec).collect()))
+
+
+def test_survey_rules_make_each_key_once_and_in_many_tasks(spark):
+    from talus.plans import io_queries
+    from tests.conftest import SMALL
+
+    found = io_queries.survey_rules(spark, SMALL)
+    most = spark.conf.get("spark.sql.debug.maxToStringFields")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "100000")
+    try:
+        told = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.debug.maxToStringFields", most)
+    assert 17 <= told.count("translate(") <= 2 * 17  # 17 of 18 answers have keys, and a plan may be told twice
+    assert found.select(F.spark_partition_id()).distinct().count() == 4
+
+
+def test_keys_made_apart_give_what_computed_rules_give(spark):
+    from talus.functions.survey import SURVEY_COLUMNS, computed
+
+    odd = [None, "", " None ", "Graduate", "less  than high school", "7th grade", "8 or more years", "White", "not hispanic", "retired", "Strong", "89 or older"]
+    rows = [tuple(odd[(i * (2 * k + 1) + k) % len(odd)] for k in range(len(SURVEY_COLUMNS))) for i in range(40)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], f"n int, {', '.join(f'`{c}` string' for c in SURVEY_COLUMNS)}")
+    plain = {(r["n"], t): r[t] for r in df.select("n", *[v.alias(t) for t, v in computed().items()]).collect() for t in computed()}
+    found = {(r["n"], r["dimension_id"]): r["result"] for r in crosswalk.audit(df, keep=("n",)).filter("source_column = 'compute'").collect()}
+    assert found == plain and len({v for v in plain.values()}) > 4
+    assert set(crosswalk.crosswalk(df).columns) == {*df.columns, "observed", "unmapped"}
