@@ -102,6 +102,8 @@ def prefix_fit(rendered: DataFrame, most: int, joint: int = 2) -> DataFrame:
 
 def joined(rendered: DataFrame) -> DataFrame:
     """Per user the items' text in order, parted by blank lines. What comes in is cut to a number of characters by ``prefix_fit`` or ``suffix_fit``, so the list is bounded."""
+    # rows that windows have sorted by user are put together one user at a time; a hash of lists would sort all texts again, and spill them
+    rendered.sparkSession.conf.set("spark.sql.execution.replaceHashWithSortAgg", "true")
     ordered = F.array_sort(F.collect_list(F.struct("place", "rendered")))
     count = F.max("_items") if "_items" in rendered.columns else F.count("*")
     return rendered.groupBy("user_id").agg(F.array_join(F.transform(ordered, lambda x: x["rendered"]), "\n\n").alias("body"), count.alias("profile_items"))

@@ -297,3 +297,11 @@ def test_keys_made_apart_give_what_computed_rules_give(spark):
     found = {(r["n"], r["dimension_id"]): r["result"] for r in crosswalk.audit(df, keep=("n",)).filter("source_column = 'compute'").collect()}
     assert found == plain and len({v for v in plain.values()}) > 4
     assert set(crosswalk.crosswalk(df).columns) == {*df.columns, "observed", "unmapped"}
+
+
+def test_profiles_are_put_together_in_the_order_of_their_windows(spark):
+    from talus.plans import queries
+    from tests.conftest import SMALL
+
+    plan = queries.profile_whole_items(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" in plan and "ObjectHashAggregate" not in plan
